@@ -12,8 +12,8 @@ one task.  Here the order is cut into ranges first:
 4. ``row_number()`` inside each range + offset = global rank.
 
 Any monotone range function gives the same ids, so the sample only affects
-balance, never results.  The boundaries use the whole sort key, so one hot
-leading key value is split over several ranges.  Ids are a pure function of
+balance, never results.  The boundaries use a two-column prefix of the
+sort key, so one hot leading key value is split over several ranges.  Ids are a pure function of
 the data: a lost executor recomputes the same values.
 """
 
@@ -50,20 +50,23 @@ def _range_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
 
 def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
                  oversample: int = 16, seed: int = 17) -> Column:
-    """Column with the range number (0..n-1) of each row's sort key."""
+    """Column with the range number (0..n-1) of each row's sort key.
+
+    One aggregate job draws a bounded uniform sample: rows are dealt into
+    ``n_ranges x oversample`` random groups and each group keeps one random
+    member (``min_by`` on a random tag, combined map-side).  The sample is
+    sorted by Spark, so the boundaries follow Spark's own ordering."""
     fields = [_monotone(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)]
-    key_df = df.select(*fields)
     if n_ranges <= 1:
         return F.lit(0)
-    total = key_df.count()
-    if total == 0:
-        return F.lit(0)
-    want = n_ranges * oversample
-    frac = min(1.0, want / total)
-    sample = key_df.sample(False, frac, seed) if frac < 1.0 else key_df
-    # bounded: about n_ranges * oversample rows, sorted by Spark itself
-    rows = sample.orderBy(*[f"k{i}" for i in range(len(order_cols))]).limit(want * 2).collect()
-    if not rows:
+    groups = n_ranges * oversample
+    keys = [f"k{i}" for i in range(len(order_cols))]
+    tagged = df.select(*fields, (F.rand(seed) * groups).cast("int").alias("_g"),
+                       F.rand(seed + 1).alias("_t"))
+    sample = (tagged.groupBy("_g").agg(F.min_by(F.struct(*keys), F.col("_t")).alias("_s"))
+              .select("_s.*"))
+    rows = sample.orderBy(*keys).collect()          # at most n_ranges x oversample rows
+    if len(rows) < 2:
         return F.lit(0)
     step = max(1, len(rows) // n_ranges)
     picked = []
@@ -74,20 +77,24 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
     if not picked:
         return F.lit(0)
     key = F.struct(*fields)
-    types = [f.dataType for f in key_df.schema.fields]
+    types = [f.dataType for f in df.select(*fields).schema.fields]
     bounds = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))])
               for r in picked]
     return _range_expr(key, bounds, 0, len(bounds))
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
-               n_ranges: int | None = None) -> DataFrame:
+               n_ranges: int | None = None, bound_cols: int = 2) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following the ascending order of
-    ``order_cols`` (which should be a total order for repeatable ids)."""
+    ``order_cols`` (which should be a total order for repeatable ids).
+
+    Range bounds use the first ``bound_cols`` sort columns: a prefix of the
+    order is still monotone (so ids are exact), keeps the comparison tree
+    cheap, and still splits a hot leading value by the second column."""
     spark = df.sparkSession
     if n_ranges is None:
         n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rng = range_bucket(df, order_cols, n_ranges)
+    rng = range_bucket(df, list(order_cols)[:max(1, bound_cols)], n_ranges)
     staged = df.withColumn("_rng", rng)
     counts = staged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))
     # n_ranges rows: a single-task window here is bounded by construction

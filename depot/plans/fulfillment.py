@@ -14,7 +14,6 @@ from depot import config as C
 from depot.functions import rules as R
 from depot.functions.draws import keyed_uniform
 from depot.operators.keys import dense_keys
-from depot.operators.windows import seq_within
 
 # ---------------------------------------------------------------- I1
 def build_order_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
@@ -53,9 +52,13 @@ def build_shipment_lines(shipments: DataFrame, lines: DataFrame, items: DataFram
     per_ship = base.groupBy("shipment_id").agg(
         F.sum(F.col("weight_lb") * F.col("quantity_ordered")).alias("_ship_weight"),
         F.min("order_line_id").alias("_first_line"))
-    seq = seq_within(base, ["order_id"], ["order_line_id"], "_carton_seq")
-    keyed = dense_keys(seq, ["shipment_id", "order_line_id"], "shipment_line_id")
-    out = keyed.join(per_ship, "shipment_id", "left")
+    # one global rank serves as the line id and, minus the order's first
+    # rank, as the carton sequence within the order
+    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id")
+    first = keyed.groupBy("order_id").agg(F.min("shipment_line_id").alias("_first_rank"))
+    out = (keyed.join(first, "order_id")
+           .withColumn("_carton_seq", F.col("shipment_line_id") - F.col("_first_rank") + 1)
+           .join(per_ship, "shipment_id", "left"))
     heavy = (F.col("order_line_id") == F.col("_first_line")) & (F.col("_ship_weight") > upcharge_weight)
     return out.select(
         "shipment_line_id", "shipment_id", "order_line_id", "item_id",

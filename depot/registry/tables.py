@@ -34,7 +34,7 @@ LEFT JOIN v_items i ON l.item_id = i.item_id
 LEFT JOIN v_carriers c ON s.carrier_id = c.carrier_id""")
 
 define_view("x_shipment_lines", f"""
-SELECT row_number() OVER (ORDER BY shipment_id, order_line_id) AS shipment_line_id, shipment_id, order_line_id, item_id,
+SELECT row_number() OVER (ORDER BY order_id, order_line_id, shipment_id) AS shipment_line_id, shipment_id, order_line_id, item_id,
        quantity_ordered AS quantity_shipped,
        CAST(order_id AS VARCHAR) || '-C' || CAST(row_number() OVER (PARTITION BY order_id ORDER BY order_line_id) AS VARCHAR)
            AS carton_number,
