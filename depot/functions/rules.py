@@ -145,10 +145,13 @@ def duty_rate(category) -> Column:
 
 
 def unit_freight(cube, weight, per_cuft: float = 0.125, per_10lb: float = 0.065) -> Column:
-    """0.15 + cube x a + weight/10 x b, at least 0.05 (a, b: range midpoints)."""
-    cu = F.coalesce(_c(cube).cast("double"), F.lit(0.0))
-    wt = F.coalesce(_c(weight).cast("double"), F.lit(0.0))
-    return F.greatest(F.lit(0.05), F.lit(0.15) + cu * per_cuft + wt / 10.0 * per_10lb)
+    """0.15 + cube x a + weight/10 x b, at least 0.05 (a, b: range midpoints).
+    Exact decimal arithmetic on 4-dp inputs."""
+    cu = F.coalesce(_c(cube).cast("decimal(12,4)"), F.lit(0).cast("decimal(12,4)"))
+    wt = F.coalesce(_c(weight).cast("decimal(12,4)"), F.lit(0).cast("decimal(12,4)"))
+    return F.greatest(F.lit(0.05).cast("decimal(4,2)"),
+                      F.lit(0.15).cast("decimal(4,2)") + cu * F.lit(per_cuft).cast("decimal(8,4)")
+                      + wt * F.lit(per_10lb / 10).cast("decimal(8,5)"))
 
 
 def landed_costs(unit_cost, unit_price, freight, duty, replacement_factor: float = 1.045,
@@ -229,9 +232,7 @@ def normalize_timestamp(ts, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Parse-or-null, move the US spring-gap hour (2nd Sunday of March, 02h)
     and fall-ambiguous hour (1st Sunday of November, 01h) forward one hour,
     and format."""
-    t = _c(ts)
-    t = F.when(t.isNull(), F.lit(None)).otherwise(t) if not isinstance(ts, str) else \
-        F.expr(f"try_to_timestamp(CAST({ts} AS STRING))")
+    t = _c(ts) if not isinstance(ts, str) else F.expr(f"try_to_timestamp(CAST({ts} AS STRING))")
     month, day, hour = F.month(t), F.dayofmonth(t), F.hour(t)
     sunday = F.dayofweek(t) == 1
     spring = (month == 3) & day.between(8, 14) & sunday & (hour == 2)

@@ -16,7 +16,7 @@ from depot.sources.adapter_sql import with_views
 from depot.sources.tables import Tables
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
-_SQL: dict[str, str] = {}
+_SQL: dict[str, tuple[str, dict[str, str] | None]] = {}
 
 _MODULES = ["rules", "joins", "aggregates", "windows", "sampling", "expansion",
             "tables", "quality", "sources", "streams"]
@@ -28,7 +28,7 @@ def register(key: str, sql: str | None = None, ctes: dict[str, str] | None = Non
             raise ValueError(f"duplicate query {key}")
         _QUERIES[key] = fn
         if sql is not None:
-            _SQL[key] = with_views(sql, ctes)
+            _SQL[key] = (sql, ctes)
         return fn
     return deco
 
@@ -49,4 +49,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     _load()
-    return dict(_SQL)
+    # views are composed late: shared views may be defined by any module
+    return {k: with_views(sql, ctes) for k, (sql, ctes) in _SQL.items()}

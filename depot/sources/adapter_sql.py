@@ -109,3 +109,70 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
         return sql
     ctes = ",\n".join(f"{name} AS ({pool[name]}\n)" for name in order if name in need)
     return f"WITH {ctes}\n{sql}"
+
+
+# ---- second group of views (twins of the properties added by _more_views)
+define_view("v_returned_lines", """
+SELECT order_line_id,
+       CASE WHEN order_line_id % 20 < 11 THEN 'Resalable' WHEN order_line_id % 20 < 15 THEN 'Damaged'
+            WHEN order_line_id % 20 < 18 THEN 'Defective' ELSE 'Destroyed' END AS condition_code,
+       (['Damaged', 'Wrong Item', 'Not as Described', 'Overshipment', 'Customer Preference', 'Defective'])[order_line_id % 6 + 1]
+           AS reason_code,
+       greatest(1, least(quantity_ordered, CAST(floor(quantity_ordered * 3 / 5) AS INT))) AS qty_returned
+FROM v_lines WHERE return_flag = 'R'""")
+
+define_view("v_stock", """
+SELECT a.dc_id, a.item_id, qty_on_hand, qty_on_order,
+       CAST(round(CAST(i.unit_cost AS DECIMAL(12,2)) * CAST(1.015 AS DECIMAL(10,6)), 2) AS DECIMAL(12,2)) AS std_cost,
+       CAST(round(CAST(i.unit_cost AS DECIMAL(12,2)) * CAST(1.015 AS DECIMAL(10,6)) * CAST(1.005 AS DECIMAL(10,6)), 2) AS DECIMAL(12,2)) AS last_cost,
+       CAST(round((CAST(i.unit_cost AS DECIMAL(12,2)) * CAST(1.015 AS DECIMAL(10,6))
+                   + CAST(i.unit_cost AS DECIMAL(12,2)) * CAST(1.015 AS DECIMAL(10,6)) * CAST(1.005 AS DECIMAL(10,6)))
+                  * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(12,2)) AS avg_cost,
+       least(50, greatest(5, CAST(trunc(qty_on_hand / 12) AS INT))) AS reorder_point,
+       printf('A%d-%d-%d', a.item_id % 50 + 1, a.dc_id % 20 + 1, (a.item_id + a.dc_id) % 10 + 1) AS stocking_location,
+       vendor_id, last_restock_date
+FROM (SELECT o.dc_id, l.item_id, CAST(sum(l.quantity_ordered) AS BIGINT) AS qty_on_hand,
+             CAST(sum(CASE WHEN o.order_status IN ('Open', 'Backordered') THEN l.quantity_ordered ELSE 0 END) AS BIGINT) AS qty_on_order,
+             max(l.line_ship_date) AS last_restock_date,
+             max({'d': l.line_ship_date, 'v': l.vendor_id}).v AS vendor_id
+      FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id GROUP BY o.dc_id, l.item_id) a
+LEFT JOIN v_items i ON a.item_id = i.item_id""")
+
+define_view("v_po_status", """
+SELECT dc_id, item_id, CASE WHEN (dc_id * 31 + item_id) % 20 < 14 THEN 'Received' WHEN (dc_id * 31 + item_id) % 20 < 17 THEN 'Partial'
+                            WHEN (dc_id * 31 + item_id) % 20 < 19 THEN 'Open' ELSE 'Cancelled' END AS po_status
+FROM v_stock""")
+
+define_view("v_movements", """
+SELECT coalesce(o.dc_id, p.dc_id) AS dc_id, coalesce(o.item_id, p.item_id) AS item_id, coalesce(o.month, p.month) AS month,
+       CAST(coalesce(p.qty_in, 0) AS BIGINT) AS qty_in, CAST(coalesce(o.qty_out, 0) AS BIGINT) AS qty_out
+FROM (SELECT dc_id, item_id, month, qty_out FROM
+        (SELECT o.dc_id, l.item_id, CAST(date_trunc('month', o.order_date) AS DATE) AS month,
+                CAST(sum(l.quantity_ordered) AS BIGINT) AS qty_out
+         FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id GROUP BY ALL) x) o
+FULL JOIN (SELECT o.dc_id, l.item_id, CAST(date_trunc('month', o.order_date) + INTERVAL 1 MONTH AS DATE) AS month,
+                  CAST(ceil(sum(l.quantity_ordered) * 1.1) AS BIGINT) AS qty_in
+           FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id GROUP BY ALL) p
+  ON o.dc_id = p.dc_id AND o.item_id = p.item_id AND o.month = p.month""")
+
+define_view("v_adjustments", """
+SELECT event_id AS adjustment_id, event_id % 25 + 1 AS dc_id, user_id AS item_id,
+       CASE event_type WHEN 'signup' THEN 'Cycle Count' WHEN 'error' THEN 'Damage' WHEN 'click' THEN 'Shrink'
+                       WHEN 'view' THEN 'Return to Stock' WHEN 'purchase' THEN 'Administrative Correction' END AS adjustment_type,
+       ([['Count Variance', 'Recount Adjustment', 'Audit Correction'],
+         ['Crushed', 'Leaking', 'Broken', 'Packaging Damage'],
+         ['Lost', 'Misplaced', 'Theft Suspected'],
+         ['Customer Return', 'Restock', 'RMA'],
+         ['Data Entry Error', 'Unit of Measure Correction', 'Transfer Correction']])[event_id % 5 + 1][event_id % 3 + 1] AS reason_code,
+       greatest(1, CAST(trunc(value) AS INT)) AS quantity, ts AS adjustment_timestamp
+FROM events""")
+
+define_view("v_rates", """
+SELECT carrier_id, carrier_type, CAST(18.0 + carrier_id * 1.5 AS DECIMAL(8,2)) AS hourly,
+       CAST(0.30 + carrier_id * 0.04 AS DECIMAL(8,2)) AS per_mile, CAST(8.0 + carrier_id * 1.5 AS DECIMAL(8,2)) AS per_stop
+FROM v_carriers""")
+
+define_view("v_fuel", """
+SELECT state, fuel_type, CAST(CASE WHEN fuel_type = 'diesel' THEN 3.50 + dc_id * 0.05 ELSE 2.80 + dc_id * 0.05 END AS DECIMAL(6,3))
+           AS cost_per_gallon
+FROM v_dcs CROSS JOIN (VALUES ('diesel'), ('gasoline')) f(fuel_type)""")
