@@ -71,13 +71,15 @@ def version_intervals(df: DataFrame, key_cols: Sequence[str], start_col: str,
 
 
 def compounded_walk(start: Column, factors: Column, floor: float = 0.01, scale: int = 4) -> Column:
-    """p[i] = max(floor, round(p[i-1] x f[i], scale)) over an ordered array of
-    factors (E7); returns the array of prices.  ``aggregate`` keeps the
-    sequential floor exact, which an exp(sum(ln)) window cannot."""
-    init = F.array().cast("array<double>")
+    """Price path p[0] = max(floor, start), p[i] = max(floor, round(p[i-1] x f[i], scale))
+    over an ordered array of factors (E7), in exact decimals.  ``aggregate``
+    keeps the sequential floor exact, which an exp(sum(ln)) window cannot."""
+    t = f"decimal(18,{scale})"
+    lo = F.lit(floor).cast(t)
+    init = F.array(F.greatest(lo, start.cast(t)))
 
     def step(acc, f):
-        prev = F.when(F.size(acc) == 0, start.cast("double")).otherwise(F.element_at(acc, -1))
-        return F.concat(acc, F.array(F.greatest(F.lit(floor), F.round(prev * f, scale))))
+        nxt = F.greatest(lo, F.round(F.element_at(acc, -1) * f, scale).cast(t))
+        return F.concat(acc, F.array(nxt))
 
     return F.aggregate(factors, init, step)
