@@ -17,14 +17,14 @@ def exact_percentile(df: DataFrame, col: str, p: float, tie_cols: Sequence[str]
 
     ``percentile()`` keeps every distinct value in one aggregation buffer;
     here values are ranked with the range-partitioned dense rank, and only
-    the two rows around position 1 + p (n - 1) are read back.  ``tie_cols``
+    the two rows around 0-based position p (n - 1) are read back.  ``tie_cols``
     spread a hot value over several ranges (they do not change the result)."""
     vals = df.select(F.col(col).cast("double").alias("_x"), *tie_cols).filter(F.col("_x").isNotNull())
     ranked = dense_keys(vals, ["_x", *tie_cols], "_r")
     n = vals.agg(F.count(F.lit(1)).alias("_n"))
-    pos = F.lit(1.0) + F.lit(p) * (F.col("_n") - 1)
-    bounds = n.select(F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
-                      (pos - F.floor(pos)).alias("_frac"))
+    rn = F.lit(p) * (F.col("_n") - 1)              # 0-based position, as percentile() uses
+    bounds = n.select((F.floor(rn) + 1).cast("long").alias("_lo"), (F.ceil(rn) + 1).cast("long").alias("_hi"),
+                      (rn - F.floor(rn)).alias("_frac"))
     pick = ranked.join(F.broadcast(bounds), (F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
     return pick.agg(
         (F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x")))

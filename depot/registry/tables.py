@@ -227,3 +227,131 @@ def flagship(t):
                  F.sum("amount_due").cast("decimal(18,2)").alias("amount_due"),
                  F.sum("balance").cast("decimal(18,2)").alias("balance"),
                  F.sum("estimated_cost").cast("decimal(18,2)").alias("shipping_cost")))
+
+
+# ---------------------------------------------------------------- I11 .. I16
+from depot.functions.draws import keyed_uniform_sql as _u  # noqa: E402
+from depot.plans import pricing as PR  # noqa: E402
+
+define_view("x_pref_agg", f"""
+SELECT o.customer_id, l.item_id, CAST(sum(l.extended_price) AS DOUBLE) AS m, CAST(count(DISTINCT l.order_id) AS DOUBLE) AS f,
+       max(o.order_date) AS last_purchased_date, CAST(greatest(0, DATE '{AS_OF}' - max(o.order_date)) AS DOUBLE) AS r
+FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id GROUP BY o.customer_id, l.item_id""")
+define_view("x_pref_scored", """
+SELECT customer_id, item_id, last_purchased_date,
+       (0.4 * CASE WHEN fx = fn THEN 0.5 ELSE (f - fn) / (fx - fn) END
+        + 0.4 * CASE WHEN mx = mn THEN 0.5 ELSE (m - mn) / (mx - mn) END
+        + 0.2 * (1.0 - CASE WHEN rx = rn THEN 0.5 ELSE (r - rn) / (rx - rn) END)) * 100.0 AS score
+FROM x_pref_agg CROSS JOIN (SELECT min(f) AS fn, max(f) AS fx, min(m) AS mn, max(m) AS mx, min(r) AS rn, max(r) AS rx
+                            FROM x_pref_agg) mm""")
+define_view("x_prefs", """
+SELECT row_number() OVER (ORDER BY customer_id, score DESC, item_id) AS preference_id, customer_id, item_id,
+       CAST(round(score, 4) AS DECIMAL(10,4)) AS preference_score, last_purchased_date, score
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, item_id) AS rk
+      FROM x_pref_scored WHERE score >= 5.0) x WHERE rk <= 50""")
+define_view("x_contract", """
+SELECT t.item_id, t.customer_id, l.effective_date, CAST(NULL AS DATE) AS end_date,
+       CAST(l.list_price AS DECIMAL(12,4)) AS list_price, CAST(0.10 AS DECIMAL(5,4)) AS discount_pct,
+       CAST(round(l.list_price * (1 - CAST(0.10 AS DECIMAL(5,4))), 4) AS DECIMAL(12,4)) AS net_price,
+       false AS promo_flag, 'Contract' AS channel
+FROM (SELECT DISTINCT customer_id, item_id FROM x_prefs
+      WHERE score >= (SELECT quantile_cont(score, 0.8) FROM x_prefs)) t
+JOIN (SELECT item_id, max(effective_date) AS effective_date, arg_max(list_price, effective_date) AS list_price
+      FROM x_price_history GROUP BY item_id) l ON t.item_id = l.item_id""")
+
+
+def preferences(t):
+    return PR.build_preferences(t.v_lines_noid, t.v_orders, C.AS_OF)
+
+
+def price_history(t):
+    return PR.build_price_history(t.v_lines_noid, t.v_orders)
+
+
+@register("build_preferences", """
+SELECT preference_id, customer_id, item_id, preference_score, last_purchased_date FROM x_prefs""")
+def q_build_preferences(t):
+    return preferences(t).drop("score_raw")
+
+
+@register("build_price_history", "SELECT * FROM x_price_history")
+def q_build_price_history(t):
+    return price_history(t)
+
+
+@register("contract_prices", "SELECT * FROM x_contract")
+def q_contract_prices(t):
+    return PR.contract_prices(preferences(t), price_history(t))
+
+
+@register("union_price_rows", """
+SELECT item_id, customer_id, effective_date, end_date, CAST(list_price AS DECIMAL(12,4)) AS list_price,
+       CAST(discount_pct AS DECIMAL(5,4)) AS discount_pct, CAST(net_price AS DECIMAL(12,4)) AS net_price, promo_flag, channel
+FROM x_price_history
+UNION ALL SELECT * FROM x_contract""")
+def q_union_price_rows(t):
+    ph = price_history(t)
+    return PR.union_price_rows(ph, PR.contract_prices(preferences(t), ph))
+
+
+_FREIGHT_SQL = ("greatest(CAST(0.05 AS DECIMAL(4,2)), CAST(0.15 AS DECIMAL(4,2)) "
+                "+ coalesce(CAST(i.cube_ft AS DECIMAL(12,4)), 0) * CAST(0.125 AS DECIMAL(8,4)) "
+                "+ coalesce(CAST(i.weight_lb AS DECIMAL(12,4)), 0) * CAST(0.0065 AS DECIMAL(8,5)))")
+_DUTY_SQL = ("CASE WHEN i.category IS NULL THEN 0.0 WHEN contains(lower(i.category), 'chemical') OR contains(lower(i.category), 'clean') "
+             "THEN 0.085 WHEN contains(lower(i.category), 'electronics') OR contains(lower(i.category), 'computer') THEN 0.04 "
+             "WHEN contains(lower(i.category), 'furniture') THEN 0.055 WHEN contains(lower(i.category), 'industrial') THEN 0.07 "
+             "ELSE 0.02 END")
+
+
+@register("build_item_costs", f"""
+SELECT row_number() OVER (ORDER BY item_id, effective_date) AS item_cost_id, item_id, effective_date, unit_cost, unit_price,
+       shipping_cost_per_unit, freight_cost, duty_rate,
+       CAST(round(uc6 + fr6 + uc6 * duty_rate, 4) AS DECIMAL(18,4)) AS landed_cost,
+       CAST(round(round(uc6 + fr6 + uc6 * duty_rate, 4) * CAST(1.045 AS DECIMAL(10,4)), 4) AS DECIMAL(18,4)) AS replacement_cost,
+       CAST(round(greatest(CAST(unit_price AS DECIMAL(18,6)) * CAST(0.8 AS DECIMAL(3,2)),
+                           round(uc6 + fr6 + uc6 * duty_rate, 4) * CAST(1.225 AS DECIMAL(10,4))), 4) AS DECIMAL(18,4)) AS map_price
+FROM (SELECT v.item_id, v.effective_date,
+             CAST(round(v.list_price * CAST(0.7 AS DECIMAL(4,2)), 4) AS DECIMAL(18,4)) AS unit_cost,
+             CAST(CAST(round(v.list_price * CAST(0.7 AS DECIMAL(4,2)), 4) AS DECIMAL(18,4)) AS DECIMAL(18,6)) AS uc6,
+             CAST(v.list_price AS DECIMAL(18,4)) AS unit_price,
+             CAST(i.shipping_cost_per_unit AS DECIMAL(18,4)) AS shipping_cost_per_unit,
+             CAST(round({_FREIGHT_SQL}, 4) AS DECIMAL(18,4)) AS freight_cost,
+             CAST(CAST(round({_FREIGHT_SQL}, 4) AS DECIMAL(18,4)) AS DECIMAL(18,6)) AS fr6,
+             CAST({_DUTY_SQL} AS DECIMAL(10,4)) AS duty_rate
+      FROM (SELECT item_id, effective_date, list_price,
+                   row_number() OVER (PARTITION BY item_id ORDER BY effective_date DESC) AS rk FROM x_price_history) v
+      LEFT JOIN v_items i ON v.item_id = i.item_id WHERE rk <= 3) x""")
+def q_build_item_costs(t):
+    return PR.build_item_costs(price_history(t), t.v_items)
+
+
+define_view("x_promotions", """
+SELECT promo_id, printf('Promotion %04d', promo_id) AS promo_name, printf('PROMO-%d-%04d', y, promo_id) AS promo_code,
+       start_date, end_date, discount_type,
+       CAST(CASE discount_type WHEN 'PCTOFF' THEN 15.00 WHEN 'FIXEDOFF' THEN 27.50 ELSE 1.00 END AS DECIMAL(8,2)) AS discount_value,
+       'CATEGORY' AS applies_to, category, CAST(NULL AS VARCHAR) AS customer_segment
+FROM (SELECT row_number() OVER (ORDER BY y, m, category) AS promo_id, y, m, category,
+             make_date(y, m, 1 + (y + 3 * m) % 20) AS start_date,
+             least(make_date(y, m, 1 + (y + 3 * m) % 20) + CAST(7 + (y * m + length(category)) % 24 - 1 AS INT), pe) AS end_date,
+             CASE WHEN (m + length(category)) % 20 < 12 THEN 'PCTOFF' WHEN (m + length(category)) % 20 < 17 THEN 'FIXEDOFF'
+                  ELSE 'BOGO' END AS discount_type
+      FROM (SELECT DISTINCT CAST(year(order_date) AS INT) AS y, CAST(month(order_date) AS INT) AS m FROM v_orders) mo
+      CROSS JOIN (SELECT DISTINCT category FROM v_items WHERE category IS NOT NULL) c
+      CROSS JOIN (SELECT max(order_date) AS pe FROM v_orders) e) g""")
+
+
+def promotions(t):
+    return PR.build_promotions(t.v_orders, t.v_items)
+
+
+@register("build_promotions", "SELECT * FROM x_promotions")
+def q_build_promotions(t):
+    return promotions(t)
+
+
+@register("build_promo_orders", f"""
+SELECT row_number() OVER (ORDER BY order_id) AS promo_order_id, promo_id, order_id FROM (
+  SELECT o.order_id, min({{'u': {_u(C.SEED, 'pick', 'o.order_id', 'p.promo_id')}, 'p': p.promo_id}}).p AS promo_id
+  FROM v_orders o JOIN x_promotions p ON o.order_date BETWEEN p.start_date AND p.end_date GROUP BY o.order_id) x""")
+def q_build_promo_orders(t):
+    return PR.build_promo_orders(promotions(t), t.v_orders, seed=C.SEED)
