@@ -254,3 +254,19 @@ def ar_aging_summary(ledger: DataFrame) -> DataFrame:
             .agg(F.sum("balance").cast("decimal(18,2)"))
             .select("customer_id", *[F.coalesce(F.col(b), F.lit(0).cast("decimal(18,2)")).alias(
                 "bal_" + b.replace("-", "_").replace("+", "_plus").lower()) for b in C.AGING_BUCKETS]))
+
+
+# ---------------------------------------------------------------- I9
+def build_returns(eligible: DataFrame, returned: DataFrame, min_days: int = 5, max_days: int = 45) -> DataFrame:
+    """Returns of complete, shipped lines flagged as returned (I9): return
+    date = first ship date + 5..45 days (by key), quantity checked to
+    1..qty, credit by condition (B22), restock flag; dense ids."""
+    j = eligible.join(returned, "order_line_id")
+    delay = (F.lit(min_days) + F.col("order_line_id") % (max_days - min_days + 1)).cast("int")
+    qty = F.least(F.greatest(F.col("qty_returned"), F.lit(1)), F.greatest(F.col("quantity_ordered"), F.lit(1)))
+    j = j.withColumn("qty_returned", qty.cast("int"))
+    out = j.select("order_id", "order_line_id", "shipment_id", "item_id", "customer_id",
+                   F.date_add("ship_date", delay).alias("return_date"), "reason_code", "condition_code",
+                   "qty_returned", R.restock_flag("condition_code").alias("restock_flag"),
+                   R.return_credit("unit_price", "qty_returned", "condition_code").alias("credit_amount"))
+    return dense_keys(out, ["order_line_id"], "return_id")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depot.functions import rules as R
+from depot.operators.keys import dense_keys
 
 
 def build_inventory(lines: DataFrame, orders: DataFrame, items: DataFrame,
@@ -40,4 +41,157 @@ def build_inventory(lines: DataFrame, orders: DataFrame, items: DataFrame,
                     "vendor_id", "last_restock_date"))
 
 
-__all__ = ["build_inventory", "R"]
+
+# ---------------------------------------------------------------- I8
+BACKORDER_REASONS = ["Insufficient Inventory", "Vendor Delay", "Damaged Inbound Shipment",
+                     "Unexpected Demand Spike", "Quality Hold"]
+
+
+def build_backorders(lines: DataFrame, orders: DataFrame, stock: DataFrame, items: DataFrame, as_of,
+                     base_rate: float = 0.08, seed: int = 42) -> DataFrame:
+    """Backorders (I8): shortage = max(0, qty - int(mean available of the
+    item)) (C3, D3, quirk Q18); a row for every line short of stock, with
+    the backorder probability 0.08 + 0.6 x shortage ratio kept as a score;
+    created on the order date (Q17); filled at created + lead time when that
+    is on or before ``as_of``; reason by keyed draw."""
+    from depot.functions.draws import keyed_uniform
+    from depot.operators.joins import lookup
+    avail = stock.groupBy("item_id").agg(
+        F.avg(F.greatest(F.lit(0), F.col("qty_on_hand") - F.col("qty_on_order"))).cast("long").alias("avail"))
+    j = (lines.select("order_line_id", "order_id", "item_id", "quantity_ordered")
+         .join(orders.select("order_id", "order_date"), "order_id"))
+    j = lookup(j, avail, "item_id", {"avail": 0})
+    j = lookup(j, items.select("item_id", "lead_time_days"), "item_id", {"lead_time_days": 7})
+    short = F.greatest(F.lit(0), F.col("quantity_ordered") - F.col("avail"))
+    j = j.withColumn("qty_backordered", short).filter(F.col("qty_backordered") > 0)
+    prob = F.lit(base_rate) + F.col("qty_backordered") / F.col("quantity_ordered") * 0.6
+    fill = F.date_add("order_date", F.col("lead_time_days").cast("int"))
+    filled = fill <= F.lit(as_of)
+    u = keyed_uniform(seed, "bo_reason", "order_line_id")
+    reason = F.element_at(F.array(*[F.lit(r) for r in BACKORDER_REASONS]),
+                          (F.floor(u * len(BACKORDER_REASONS)) + 1).cast("int"))
+    out = j.select("order_id", "order_line_id", "item_id", F.col("qty_backordered").cast("int").alias("qty_backordered"),
+                   F.round(prob, 4).cast("decimal(6,4)").alias("backorder_probability"),
+                   F.col("order_date").alias("date_created"),
+                   F.when(filled, fill).alias("date_filled"),
+                   F.when(filled, F.col("lead_time_days").cast("int")).alias("days_backordered"),
+                   reason.alias("reason_code"), filled.alias("is_filled_flag"))
+    return dense_keys(out, ["order_line_id"], "backorder_id")
+
+
+# ---------------------------------------------------------------- I10
+def vendor_fill_rates(lines: DataFrame) -> DataFrame:
+    """Measured fill rate per vendor: share of its lines not returned,
+    cleaned to [0.5, 1.0] with default 0.9 (B2)."""
+    r = lines.groupBy("vendor_id").agg(F.avg(F.when(F.col("return_flag") == "R", 0.0).otherwise(1.0)).alias("_fr"))
+    return r.select("vendor_id", R.coerce_numeric(F.round("_fr", 4), default=0.9, lo=0.5, hi=1.0).alias("fill_rate"))
+
+
+def build_purchase_orders(stock: DataFrame, items: DataFrame, status: DataFrame, vendor_cost: DataFrame,
+                          fill_rates: DataFrame, partial_multiplier: float = 0.675) -> DataFrame:
+    """One purchase order per stock row with quantity on order (I10): cost
+    fallback vendor-item cost -> last -> avg -> 0 (C4), lead time cleaned
+    (default 7, at least 1), dates (B26), receipt quantity by status and
+    fill rate (B27), numbered per DC (B17)."""
+    from depot.operators.joins import first_non_null, lookup
+    s = stock.filter(R.coerce_numeric(F.col("qty_on_order"), default=0, to="int") > 0)
+    s = lookup(s, items.select("item_id", "lead_time_days"), "item_id")
+    s = s.withColumn("lead_time_days", R.coerce_numeric(F.col("lead_time_days"), default=7, lo=1, to="int"))
+    s = lookup(s, fill_rates, "vendor_id", {"fill_rate": 0.9})
+    s = s.join(vendor_cost, ["vendor_id", "item_id"], "left").join(status, ["dc_id", "item_id"], "left")
+    s = s.withColumn("unit_cost", first_non_null("vi_cost", "last_cost", "avg_cost", default=0).cast("decimal(12,2)"))
+    offset = ((F.col("dc_id") + F.col("item_id")) % 7 - 2).cast("int")
+    d = R.po_dates("last_restock_date", "lead_time_days", "po_status", offset_days=0)
+    s = s.select("*", d["po_date"].alias("po_date"), d["expected_receipt_date"].alias("expected_receipt_date"),
+                 F.when(F.col("po_status") == "Open", F.lit(None).cast("date"))
+                 .otherwise(F.greatest(F.date_add(d["expected_receipt_date"], offset), d["po_date"]))
+                 .alias("actual_receipt_date"))
+    s = s.withColumn("qty_received", R.po_received_qty("po_status", F.col("qty_on_order").cast("int"), "fill_rate",
+                                                       partial_multiplier))
+    keyed = dense_keys(s, ["dc_id", "item_id"], "purchase_order_id")
+    return keyed.select("purchase_order_id", R.po_number("dc_id", "purchase_order_id").alias("po_number"),
+                        "vendor_id", "dc_id", "item_id", "po_date", "expected_receipt_date", "actual_receipt_date",
+                        F.col("qty_on_order").cast("int").alias("qty_ordered"), "qty_received", "unit_cost",
+                        "po_status")
+
+
+# ---------------------------------------------------------------- I18
+def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFrame, as_of, months_back: int = 12,
+                             allocated_share: float = 0.15) -> DataFrame:
+    """Month-end stock per DC, item and month for the ``months_back``
+    months up to ``as_of`` (I18).  On hand = running sum of (in - out) over
+    all earlier movements (floor 0); every pair that ever moved gets a row
+    for every month of the window (C7 x H3); aging split (B29), availability
+    and days on hand, excess and obsolete by lifecycle (B30), cycle-count
+    accuracy by ABC class.  The running window is partitioned by DC-item,
+    whose rows are one per month (bounded)."""
+    from pyspark.sql import Window
+    from depot.operators.expand import month_series
+    end = F.trunc(F.lit(as_of), "month")
+    pairs = movements.select("dc_id", "item_id").distinct()
+    grid = pairs.select("dc_id", "item_id", F.explode(month_series(F.add_months(end, -(months_back - 1)), months_back))
+                        .alias("month")).withColumn("_delta", F.lit(0).cast("long")).withColumn("_grid", F.lit(True))
+    moves = movements.filter(F.col("month") <= end).select(
+        "dc_id", "item_id", "month", (F.col("qty_in") - F.col("qty_out")).alias("_delta"), F.lit(False).alias("_grid"))
+    w = Window.partitionBy("dc_id", "item_id").orderBy("month", "_grid").rowsBetween(Window.unboundedPreceding, 0)
+    bal = (grid.unionByName(moves).withColumn("_bal", F.sum("_delta").over(w))
+           .filter(F.col("_grid")).select("dc_id", "item_id", F.col("month").alias("snapshot_month"),
+                                          F.greatest(F.lit(0), F.col("_bal")).cast("long").alias("quantity_on_hand")))
+    it = items.select("item_id", R.price_velocity("unit_price").alias("_vel"),
+                      R.lifecycle_stage("item_id").alias("_life")).join(abc.select("item_id", "abc_class"),
+                                                                           "item_id", "left")
+    b = bal.join(it, "item_id", "left").withColumn(
+        "quantity_allocated", (F.col("quantity_on_hand") * allocated_share).cast("long"))
+    health = R.stock_health("quantity_on_hand", "quantity_allocated", "_vel", "_life")
+    aging = R.aging_split("quantity_on_hand")
+    acc = R.map_lookup(R.CYCLE_COUNT_ACCURACY, F.coalesce(F.col("abc_class"), F.lit("C")))
+    out = b.select("dc_id", "item_id", "snapshot_month", "quantity_on_hand", "quantity_allocated",
+                   health["quantity_available"].alias("quantity_available"),
+                   health["days_on_hand"].alias("days_on_hand"),
+                   health["excess_quantity"].alias("excess_quantity"),
+                   health["obsolete_quantity"].alias("obsolete_quantity"),
+                   *[v.cast("long").alias(k) for k, v in aging.items()],
+                   acc.cast("decimal(4,2)").alias("cycle_count_accuracy"))
+    return dense_keys(out, ["dc_id", "item_id", "snapshot_month"], "snapshot_id")
+
+
+# ---------------------------------------------------------------- I20
+def build_slotting(dcs: DataFrame, items: DataFrame, pick_share_b: float = 0.6, seed: int = 42) -> DataFrame:
+    """Slotting for every DC-item pair (I20): price velocity (B7) and class
+    (B8), rank (B23); locations handed out in rank order within each DC
+    (B24): A items get a pick and a reserve slot, B items a pick slot with
+    probability ``pick_share_b`` (keyed draw), C items reserve only.
+    The in-DC order is the global dense rank minus the DC's first rank, so
+    a DC with millions of items is never one task."""
+    from depot.functions.draws import keyed_uniform
+    from depot.operators.windows import seq_within
+    base = (items.select("item_id", "cube_ft", "weight_lb", R.price_velocity("unit_price").alias("velocity"))
+            .crossJoin(F.broadcast(dcs.select("dc_id"))))        # DCs: one per nation, fixed size
+    base = base.withColumn("slotting_rank", R.slotting_rank("velocity", "cube_ft", "weight_lb")).withColumn(
+        "velocity_class", R.velocity_class("velocity"))
+    pos = seq_within(base, ["dc_id"], ["slotting_rank", "item_id"], "_pos")
+    p = F.col("_pos") - 1
+    pick_code = R.location_code(F.floor(p / 180) % 40 + 1, F.floor(p / 6) % 30 + 1, p % 6 + 1)
+    repl_code = R.location_code(F.floor(p / 300) % 40 + 1, F.floor(p / 10) % 30 + 1, p % 10 + 1)
+    u = keyed_uniform(seed, "pick", "dc_id", "item_id")
+    has_pick = (F.col("velocity_class") == "A") | ((F.col("velocity_class") == "B") & (u < pick_share_b))
+    out = pos.select("dc_id", "item_id", F.when(has_pick, pick_code).alias("pick_location"),
+                     repl_code.alias("replenishment_location"), "slotting_rank", "velocity_class")
+    return dense_keys(out, ["dc_id", "item_id"], "slotting_id")
+
+
+# ---------------------------------------------------------------- I21
+def adjustment_report(adjustments: DataFrame, items: DataFrame, reasons: dict) -> DataFrame:
+    """Adjustment log by DC, type and reason (I21): count, net quantity,
+    last time, quantity as a share of item velocity, and whether the reason
+    belongs to the type (``array_contains`` over a literal type->reasons map)."""
+    m = F.create_map(*[x for k, v in reasons.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in v]))])
+    valid = F.coalesce(F.array_contains(m[F.col("adjustment_type")], F.col("reason_code")), F.lit(False))
+    a = (adjustments.join(items.select("item_id", R.price_velocity("unit_price").alias("_vel")), "item_id", "left")
+         .withColumn("reason_valid", valid))
+    return a.groupBy("dc_id", "adjustment_type", "reason_code", "reason_valid").agg(
+        F.count(F.lit(1)).alias("n_adjustments"),
+        F.sum("quantity").cast("long").alias("net_quantity"),
+        F.max("adjustment_timestamp").alias("last_adjustment"),
+        F.round(F.sum("quantity") / F.sum(F.coalesce("_vel", F.lit(1))), 4).cast("decimal(12,4)")
+        .alias("share_of_velocity"))

@@ -355,3 +355,415 @@ SELECT row_number() OVER (ORDER BY order_id) AS promo_order_id, promo_id, order_
   FROM v_orders o JOIN x_promotions p ON o.order_date BETWEEN p.start_date AND p.end_date GROUP BY o.order_id) x""")
 def q_build_promo_orders(t):
     return PR.build_promo_orders(promotions(t), t.v_orders, seed=C.SEED)
+
+
+# ---------------------------------------------------------------- I8, I9, I10, I17 .. I29
+import datetime as _dt  # noqa: E402
+
+from depot.plans import catalog as CAT  # noqa: E402
+from depot.plans import costs as CO  # noqa: E402
+from depot.plans import customers as CU  # noqa: E402
+from depot.plans import inventory as INV  # noqa: E402
+from depot.plans import vendors as VEN  # noqa: E402
+from depot.functions import rules as _R  # noqa: E402
+from depot.sources.tables import ADJUSTMENT_REASONS  # noqa: E402
+
+_VEL = "greatest(1, CAST(trunc(120.0 / greatest(1.0, CAST(i.unit_price AS DOUBLE)) * 1.25) AS INT))"
+_LIFE = ("CASE WHEN {0} % 10 = 0 THEN 'End of Life' WHEN {0} % 7 = 0 THEN 'Mature' "
+         "WHEN {0} % 5 = 0 THEN 'Growth' ELSE 'New' END")
+_COND_FACTOR = ("CAST(CASE condition_code WHEN 'Resalable' THEN 1.00 WHEN 'Damaged' THEN 0.50 "
+                "WHEN 'Defective' THEN 0.25 WHEN 'Destroyed' THEN 0.00 END AS DECIMAL(4,2))")
+
+# -- I9
+define_view("x_returns", f"""
+SELECT row_number() OVER (ORDER BY order_line_id) AS return_id, order_id, order_line_id, shipment_id, item_id, customer_id,
+       CAST(ship_date + CAST(5 + order_line_id % 41 AS INT) AS DATE) AS return_date, reason_code, condition_code,
+       qty_returned, condition_code = 'Resalable' AS restock_flag,
+       CAST(round(CAST(unit_price AS DECIMAL(12,2)) * qty_returned * {_COND_FACTOR}, 2) AS DECIMAL(14,2)) AS credit_amount
+FROM (SELECT e.order_id, e.order_line_id, e.shipment_id, e.item_id, e.customer_id, e.ship_date, e.unit_price,
+             r.reason_code, r.condition_code,
+             CAST(least(greatest(r.qty_returned, 1), greatest(e.quantity_ordered, 1)) AS INT) AS qty_returned
+      FROM x_eligible_lines e JOIN v_returned_lines r ON e.order_line_id = r.order_line_id) x""")
+
+
+def returns(t):
+    from depot.registry.joins import eligible_lines
+    return FUL.build_returns(eligible_lines(t), t.v_returned_lines)
+
+
+@register("build_returns", "SELECT * FROM x_returns")
+def q_build_returns(t):
+    return returns(t)
+
+
+# -- I10
+define_view("x_fill_rates", """
+SELECT vendor_id, least(greatest(coalesce(TRY_CAST(round(avg(CASE WHEN return_flag = 'R' THEN 0.0 ELSE 1.0 END), 4) AS DOUBLE), 0.9),
+                                 0.5), 1.0) AS fill_rate
+FROM v_lines GROUP BY vendor_id""")
+define_view("x_pos", """
+SELECT purchase_order_id, printf('PO-%03d-%08d', dc_id, purchase_order_id) AS po_number, vendor_id, dc_id, item_id,
+       po_date, expected_receipt_date, actual_receipt_date, qty_ordered, qty_received, unit_cost, po_status
+FROM (
+  SELECT row_number() OVER (ORDER BY s.dc_id, s.item_id) AS purchase_order_id, s.vendor_id, s.dc_id, s.item_id,
+         CAST(s.last_restock_date - s.lead AS DATE) AS po_date,
+         CAST(s.last_restock_date - s.lead + s.lead AS DATE) AS expected_receipt_date,
+         CASE WHEN s.po_status = 'Open' THEN NULL
+              ELSE greatest(CAST(s.last_restock_date - s.lead + s.lead + CAST((s.dc_id + s.item_id) % 7 - 2 AS INT) AS DATE),
+                            CAST(s.last_restock_date - s.lead AS DATE)) END AS actual_receipt_date,
+         CAST(s.qty_on_order AS INT) AS qty_ordered,
+         CASE WHEN s.po_status = 'Received'
+              THEN least(greatest(CAST(round_even(s.fill_rate * CAST(s.qty_on_order AS INT), 0) AS INT), 0), CAST(s.qty_on_order AS INT))
+              WHEN s.po_status = 'Partial'
+              THEN least(greatest(CAST(round_even(s.fill_rate * CAST(s.qty_on_order AS INT) * CAST(0.675 AS DOUBLE), 0) AS INT), 1),
+                         greatest(CAST(s.qty_on_order AS INT), 1))
+              ELSE 0 END AS qty_received,
+         CAST(coalesce(s.vi_cost, s.last_cost, s.avg_cost, 0) AS DECIMAL(12,2)) AS unit_cost, s.po_status
+  FROM (SELECT st.*, greatest(coalesce(TRY_CAST(i.lead_time_days AS INT), 7), 1) AS lead,
+               coalesce(f.fill_rate, 0.9) AS fill_rate, vc.vi_cost, ps.po_status
+        FROM v_stock st LEFT JOIN v_items i ON st.item_id = i.item_id
+        LEFT JOIN x_fill_rates f ON st.vendor_id = f.vendor_id
+        LEFT JOIN x_vendor_item_cost vc ON st.vendor_id = vc.vendor_id AND st.item_id = vc.item_id
+        LEFT JOIN v_po_status ps ON st.dc_id = ps.dc_id AND st.item_id = ps.item_id
+        WHERE coalesce(TRY_CAST(st.qty_on_order AS INT), 0) > 0) s) p""")
+
+
+def purchase_orders(t):
+    from depot.registry.joins import vendor_item_cost
+    return INV.build_purchase_orders(t.v_stock, t.v_items, t.v_po_status, vendor_item_cost(t),
+                                     INV.vendor_fill_rates(t.v_lines_noid))
+
+
+@register("build_purchase_orders", "SELECT * FROM x_pos")
+def q_build_purchase_orders(t):
+    return purchase_orders(t)
+
+
+@register("po_dates", "SELECT purchase_order_id, po_date, expected_receipt_date, actual_receipt_date FROM x_pos")
+def q_po_dates(t):
+    return purchase_orders(t).select("purchase_order_id", "po_date", "expected_receipt_date", "actual_receipt_date")
+
+
+@register("po_received_qty", "SELECT purchase_order_id, po_status, qty_ordered, qty_received FROM x_pos")
+def q_po_received_qty(t):
+    return purchase_orders(t).select("purchase_order_id", "po_status", "qty_ordered", "qty_received")
+
+
+# -- I22, I23
+define_view("x_scorecard", """
+SELECT v.vendor_id, CAST(round(pm.ot, 4) AS DECIMAL(6,4)) AS on_time_delivery_rate,
+       CAST(round(pm.late, 2) AS DECIMAL(8,2)) AS avg_days_late,
+       CAST(round(coalesce(rm.bad, 0) / lm.n, 4) AS DECIMAL(6,4)) AS defect_rate,
+       CAST(round(pm.fill, 4) AS DECIMAL(6,4)) AS fill_rate
+FROM v_vendors v
+LEFT JOIN (SELECT vendor_id,
+                  avg(CASE WHEN actual_receipt_date IS NOT NULL
+                           THEN CASE WHEN actual_receipt_date <= expected_receipt_date THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END) AS ot,
+                  avg(CASE WHEN actual_receipt_date IS NOT NULL THEN greatest(0, actual_receipt_date - expected_receipt_date) END) AS late,
+                  sum(qty_received) / sum(qty_ordered) AS fill
+           FROM x_pos WHERE po_status <> 'Cancelled' GROUP BY vendor_id) pm ON v.vendor_id = pm.vendor_id
+LEFT JOIN (SELECT l.vendor_id, count(*) AS bad FROM x_returns r JOIN v_lines l ON r.order_line_id = l.order_line_id
+           WHERE r.condition_code IN ('Damaged', 'Defective') GROUP BY l.vendor_id) rm ON v.vendor_id = rm.vendor_id
+LEFT JOIN (SELECT vendor_id, count(*) AS n FROM v_lines GROUP BY vendor_id) lm ON v.vendor_id = lm.vendor_id""")
+define_view("x_vendor_items", """
+SELECT row_number() OVER (ORDER BY vendor_id, item_id) AS vendor_item_id, vendor_id, item_id, vendor_item_number, vendor_rank,
+       greatest(1, CAST(trunc(24 * vendor_rank / 3.0) AS INT)) AS min_order_qty,
+       greatest(1, CAST(trunc(CASE WHEN cube < 0.1 THEN 2 WHEN cube < 0.5 THEN 5 ELSE 10 END * vendor_rank / 3.0) AS INT)) AS order_multiple
+FROM (SELECT p.vendor_id, p.item_id, upper(substr(v.vendor_name, 1, 3)) || '-' || printf('%06d', p.item_id) AS vendor_item_number,
+             greatest(1, least(5, CAST(round_even((1 - (coalesce(CAST(s.fill_rate AS DOUBLE), 0.9) * 0.5
+                                                        + coalesce(CAST(s.on_time_delivery_rate AS DOUBLE), 0.9) * 0.5)) * 5, 0) AS INT)))
+                 AS vendor_rank,
+             coalesce(CAST(i.cube_ft AS DOUBLE), 0.1) AS cube
+      FROM (SELECT DISTINCT vendor_id, item_id FROM v_lines) p
+      LEFT JOIN x_scorecard s ON p.vendor_id = s.vendor_id LEFT JOIN v_vendors v ON p.vendor_id = v.vendor_id
+      LEFT JOIN v_items i ON p.item_id = i.item_id) x""")
+
+
+def scorecard(t):
+    return VEN.vendor_scorecard(t.v_vendors, purchase_orders(t), returns(t), t.v_lines)
+
+
+@register("vendor_scorecard", "SELECT * FROM x_scorecard")
+def q_vendor_scorecard(t):
+    return scorecard(t)
+
+
+def vendor_items(t):
+    return VEN.build_vendor_items(t.v_lines_noid, t.v_vendors, t.v_items, scorecard(t))
+
+
+@register("build_vendor_items", "SELECT * FROM x_vendor_items")
+def q_build_vendor_items(t):
+    return vendor_items(t)
+
+
+@register("vendor_rank_moq", "SELECT vendor_id, item_id, vendor_rank, min_order_qty, order_multiple FROM x_vendor_items")
+def q_vendor_rank_moq(t):
+    return vendor_items(t).select("vendor_id", "item_id", "vendor_rank", "min_order_qty", "order_multiple")
+
+
+# -- I8
+define_view("x_backorders", f"""
+SELECT row_number() OVER (ORDER BY order_line_id) AS backorder_id, order_id, order_line_id, item_id, CAST(qb AS INT) AS qty_backordered,
+       CAST(round(0.08 + qb / quantity_ordered * 0.6, 4) AS DECIMAL(6,4)) AS backorder_probability, order_date AS date_created,
+       CASE WHEN order_date + lead <= DATE '{AS_OF}' THEN CAST(order_date + lead AS DATE) END AS date_filled,
+       CASE WHEN order_date + lead <= DATE '{AS_OF}' THEN lead END AS days_backordered,
+       (['Insufficient Inventory', 'Vendor Delay', 'Damaged Inbound Shipment', 'Unexpected Demand Spike', 'Quality Hold'])
+           [CAST(floor({_u(C.SEED, 'bo_reason', 'order_line_id')} * 5) AS INT) + 1] AS reason_code,
+       order_date + lead <= DATE '{AS_OF}' AS is_filled_flag
+FROM (SELECT l.order_line_id, l.order_id, l.item_id, l.quantity_ordered, o.order_date, CAST(coalesce(i.lead_time_days, 7) AS INT) AS lead,
+             greatest(0, l.quantity_ordered - coalesce(a.avail, 0)) AS qb
+      FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id
+      LEFT JOIN (SELECT item_id, CAST(trunc(avg(greatest(0, qty_on_hand - qty_on_order))) AS BIGINT) AS avail
+                 FROM v_stock GROUP BY item_id) a ON l.item_id = a.item_id
+      LEFT JOIN v_items i ON l.item_id = i.item_id) x
+WHERE qb > 0""")
+
+
+@register("build_backorders", "SELECT * FROM x_backorders")
+def q_build_backorders(t):
+    return INV.build_backorders(t.v_lines, t.v_orders, t.v_stock, t.v_items, C.AS_OF, seed=C.SEED)
+
+
+# -- I17
+FORECAST_ABC = dict(a_min=300_000, b_min=150_000)
+FORECAST_XYZ = dict(x_min=11, y_min=6)
+_M0 = C.AS_OF.replace(day=1)
+_M_START = _dt.date(_M0.year - 1, _M0.month, 1)
+_SEASON = """CASE WHEN contains(lower(category), 'office') THEN CASE WHEN mo IN (8, 9) THEN 1.175 ELSE 1.0 END
+     WHEN contains(lower(category), 'clean') THEN CASE WHEN mo IN (3, 4, 5) THEN 1.2 ELSE 0.975 END
+     WHEN contains(lower(category), 'break') THEN CASE WHEN mo IN (11, 12) THEN 1.25 ELSE 0.975 END ELSE 1.0 END"""
+
+
+@register("build_item_forecast", f"""
+SELECT row_number() OVER (ORDER BY item_id, forecast_month) AS forecast_id, item_id, forecast_month,
+       greatest(1, CAST(trunc(CAST(velocity AS DOUBLE) * CAST(season AS DOUBLE)) AS INT)) AS forecast_quantity,
+       abc_class, xyz_class, CAST(season AS DECIMAL(8,4)) AS seasonality_index, lifecycle_stage,
+       CAST(round(mape, 4) AS DECIMAL(10,4)) AS forecast_error_mape, CAST(round(round(mape, 4) * 14.0, 4) AS DECIMAL(10,4)) AS forecast_error_mad
+FROM (
+  SELECT *, {_SEASON} AS season,
+         CASE abc_class WHEN 'A' THEN 0.05 WHEN 'B' THEN 0.10 ELSE 0.18 END
+           * CASE xyz_class WHEN 'X' THEN 0.8 WHEN 'Y' THEN 1.2 ELSE 1.8 END * 1.05 AS mape
+  FROM (
+    SELECT i.item_id, i.category, v.velocity,
+           CASE WHEN v.rev > {FORECAST_ABC['a_min']} THEN 'A' WHEN v.rev > {FORECAST_ABC['b_min']} THEN 'B' ELSE 'C' END AS abc_class,
+           CASE WHEN v.velocity > {FORECAST_XYZ['x_min']} THEN 'X' WHEN v.velocity > {FORECAST_XYZ['y_min']} THEN 'Y' ELSE 'Z' END AS xyz_class,
+           {_LIFE.format('i.item_id')} AS lifecycle_stage, CAST(m AS DATE) AS forecast_month, month(m) AS mo
+    FROM v_items i
+    JOIN (SELECT i.item_id, greatest(1, CAST(trunc(coalesce(s.u, 0) / 12) AS INT)) AS velocity, coalesce(s.rev, 0) AS rev
+          FROM v_items i LEFT JOIN (SELECT l.item_id, sum(l.quantity_ordered) AS u, sum(l.extended_price) AS rev
+                                    FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id
+                                    WHERE o.order_date >= DATE '{_M_START}' AND o.order_date < DATE '{_M0}'
+                                    GROUP BY l.item_id) s ON i.item_id = s.item_id) v ON i.item_id = v.item_id
+    CROSS JOIN (SELECT unnest(generate_series(DATE '{_M0}', DATE '{_M0}' + INTERVAL 11 MONTH, INTERVAL 1 MONTH)) AS m) ms) a) b""")
+def q_build_item_forecast(t):
+    return CAT.build_item_forecast(t.v_lines_noid, t.v_orders, t.v_items, C.AS_OF, 12, FORECAST_ABC, FORECAST_XYZ)
+
+
+# -- I18, B29, B30
+_SNAP_END = _M0
+_SNAP_START = _dt.date(_M0.year - 1, _M0.month, 1) if _M0.month == 12 else _dt.date(_M0.year - 1, _M0.month + 1, 1)
+define_view("x_snapshot", f"""
+SELECT row_number() OVER (ORDER BY dc_id, item_id, snapshot_month) AS snapshot_id, dc_id, item_id, snapshot_month,
+       quantity_on_hand, quantity_allocated,
+       greatest(0, quantity_on_hand - quantity_allocated) AS quantity_available,
+       CAST(trunc(greatest(0, quantity_on_hand - quantity_allocated) / greatest(1.0, vel / 30.0)) AS INT) AS days_on_hand,
+       CAST(trunc(CAST(quantity_on_hand AS DOUBLE) * CASE life WHEN 'End of Life' THEN CAST(0.20 AS DOUBLE) WHEN 'Mature' THEN CAST(0.125 AS DOUBLE)
+                                                     ELSE CAST(0.05 AS DOUBLE) END) AS INT) AS excess_quantity,
+       CAST(trunc(CAST(quantity_on_hand AS DOUBLE) * CASE life WHEN 'End of Life' THEN CAST(0.35 AS DOUBLE) WHEN 'Mature' THEN CAST(0.10 AS DOUBLE)
+                                                     ELSE CAST(0.025 AS DOUBLE) END) AS INT) AS obsolete_quantity,
+       a0 AS aging_0_30, a1 AS aging_31_60, a2 AS aging_61_90, greatest(0, quantity_on_hand - (a0 + a1 + a2)) AS aging_90_plus,
+       CAST(CASE coalesce(abc_class, 'C') WHEN 'A' THEN 0.97 WHEN 'B' THEN 0.93 ELSE 0.86 END AS DECIMAL(4,2)) AS cycle_count_accuracy
+FROM (
+  SELECT b.*, CAST(trunc(CAST(b.quantity_on_hand AS DOUBLE) * 0.15) AS BIGINT) AS quantity_allocated,
+         CAST(trunc(CAST(b.quantity_on_hand AS DOUBLE) * CAST(0.55 AS DOUBLE)) AS BIGINT) AS a0,
+         CAST(trunc(CAST(b.quantity_on_hand AS DOUBLE) * CAST(0.175 AS DOUBLE)) AS BIGINT) AS a1,
+         CAST(trunc(CAST(b.quantity_on_hand AS DOUBLE) * CAST(0.10 AS DOUBLE)) AS BIGINT) AS a2,
+         {_VEL} AS vel, {_LIFE.format('b.item_id')} AS life, ab.abc_class
+  FROM (SELECT dc_id, item_id, month AS snapshot_month, CAST(greatest(0, bal) AS BIGINT) AS quantity_on_hand
+        FROM (SELECT *, sum(delta) OVER (PARTITION BY dc_id, item_id ORDER BY month, g
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bal
+              FROM (SELECT dc_id, item_id, CAST(unnest(generate_series(DATE '{_SNAP_START}', DATE '{_SNAP_END}', INTERVAL 1 MONTH)) AS DATE) AS month,
+                           CAST(0 AS BIGINT) AS delta, true AS g
+                    FROM (SELECT DISTINCT dc_id, item_id FROM v_movements) p
+                    UNION ALL
+                    SELECT dc_id, item_id, month, qty_in - qty_out AS delta, false AS g FROM v_movements
+                    WHERE month <= DATE '{_SNAP_END}') u) w
+        WHERE g) b
+  LEFT JOIN v_items i ON b.item_id = i.item_id
+  LEFT JOIN (SELECT item_id, CASE WHEN revenue > 1800000 THEN 'A' WHEN revenue > 1400000 THEN 'B' ELSE 'C' END AS abc_class
+             FROM (SELECT item_id, CAST(sum(extended_price) AS DECIMAL(18,2)) AS revenue FROM v_lines GROUP BY item_id) r) ab
+    ON b.item_id = ab.item_id) s""")
+
+
+def snapshot(t):
+    from depot.registry.rules import abc_xyz
+    return INV.build_inventory_snapshot(t.v_movements, t.v_items, abc_xyz(t), C.AS_OF)
+
+
+@register("build_inventory_snapshot", "SELECT * FROM x_snapshot")
+def q_build_inventory_snapshot(t):
+    return snapshot(t)
+
+
+@register("aging_split", """
+SELECT snapshot_id, quantity_on_hand, aging_0_30, aging_31_60, aging_61_90, aging_90_plus FROM x_snapshot""")
+def q_aging_split(t):
+    return snapshot(t).select("snapshot_id", "quantity_on_hand", "aging_0_30", "aging_31_60", "aging_61_90",
+                              "aging_90_plus")
+
+
+@register("stock_health", """
+SELECT snapshot_id, quantity_available, days_on_hand, excess_quantity, obsolete_quantity FROM x_snapshot""")
+def q_stock_health(t):
+    return snapshot(t).select("snapshot_id", "quantity_available", "days_on_hand", "excess_quantity", "obsolete_quantity")
+
+
+# -- I19, B28
+@register("build_inventory", "SELECT * FROM v_stock")
+def q_build_inventory(t):
+    return t.v_stock
+
+
+@register("cost_triplet", "SELECT dc_id, item_id, std_cost, last_cost, avg_cost FROM v_stock")
+def q_cost_triplet(t):
+    return t.v_stock.select("dc_id", "item_id", "std_cost", "last_cost", "avg_cost")
+
+
+# -- I20
+_RANK = ("greatest(1, CAST(trunc(100 - vel + coalesce(nullif(CAST(i.cube_ft AS DOUBLE), 0.0), 0.1) * 10 "
+         "+ coalesce(nullif(CAST(i.weight_lb AS DOUBLE), 0.0), 1.0) * 0.5) AS INT))")
+
+
+@register("build_slotting", f"""
+SELECT row_number() OVER (ORDER BY dc_id, item_id) AS slotting_id, dc_id, item_id,
+       CASE WHEN velocity_class = 'A' OR (velocity_class = 'B' AND u < 0.6)
+            THEN printf('A%02d-B%02d-L%02d', (p // 180) % 40 + 1, (p // 6) % 30 + 1, p % 6 + 1) END AS pick_location,
+       printf('A%02d-B%02d-L%02d', (p // 300) % 40 + 1, (p // 10) % 30 + 1, p % 10 + 1) AS replenishment_location,
+       slotting_rank, velocity_class
+FROM (SELECT *, row_number() OVER (PARTITION BY dc_id ORDER BY slotting_rank, item_id) - 1 AS p
+      FROM (SELECT d.dc_id, i.item_id, {_RANK} AS slotting_rank,
+                   CASE WHEN vel > 80 THEN 'A' WHEN vel > 30 THEN 'B' ELSE 'C' END AS velocity_class,
+                   {_u(C.SEED, 'pick', 'd.dc_id', 'i.item_id')} AS u
+            FROM (SELECT *, {_VEL} AS vel FROM v_items i) i CROSS JOIN v_dcs d) x) y""")
+def q_build_slotting(t):
+    return INV.build_slotting(t.v_dcs, t.v_items, seed=C.SEED)
+
+
+# -- I21
+_REASON_CASE = ("CASE a.adjustment_type " + " ".join(
+    f"WHEN '{k}' THEN [" + ", ".join(f"'{r}'" for r in v) + "]" for k, v in ADJUSTMENT_REASONS.items()) + " END")
+
+
+@register("adjustment_report", f"""
+SELECT dc_id, adjustment_type, reason_code, reason_valid, count(*) AS n_adjustments, CAST(sum(quantity) AS BIGINT) AS net_quantity,
+       max(adjustment_timestamp) AS last_adjustment,
+       CAST(round(sum(quantity) / sum(coalesce(vel, 1)), 4) AS DECIMAL(12,4)) AS share_of_velocity
+FROM (SELECT a.*, {_VEL} AS vel, coalesce(list_contains({_REASON_CASE}, a.reason_code), false) AS reason_valid
+      FROM v_adjustments a LEFT JOIN v_items i ON a.item_id = i.item_id) x
+GROUP BY dc_id, adjustment_type, reason_code, reason_valid""")
+def q_adjustment_report(t):
+    return INV.adjustment_report(t.v_adjustments, t.v_items, ADJUSTMENT_REASONS)
+
+
+# -- I24, I25, B32
+@register("build_driver_costs", """
+SELECT row_number() OVER (ORDER BY carrier_id, cost_type) AS driver_cost_id, carrier_id, company_driver, cost_type, rate_amount
+FROM x_company_rates""")
+def q_build_driver_costs(t):
+    return CO.build_driver_costs(t.v_rates)
+
+
+_BASE_HOURS = "CASE department " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _R.DEPARTMENT_BASE_HOURS.items()) + " END"
+_RATE = "CASE department " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _R.DEPARTMENT_RATE.items()) + " END"
+_ROLE = "CASE department " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _R.DEPARTMENT_ROLE.items()) + " END"
+define_view("x_labor", f"""
+SELECT row_number() OVER (ORDER BY dc_id, department, week_start_date) AS labor_id, dc_id, week_start_date, department, role,
+       labor_type, CAST(hours AS DECIMAL(10,2)) AS hours_worked, CAST(rate AS DECIMAL(8,2)) AS cost_per_hour,
+       CAST(round(CAST(hours AS DECIMAL(10,2)) * CAST(rate AS DECIMAL(8,2)), 2) AS DECIMAL(14,2)) AS total_cost,
+       greatest(1, CAST(floor(hours / 40.0) AS INT)) AS headcount
+FROM (
+  SELECT *, round(greatest(CAST({_BASE_HOURS} AS DOUBLE) * greatest(CAST(capacity_units AS DOUBLE) / 50000.0, 0.2) * load, 1.0), 2) AS hours,
+         round(CASE WHEN labor_type = 'Overtime' THEN CAST({_RATE} AS DOUBLE) * 1.5 ELSE CAST({_RATE} AS DOUBLE) END, 2) AS rate,
+         {_ROLE} AS role
+  FROM (
+    SELECT g.*, coalesce(l.load, 1.0) AS load, CASE WHEN coalesce(l.load, 1.0) > 1.25 THEN 'Overtime' ELSE 'Regular' END AS labor_type
+    FROM (SELECT w.week_start_date, d.dc_id, d.capacity_units, dept.department
+          FROM (SELECT CAST(unnest(generate_series(date_trunc('week', min(order_date)), max(order_date), INTERVAL 7 DAY)) AS DATE)
+                       AS week_start_date FROM v_orders) w
+          CROSS JOIN v_dcs d
+          CROSS JOIN (VALUES {", ".join(f"('{k}')" for k in _R.DEPARTMENT_BASE_HOURS)}) dept(department)) g
+    LEFT JOIN (SELECT c.dc_id, c.week_start_date, round(c.n / m.mean, 4) AS load
+               FROM (SELECT dc_id, CAST(date_trunc('week', order_date) AS DATE) AS week_start_date, count(*) AS n
+                     FROM v_orders GROUP BY ALL) c
+               JOIN (SELECT dc_id, avg(n) AS mean FROM (SELECT dc_id, date_trunc('week', order_date) AS wk, count(*) AS n
+                                                        FROM v_orders GROUP BY ALL) z GROUP BY dc_id) m ON c.dc_id = m.dc_id) l
+      ON g.dc_id = l.dc_id AND g.week_start_date = l.week_start_date) a) b""")
+
+
+def labor(t):
+    from depot.registry.joins import week_scaffold
+    return CO.build_labor_costs(t.v_dcs, week_scaffold(t), t.v_orders)
+
+
+@register("build_labor_costs", "SELECT * FROM x_labor")
+def q_build_labor_costs(t):
+    return labor(t)
+
+
+@register("labor_hours_cost", "SELECT labor_id, hours_worked, cost_per_hour, total_cost, headcount FROM x_labor")
+def q_labor_hours_cost(t):
+    return labor(t).select("labor_id", "hours_worked", "cost_per_hour", "total_cost", "headcount")
+
+
+# -- I26, I28
+@register("build_customer_contacts", f"""
+SELECT row_number() OVER (ORDER BY customer_id, seq) AS contact_id, customer_id, rep_id, role, last_contact_date FROM (
+  SELECT customer_id, 0 AS seq, primary_rep_id AS rep_id,
+         CASE WHEN segment IN ('Government', 'Education') THEN 'CS Rep' WHEN is_sub THEN 'Inside Sales' ELSE 'Account Manager' END AS role,
+         CAST(DATE '{AS_OF}' - CAST(customer_id % 181 AS INT) AS DATE) AS last_contact_date
+  FROM x_contact_reps
+  UNION ALL
+  SELECT customer_id, 1, secondary_rep_id, 'Inside Sales', CAST(DATE '{AS_OF}' - CAST(customer_id * 7 % 181 AS INT) AS DATE)
+  FROM x_contact_reps WHERE segment IN ('Corporate', 'Government')) x""")
+def q_build_customer_contacts(t):
+    return CU.build_customer_contacts(t.v_customers, t.v_reps, C.AS_OF, C.SEED)
+
+
+@register("build_customers", """
+SELECT c.customer_id, c.customer_name, printf('M%06d', c.master_id) AS master_account_number,
+       CASE WHEN c.is_sub THEN printf('S%06d', c.customer_id) END AS sub_account_number, c.segment, c.region,
+       CAST(coalesce(m.credit_limit, c.credit_limit) AS DECIMAL(12,2)) AS credit_limit,
+       CAST(c.discount_percentage AS DECIMAL(5,2)) AS discount_percentage
+FROM v_customers c LEFT JOIN (SELECT customer_id, credit_limit FROM v_customers WHERE NOT is_sub) m ON c.master_id = m.customer_id""")
+def q_build_customers(t):
+    return CU.build_customers(t.v_customers)
+
+
+# -- I27, I29
+@register("build_items", """
+SELECT item_id, item_sku, item_description, category, subcategory, lead_time_days, length_in, width_in, height_in,
+       CAST(weight_lb AS DECIMAL(12,4)) AS weight_lb, CAST(round(cube, 4) AS DECIMAL(12,4)) AS cube_ft,
+       CAST(round(CASE WHEN cube IS NULL OR cube = 0 THEN NULL ELSE CAST(weight_lb AS DOUBLE) / cube END, 4) AS DECIMAL(18,4)) AS density_lb_per_cuft,
+       CAST(round(CAST(length_in AS DOUBLE) * width_in * height_in / 139.0, 4) AS DECIMAL(18,4)) AS dim_weight_lb,
+       coalesce(CASE subcategory """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.NMFC_OVERRIDES.items()) + """ END,
+                CASE category """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.NMFC_OVERRIDES.items()) + """ END,
+                CASE WHEN d IS NULL THEN '150' """ + " ".join(f"WHEN d < {b} THEN '{c}'" for b, c in C.NMFC_DENSITY_STEPS)
+         + """ ELSE '70' END) AS nmfc_class,
+       CAST(unit_price AS DECIMAL(12,2)) AS unit_price, CAST(unit_cost AS DECIMAL(12,2)) AS unit_cost
+FROM (SELECT *, CASE WHEN cube IS NULL OR cube = 0 THEN NULL ELSE CAST(weight_lb AS DOUBLE) / cube END AS d
+      FROM (SELECT *, CAST(round(CASE WHEN cube_ft IS NOT NULL THEN cube_ft
+                                     WHEN length_in IS NOT NULL AND width_in IS NOT NULL AND height_in IS NOT NULL
+                                     THEN CAST(length_in AS DOUBLE) * width_in * height_in / 1728.0 END, 4) AS DECIMAL(12,4)) AS cube
+            FROM v_items) a) b""")
+def q_build_items(t):
+    return CAT.build_items(t.v_items)
+
+
+@register("build_dcs", """
+SELECT dc_id, dc_name, city, state, zip, region, capacity_units,
+       CASE """ + " ".join("WHEN state IN (" + ", ".join(f"'{s}'" for s in sts) + f") THEN '{z}'"
+                           for z, sts in C.TIME_ZONES.items()) + f""" ELSE '{C.DEFAULT_TIME_ZONE}' END AS time_zone
+FROM v_dcs""")
+def q_build_dcs(t):
+    return CAT.build_dcs(t.v_dcs)

@@ -231,7 +231,7 @@ def _more_views(cls):
                      "order_id")
                .groupBy("dc_id", "item_id", "month").agg(F.sum("quantity_ordered").cast("long").alias("qty_out")))
         prev = out.select("dc_id", "item_id", F.add_months("month", 1).alias("month"),
-                          F.ceil(F.col("qty_out") * 1.1).cast("long").alias("qty_in"))
+                          F.ceil(F.col("qty_out") * F.lit(1.1).cast("decimal(3,1)")).cast("long").alias("qty_in"))
         return (out.join(prev, ["dc_id", "item_id", "month"], "full")
                 .select("dc_id", "item_id", "month", F.coalesce("qty_in", F.lit(0)).cast("long").alias("qty_in"),
                         F.coalesce("qty_out", F.lit(0)).cast("long").alias("qty_out")))
