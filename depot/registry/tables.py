@@ -152,7 +152,7 @@ def q_shipment_cost_rollup(t):
     return FUL.shipment_costs(t.v_shipments, shipment_lines(t), t.v_items)
 
 
-@register("build_shipments", """
+define_view("x_built_shipments", """
 SELECT s.*, tt.total_weight_lb, tt.total_cube_ft, c.estimated_cost, c.actual_cost
 FROM v_shipments s
 JOIN (SELECT s.shipment_id, CAST(round(coalesce(w, 0), 3) AS DECIMAL(18,3)) AS total_weight_lb,
@@ -161,11 +161,14 @@ JOIN (SELECT s.shipment_id, CAST(round(coalesce(w, 0), 3) AS DECIMAL(18,3)) AS t
                                     FROM x_shipment_lines GROUP BY shipment_id) t ON s.shipment_id = t.shipment_id) tt
   ON s.shipment_id = tt.shipment_id
 JOIN x_ship_cost c ON s.shipment_id = c.shipment_id""")
+
+
+@register("build_shipments", "SELECT * FROM x_built_shipments")
 def q_build_shipments(t):
     return FUL.build_shipments(t.v_shipments, shipment_lines(t), t.v_items)
 
 
-@register("build_tracking_events", """
+define_view("x_tracking", """
 SELECT (rank_s - 1) * 4 + k + 1 AS tracking_event_id, shipment_id,
        CAST(ship_date AS TIMESTAMP) + to_hours(h) AS event_timestamp, event_type,
        city AS location_city, state AS location_state, zip AS location_zip, location_type
@@ -175,6 +178,9 @@ FROM (SELECT s.shipment_id, s.ship_date, d.city, d.state, d.zip,
 CROSS JOIN (VALUES (0, 0, 'departed_dc', 'DC'), (1, 6, 'arrived_hub', 'carrier_facility'),
                    (2, 12, 'out_for_delivery', 'carrier_facility'), (3, 18, 'delivered', 'carrier_facility'))
            AS m(k, h, event_type, location_type)""")
+
+
+@register("build_tracking_events", "SELECT * FROM x_tracking")
 def q_build_tracking_events(t):
     return FUL.build_tracking_events(t.v_shipments, t.v_dcs)
 
