@@ -39,7 +39,7 @@ def build_order_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
 def build_shipment_lines(shipments: DataFrame, lines: DataFrame, items: DataFrame,
                          carriers: DataFrame, orders: DataFrame,
                          upcharge_weight: float = C.UPCHARGE_WEIGHT_LB,
-                         upcharge: float = C.UPCHARGE_AMOUNT) -> DataFrame:
+                         upcharge: float = C.UPCHARGE_AMOUNT, start_id=1) -> DataFrame:
     """One shipment line per order line of each shipment."""
     base = (lines.select("order_line_id", "order_id", "item_id", "quantity_ordered")
             .join(shipments.select("shipment_id", "order_id", "dc_id", "carrier_id", "shipment_type"),
@@ -54,7 +54,7 @@ def build_shipment_lines(shipments: DataFrame, lines: DataFrame, items: DataFram
         F.min("order_line_id").alias("_first_line"))
     # one global rank serves as the line id and, minus the order's first
     # rank, as the carton sequence within the order
-    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id")
+    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id", start=start_id)
     first = keyed.groupBy("order_id").agg(F.min("shipment_line_id").alias("_first_rank"))
     out = (keyed.join(first, "order_id")
            .withColumn("_carton_seq", F.col("shipment_line_id") - F.col("_first_rank") + 1)

@@ -10,6 +10,7 @@ from depot.operators.sets import concat_chunks
 from depot.plans import costs as CO
 from depot.plans import fulfillment as FUL
 from depot.registry import register
+from depot.sources.adapter_sql import define_view
 
 AS_OF = C.AS_OF.isoformat()
 
@@ -27,13 +28,16 @@ def q_concat_chunks(t):
 
 
 # ---- H1
-@register("tracking_milestones", """
+define_view("x_milestones", """
 SELECT s.shipment_id, m.k AS milestone_seq, CAST(s.ship_date AS TIMESTAMP) + to_hours(m.h) AS event_timestamp, m.event_type,
        d.city AS location_city, d.state AS location_state, d.zip AS location_zip, m.location_type
 FROM v_shipments s LEFT JOIN v_dcs d ON s.dc_id = d.dc_id
 CROSS JOIN (VALUES (0, 0, 'departed_dc', 'DC'), (1, 6, 'arrived_hub', 'carrier_facility'),
                    (2, 12, 'out_for_delivery', 'carrier_facility'), (3, 18, 'delivered', 'carrier_facility'))
            AS m(k, h, event_type, location_type)""")
+
+
+@register("tracking_milestones", "SELECT * FROM x_milestones")
 def q_tracking_milestones(t):
     return FUL.tracking_milestones(t.v_shipments, t.v_dcs)
 

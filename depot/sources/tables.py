@@ -29,6 +29,21 @@ LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+def shipments_from_orders(o: DataFrame) -> DataFrame:
+    """One shipment per order; carrier, day offsets and type follow from the
+    order key (the fixture rule for the given shipments)."""
+    oid = F.col("order_id")
+    return o.select(
+        oid.alias("shipment_id"), oid, "dc_id",
+        (oid % 10 + 1).cast("int").alias("carrier_id"),
+        F.date_add("order_date", (oid % 4).cast("int")).alias("ship_date"),
+        F.date_add("order_date", (oid % 4 + oid % 7 + 1).cast("int")).alias("promised_date"),
+        F.date_add("order_date", (oid % 4 + oid % 7 + 1 + oid % 5 - 2).cast("int")).alias("delivery_date"),
+        F.expr("CASE WHEN order_id % 20 < 5 THEN 'local' WHEN order_id % 20 < 7 THEN 'wrap_and_label' "
+               "WHEN order_id % 20 < 9 THEN 'drop_ship' WHEN order_id % 20 < 16 THEN 'standard' "
+               "WHEN order_id % 20 < 18 THEN 'expedited' ELSE 'freight' END").alias("shipment_type"))
+
+
 class Tables:
     """Lazy access to the given tables and the business views over them."""
 
@@ -152,17 +167,7 @@ class Tables:
 
     @cached_property
     def v_shipments(self) -> DataFrame:
-        o = self.v_orders
-        oid = F.col("order_id")
-        return o.select(
-            oid.alias("shipment_id"), oid, "dc_id",
-            (oid % 10 + 1).cast("int").alias("carrier_id"),
-            F.date_add("order_date", (oid % 4).cast("int")).alias("ship_date"),
-            F.date_add("order_date", (oid % 4 + oid % 7 + 1).cast("int")).alias("promised_date"),
-            F.date_add("order_date", (oid % 4 + oid % 7 + 1 + oid % 5 - 2).cast("int")).alias("delivery_date"),
-            F.expr("CASE WHEN order_id % 20 < 5 THEN 'local' WHEN order_id % 20 < 7 THEN 'wrap_and_label' "
-                   "WHEN order_id % 20 < 9 THEN 'drop_ship' WHEN order_id % 20 < 16 THEN 'standard' "
-                   "WHEN order_id % 20 < 18 THEN 'expedited' ELSE 'freight' END").alias("shipment_type"))
+        return shipments_from_orders(self.v_orders)
 
     @cached_property
     def v_promotions(self) -> DataFrame:
