@@ -12,8 +12,9 @@ one task.  Here the order is cut into ranges first:
 4. ``row_number()`` inside each range + offset = global rank.
 
 Any monotone range function gives the same ids, so the sample only affects
-balance, never results.  The boundaries use a two-column prefix of the
-sort key, so one hot leading key value is split over several ranges.  Ids are a pure function of
+balance, never results.  Bounds use the leading sort column, or the first
+two when the sample shows a hot leading value, which is then split over
+several ranges.  Ids are a pure function of
 the data: a lost executor recomputes the same values.
 """
 
@@ -48,30 +49,46 @@ def _range_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
         _range_expr(key, bounds, lo, mid))
 
 
+def _sample_bounds(df: DataFrame, fields: list[Column], n_ranges: int, oversample: int, seed: int) -> list:
+    """Sorted bounded sample of the key fields: rows are dealt into
+    ``n_ranges x oversample`` random groups and each group keeps one random
+    member (``min_by`` on a random tag, combined map-side); one job."""
+    groups = n_ranges * oversample
+    keys = [f"k{i}" for i in range(len(fields))]
+    tagged = df.select(*fields, (F.rand(seed) * groups).cast("int").alias("_g"), F.rand(seed + 1).alias("_t"))
+    sample = (tagged.groupBy("_g").agg(F.min_by(F.struct(*keys), F.col("_t")).alias("_s")).select("_s.*"))
+    return [tuple(r) for r in sample.orderBy(*keys).collect()]     # at most n_ranges x oversample rows
+
+
 def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
                  oversample: int = 16, seed: int = 17) -> Column:
     """Column with the range number (0..n-1) of each row's sort key.
 
-    One aggregate job draws a bounded uniform sample: rows are dealt into
-    ``n_ranges x oversample`` random groups and each group keeps one random
-    member (``min_by`` on a random tag, combined map-side).  The sample is
-    sorted by Spark, so the boundaries follow Spark's own ordering."""
-    fields = [_monotone(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)]
+    Bounds come from the leading sort column alone when its values are
+    spread (so sampling reads only that column, and upstream work that only
+    feeds later columns is pruned away).  When one leading value fills a
+    whole range in the sample (a hot key), the sample is redrawn on the
+    first two columns so the hot value is split over several ranges.  The
+    sample is sorted by Spark, so bounds follow Spark's own ordering."""
+    all_fields = [_monotone(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)]
     if n_ranges <= 1:
         return F.lit(0)
-    groups = n_ranges * oversample
-    keys = [f"k{i}" for i in range(len(order_cols))]
-    tagged = df.select(*fields, (F.rand(seed) * groups).cast("int").alias("_g"),
-                       F.rand(seed + 1).alias("_t"))
-    sample = (tagged.groupBy("_g").agg(F.min_by(F.struct(*keys), F.col("_t")).alias("_s"))
-              .select("_s.*"))
-    rows = sample.orderBy(*keys).collect()          # at most n_ranges x oversample rows
+    fields = all_fields[:1]
+    rows = _sample_bounds(df, fields, n_ranges, oversample, seed)
     if len(rows) < 2:
         return F.lit(0)
     step = max(1, len(rows) // n_ranges)
+    if len(all_fields) > 1:
+        counts: dict = {}
+        for r in rows:
+            counts[r] = counts.get(r, 0) + 1
+        if max(counts.values()) > step:
+            fields = all_fields[:2]
+            rows = _sample_bounds(df, fields, n_ranges, oversample, seed)
+            step = max(1, len(rows) // n_ranges)
     picked = []
     for j in range(step, len(rows), step):
-        r = tuple(rows[j])
+        r = rows[j]
         if not picked or picked[-1] != r:
             picked.append(r)
     if not picked:
@@ -84,17 +101,16 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
-               n_ranges: int | None = None, bound_cols: int = 2) -> DataFrame:
+               n_ranges: int | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following the ascending order of
     ``order_cols`` (which should be a total order for repeatable ids).
 
-    Range bounds use the first ``bound_cols`` sort columns: a prefix of the
-    order is still monotone (so ids are exact), keeps the comparison tree
-    cheap, and still splits a hot leading value by the second column."""
+    Range bounds use a prefix of the sort columns: a prefix of the order is
+    still monotone, so the ids are exact whatever the bounds are."""
     spark = df.sparkSession
     if n_ranges is None:
         n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rng = range_bucket(df, list(order_cols)[:max(1, bound_cols)], n_ranges)
+    rng = range_bucket(df, list(order_cols), n_ranges)
     staged = df.withColumn("_rng", rng)
     counts = staged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))
     # n_ranges rows: a single-task window here is bounded by construction

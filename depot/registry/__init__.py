@@ -44,7 +44,7 @@ def _load() -> None:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
-    return {k: (lambda spark, sf_dir, _f=f: _f(Tables(spark, sf_dir))) for k, f in _QUERIES.items()}
+    return {k: (lambda spark, sf_dir, _f=f: _f(Tables.get(spark, sf_dir))) for k, f in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,12 +45,29 @@ def shipments_from_orders(o: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Lazy access to the given tables and the business views over them."""
+    """Lazy access to the given tables and the business views over them.
+
+    ``Tables.get(spark, dir)`` shares one instance per session and folder,
+    so each view is defined once (like a session catalog of temp views);
+    ``Tables.forget()`` drops them when the files under a folder change."""
+
+    _shared: dict[tuple[int, str], "Tables"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    @classmethod
+    def get(cls, spark: SparkSession, sf_dir: str) -> "Tables":
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
+    @classmethod
+    def forget(cls) -> None:
+        cls._shared.clear()
+
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

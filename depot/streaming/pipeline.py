@@ -52,27 +52,34 @@ def _ledger_start(spark: SparkSession, ledger: str, batch_id: int) -> tuple[int,
         return 1, 1, False
 
 
-def order_pipeline_batch(tables, sink: str) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body of J1/J2 over a stream of orders."""
+def order_pipeline_batch(tables, sink: str, static_lines: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body of J1/J2 over a stream of orders.
+    ``static_lines``: the order lines (with ids) as a written table, so each
+    batch joins against stored data instead of re-deriving it."""
     spark = tables.spark
     ledger = f"{sink}/_ledger"
+    all_lines = static_lines if static_lines is not None else tables.v_lines
+
+    def out(name: str, batch_id: int) -> str:
+        return f"{sink}/{name}/batch_id={batch_id}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         orders = batch.persist()
         try:
             s_start, l_start, _ = _ledger_start(spark, ledger, batch_id)
-            lines = tables.v_lines.join(orders.select("order_id"), "order_id", "left_semi")
+            lines = all_lines.join(orders.select("order_id"), "order_id", "left_semi")
             ships = shipments_from_orders(orders)
             sl = FUL.build_shipment_lines(ships, lines, tables.v_items, tables.v_carriers, orders,
                                           start_id=l_start)
+            sl.write.mode("overwrite").parquet(out("shipment_lines", batch_id))
+            sl = spark.read.schema(sl.schema).parquet(out("shipment_lines", batch_id))   # cut lineage
             heads = FUL.build_shipments(ships, sl, tables.v_items)
             costs = FUL.shipment_costs(ships, sl, tables.v_items)
             track = FUL.build_tracking_events(ships, tables.v_dcs, start_id=(s_start - 1) * 4 + 1)
-            for name, df in [("shipments", heads), ("shipment_lines", sl), ("tracking_events", track),
-                             ("shipment_costs", costs)]:
-                df.write.mode("overwrite").parquet(f"{sink}/{name}/batch_id={batch_id}")
-            n_ship = spark.read.parquet(f"{sink}/shipments/batch_id={batch_id}").count()
-            n_lines = spark.read.parquet(f"{sink}/shipment_lines/batch_id={batch_id}").count()
+            for name, df in [("shipments", heads), ("tracking_events", track), ("shipment_costs", costs)]:
+                df.write.mode("overwrite").parquet(out(name, batch_id))
+            n_ship = spark.read.parquet(out("shipments", batch_id)).count()
+            n_lines = sl.count()
             spark.createDataFrame([(batch_id, n_ship, n_lines)], LEDGER_SCHEMA) \
                 .write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
         finally:
@@ -81,7 +88,7 @@ def order_pipeline_batch(tables, sink: str) -> Callable[[DataFrame, int], None]:
     return run
 
 
-def stream_order_pipeline(tables, n_chunks: int = 4, max_files: int = 2) -> str:
+def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2) -> str:
     """Run J1 end to end over the orders of ``tables``: land them as chunks,
     stream them through the pipeline with ``availableNow``, and return the
     sink folder (one sub-folder per table)."""
@@ -91,8 +98,13 @@ def stream_order_pipeline(tables, n_chunks: int = 4, max_files: int = 2) -> str:
     ckpt = scratch_path(spark, "stream-ckpt")
     orders = tables.v_orders
     land_chunks(orders, landing, "order_id", n_chunks)
+    # the static side (order lines with their ids) is written once to the
+    # shared folder; every micro-batch reads it instead of re-deriving it
+    static = scratch_path(spark, "static-lines")
+    tables.v_lines.write.mode("overwrite").parquet(static)
+    lines = spark.read.schema(tables.v_lines.schema).parquet(static)
     stream = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", max_files).parquet(landing))
-    q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink))
+    q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink, lines))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return sink
