@@ -5,8 +5,9 @@ one task.  Here the order is cut into ranges first:
 
 1. a bounded sample of the key (sorted by Spark, so its order is Spark's
    order) gives ``n-1`` boundaries; they become literals in the plan;
-2. every row gets its range number from a binary-search CASE tree over the
-   boundaries (log2(n) comparisons, stays in codegen);
+2. every row gets its range number by binary search over the boundaries
+   (log2(n) comparisons: a CASE tree for small n, which stays in codegen,
+   an ``aggregate`` over one array literal for large n);
 3. per-range counts (a partial aggregate, ``n`` rows) give each range its
    offset through a tiny window; the offsets are broadcast (size bound: n);
 4. ``row_number()`` inside each range + offset = global rank.
@@ -41,7 +42,8 @@ def _monotone(df: DataFrame, name: str) -> Column:
 
 
 def _range_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of bounds <= key, found by binary search over bounds[lo:hi]."""
+    """Number of bounds <= key, found by binary search over bounds[lo:hi]
+    as a CASE tree (small bound lists: stays inside whole-stage codegen)."""
     if lo >= hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
@@ -49,11 +51,31 @@ def _range_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
         _range_expr(key, bounds, lo, mid))
 
 
+def _range_search(key: Column, bounds: list[Column]) -> Column:
+    """Number of bounds <= key by binary search over one array literal
+    (large bound lists: the plan carries a single array, and each row does
+    log2(n) comparisons inside ``aggregate``)."""
+    arr = F.array(*bounds)
+    n = len(bounds)
+    steps = max(1, n.bit_length())
+    init = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_right = (lo < hi) & (key >= F.element_at(arr, mid + 1))
+        return F.when(lo >= hi, acc).when(
+            go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(
+            F.struct(lo.alias("lo"), mid.alias("hi")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def _sample_bounds(df: DataFrame, fields: list[Column], n_ranges: int, oversample: int, seed: int) -> list:
     """Sorted bounded sample of the key fields: rows are dealt into
     ``n_ranges x oversample`` random groups and each group keeps one random
     member (``min_by`` on a random tag, combined map-side); one job."""
-    groups = n_ranges * oversample
+    groups = min(n_ranges * oversample, 1 << 19)
     keys = [f"k{i}" for i in range(len(fields))]
     tagged = df.select(*fields, (F.rand(seed) * groups).cast("int").alias("_g"), F.rand(seed + 1).alias("_t"))
     sample = (tagged.groupBy("_g").agg(F.min_by(F.struct(*keys), F.col("_t")).alias("_s")).select("_s.*"))
@@ -97,7 +119,9 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
     types = [f.dataType for f in df.select(*fields).schema.fields]
     bounds = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))])
               for r in picked]
-    return _range_expr(key, bounds, 0, len(bounds))
+    if len(bounds) <= 64:
+        return _range_expr(key, bounds, 0, len(bounds))
+    return _range_search(key, bounds)
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
@@ -109,7 +133,9 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int
     still monotone, so the ids are exact whatever the bounds are."""
     spark = df.sparkSession
     if n_ranges is None:
-        n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # one range per shuffle partition: a cluster sized for its data
+        # (thousands of partitions) gets thousands of ranges
+        n_ranges = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     rng = range_bucket(df, list(order_cols), n_ranges)
     staged = df.withColumn("_rng", rng)
     counts = staged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))

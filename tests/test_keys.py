@@ -45,3 +45,10 @@ def test_seq_within_groups(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "a long")
     assert dense_keys(df, ["a"], "rid").count() == 0
+
+
+def test_dense_keys_many_ranges_array_search(spark):
+    # more than 64 bounds: the array-literal binary search path
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("a"))
+    got = dense_keys(df, ["a"], "rid", n_ranges=300)
+    assert got.filter(F.col("rid") != F.col("a") + 1).count() == 0
