@@ -49,14 +49,13 @@ def q_rfm_aggregate(t):
 SELECT order_id, CAST(sum(quantity_ordered * CAST(unit_price AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS merchandise_total
 FROM x_order_lines GROUP BY order_id""")
 def q_invoice_merchandise(t):
-    from depot.registry.tables import order_lines
-    return FUL.invoice_merchandise(order_lines(t))
+    return FUL.invoice_merchandise(FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items))
 
 
 @register("invoice_freight", "SELECT order_id, freight_billed FROM x_invoices")
 def q_invoice_freight(t):
-    from depot.registry.tables import order_lines
-    return FUL.invoice_freight(order_lines(t), t.v_items)
+    return FUL.invoice_freight(FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items),
+                               t.v_items)
 
 
 # ---- D7

@@ -113,7 +113,9 @@ def shipment_lines(t):
 
 
 def invoices(t):
-    return FUL.build_invoices(t.v_orders, order_lines(t), t.v_customers, t.v_items)
+    # invoices need no line ids: price the id-free lines (no ranking pass)
+    lines = FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items)
+    return FUL.build_invoices(t.v_orders, lines, t.v_customers, t.v_items)
 
 
 def ar_ledger(t):
@@ -222,7 +224,9 @@ def q_flagship(t):
 def flagship(t):
     """Orders -> priced lines -> shipments -> costs -> invoices -> AR, rolled
     up to DC x aging bucket (I30)."""
-    sl = shipment_lines(t)
+    # the rollup needs no line ids: cost the id-free shipment lines
+    sl = (t.v_lines_noid.select("order_id", "item_id", F.col("quantity_ordered").alias("quantity_shipped"))
+          .join(t.v_shipments.select("shipment_id", "order_id"), "order_id"))
     costs = FUL.shipment_costs(t.v_shipments, sl, t.v_items)
     ar = ar_ledger(t)
     return (ar.join(t.v_shipments.select("shipment_id", "order_id", "dc_id"),
