@@ -128,14 +128,18 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
     from pyspark.sql import Window
     from depot.operators.expand import month_series
     end = F.trunc(F.lit(as_of), "month")
-    pairs = movements.select("dc_id", "item_id").distinct()
-    grid = pairs.select("dc_id", "item_id", F.explode(month_series(F.add_months(end, -(months_back - 1)), months_back))
-                        .alias("month")).withColumn("_delta", F.lit(0).cast("long")).withColumn("_grid", F.lit(True))
+    # ids: pairs are ranked once, each pair owns months_back consecutive ids
+    pairs = dense_keys(movements.select("dc_id", "item_id").distinct(), ["dc_id", "item_id"], "_prank")
+    grid = pairs.select("dc_id", "item_id", "_prank",
+                        F.posexplode(month_series(F.add_months(end, -(months_back - 1)), months_back))
+                        .alias("_mi", "month")).withColumn("_delta", F.lit(0).cast("long")).withColumn("_grid", F.lit(True))
     moves = movements.filter(F.col("month") <= end).select(
-        "dc_id", "item_id", "month", (F.col("qty_in") - F.col("qty_out")).alias("_delta"), F.lit(False).alias("_grid"))
+        "dc_id", "item_id", F.lit(None).cast("long").alias("_prank"), F.lit(None).cast("int").alias("_mi"), "month",
+        (F.col("qty_in") - F.col("qty_out")).alias("_delta"), F.lit(False).alias("_grid"))
     w = Window.partitionBy("dc_id", "item_id").orderBy("month", "_grid").rowsBetween(Window.unboundedPreceding, 0)
     bal = (grid.unionByName(moves).withColumn("_bal", F.sum("_delta").over(w))
            .filter(F.col("_grid")).select("dc_id", "item_id", F.col("month").alias("snapshot_month"),
+                                          ((F.col("_prank") - 1) * months_back + F.col("_mi") + 1).alias("snapshot_id"),
                                           F.greatest(F.lit(0), F.col("_bal")).cast("long").alias("quantity_on_hand")))
     it = items.select("item_id", R.price_velocity("unit_price").alias("_vel"),
                       R.lifecycle_stage("item_id").alias("_life")).join(abc.select("item_id", "abc_class"),
@@ -145,14 +149,13 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
     health = R.stock_health("quantity_on_hand", "quantity_allocated", "_vel", "_life")
     aging = R.aging_split("quantity_on_hand")
     acc = R.map_lookup(R.CYCLE_COUNT_ACCURACY, F.coalesce(F.col("abc_class"), F.lit("C")))
-    out = b.select("dc_id", "item_id", "snapshot_month", "quantity_on_hand", "quantity_allocated",
+    return b.select("snapshot_id", "dc_id", "item_id", "snapshot_month", "quantity_on_hand", "quantity_allocated",
                    health["quantity_available"].alias("quantity_available"),
                    health["days_on_hand"].alias("days_on_hand"),
                    health["excess_quantity"].alias("excess_quantity"),
                    health["obsolete_quantity"].alias("obsolete_quantity"),
                    *[v.cast("long").alias(k) for k, v in aging.items()],
                    acc.cast("decimal(4,2)").alias("cycle_count_accuracy"))
-    return dense_keys(out, ["dc_id", "item_id", "snapshot_month"], "snapshot_id")
 
 
 # ---------------------------------------------------------------- I20
@@ -161,23 +164,28 @@ def build_slotting(dcs: DataFrame, items: DataFrame, pick_share_b: float = 0.6,
     (B8), rank (B23); locations handed out in rank order within each DC
     (B24): A items get a pick and a reserve slot, B items a pick slot with
     probability ``pick_share_b`` (keyed draw), C items reserve only.
-    The in-DC order is the global dense rank minus the DC's first rank, so
-    a DC with millions of items is never one task."""
+
+    The rank depends on the item only, so the in-DC position is the item's
+    dense rank by (slotting rank, item id), and the pair id is
+    (DC rank - 1) x items + item rank: all ranking runs over the item table,
+    never over the DC x item product."""
     from depot.functions.draws import keyed_uniform
-    from depot.operators.windows import seq_within
-    base = (items.select("item_id", "cube_ft", "weight_lb", R.price_velocity("unit_price").alias("velocity"))
-            .crossJoin(F.broadcast(dcs.select("dc_id"))))        # DCs: one per nation, fixed size
-    base = base.withColumn("slotting_rank", R.slotting_rank("velocity", "cube_ft", "weight_lb")).withColumn(
+    it = items.select("item_id", "cube_ft", "weight_lb", R.price_velocity("unit_price").alias("velocity"))
+    it = it.withColumn("slotting_rank", R.slotting_rank("velocity", "cube_ft", "weight_lb")).withColumn(
         "velocity_class", R.velocity_class("velocity"))
-    pos = seq_within(base, ["dc_id"], ["slotting_rank", "item_id"], "_pos")
+    it = dense_keys(it, ["slotting_rank", "item_id"], "_pos")
+    it = dense_keys(it, ["item_id"], "_irank")
+    n_items = items.agg(F.count(F.lit(1)).alias("_n"))
+    d = dense_keys(dcs.select("dc_id"), ["dc_id"], "_drank", n_ranges=1)       # one row per DC
+    grid = it.crossJoin(F.broadcast(d.crossJoin(n_items)))                     # DCs: fixed, tiny
     p = F.col("_pos") - 1
     pick_code = R.location_code(F.floor(p / 180) % 40 + 1, F.floor(p / 6) % 30 + 1, p % 6 + 1)
     repl_code = R.location_code(F.floor(p / 300) % 40 + 1, F.floor(p / 10) % 30 + 1, p % 10 + 1)
     u = keyed_uniform(seed, "pick", "dc_id", "item_id")
     has_pick = (F.col("velocity_class") == "A") | ((F.col("velocity_class") == "B") & (u < pick_share_b))
-    out = pos.select("dc_id", "item_id", F.when(has_pick, pick_code).alias("pick_location"),
-                     repl_code.alias("replenishment_location"), "slotting_rank", "velocity_class")
-    return dense_keys(out, ["dc_id", "item_id"], "slotting_id")
+    return grid.select(((F.col("_drank") - 1) * F.col("_n") + F.col("_irank")).alias("slotting_id"),
+                       "dc_id", "item_id", F.when(has_pick, pick_code).alias("pick_location"),
+                       repl_code.alias("replenishment_location"), "slotting_rank", "velocity_class")
 
 
 # ---------------------------------------------------------------- I21
