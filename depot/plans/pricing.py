@@ -18,7 +18,7 @@ def monthly_prices(lines: DataFrame, orders: DataFrame) -> DataFrame:
             .groupBy("item_id", "month").agg(F.min("p").alias("list_price")))
 
 
-def build_price_history(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def build_price_history(lines: DataFrame, orders: DataFrame, with_ids: bool = True) -> DataFrame:
     """Effective-dated list-price versions (I12): a new version starts in
     each month whose observed price differs from the previous observed
     month; end = next start - 1 day (E6), open on the last version.
@@ -31,8 +31,10 @@ def build_price_history(lines: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("_prev").isNull() | (F.col("_prev") != F.col("list_price")))
     v = version_intervals(changed.select("item_id", F.col("month").alias("effective_date"), "list_price"),
                           ["item_id"], "effective_date")
-    v = dense_keys(v, ["item_id", "effective_date"], "price_history_id")
-    return v.select("price_history_id", "item_id", F.lit(None).cast("long").alias("customer_id"),
+    ids = ["price_history_id"] if with_ids else []      # the ranking pass runs only when ids are wanted
+    if with_ids:
+        v = dense_keys(v, ["item_id", "effective_date"], "price_history_id")
+    return v.select(*ids, "item_id", F.lit(None).cast("long").alias("customer_id"),
                     "effective_date", "end_date", "list_price",
                     F.lit(0).cast("decimal(5,2)").alias("discount_pct"),
                     F.col("list_price").alias("net_price"), F.lit(False).alias("promo_flag"),
@@ -41,7 +43,7 @@ def build_price_history(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- I11
 def build_preferences(lines: DataFrame, orders: DataFrame, as_of, min_score: float = 5.0,
-                      top_n_per_customer: int = 50) -> DataFrame:
+                      top_n_per_customer: int = 50, with_ids: bool = True) -> DataFrame:
     """Customer-item preference scores (I11): RFM aggregate (D4), global
     min-max scaling (D11) of frequency, monetary value and recency,
     score = 100 x (0.4 F + 0.4 M + 0.2 (1 - R)); keep score >= ``min_score``
@@ -65,8 +67,10 @@ def build_preferences(lines: DataFrame, orders: DataFrame, as_of, min_score: flo
     kept = scored.filter(F.col("_score") >= min_score)
     from depot.operators.windows import top_n
     top = top_n(kept, ["customer_id"], [F.col("_score").desc(), F.col("item_id")], top_n_per_customer)
-    keyed = dense_keys(top.withColumn("_neg", -F.col("_score")), ["customer_id", "_neg", "item_id"], "preference_id")
-    return keyed.select("preference_id", "customer_id", "item_id",
+    ids = ["preference_id"] if with_ids else []
+    keyed = (dense_keys(top.withColumn("_neg", -F.col("_score")), ["customer_id", "_neg", "item_id"], "preference_id")
+             if with_ids else top)
+    return keyed.select(*ids, "customer_id", "item_id",
                         F.round("_score", 4).cast("decimal(10,4)").alias("preference_score"),
                         "last_purchased_date", F.col("_score").alias("score_raw"))
 

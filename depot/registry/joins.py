@@ -230,7 +230,7 @@ FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id
 LEFT JOIN x_price_history p ON l.item_id = p.item_id AND o.order_date >= p.effective_date
                             AND o.order_date <= coalesce(p.end_date, DATE '9999-12-31')""")
 def q_asof_price(t):
-    ph = PR.build_price_history(t.v_lines_noid, t.v_orders)
+    ph = PR.build_price_history(t.v_lines_noid, t.v_orders, with_ids=False)
     facts = (t.v_lines.select("order_line_id", "order_id", "item_id")
              .join(t.v_orders.select("order_id", "order_date"), "order_id"))
     j = J.asof_join(facts, ph.select("item_id", "effective_date", "end_date", "list_price"), ["item_id"],

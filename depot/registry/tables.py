@@ -270,12 +270,12 @@ JOIN (SELECT item_id, max(effective_date) AS effective_date, arg_max(list_price,
       FROM x_price_history GROUP BY item_id) l ON t.item_id = l.item_id""")
 
 
-def preferences(t):
-    return PR.build_preferences(t.v_lines_noid, t.v_orders, C.AS_OF)
+def preferences(t, with_ids=True):
+    return PR.build_preferences(t.v_lines_noid, t.v_orders, C.AS_OF, with_ids=with_ids)
 
 
-def price_history(t):
-    return PR.build_price_history(t.v_lines_noid, t.v_orders)
+def price_history(t, with_ids=True):
+    return PR.build_price_history(t.v_lines_noid, t.v_orders, with_ids=with_ids)
 
 
 @register("build_preferences", """
@@ -291,7 +291,7 @@ def q_build_price_history(t):
 
 @register("contract_prices", "SELECT * FROM x_contract")
 def q_contract_prices(t):
-    return PR.contract_prices(preferences(t), price_history(t))
+    return PR.contract_prices(preferences(t, False), price_history(t, False))
 
 
 @register("union_price_rows", """
@@ -300,8 +300,8 @@ SELECT item_id, customer_id, effective_date, end_date, CAST(list_price AS DECIMA
 FROM x_price_history
 UNION ALL SELECT * FROM x_contract""")
 def q_union_price_rows(t):
-    ph = price_history(t)
-    return PR.union_price_rows(ph, PR.contract_prices(preferences(t), ph))
+    ph = price_history(t, False)
+    return PR.union_price_rows(ph, PR.contract_prices(preferences(t, False), ph))
 
 
 _FREIGHT_SQL = ("greatest(CAST(0.05 AS DECIMAL(4,2)), CAST(0.15 AS DECIMAL(4,2)) "
@@ -332,7 +332,7 @@ FROM (SELECT v.item_id, v.effective_date,
                    row_number() OVER (PARTITION BY item_id ORDER BY effective_date DESC) AS rk FROM x_price_history) v
       LEFT JOIN v_items i ON v.item_id = i.item_id WHERE rk <= 3) x""")
 def q_build_item_costs(t):
-    return PR.build_item_costs(price_history(t), t.v_items)
+    return PR.build_item_costs(price_history(t, False), t.v_items)
 
 
 define_view("x_promotions", """

@@ -54,7 +54,7 @@ def q_top_n_items_per_customer(t):
 SELECT item_id, max(effective_date) AS effective_date, arg_max(list_price, effective_date) AS list_price
 FROM x_price_history GROUP BY item_id""")
 def q_latest_cost_version(t):
-    ph = PR.build_price_history(t.v_lines_noid, t.v_orders)
+    ph = PR.build_price_history(t.v_lines_noid, t.v_orders, with_ids=False)
     return latest_per_key(ph.select("item_id", "effective_date", "list_price"), ["item_id"], "effective_date")
 
 
@@ -70,7 +70,7 @@ def q_first_shipment(t):
 # ---- E6
 @register("price_intervals", "SELECT item_id, effective_date, end_date FROM x_price_history")
 def q_price_intervals(t):
-    return PR.build_price_history(t.v_lines_noid, t.v_orders).select("item_id", "effective_date", "end_date")
+    return PR.build_price_history(t.v_lines_noid, t.v_orders, with_ids=False).select("item_id", "effective_date", "end_date")
 
 
 # ---- E7
@@ -155,15 +155,15 @@ _VEL = "greatest(1, CAST(trunc(120.0 / greatest(1.0, CAST(i.unit_price AS DOUBLE
 @register("weighted_sample", f"""
 SELECT dc_id, item_id, es_key, sample_rank FROM (
   SELECT s.dc_id, s.item_id, es_key,
-         row_number() OVER (PARTITION BY s.dc_id ORDER BY es_key, s.item_id) AS sample_rank
+         row_number() OVER (PARTITION BY s.dc_id ORDER BY es_key, s.dc_id, s.item_id) AS sample_rank
   FROM (SELECT s.dc_id, s.item_id,
-               round(-ln(greatest({u_sql('weighted', 's.item_id')}, 1e-12)) / CAST({_VEL} AS DOUBLE), 9) AS es_key
+               round(-ln(greatest({u_sql('weighted', 's.dc_id', 's.item_id')}, 1e-12)) / CAST({_VEL} AS DOUBLE), 9) AS es_key
         FROM v_stock s JOIN v_items i ON s.item_id = i.item_id) s) x
 WHERE sample_rank <= 10""")
 def q_weighted_sample(t):
     s = t.v_stock.select("dc_id", "item_id").join(
         t.v_items.select("item_id", R.price_velocity("unit_price").alias("velocity")), "item_id")
-    return S.weighted_sample(s, ["dc_id"], "velocity", 10, ["item_id"], SEED).select(
+    return S.weighted_sample(s, ["dc_id"], "velocity", 10, ["dc_id", "item_id"], SEED).select(
         "dc_id", "item_id", "es_key", "sample_rank")
 
 
