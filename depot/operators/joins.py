@@ -43,9 +43,12 @@ def range_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end
 
     Each interval is exploded into the ``bucket`` periods it touches, so the
     match becomes an equi-join on the period plus a range filter: no nested
-    loop, and it scales when both sides are large.  An open end (null) is
-    treated as the point's own period."""
-    iv = intervals.withColumn("_end_eff", F.coalesce(F.col(end), F.col(start)))
+    loop, and it scales when both sides are large.  An open end (null)
+    runs to the last point (a one-row aggregate, broadcast)."""
+    last = points.agg(F.max(at).alias("_last_point"))
+    iv = (intervals.crossJoin(F.broadcast(last))
+          .withColumn("_end_eff", F.coalesce(F.col(end), F.greatest(F.col("_last_point"), F.col(start))))
+          .drop("_last_point"))
     iv = iv.withColumn("_bucket", F.explode(F.sequence(F.trunc(start, bucket), F.trunc("_end_eff", bucket),
                                                        F.expr(f"INTERVAL 1 {bucket.upper()}"))))
     pts = points.withColumn("_bucket", F.trunc(at, bucket))

@@ -83,7 +83,7 @@ def _sample_bounds(df: DataFrame, fields: list[Column], n_ranges: int, oversampl
 
 
 def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
-                 oversample: int = 16, seed: int = 17) -> Column:
+                 oversample: int = 16, seed: int = 17, sample_from: DataFrame | None = None) -> Column:
     """Column with the range number (0..n-1) of each row's sort key.
 
     Bounds come from the leading sort column alone when its values are
@@ -95,8 +95,16 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
     all_fields = [_monotone(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)]
     if n_ranges <= 1:
         return F.lit(0)
+    # bounds may be drawn from any table with the same leading key columns
+    # (e.g. a stored input instead of a join result): ids stay exact, only
+    # the balance of the ranges depends on where the sample comes from
+    src = sample_from if sample_from is not None else df
+    src_cols = [c for c in order_cols if c in src.columns]
+    src_fields = [_monotone(src, c).alias(f"k{i}") for i, c in enumerate(src_cols)]
+    if not src_fields or src_cols != list(order_cols[:len(src_cols)]):
+        src, src_fields = df, all_fields
     fields = all_fields[:1]
-    rows = _sample_bounds(df, fields, n_ranges, oversample, seed)
+    rows = _sample_bounds(src, src_fields[:1], n_ranges, oversample, seed)
     if len(rows) < 2:
         return F.lit(0)
     step = max(1, len(rows) // n_ranges)
@@ -104,9 +112,9 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
         counts: dict = {}
         for r in rows:
             counts[r] = counts.get(r, 0) + 1
-        if max(counts.values()) > step:
+        if max(counts.values()) > step and len(src_fields) > 1:
             fields = all_fields[:2]
-            rows = _sample_bounds(df, fields, n_ranges, oversample, seed)
+            rows = _sample_bounds(src, src_fields[:2], n_ranges, oversample, seed)
             step = max(1, len(rows) // n_ranges)
     picked = []
     for j in range(step, len(rows), step):
@@ -125,7 +133,7 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
-               n_ranges: int | None = None) -> DataFrame:
+               n_ranges: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following the ascending order of
     ``order_cols`` (which should be a total order for repeatable ids).
 
@@ -136,7 +144,7 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int
         # one range per shuffle partition: a cluster sized for its data
         # (thousands of partitions) gets thousands of ranges
         n_ranges = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
-    rng = range_bucket(df, list(order_cols), n_ranges)
+    rng = range_bucket(df, list(order_cols), n_ranges, sample_from=sample_from)
     staged = df.withColumn("_rng", rng)
     counts = staged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))
     # n_ranges rows: a single-task window here is bounded by construction

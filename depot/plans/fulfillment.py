@@ -55,7 +55,8 @@ def build_shipment_lines(shipments: DataFrame, lines: DataFrame, items: DataFram
         F.min("order_line_id").alias("_first_line"))
     # one global rank serves as the line id and, minus the order's first
     # rank, as the carton sequence within the order
-    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id", start=start_id)
+    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id", start=start_id,
+                       sample_from=lines.select("order_id", "order_line_id"))
     first = keyed.groupBy("order_id").agg(F.min("shipment_line_id").alias("_first_rank"))
     out = (keyed.join(first, "order_id")
            .withColumn("_carton_seq", F.col("shipment_line_id") - F.col("_first_rank") + 1)

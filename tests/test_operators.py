@@ -77,3 +77,11 @@ def test_write_off_threshold(spark):
     assert rows[1].writeoff_reason is not None and float(rows[1].balance) == 0.0 and rows[1].aging_bucket == "Current"
     assert rows[2].writeoff_reason is None and float(rows[2].balance) == 200.0 and rows[2].aging_bucket == "90+"
     assert rows[2].credit_hold_flag
+
+
+def test_range_join_open_end(spark):
+    orders = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 6, 1)), (3, dt.date(2023, 12, 31))],
+                                   "order_id int, d date")
+    promos = spark.createDataFrame([(7, dt.date(2024, 1, 1), None)], "promo_id int, s date, e date")
+    got = sorted(r.order_id for r in J.range_join(orders, promos, "d", "s", "e").collect())
+    assert got == [1, 2]
