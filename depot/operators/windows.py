@@ -25,7 +25,7 @@ def seq_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
     g = dense_keys(df, list(group_cols) + list(order_cols), "_grank")
     first = g.groupBy(*group_cols).agg(F.min("_grank").alias("_gfirst"))
     return (g.join(first, list(group_cols))
-            .withColumn(out, (F.col("_grank") - F.col("_gfirst") + 1).cast("int"))
+            .withColumn(out, (F.col("_grank") - F.col("_gfirst") + 1).cast("long"))
             .drop("_grank", "_gfirst"))
 
 
@@ -41,7 +41,7 @@ def top_n(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], n:
     order (add a unique tie key)."""
     w = Window.partitionBy(*group_cols).orderBy(*order)
     rn = rank_col or "_rn"
-    out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= n)
+    out = df.withColumn(rn, F.row_number().over(w).cast("long")).filter(F.col(rn) <= n)
     return out if rank_col else out.drop(rn)
 
 

@@ -44,7 +44,7 @@ def q_tracking_milestones(t):
 
 # ---- H2
 @register("repeat_by_count", """
-SELECT order_line_id, unnest(range(1, quantity_ordered % 5 + 2)) AS unit_no FROM v_lines""")
+SELECT order_line_id, CAST(unnest(range(1, quantity_ordered % 5 + 2)) AS INTEGER) AS unit_no FROM v_lines""")
 def q_repeat_by_count(t):
     return X.repeat_by_count(t.v_lines.select("order_line_id", "quantity_ordered"),
                              F.col("quantity_ordered") % 5 + 1, "unit_no").select("order_line_id", "unit_no")

@@ -49,7 +49,7 @@ def _nn_sql(spec_name, view):
             "v_shipments": ["shipment_id", "order_id", "dc_id", "carrier_id", "ship_date", "promised_date",
                             "delivery_date", "shipment_type"]}[view]
     parts = [f"SELECT '{spec_name}' AS table_name, '{c}' AS column_name, "
-             + (f"count_if({c} IS NULL)" if c in have else "count(*)") + f" AS null_count FROM {view}"
+             + (f"CAST(count_if({c} IS NULL) AS BIGINT)" if c in have else "count(*)") + f" AS null_count FROM {view}"
              for c in spec.not_null]
     return " UNION ALL ".join(parts)
 

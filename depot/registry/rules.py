@@ -272,7 +272,7 @@ def q_payment_terms_due_date(t):
 
 # ---- B21
 @register("aging_bucket", f"""
-SELECT invoice_id, dpd AS days_past_due,
+SELECT invoice_id, CAST(dpd AS INTEGER) AS days_past_due,
        CASE WHEN dpd = 0 THEN 'Current' WHEN dpd BETWEEN 1 AND 30 THEN '1-30' WHEN dpd BETWEEN 31 AND 60 THEN '31-60'
             WHEN dpd BETWEEN 61 AND 90 THEN '61-90' WHEN dpd BETWEEN 91 AND 9999 THEN '90+' ELSE 'Unknown' END AS aging_bucket
 FROM (SELECT i.invoice_id, CASE WHEN i.total_amount * (1 - coalesce(p.paid_ratio, 0)) <= 0 THEN 0

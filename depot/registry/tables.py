@@ -85,7 +85,7 @@ SELECT invoice_id AS ar_entry_id, invoice_id, customer_id, invoice_date + {C.POS
        total_amount AS amount_due,
        CAST(CASE WHEN wo THEN total_amount ELSE paid0 END AS DECIMAL(16,2)) AS amount_paid,
        CAST(CASE WHEN wo THEN 0 ELSE bal0 END AS DECIMAL(16,2)) AS balance,
-       CASE WHEN wo THEN 0 ELSE dpd END AS days_past_due,
+       CAST(CASE WHEN wo THEN 0 ELSE dpd END AS INTEGER) AS days_past_due,
        CASE WHEN wo THEN 'Current' WHEN dpd = 0 THEN 'Current' WHEN dpd BETWEEN 1 AND 30 THEN '1-30'
             WHEN dpd BETWEEN 31 AND 60 THEN '31-60' WHEN dpd BETWEEN 61 AND 90 THEN '61-90'
             WHEN dpd BETWEEN 91 AND 9999 THEN '90+' ELSE 'Unknown' END AS aging_bucket,
