@@ -98,11 +98,14 @@ def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2) -> str:
     ckpt = scratch_path(spark, "stream-ckpt")
     orders = tables.v_orders
     land_chunks(orders, landing, "order_id", n_chunks)
-    # the static side (order lines with their ids) is written once to the
-    # shared folder; every micro-batch reads it instead of re-deriving it
-    static = scratch_path(spark, "static-lines")
-    tables.v_lines.write.mode("overwrite").parquet(static)
-    lines = spark.read.schema(tables.v_lines.schema).parquet(static)
+    # the static side (order lines with their ids) must be stored data that
+    # every micro-batch reads instead of re-deriving it; the shared view is
+    # already stored unless materialisation was turned off
+    lines = tables.v_lines
+    if not getattr(tables, "materialize", True):
+        static = scratch_path(spark, "static-lines")
+        lines.write.mode("overwrite").parquet(static)
+        lines = spark.read.schema(lines.schema).parquet(static)
     stream = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", max_files).parquet(landing))
     q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink, lines))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
