@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depot.operators.keys import range_bucket
 from depot.plans import fulfillment as FUL
 from depot.session import scratch_path
 from depot.sources.tables import shipments_from_orders
@@ -30,12 +29,10 @@ LEDGER_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructF
 
 
 def land_chunks(df: DataFrame, path: str, key: str, n_chunks: int, files_per_chunk: int = 2) -> None:
-    """Write ``df`` to a landing folder as ``n_chunks`` key-range chunks,
-    one write per chunk in key order (a file source sees them in that order)."""
-    b = df.withColumn("_chunk", range_bucket(df, [key], n_chunks))
-    for i in range(n_chunks):
-        (b.filter(F.col("_chunk") == i).drop("_chunk").repartition(files_per_chunk)
-         .write.mode("append").parquet(path))
+    """Write ``df`` to a landing folder as ``n_chunks x files_per_chunk``
+    key-range files in one pass (the file source then feeds them to the
+    stream, ``maxFilesPerTrigger`` at a time)."""
+    df.repartitionByRange(n_chunks * files_per_chunk, key).write.mode("append").parquet(path)
 
 
 def _ledger_start(spark: SparkSession, ledger: str, batch_id: int) -> tuple[int, int, bool]:
