@@ -79,5 +79,5 @@ def build_customer_contacts(customers: DataFrame, reps: DataFrame, as_of: _dt.da
                       F.lit("Inside Sales").alias("role"),
                       F.date_sub(F.lit(as_of), (F.col("customer_id") * 7 % 181).cast("int")).alias("last_contact_date")))
     both = first.unionByName(second)
-    return dense_keys(both, ["customer_id", "seq"], "contact_id").select(
+    return dense_keys(both, ["customer_id", "seq"], "contact_id", sample_from=customers.select("customer_id")).select(
         "contact_id", "customer_id", "rep_id", "role", "last_contact_date")

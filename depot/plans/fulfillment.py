@@ -287,4 +287,4 @@ def build_returns(eligible: DataFrame, returned: DataFrame, min_days: int = 5, m
                    F.date_add("ship_date", delay).alias("return_date"), "reason_code", "condition_code",
                    "qty_returned", R.restock_flag("condition_code").alias("restock_flag"),
                    R.return_credit("unit_price", "qty_returned", "condition_code").alias("credit_amount"))
-    return dense_keys(out, ["order_line_id"], "return_id")
+    return dense_keys(out, ["order_line_id"], "return_id", sample_from=returned.select("order_line_id"))

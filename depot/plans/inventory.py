@@ -76,7 +76,7 @@ def build_backorders(lines: DataFrame, orders: DataFrame, stock: DataFrame, item
                    F.when(filled, fill).alias("date_filled"),
                    F.when(filled, F.col("lead_time_days").cast("int")).alias("days_backordered"),
                    reason.alias("reason_code"), filled.alias("is_filled_flag"))
-    return dense_keys(out, ["order_line_id"], "backorder_id")
+    return dense_keys(out, ["order_line_id"], "backorder_id", sample_from=lines.select("order_line_id"))
 
 
 # ---------------------------------------------------------------- I10

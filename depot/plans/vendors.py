@@ -50,4 +50,5 @@ def build_vendor_items(lines: DataFrame, vendors: DataFrame, items: DataFrame, s
     out = j.select("vendor_id", "item_id", R.vendor_item_number("vendor_name", "item_id").alias("vendor_item_number"),
                    "vendor_rank", R.scaled_qty(F.lit(base_moq), "vendor_rank").alias("min_order_qty"),
                    R.scaled_qty(R.order_multiple_base("cube_ft"), "vendor_rank").alias("order_multiple"))
-    return dense_keys(out, ["vendor_id", "item_id"], "vendor_item_id")
+    return dense_keys(out, ["vendor_id", "item_id"], "vendor_item_id",
+                      sample_from=lines.select("vendor_id", "item_id"))
