@@ -75,3 +75,48 @@ TIME_ZONES = {
     "Pacific": ["CA", "WA", "OR", "NV"],
 }
 DEFAULT_TIME_ZONE = "Central"
+
+
+# ---------------------------------------------------------------------------
+# Lookup lists and tables that must equal the source rules.
+# ---------------------------------------------------------------------------
+# forecast error: base MAPE by ABC class, variability by XYZ class
+MAPE_BASE = {"A": 0.05, "B": 0.10, "C": 0.18}
+XYZ_VARIABILITY = {"X": 0.8, "Y": 1.2, "Z": 1.8}
+# credit factor by return condition
+CONDITION_FACTOR = {"Resalable": 1.00, "Damaged": 0.50, "Defective": 0.25, "Destroyed": 0.00}
+RETURN_REASONS = ["Damaged", "Wrong Item", "Not as Described", "Overshipment", "Customer Preference", "Defective"]
+RETURN_REASON_WEIGHTS = [0.24, 0.10, 0.16, 0.06, 0.28, 0.16]
+BACKORDER_REASONS = ["Insufficient Inventory", "Vendor Delay", "Damaged Inbound Shipment",
+                     "Unexpected Demand Spike", "Quality Hold"]
+# inventory adjustments: types and the reasons valid for each
+ADJUSTMENT_TYPES = ["Cycle Count", "Damage", "Shrink", "Return to Stock", "Administrative Correction"]
+ADJUSTMENT_REASONS = {
+    "Cycle Count": ["Count Variance", "Recount Adjustment", "Audit Correction"],
+    "Damage": ["Crushed", "Leaking", "Broken", "Packaging Damage"],
+    "Shrink": ["Lost", "Misplaced", "Theft Suspected"],
+    "Return to Stock": ["Customer Return", "Restock", "RMA"],
+    "Administrative Correction": ["Data Entry Error", "Unit of Measure Correction", "Transfer Correction"],
+}
+# labor: weekly base hours, role and hourly rate range per department
+DEPARTMENT_BASE_HOURS = {"Receiving": 120, "Picking": 200, "Packing": 160, "Shipping": 140,
+                         "Inventory Control": 80}
+DEPARTMENT_ROLE = {"Receiving": "Receiving Associate", "Picking": "Picker", "Packing": "Packer",
+                   "Shipping": "Shipping Clerk", "Inventory Control": "Inventory Analyst"}
+DEPARTMENT_RATE_RANGE = {"Receiving": (19.0, 23.0), "Picking": (18.0, 22.0), "Packing": (18.0, 21.0),
+                         "Shipping": (20.0, 24.0), "Inventory Control": (22.0, 27.0)}
+OVERTIME_MULTIPLIER = 1.5
+# driver costs: cost types, the floor of each rate range, company share of the LTL minimum
+COST_TYPES = ["hourly", "per_mile", "per_stop"]
+DRIVER_RATE_FLOOR = {"hourly": 18.0, "per_mile": 0.30, "per_stop": 8.0}
+COMPANY_SHARE = 0.8
+# tracking milestones: (sequence, hours after ship date, event type, location type)
+MILESTONES = [(0, 0, "departed_dc", "DC"), (1, 6, "arrived_hub", "carrier_facility"),
+              (2, 12, "out_for_delivery", "carrier_facility"), (3, 18, "delivered", "carrier_facility")]
+# catalog file header (with its misspelt subcategory column) and postal file layout
+CATALOG_COLUMNS = ["product_code", "description", "product_category", "produc_subcategory", "unit_cost",
+                   "unit_price", "shipping_cost_per_unit", "length_in", "width_in", "height_in", "weight_lbs",
+                   "cubic_ft"]
+POSTAL_FIELDS = ["country_code", "postal_code", "place_name", "admin_name1", "admin_code1", "admin_name2",
+                 "admin_code2", "admin_name3", "admin_code3", "latitude", "longitude", "accuracy"]
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"

@@ -180,8 +180,8 @@ def seasonality_index(category, month) -> Column:
             .otherwise(1.0))
 
 
-MAPE_BASE = {"A": 0.05, "B": 0.10, "C": 0.18}
-XYZ_VARIABILITY = {"X": 0.8, "Y": 1.2, "Z": 1.8}
+MAPE_BASE = C.MAPE_BASE
+XYZ_VARIABILITY = C.XYZ_VARIABILITY
 
 
 def forecast_error(abc, xyz, noise: float = 1.05, mad_factor: float = 14.0) -> tuple[Column, Column]:
@@ -259,7 +259,7 @@ def aging_bucket(days) -> Column:
 
 
 # ---- B22: return credit -----------------------------------------------------
-CONDITION_FACTOR = {"Resalable": 1.00, "Damaged": 0.50, "Defective": 0.25, "Destroyed": 0.00}
+CONDITION_FACTOR = C.CONDITION_FACTOR
 
 
 def return_credit(unit_price, qty, condition) -> Column:
@@ -383,14 +383,11 @@ def shipment_dates(order_date, lag_days, transit_days, delay_days) -> dict[str,
 
 
 # ---- B32: labor ------------------------------------------------------------------
-DEPARTMENT_BASE_HOURS = {"Receiving": 120, "Picking": 200, "Packing": 160, "Shipping": 140,
-                         "Inventory Control": 80}
-DEPARTMENT_ROLE = {"Receiving": "Receiving Associate", "Picking": "Picker", "Packing": "Packer",
-                   "Shipping": "Shipping Clerk", "Inventory Control": "Inventory Analyst"}
+DEPARTMENT_BASE_HOURS = C.DEPARTMENT_BASE_HOURS
+DEPARTMENT_ROLE = C.DEPARTMENT_ROLE
 # hourly rate: midpoint of each department's range
-DEPARTMENT_RATE = {"Receiving": 21.0, "Picking": 20.0, "Packing": 19.5, "Shipping": 22.0,
-                   "Inventory Control": 24.5}
-OVERTIME_MULTIPLIER = 1.5
+DEPARTMENT_RATE = {k: (lo + hi) / 2 for k, (lo, hi) in C.DEPARTMENT_RATE_RANGE.items()}
+OVERTIME_MULTIPLIER = C.OVERTIME_MULTIPLIER
 
 
 def labor_hours(department, capacity, load_factor=1.0) -> Column:

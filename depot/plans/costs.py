@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depot.config import COMPANY_SHARE, COST_TYPES
+from depot.config import DRIVER_RATE_FLOOR as LTL_FLOOR   # fallback when there is no LTL carrier
 from depot.functions import rules as R
 from depot.operators.joins import cross_literals
 from depot.operators.keys import dense_keys
 
-COST_TYPES = ["hourly", "per_mile", "per_stop"]
-# fallback LTL minimum per cost type when no LTL carrier exists (range floors)
-LTL_FLOOR = {"hourly": 18.0, "per_mile": 0.30, "per_stop": 8.0}
-COMPANY_SHARE = 0.8
-
 
 def cost_unpivot(rates: DataFrame) -> DataFrame:
     """Carrier rate columns to (cost_type, rate_amount) rows (H5)."""

@@ -120,8 +120,7 @@ def build_shipments(shipments: DataFrame, shipment_lines: DataFrame, items: Data
 
 
 # ---------------------------------------------------------------- H1, I4
-MILESTONES = [(0, 0, "departed_dc", "DC"), (1, 6, "arrived_hub", "carrier_facility"),
-              (2, 12, "out_for_delivery", "carrier_facility"), (3, 18, "delivered", "carrier_facility")]
+MILESTONES = C.MILESTONES
 
 
 def tracking_milestones(shipments: DataFrame, dcs: DataFrame) -> DataFrame:

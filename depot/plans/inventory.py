@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depot import config as C
 from depot.functions import rules as R
 from depot.operators.keys import dense_keys
 
@@ -43,8 +44,7 @@ def build_inventory(lines: DataFrame, orders: DataFrame, items: DataFrame,
 
 
 # ---------------------------------------------------------------- I8
-BACKORDER_REASONS = ["Insufficient Inventory", "Vendor Delay", "Damaged Inbound Shipment",
-                     "Unexpected Demand Spike", "Quality Hold"]
+BACKORDER_REASONS = C.BACKORDER_REASONS
 
 
 def build_backorders(lines: DataFrame, orders: DataFrame, stock: DataFrame, items: DataFrame, as_of,

@@ -168,7 +168,7 @@ def q_weighted_sample(t):
 
 
 # ---- F6
-REASON_WEIGHTS = [0.24, 0.10, 0.16, 0.06, 0.28, 0.16]
+REASON_WEIGHTS = C.RETURN_REASON_WEIGHTS
 
 
 def _weighted_case_sql(u, cats, weights):

@@ -13,25 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depot.config import CATALOG_COLUMNS, POSTAL_FIELDS, TIMESTAMP_FORMAT
 from depot.functions.rules import normalize_timestamp
 
-# The catalog file's header (note the misspelt subcategory
-# column) and the item fields it maps to.
-CATALOG_COLUMNS = ["product_code", "description", "product_category", "produc_subcategory", "unit_cost",
-                   "unit_price", "shipping_cost_per_unit", "length_in", "width_in", "height_in", "weight_lbs",
-                   "cubic_ft"]
+# the item fields the catalog columns map to, and their types
 CATALOG_RENAMES = {"product_code": "item_sku", "description": "item_description", "product_category": "category",
                    "produc_subcategory": "subcategory", "weight_lbs": "weight_lb", "cubic_ft": "cube_ft"}
 CATALOG_TYPES = {"unit_cost": "decimal(12,2)", "unit_price": "decimal(12,2)",
                  "shipping_cost_per_unit": "decimal(12,2)", "length_in": "int", "width_in": "int",
                  "height_in": "int", "weight_lbs": "decimal(12,4)", "cubic_ft": "double"}
 
-# Postal file layout: 12 tab-separated fields, no header.
-POSTAL_FIELDS = ["country_code", "postal_code", "place_name", "admin_name1", "admin_code1", "admin_name2",
-                 "admin_code2", "admin_name3", "admin_code3", "latitude", "longitude", "accuracy"]
-
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV scan with a fixed string schema (no inference), renames,
