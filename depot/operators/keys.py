@@ -6,8 +6,8 @@ one task.  Here the order is cut into ranges first:
 1. a bounded sample of the key (sorted by Spark, so its order is Spark's
    order) gives ``n-1`` boundaries; they become literals in the plan;
 2. every row gets its range number by binary search over the boundaries
-   (log2(n) comparisons: a CASE tree for small n, which stays in codegen,
-   an ``aggregate`` over one array literal for large n);
+   (log2(n) comparisons: a CASE tree up to 512 bounds, an ``aggregate``
+   over one array literal beyond);
 3. per-range counts (a partial aggregate, ``n`` rows) give each range its
    offset through a tiny window; the offsets are broadcast (size bound: n);
 4. ``row_number()`` inside each range + offset = global rank.
@@ -127,7 +127,7 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
     types = [f.dataType for f in df.select(*fields).schema.fields]
     bounds = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))])
               for r in picked]
-    if len(bounds) <= 64:
+    if len(bounds) <= 512:
         return _range_expr(key, bounds, 0, len(bounds))
     return _range_search(key, bounds)
 

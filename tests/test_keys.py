@@ -48,7 +48,7 @@ def test_empty_input(spark):
 
 
 def test_dense_keys_many_ranges_array_search(spark):
-    # more than 64 bounds: the array-literal binary search path
+    # more than 512 bounds: the array-literal binary search path
     df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("a"))
-    got = dense_keys(df, ["a"], "rid", n_ranges=300)
+    got = dense_keys(df, ["a"], "rid", n_ranges=700)
     assert got.filter(F.col("rid") != F.col("a") + 1).count() == 0
