@@ -71,6 +71,18 @@ def map_groups(df: DataFrame, keys: list[str], run: Callable, schema) -> DataFra
     return df.groupBy(*keys).applyInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch with at most ``limit`` bytes of ``column`` each
     (one row may be larger: it is then alone)."""
@@ -175,6 +187,20 @@ def scan_words(texts: pa.Array, lower: bool, letters_only: bool = False) -> tupl
     return cat(hashes, np.uint64), start, cat(ends, np.int64), np.searchsorted(start, off)
 
 
+def prefix_hashes(texts: pa.Array, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes of each word (A-Z as a-z); 0 for shorter words."""
+    buf, _ = text_buffer(texts)
+    _, code = _alphabet(True, False)
+    long = np.flatnonzero(ends - starts >= size)
+    value = np.full(len(long), size, np.uint64)
+    for j in range(size):
+        value *= np.uint64(_MULT)
+        value += code[buf[starts[long] + j]]
+    out = np.zeros(len(starts), np.uint64)
+    out[long] = mix64(value)
+    return out
+
+
 def shingle_sets(words: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ``width``-word shingles of each text as 64-bit hashes: (hashes,
     sorted within each text; n+1 offsets).  A text with fewer words has its

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from depot.llm.common import WORD, map_groups, stored
+from depot.llm.common import WORD, fresh, map_groups, stored
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], total_factor: float, cap_factor: float) -> DataFrame:
@@ -167,18 +167,23 @@ def draw_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), total
               key: str = "doc_id", text: str = "text", source: str = "source", block: int = 2048) -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken.
 
-    Rows are told apart by key, source and size; of equal ones any may be
-    taken more often (the copies of a group are summed and dealt evenly)."""
+    Rows are told apart by key, source and size; the copies of such a group
+    are dealt over its rows evenly, the first by a hash taking one more.  Equal
+    rows of a group are counted first, so any number of repeats is one row."""
     mixed = mix(docs, weights, total_factor, cap_factor, key, text, source, block)
+    k, s, z, k2, s2, z2, rows, copies, same, before, times, i = fresh(
+        docs, "_k", "_s", "_z", "_k2", "_s2", "_z2", "_rows", "_copies", "_same", "_before", "_times", "_i")
+    goal = stored(mixed.groupBy(F.col(key).alias(k2), F.col("source").alias(s2), F.col("size").alias(z2))
+                  .agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)).where(F.col(copies) > 0), "mix-copies")
     names = [F.col(f"`{c}`") for c in docs.columns]
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    taken = (mixed.groupBy(F.col(key).alias("_k"), F.col("source").alias("_s"), F.col("size").alias("_z"))
-             .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-             .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)))
-             .withColumn("_times", F.floor((F.col("_copies") + F.col("_rows") - 1 - F.col("_share")) / F.col("_rows"))))
-    order = Window.partitionBy("_k", "_s", "_z").orderBy(F.xxhash64(*names))
-    numbered = (docs.select("*", F.col(key).alias("_k"), F.col(source).alias("_s"), size.alias("_z"))
-                .withColumn("_share", F.row_number().over(order).cast("long") - 1))
-    on = (numbered["_k"].eqNullSafe(taken["_k"]) & numbered["_s"].eqNullSafe(taken["_s"]) & (numbered["_z"] == taken["_z"]) & (numbered["_share"] == taken["_share"]))
-    return (numbered.join(taken.select("_k", "_s", "_z", "_share", "_times").where("_times > 0"), on)
-            .withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times").cast("long")))).select(*names))
+    joined = docs.select("*", F.col(key).alias(k), F.col(source).alias(s), size.alias(z)).join(
+        goal, F.col(k).eqNullSafe(F.col(k2)) & F.col(s).eqNullSafe(F.col(s2)) & (F.col(z) == F.col(z2))).drop(k2, s2, z2)
+    alone = joined.where(F.col(rows) == 1).select(*names, F.col(copies).alias(times))
+    group = joined.where(F.col(rows) > 1).groupBy(*names, k, s, z, rows, copies).agg(F.count(F.lit(1)).alias(same))
+    order = Window.partitionBy(k, s, z).orderBy(F.xxhash64(*names), *names).rowsBetween(Window.unboundedPreceding, -1)
+    more = F.pmod(F.col(copies), F.col(rows))
+    group = group.withColumn(before, F.coalesce(F.sum(same).over(order), F.lit(0)))
+    dealt = F.floor(F.col(copies) / F.col(rows)) * F.col(same) + F.greatest(F.least(F.col(same), more - F.col(before)), F.lit(0))
+    every = alone.unionByName(group.select(*names, dealt.alias(times))).where(F.col(times) > 0)
+    return every.withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times).cast("long")))).select(*names)

@@ -10,8 +10,8 @@
 3. Search: every window of every whole document is projected and compared with
    all items in blocks; windows above a cosine limit are candidates.
 4. A candidate is a leak if the longest common subsequence of words covers
-   enough of the item, or covers less but the item's answer (its last
-   sentence) stands in the window: a paraphrase.
+   enough of the item and of the rarer half of its words, or covers less but
+   the item's answer (its last sentence) stands in the window: a paraphrase.
 
 Items are taken in blocks of at most ``block_items``, each a pass of its own,
 so what tasks hold is bounded for a benchmark of any size.
@@ -35,6 +35,7 @@ class Item(NamedTuple):
     item_id: int
     words: np.ndarray           # hashes in order
     answer: np.ndarray          # hashes of the last sentence
+    rare: np.ndarray            # hashes of the rarer half of the words, in order
 
 
 class Index(NamedTuple):
@@ -60,10 +61,14 @@ def make_items(rows: list[tuple[int, str]]) -> list[Item]:
         words = _hashes(text)
         if len(words):
             ends = [h for h in map(_hashes, _SENTENCE.split(text)) if len(h) >= 3]
-            out.append(Item(item_id, words, ends[-1] if ends else words))
+            out.append(Item(item_id, words, ends[-1] if ends else words, words))
     return out
 
 
+def _with_rare(item: Item, idf: np.ndarray) -> Item:
+    return item._replace(rare=item.words[idf >= np.median(idf)])
+
+
 def _places(vocabulary: np.ndarray):
     """A function: places in the vocabulary (-1: none) of word hashes."""
     near = np.zeros(1 << 20, bool)
@@ -183,6 +188,7 @@ def build_index(docs: DataFrame, items: list[Item], n_docs: int, rank: int = 256
     for r in rows.where("place >= 0").groupBy("place").agg(F.sum("docs").alias("docs")).collect():     # a row per benchmark word
         df[r.place] = r.docs
     idf = np.log((n_docs + 1.0) / (df + 1.0)) + 1e-3
+    items = [_with_rare(i, idf[np.searchsorted(vocabulary, i.words)]) for i in items]
     sample = rows.where("place < 0").select("passage")
     n_sample = sample.count()
     own = _tfidf([np.searchsorted(vocabulary, i.words) for i in items], idf)
@@ -262,8 +268,9 @@ def _matches(texts: pa.Array, places, index: Index, limit: float, strong: float
         n = common_subsequence(item.words, own[where[start:start + len(own)] >= 0])
         if n < weak * len(item.words):
             continue
+        rare = common_subsequence(item.rare, own) / len(item.rare)      # frequent words alone prove nothing
         answer = common_subsequence(item.answer, own) >= 0.8 * len(item.answer)
-        if n >= strong * len(item.words) or answer:
+        if n >= strong * len(item.words) and rare >= strong or answer and rare >= weak:
             best[t, i] = max(best.get((t, i), (0, False)), (n, answer))
     return best
 

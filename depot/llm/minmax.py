@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from depot.llm.common import byte_slices, map_arrow, map_groups, mix64, scan_words, shingle_sets, stored
+from depot.llm.common import byte_slices, fresh, map_arrow, map_groups, mix64, scan_words, shingle_sets, stored
 
 PERMUTATIONS, BANDS, WIDTH = 64, 32, 5
 SIMILAR = 75                                # percent
@@ -288,10 +288,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are alone, and one row (smallest id, then
-    smallest class) of every component, with all their columns."""
+    smallest class) of every component, with all their columns.  Nulls, empty
+    texts and repeated rows as in ``near_duplicates``."""
     found = analyse(docs, key, text)
     bits = bitmap(found.nodes)
-    schema = StructType([*docs.schema.fields, StructField("_node", LongType()), StructField("_marked", BooleanType())])
+    node, mark, component, label = fresh(docs, "_node", "_marked", "_component", "_label")
+    schema = StructType([*docs.schema.fields, StructField(node, LongType()), StructField(mark, BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,14 +301,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 hashes, at = _sets(b.column(text))
                 keys = set_keys(hashes, at).view(np.int64)
                 marked = _marked(bits, keys) & (np.diff(at) > 0)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys), pa.array(marked)], [*b.schema.names, "_node", "_marked"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys), pa.array(marked)], [*b.schema.names, node, mark])
 
     # a written table: both branches below read it
     marked = stored(map_arrow(docs, run, schema), "minmax-marked")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    alone = marked.where("not _marked").select(*names)
-    rest = marked.where("_marked").join(found.nodes.select(F.col("node").alias("_node"), F.col("component_id").alias("_component"), F.col("label").alias("_label")), "_node", "left")
-    false_alarm = rest.where("_label is null").select(*names)
-    first = (rest.where(F.col("_label").isNotNull() & F.col(f"`{key}`").eqNullSafe(F.col("_component")))
-             .groupBy("_label").agg(F.min_by(F.struct(*names), F.col("_node")).alias("_row")).select("_row.*"))
+    alone = marked.where(~F.col(mark)).select(*names)
+    classes = found.nodes.select(F.col("node").alias(node), F.col("component_id").alias(component), F.col("label").alias(label))
+    rest = marked.where(F.col(mark)).join(classes, node, "left")
+    false_alarm = rest.where(F.col(label).isNull()).select(*names)
+    first = (rest.where(F.col(label).isNotNull() & F.col(f"`{key}`").eqNullSafe(F.col(component)))
+             .groupBy(label).agg(F.min_by(F.struct(*names), F.struct(node, F.xxhash64(*names))).alias("row")).select("row.*"))
     return alone.unionByName(false_alarm).unionByName(first)

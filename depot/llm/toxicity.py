@@ -1,11 +1,12 @@
 """Toxicity severity by cumulative-link ordinal regression.
 
 Grades 0 (clean) to 3 come from binary labels: a toxic document's grade is
-the tercile of its share of words that set toxic labelled documents apart.
+the tercile, among toxic labelled documents, of the amount (sum of log counts)
+of terms that set these apart.
 One weight vector is shared by all ordered thresholds,
 P(grade >= j) = sigmoid(w.x - theta_j) with rising theta, fitted by maximum
 likelihood with an L2 penalty; the severity is the expected grade, the sum of
-these probabilities.  Features are log counts of selected words.
+these probabilities.  Features are log counts of selected words and word stems.
 
 The model is fitted on at most about ``max_labelled`` labelled documents (a
 hash sample of the labels); every document is scored.
@@ -21,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, map_arrow, scan_words, stored
+from depot.llm.common import byte_slices, map_arrow, prefix_hashes, scan_words, stored
 
 GRADES = 4
+PREFIXES = (4, 5, 6)
+MIN_RATIO = 16.0                           # log-likelihood ratio of a selected term
 
 
 class Model(NamedTuple):
@@ -32,16 +35,31 @@ class Model(NamedTuple):
     theta: np.ndarray           # GRADES - 1 rising thresholds
 
 
-def _word_counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words, distinct hashes, counts) of each text."""
-    words, _, _, at = scan_words(texts, lower=True, letters_only=True)
-    for i in range(len(at) - 1):
-        own, n = np.unique(words[at[i]:at[i + 1]], return_counts=True)
-        yield int(at[i + 1] - at[i]), own, n
+def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term hashes, text of each term, words of each text): every word, and
+    its first 4, 5 and 6 bytes, so that a stem counts whatever its ending."""
+    words, starts, ends, at = scan_words(texts, lower=True, letters_only=True)
+    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    terms, owner = [words], [text]
+    for size in PREFIXES:
+        p = prefix_hashes(texts, starts, ends, size)
+        terms.append(p[p != 0])
+        owner.append(text[p != 0])
+    return np.concatenate(terms), np.concatenate(owner), np.diff(at)
+
+
+def _term_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct terms, counts) of each text."""
+    terms, owner, sizes = _terms(texts)
+    order = np.argsort(owner, kind="stable")
+    at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
+    for i in range(len(sizes)):
+        own, n = np.unique(terms[order[at[i]:at[i + 1]]], return_counts=True)
+        yield own, n
 
 
 def labelled_counts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFrame:
-    """``toxic``, ``n_words`` and word counts of a bounded sample of labelled documents.
+    """``toxic`` and term counts of a bounded sample of labelled documents.
 
     Labels without id or verdict are left out; of repeated labels the highest counts."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -50,21 +68,21 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
         known = known.where(F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(n)) < max_labelled)
     # broadcast of a proven size: about max_labelled rows of 12 bytes
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("toxic", "text")
-    schema = "toxic int, n_words long, words binary, counts binary"
+    schema = "toxic int, words binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in byte_slices(batch, "text", 4 << 20):
-                got = list(_word_counts(b.column("text")))
+                got = list(_term_counts(b.column("text")))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("toxic"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1].tobytes() for g in got], pa.binary()),
-                     pa.array([g[2].astype(np.int32).tobytes() for g in got], pa.binary())], ["toxic", "n_words", "words", "counts"])
+                    [b.column("toxic"), pa.array([g[0].tobytes() for g in got], pa.binary()),
+                     pa.array([g[1].astype(np.int32).tobytes() for g in got], pa.binary())], ["toxic", "words", "counts"])
 
     return stored(map_arrow(rows, run, schema), "toxicity-labelled")
 
 
-def _select(sample: DataFrame, features: int, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and z-scores of the words whose document share differs most between the labels."""
+def _select(sample: DataFrame, features: int, min_docs: int) -> np.ndarray:
+    """Sorted hashes of the terms that set toxic documents apart most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             toxic = b.column("toxic").to_numpy()
@@ -80,17 +98,15 @@ def _select(sample: DataFrame, features: int, min_docs: int) -> tuple[np.ndarray
     totals = sample.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     n_bad, n_good = float(totals[0] or 0), float(totals[1] - (totals[0] or 0))
     if not n_bad or not n_good:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    odds = lambda a, n: F.log((F.col(a) + 0.5) / (F.lit(n) - F.col(a) + 0.5))
-    var = sum((1 / (F.col(a) + 0.5) + 1 / (F.lit(n) - F.col(a) + 0.5) for a, n in (("bad", n_bad), ("good", n_good))), F.lit(0.0))
+        return np.zeros(0, np.uint64)
+    # signed log-likelihood ratio of the term's documents being toxic more often than documents are
+    every, share = F.col("bad") + F.col("good"), n_bad / (n_bad + n_good)
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (every * F.lit(p)))).otherwise(F.lit(0.0))
+    ratio = 2 * (part(F.col("bad"), share) + part(F.col("good"), 1 - share))
     rows = (map_arrow(sample, run, "word long, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-            .where(F.col("bad") + F.col("good") >= min_docs)
-            .withColumn("z", (odds("bad", n_bad) - odds("good", n_good)) / F.sqrt(var))
-            .where(F.abs("z") >= 3).orderBy(F.abs("z").desc(), "word").limit(features).select("word", "z").collect())
-    words = np.array([r.word for r in rows], np.int64).view(np.uint64)
-    z = np.array([r.z for r in rows])
-    order = np.argsort(words)
-    return words[order], z[order]
+            .where((F.col("bad") >= min_docs) & (F.col("bad") > every * F.lit(share)))
+            .withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "word").limit(features).select("word").collect())
+    return np.sort(np.array([r.word for r in rows], np.int64).view(np.uint64))
 
 
 def _lookup(words: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,9 +122,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: np.ndarray, features: int,
-                l2: float = 2.0, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of the proportional-odds model on a sparse matrix
-    (row, column, value), by Adam on the penalised log likelihood."""
+                l2: float = 0.5, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (none negative) and thresholds of the proportional-odds model on a
+    sparse matrix (row, column, value), by Adam on the penalised log likelihood."""
     n, cuts = len(grade), GRADES - 1
     w = np.zeros(features)
     # start from the marginal shares; gaps are kept positive by a logarithm
@@ -130,13 +146,14 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: n
                             [d_theta.sum()], np.exp(p[features + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]]) / n
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        np.maximum(p[:features], 0, out=p[:features])       # a toxic term never lowers the severity
     return p[:features], p[features] + np.concatenate([[0], np.cumsum(np.exp(p[features + 1:]))])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, features: int = 4096, min_docs: int = 5) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, features: int = 4096, min_docs: int = 4) -> Model:
     """Fit the model.  Without toxic or without clean labels nothing is toxic."""
     sample = labelled_counts(docs, labels, max_labelled)
-    words, z = _select(sample, features, min_docs)
+    words = _select(sample, features, min_docs)
     if not len(words):
         return Model(np.zeros(1, np.uint64), np.zeros(1), np.full(GRADES - 1, 50.0))
 
@@ -146,31 +163,30 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, featur
             for x, c in zip(b.column("words").to_pylist(), b.column("counts").to_pylist()):
                 at, hit = _lookup(words, np.frombuffer(x, np.uint64))
                 out.append((at.astype(np.int32).tobytes(), np.frombuffer(c, np.int32)[hit].tobytes()))
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("n_words"), pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())],
-                                             ["toxic", "n_words", "at", "counts"])
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())],
+                                             ["toxic", "at", "counts"])
 
-    got = map_arrow(sample, sparse, "toxic int, n_words long, at binary, counts binary").collect()      # about max_labelled rows
+    got = map_arrow(sample, sparse, "toxic int, at binary, counts binary").collect()      # about max_labelled rows
     at = [np.frombuffer(r["at"], np.int32) for r in got]
     rows, cols = np.repeat(np.arange(len(got)), [len(x) for x in at]), np.concatenate(at)
     counts = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in got])
     toxic = np.array([r.toxic for r in got]) > 0
-    density = np.bincount(rows, weights=counts * (z[cols] > 0), minlength=len(got)) / np.maximum([r.n_words for r in got], 1)
-    cuts = np.quantile(density[toxic], [1 / 3, 2 / 3])
-    grade = np.where(toxic, 1 + np.searchsorted(cuts, density), 0)
+    amount = np.bincount(rows, weights=np.log1p(counts), minlength=len(got))
+    cuts = np.quantile(amount[toxic], [1 / 3, 2 / 3])
+    grade = np.where(toxic, 1 + np.searchsorted(cuts, amount), 0)
     w, theta = fit_ordinal(rows, cols, np.log1p(counts), grade, len(words))
     return Model(words, w, theta)
 
 
 def severity(texts: pa.Array, model: Model) -> np.ndarray:
     """P(grade >= 1), P(grade >= 2), ... of each text: an array of n x 3."""
-    words, _, _, at = scan_words(texts, lower=True, letters_only=True)
+    terms, owner, sizes = _terms(texts)
     near = np.zeros(1 << 16, bool)
     near[(model.words & np.uint64(0xFFFF)).astype(np.int64)] = True
-    maybe = np.flatnonzero(near[(words & np.uint64(0xFFFF)).astype(np.int64)])
-    place, hit = _lookup(model.words, words[maybe])
-    text = np.searchsorted(at, maybe[hit], side="right") - 1
-    cell, n = np.unique(text * len(model.words) + place, return_counts=True)
-    eta = np.bincount(cell // len(model.words), weights=np.log1p(n) * model.weights[cell % len(model.words)], minlength=len(at) - 1)
+    maybe = np.flatnonzero(near[(terms & np.uint64(0xFFFF)).astype(np.int64)])
+    place, hit = _lookup(model.words, terms[maybe])
+    cell, n = np.unique(owner[maybe[hit]] * len(model.words) + place, return_counts=True)
+    eta = np.bincount(cell // len(model.words), weights=np.log1p(n) * model.weights[cell % len(model.words)], minlength=len(sizes))
     return _sigmoid(eta[:, None] - model.theta[None, :])
 
 
