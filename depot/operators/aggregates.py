@@ -4,6 +4,7 @@ broadcast (size 1 by construction), never an unpartitioned window."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,15 +22,11 @@ def exact_percentile(df: DataFrame, col: str, p: float, tie_cols: Sequence[str]
     spread a hot value over several ranges (they do not change the result)."""
     vals = df.select(F.col(col).cast("double").alias("_x"), *tie_cols).filter(F.col("_x").isNotNull())
     ranked = dense_keys(vals, ["_x", *tie_cols], "_r")
-    n = vals.agg(F.count(F.lit(1)).alias("_n"))
-    rn = F.lit(p) * (F.col("_n") - 1)              # 0-based position, as percentile() uses
-    bounds = n.select((F.floor(rn) + 1).cast("long").alias("_lo"), (F.ceil(rn) + 1).cast("long").alias("_hi"),
-                      (rn - F.floor(rn)).alias("_frac"))
-    pick = ranked.join(F.broadcast(bounds), (F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
-    return pick.agg(
-        (F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x")))
-         + F.first("_frac") * (F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_x")))
-                               - F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x"))))).alias("value"))
+    n = ranked.count()                              # of stored rows
+    rn = p * max(n - 1, 0)                          # 0-based position, as percentile() uses
+    lo, hi, frac = math.floor(rn) + 1, math.ceil(rn) + 1, rn - math.floor(rn)
+    at = lambda r: F.max(F.when(F.col("_r") == r, F.col("_x")))
+    return ranked.filter(F.col("_r").isin(lo, hi)).agg((at(lo) + F.lit(frac) * (at(hi) - at(lo))).alias("value"))
 
 
 def minmax_normalize(df: DataFrame, col: str, out: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 Dimension lookups are plain joins: Spark broadcasts a side only when its
 estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` (a checked
-bound) and otherwise shuffles both sides; AQE re-decides at run time.  An
-explicit ``broadcast`` hint is used only for inputs whose size is fixed by
-construction (literal tables, a handful of DCs x departments).
+bound) and otherwise shuffles both sides; AQE re-decides at run time.
 """
 
 from __future__ import annotations
@@ -37,23 +35,20 @@ def cross_literals(df: DataFrame, name: str, values: Sequence) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def range_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str,
-               bucket: str = "month", how: str = "inner") -> DataFrame:
-    """Rows of ``points`` whose ``at`` lies in [start, end] of an interval.
+def range_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, how: str = "inner") -> DataFrame:
+    """Rows of ``points`` whose date ``at`` lies in [start, end] of an interval.
 
-    Each interval is exploded into the ``bucket`` periods it touches, so the
-    match becomes an equi-join on the period plus a range filter: no nested
-    loop, and it scales when both sides are large.  An open end (null)
-    runs to the last point (a one-row aggregate, broadcast)."""
+    Each interval is exploded into its days, so the match is an equi-join on
+    the day: no nested loop, both sides may be large, and the keys are as many
+    as there are days (a hot day is split by the adaptive skew join).  An open
+    end (null) runs to the last point (a one-row aggregate); an interval that
+    ends before it starts has no days."""
     last = points.agg(F.max(at).alias("_last_point"))
-    iv = (intervals.crossJoin(F.broadcast(last))
-          .withColumn("_end_eff", F.coalesce(F.col(end), F.greatest(F.col("_last_point"), F.col(start))))
+    end_eff = F.coalesce(F.col(end), F.greatest(F.col("_last_point"), F.col(start)))
+    iv = (intervals.crossJoin(last).filter(F.col(start) <= end_eff)
+          .withColumn("_day", F.explode(F.sequence(F.col(start).cast("date"), end_eff.cast("date"), F.expr("INTERVAL 1 DAY"))))
           .drop("_last_point"))
-    iv = iv.withColumn("_bucket", F.explode(F.sequence(F.trunc(start, bucket), F.trunc("_end_eff", bucket),
-                                                       F.expr(f"INTERVAL 1 {bucket.upper()}"))))
-    pts = points.withColumn("_bucket", F.trunc(at, bucket))
-    cond = (pts["_bucket"] == iv["_bucket"]) & (pts[at] >= iv[start]) & (pts[at] <= iv["_end_eff"])
-    return pts.join(iv, cond, how).drop("_bucket", "_end_eff")
+    return points.join(iv, points[at] == iv["_day"], how).drop("_day")
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str,

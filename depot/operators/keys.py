@@ -1,22 +1,20 @@
 """Gap-free key assignment (dense 1..N ids) without a one-partition window.
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row into
-one task.  Here the order is cut into ranges first:
-
-1. a bounded sample of the key (sorted by Spark, so its order is Spark's
-   order) gives ``n-1`` boundaries; they become literals in the plan;
-2. every row gets its range number by binary search over the boundaries
-   (log2(n) comparisons: a CASE tree up to 512 bounds, an ``aggregate``
-   over one array literal beyond);
-3. per-range counts (a partial aggregate, ``n`` rows) give each range its
-   offset through a tiny window; the offsets are broadcast (size bound: n);
-4. ``row_number()`` inside each range + offset = global rank.
-
-Any monotone range function gives the same ids, so the sample only affects
-balance, never results.  Bounds use the leading sort column, or the first
-two when the sample shows a hot leading value, which is then split over
-several ranges.  Ids are a pure function of
-the data: a lost executor recomputes the same values.
+one task.  Here Spark's own range partitioning does the ordering:
+
+1. the input is stored once, so what stands upstream runs once however
+   often the rows are read again;
+2. ``repartitionByRange`` on all sort columns and ``sortWithinPartitions``
+   put the rows in global order (a hot leading value is split by the columns
+   after it); ``monotonically_increasing_id`` then holds the range number and
+   the position in the range, and the result is stored once;
+3. rows per range (a partial aggregate, one row per range) give each range
+   its offset; id = offset + position.
+
+Nothing is collected.  Ids are a function of the order alone: number and
+bounds of the ranges do not matter, and a lost executor reads stored rows.
+Assigning ids is an eager step (two writes to the shared scratch folder).
 """
 
 from __future__ import annotations
@@ -25,135 +23,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_TEMPORAL = (T.TimestampType, T.TimestampNTZType)
-
-
-def _monotone(df: DataFrame, name: str) -> Column:
-    """An order-preserving, tz-free form of a sort column for range bounds."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, _TEMPORAL):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c)
-    return c
-
-
-def _range_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of bounds <= key, found by binary search over bounds[lo:hi]
-    as a CASE tree (small bound lists: stays inside whole-stage codegen)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key >= bounds[mid], _range_expr(key, bounds, mid + 1, hi)).otherwise(
-        _range_expr(key, bounds, lo, mid))
 
+from depot.session import stored
 
-def _range_search(key: Column, bounds: list[Column]) -> Column:
-    """Number of bounds <= key by binary search over one array literal
-    (large bound lists: the plan carries a single array, and each row does
-    log2(n) comparisons inside ``aggregate``)."""
-    arr = F.array(*bounds)
-    n = len(bounds)
-    steps = max(1, n.bit_length())
-    init = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+_BITS = 33                                  # of the position in monotonically_increasing_id
 
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = (lo < hi) & (key >= F.element_at(arr, mid + 1))
-        return F.when(lo >= hi, acc).when(
-            go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(
-            F.struct(lo.alias("lo"), mid.alias("hi")))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
-
-def _sample_bounds(df: DataFrame, fields: list[Column], n_ranges: int, oversample: int, seed: int) -> list:
-    """Sorted bounded sample of the key fields: rows are dealt into
-    ``n_ranges x oversample`` random groups and each group keeps one random
-    member (``min_by`` on a random tag, combined map-side); one job."""
-    groups = min(n_ranges * oversample, 1 << 19)
-    keys = [f"k{i}" for i in range(len(fields))]
-    tagged = df.select(*fields, (F.rand(seed) * groups).cast("int").alias("_g"), F.rand(seed + 1).alias("_t"))
-    sample = (tagged.groupBy("_g").agg(F.min_by(F.struct(*keys), F.col("_t")).alias("_s")).select("_s.*"))
-    return [tuple(r) for r in sample.orderBy(*keys).collect()]     # at most n_ranges x oversample rows
-
-
-def range_bucket(df: DataFrame, order_cols: Sequence[str], n_ranges: int,
-                 oversample: int = 16, seed: int = 17, sample_from: DataFrame | None = None) -> Column:
-    """Column with the range number (0..n-1) of each row's sort key.
-
-    Bounds come from the leading sort column alone when its values are
-    spread (so sampling reads only that column, and upstream work that only
-    feeds later columns is pruned away).  When one leading value fills a
-    whole range in the sample (a hot key), the sample is redrawn on the
-    first two columns so the hot value is split over several ranges.  The
-    sample is sorted by Spark, so bounds follow Spark's own ordering."""
-    all_fields = [_monotone(df, c).alias(f"k{i}") for i, c in enumerate(order_cols)]
-    if n_ranges <= 1:
-        return F.lit(0)
-    # bounds may be drawn from any table with the same leading key columns
-    # (e.g. a stored input instead of a join result): ids stay exact, only
-    # the balance of the ranges depends on where the sample comes from
-    src = sample_from if sample_from is not None else df
-    src_cols = [c for c in order_cols if c in src.columns]
-    src_fields = [_monotone(src, c).alias(f"k{i}") for i, c in enumerate(src_cols)]
-    if not src_fields or src_cols != list(order_cols[:len(src_cols)]):
-        src, src_fields = df, all_fields
-    fields = all_fields[:1]
-    rows = _sample_bounds(src, src_fields[:1], n_ranges, oversample, seed)
-    if len(rows) < 2:
-        return F.lit(0)
-    step = max(1, len(rows) // n_ranges)
-    if len(all_fields) > 1:
-        counts: dict = {}
-        for r in rows:
-            counts[r] = counts.get(r, 0) + 1
-        if max(counts.values()) > step and len(src_fields) > 1:
-            fields = all_fields[:2]
-            rows = _sample_bounds(src, src_fields[:2], n_ranges, oversample, seed)
-            step = max(1, len(rows) // n_ranges)
-    picked = []
-    for j in range(step, len(rows), step):
-        r = rows[j]
-        if not picked or picked[-1] != r:
-            picked.append(r)
-    if not picked:
-        return F.lit(0)
-    key = F.struct(*fields)
-    types = [f.dataType for f in df.select(*fields).schema.fields]
-    bounds = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))])
-              for r in picked]
-    if len(bounds) <= 512:
-        return _range_expr(key, bounds, 0, len(bounds))
-    return _range_search(key, bounds)
+def _n_ranges(df: DataFrame, rows: int) -> int:
+    """Ranges by rows: 100,000 rows each while that does not exceed four
+    waves of tasks, up to 4,000,000 rows each beyond."""
+    waves = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-rows // 100_000), waves), -(-rows // 4_000_000))
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
-               n_ranges: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
+               n_ranges: int | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following the ascending order of
-    ``order_cols`` (which should be a total order for repeatable ids).
-
-    Range bounds use a prefix of the sort columns: a prefix of the order is
-    still monotone, so the ids are exact whatever the bounds are."""
-    spark = df.sparkSession
-    if n_ranges is None:
-        # one range per shuffle partition: a cluster sized for its data
-        # (thousands of partitions) gets thousands of ranges
-        n_ranges = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
-    rng = range_bucket(df, list(order_cols), n_ranges, sample_from=sample_from)
-    staged = df.withColumn("_rng", rng)
-    counts = staged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))
-    # n_ranges rows: a single-task window here is bounded by construction
-    offsets = counts.select(
-        "_rng",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_rng").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ``order_cols`` (nulls first; a total order gives repeatable ids)."""
+    staged = stored(df, "keys-input")
+    n = n_ranges or _n_ranges(staged, staged.count())
+    placed = stored(staged.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                    .withColumn("_place", F.monotonically_increasing_id()), "keys-ordered")
+    placed = placed.select(*df.columns, F.shiftright("_place", _BITS).alias("_range"),
+                           F.col("_place").bitwiseAND(F.lit((1 << _BITS) - 1)).alias("_at"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: a single-task window of bounded size
+    offsets = (placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    w = Window.partitionBy("_rng").orderBy(*order_cols)
-    return (staged.join(F.broadcast(offsets), "_rng")
-            .withColumn(id_col, (F.col("_off") + F.row_number().over(w) - 1 + start_col).cast("long"))
-            .drop("_rng", "_off"))
+    return (placed.join(offsets, "_range")
+            .withColumn(id_col, (F.col("_off") + F.col("_at") + start_col).cast("long"))
+            .drop("_range", "_at", "_off"))

@@ -7,6 +7,7 @@ SQL engine can reproduce it exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,11 +34,11 @@ def fraction_sample(df: DataFrame, frac: float, key_cols: Sequence[str], seed: i
 
 def sample_exact_fraction(df: DataFrame, rate: float, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly max(1, round(n x rate)) rows (F4): rows ranked by the keyed
-    draw with the range-partitioned dense rank; the cut comes from a one-row
-    count joined back, so n is never pulled to the driver."""
+    draw with the range-partitioned dense rank, and a filter on the rank (the
+    row count is one number)."""
     ranked = dense_keys(df.withColumn("_u", keyed_uniform(seed, "exact", *key_cols)), ["_u", *key_cols], "_rank")
-    k = df.agg(F.greatest(F.lit(1), F.round(F.count(F.lit(1)) * F.lit(rate))).cast("long").alias("_k"))
-    return ranked.join(F.broadcast(k), F.col("_rank") <= F.col("_k")).drop("_u", "_rank", "_k")
+    k = max(1, math.floor(ranked.count() * rate + 0.5))
+    return ranked.filter(F.col("_rank") <= k).drop("_u", "_rank")
 
 
 def weighted_sample(df: DataFrame, group_cols: Sequence[str], weight_col: str, k: int,

@@ -24,7 +24,7 @@ def company_driver_rates(rates: DataFrame) -> DataFrame:
     ltl_min = (long.filter(F.col("carrier_type") == "LTL").groupBy("cost_type")
                .agg(F.min("rate_amount").alias("_ltl_min")))
     floor = F.create_map(*[F.lit(x) for kv in LTL_FLOOR.items() for x in kv])
-    j = long.join(F.broadcast(ltl_min), "cost_type", "left")   # at most three rows
+    j = long.join(ltl_min, "cost_type", "left")
     company = F.col("carrier_type") == "company"
     rate = F.when(company, F.coalesce(F.col("_ltl_min").cast("decimal(12,4)"),
                                       floor[F.col("cost_type")].cast("decimal(12,4)"))
@@ -58,7 +58,7 @@ def build_labor_costs(dcs: DataFrame, weeks: DataFrame, orders: DataFrame,
     week whose load exceeds ``overtime_share_threshold`` is Overtime (x1.5
     rate); cost = hours x rate; headcount = max(1, floor(hours / 40))."""
     dd = cross_literals(dcs.select("dc_id", "capacity_units"), "department", list(R.DEPARTMENT_BASE_HOURS))
-    grid = weeks.crossJoin(F.broadcast(dd))              # DCs x departments: fixed, tiny
+    grid = weeks.crossJoin(dd)                           # the plan has a row for each by definition
     load = weekly_load(orders)
     g = grid.join(load, ["dc_id", "week_start_date"], "left").withColumn(
         "load_factor", F.coalesce(F.col("load_factor"), F.lit(1.0)))

@@ -12,6 +12,8 @@ from depot import config as C
 from depot.functions import rules as R
 from depot.functions.draws import keyed_uniform
 from depot.operators.keys import dense_keys
+from depot.operators.windows import seq_within
+from depot.session import stored
 
 
 def reps_by_region(reps: DataFrame) -> DataFrame:
@@ -47,22 +49,32 @@ def contact_reps(customers: DataFrame, reps: DataFrame, seed: int = C.SEED) -> D
     the region has none) and a secondary rep (another rep of the region,
     else any other rep, else any) for every customer (C10, D7).
 
-    Rep lists are small dimension arrays, broadcast to the customers; no
-    customer x rep pairs are formed."""
-    by_region = reps_by_region(reps)
-    everyone = reps.agg(F.sort_array(F.collect_list("rep_id")).alias("all_ids"))
-    c = (customers.select("customer_id", "segment", "is_sub", "region")
-         .join(F.broadcast(by_region), "region", "left")
-         .crossJoin(F.broadcast(everyone)))
-    pool = F.coalesce(F.col("rep_ids"), F.col("all_ids"))
-    c = c.withColumn("_pool", pool).withColumn(
-        "primary_rep_id", F.element_at("_pool", (F.pmod(F.col("customer_id"), F.size("_pool")) + 1).cast("int")))
-    p1 = F.array_remove("_pool", F.col("primary_rep_id"))
-    p2 = F.array_remove("all_ids", F.col("primary_rep_id"))
-    c = c.withColumn("_pool2", F.when(F.size(p1) > 0, p1).when(F.size(p2) > 0, p2).otherwise(F.col("all_ids")))
+    Reps are ranked once per region and once over all; a customer's choice is
+    a place in such a ranking, met by an equi-join on (pool, place).  No list
+    of reps is collected and no customer x rep pairs are formed."""
+    every = dense_keys(reps.select("rep_id", "region"), ["rep_id"], "_all")
+    regional = seq_within(every, ["region"], ["rep_id"], "_own")
+    name = F.concat(F.lit("region/"), F.col("region"))
+    pools = stored(regional.select(name.alias("_pool"), (F.col("_own") - 1).alias("_at"), "rep_id", (F.col("_all") - 1).alias("_all_at"))
+                   .unionByName(every.select(F.lit("all").alias("_pool"), (F.col("_all") - 1).alias("_at"), "rep_id", (F.col("_all") - 1).alias("_all_at"))),
+                   "rep-pools")
+    sizes = pools.groupBy("_pool").agg(F.count(F.lit(1)).alias("_size"))
+    total = pools.filter("_pool = 'all'").agg(F.count(F.lit(1)).alias("_total"))
+    c = (customers.select("customer_id", "segment", "is_sub", name.alias("_region"))
+         .join(sizes.select(F.col("_pool").alias("_region"), "_size"), "_region", "left").crossJoin(total))
+    c = (c.withColumn("_pool", F.when(F.col("_size").isNotNull(), F.col("_region")).otherwise("all"))
+         .withColumn("_size", F.coalesce("_size", "_total")).withColumn("_at", F.expr("pmod(customer_id, _size)")))
+    c = c.join(pools.withColumnRenamed("rep_id", "primary_rep_id"), ["_pool", "_at"])
+    # the secondary: a place among the others of the pool, else among all others, else the one rep there is
     u = keyed_uniform(seed, "rep2", "customer_id")
-    return c.select("customer_id", "segment", "is_sub", "primary_rep_id",
-                    F.element_at("_pool2", (F.floor(u * F.size("_pool2")) + 1).cast("int")).alias("secondary_rep_id"))
+    own, other = F.floor(u * (F.col("_size") - 1)), F.floor(u * (F.col("_total") - 1))
+    skip = lambda place, taken: place + F.when(place >= taken, 1).otherwise(0)
+    c = c.select("customer_id", "segment", "is_sub", "primary_rep_id",
+                 F.when(F.col("_size") > 1, F.col("_pool")).otherwise("all").alias("_pool"),
+                 F.when(F.col("_size") > 1, skip(own, F.col("_at")))
+                 .when(F.col("_total") > 1, skip(other, F.col("_all_at"))).otherwise(F.lit(0)).cast("long").alias("_at"))
+    return (c.join(pools.select("_pool", "_at", F.col("rep_id").alias("secondary_rep_id")), ["_pool", "_at"])
+            .select("customer_id", "segment", "is_sub", "primary_rep_id", "secondary_rep_id"))
 
 
 def build_customer_contacts(customers: DataFrame, reps: DataFrame, as_of: _dt.date = C.AS_OF,
@@ -79,5 +91,5 @@ def build_customer_contacts(customers: DataFrame, reps: DataFrame, as_of: _dt.da
                       F.lit("Inside Sales").alias("role"),
                       F.date_sub(F.lit(as_of), (F.col("customer_id") * 7 % 181).cast("int")).alias("last_contact_date")))
     both = first.unionByName(second)
-    return dense_keys(both, ["customer_id", "seq"], "contact_id", sample_from=customers.select("customer_id")).select(
+    return dense_keys(both, ["customer_id", "seq"], "contact_id").select(
         "contact_id", "customer_id", "rep_id", "role", "last_contact_date")

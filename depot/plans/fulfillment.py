@@ -17,9 +17,11 @@ from depot.operators.keys import dense_keys
 
 # ---------------------------------------------------------------- I1
 def build_order_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
-                      items: DataFrame) -> DataFrame:
+                      items: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Priced order lines: list price x (1 - customer discount %), 2 dp;
-    extended = unrounded price x qty, 2 dp.  Missing customer -> no discount."""
+    extended = unrounded price x qty, 2 dp.  Missing customer -> no discount.
+    ``carry`` names item columns to keep on the line, so that a later step
+    need not join the items again."""
     disc = customers.select("customer_id", F.col("discount_percentage").cast("decimal(5,2)").alias("_d"))
     factor = F.greatest(F.lit(0).cast("decimal(5,4)"),
                         F.lit(1).cast("decimal(5,4)") - F.coalesce(F.col("_d"), F.lit(0).cast("decimal(5,2)"))
@@ -29,8 +31,8 @@ def build_order_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
     return (lines.select(*ids, "order_id", "item_id", "quantity_ordered")
             .join(orders.select("order_id", "customer_id"), "order_id", "left")
             .join(disc, "customer_id", "left")
-            .join(items.select("item_id", F.col("unit_price").alias("list_price")), "item_id", "left")
-            .select(*ids, "order_id", "item_id", "quantity_ordered",
+            .join(items.select("item_id", F.col("unit_price").alias("list_price"), *carry), "item_id", "left")
+            .select(*ids, *carry, "order_id", "item_id", "quantity_ordered",
                     F.col("quantity_ordered").alias("quantity_shipped"),
                     F.round(price, 2).cast("decimal(12,2)").alias("unit_price"),
                     F.round(price * F.col("quantity_ordered"), 2).cast("decimal(14,2)").alias("extended_price")))
@@ -40,32 +42,34 @@ def build_order_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
 def build_shipment_lines(shipments: DataFrame, lines: DataFrame, items: DataFrame,
                          carriers: DataFrame, orders: DataFrame,
                          upcharge_weight: float = C.UPCHARGE_WEIGHT_LB,
-                         upcharge: float = C.UPCHARGE_AMOUNT, start_id=1) -> DataFrame:
-    """One shipment line per order line of each shipment."""
+                         upcharge: float = C.UPCHARGE_AMOUNT, start_id=1, with_ids: bool = True) -> DataFrame:
+    """One shipment line per order line of each shipment.
+    Without ``with_ids`` there is no ranking pass, and no ``shipment_line_id``
+    or ``carton_number``; the other columns are the same."""
     base = (lines.select("order_line_id", "order_id", "item_id", "quantity_ordered")
             .join(shipments.select("shipment_id", "order_id", "dc_id", "carrier_id", "shipment_type"),
                   "order_id")
             .join(orders.select("order_id", "customer_id"), "order_id", "left")
             .join(items.select("item_id", "weight_lb", F.col("cube_ft").cast("decimal(12,4)").alias("cube_ft")),
                   "item_id", "left")
-            # carriers: a fixed literal dimension (10 rows)
-            .join(F.broadcast(carriers.select("carrier_id", "carrier_type")), "carrier_id", "left"))
-    per_ship = base.groupBy("shipment_id").agg(
+            .join(carriers.select("carrier_id", "carrier_type"), "carrier_id", "left"))
+    # one global rank serves as the line id and, minus the order's first
+    # rank, as the carton sequence within the order; the ranked rows are
+    # stored, so the rollups below do not run the joins again
+    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id", start=start_id) if with_ids else base
+    per_ship = keyed.groupBy("shipment_id").agg(
         F.sum(F.col("weight_lb") * F.col("quantity_ordered")).alias("_ship_weight"),
         F.min("order_line_id").alias("_first_line"))
-    # one global rank serves as the line id and, minus the order's first
-    # rank, as the carton sequence within the order
-    keyed = dense_keys(base, ["order_id", "order_line_id", "shipment_id"], "shipment_line_id", start=start_id,
-                       sample_from=lines.select("order_id", "order_line_id"))
-    first = keyed.groupBy("order_id").agg(F.min("shipment_line_id").alias("_first_rank"))
-    out = (keyed.join(first, "order_id")
-           .withColumn("_carton_seq", F.col("shipment_line_id") - F.col("_first_rank") + 1)
-           .join(per_ship, "shipment_id", "left"))
+    ids, carton = [], []
+    if with_ids:
+        first = keyed.groupBy("order_id").agg(F.min("shipment_line_id").alias("_first_rank"))
+        keyed = keyed.join(first, "order_id").withColumn("_carton_seq", F.col("shipment_line_id") - F.col("_first_rank") + 1)
+        ids, carton = ["shipment_line_id"], [R.carton_code("order_id", "_carton_seq").alias("carton_number")]
+    out = keyed.join(per_ship, "shipment_id", "left")
     heavy = (F.col("order_line_id") == F.col("_first_line")) & (F.col("_ship_weight") > upcharge_weight)
     return out.select(
-        "shipment_line_id", "shipment_id", "order_line_id", "item_id",
-        F.col("quantity_ordered").alias("quantity_shipped"),
-        R.carton_code("order_id", "_carton_seq").alias("carton_number"),
+        *ids, "shipment_id", "order_line_id", "item_id",
+        F.col("quantity_ordered").alias("quantity_shipped"), *carton,
         F.round(F.col("weight_lb") * F.col("quantity_ordered"), 3).cast("decimal(14,3)").alias("line_weight_lb"),
         F.round(F.col("cube_ft") * F.col("quantity_ordered"), 4).cast("decimal(16,4)").alias("line_cube_ft"),
         F.when(heavy, F.lit(upcharge)).otherwise(F.lit(0.0)).cast("decimal(8,2)").alias("freight_upcharge"),
@@ -123,14 +127,15 @@ def build_shipments(shipments: DataFrame, shipment_lines: DataFrame, items: Data
 MILESTONES = C.MILESTONES
 
 
-def tracking_milestones(shipments: DataFrame, dcs: DataFrame) -> DataFrame:
-    """Four milestone rows per shipment at ship date + 0/6/12/18 h (H1)."""
+def tracking_milestones(shipments: DataFrame, dcs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Four milestone rows per shipment at ship date + 0/6/12/18 h (H1);
+    ``carry`` names shipment columns to keep."""
     steps = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(h).alias("h"), F.lit(e).alias("event_type"),
                                F.lit(t).alias("location_type")) for i, h, e, t in MILESTONES])
-    return (shipments.select("shipment_id", "dc_id", "ship_date")
+    return (shipments.select("shipment_id", "dc_id", "ship_date", *carry)
             .join(dcs.select("dc_id", "city", "state", "zip"), "dc_id", "left")
             .select("*", F.explode(steps).alias("m"))
-            .select("shipment_id",
+            .select(*carry, "shipment_id",
                     F.col("m.k").alias("milestone_seq"),
                     (F.col("ship_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("m.h")))
                     .alias("event_timestamp"),
@@ -143,7 +148,7 @@ def build_tracking_events(shipments: DataFrame, dcs: DataFrame, start_id=1) -> D
     """Milestone log with ids continuing from ``start_id`` (I4): ids are
     ranked over shipments (4 per shipment), then expanded."""
     ranked = dense_keys(shipments.select("shipment_id", "dc_id", "ship_date"), ["shipment_id"], "_srank")
-    ev = tracking_milestones(ranked, dcs).join(ranked.select("shipment_id", "_srank"), "shipment_id")
+    ev = tracking_milestones(ranked, dcs, ("_srank",))
     start = start_id if not isinstance(start_id, int) else F.lit(start_id)
     return ev.select(((F.col("_srank") - 1) * 4 + F.col("milestone_seq") + start).cast("long")
                      .alias("tracking_event_id"),
@@ -174,22 +179,26 @@ def invoice_freight(order_lines: DataFrame, items: DataFrame, base: float = C.FR
     return agg.select("order_id", F.greatest(F.lit(0), F.round(f, 2)).cast("decimal(14,2)").alias("freight_billed"))
 
 
-def order_totals(order_lines: DataFrame, items: DataFrame, base: float = C.FREIGHT_BASE,
-                 per_cuft: float = C.FREIGHT_PER_CUFT, per_50lb: float = C.FREIGHT_PER_50LB) -> DataFrame:
-    """Merchandise (D5) and freight (D6) per order in one aggregate pass
-    (one shuffle of the lines instead of two)."""
-    j = (order_lines.select("order_id", "item_id", "quantity_ordered", "unit_price")
-         .join(items.select("item_id", "cube_ft", "weight_lb"), "item_id", "left"))
+def order_totals(order_lines: DataFrame, items: DataFrame | None = None, base: float = C.FREIGHT_BASE,
+                 per_cuft: float = C.FREIGHT_PER_CUFT, per_50lb: float = C.FREIGHT_PER_50LB, extra: dict | None = None) -> DataFrame:
+    """Merchandise (D5) and freight (D6) per order, and any ``extra`` sums,
+    in one aggregate pass.  Lines that carry ``cube_ft`` and ``weight_lb``
+    need no items table."""
+    j = order_lines
+    if "cube_ft" not in j.columns:
+        j = (j.select("order_id", "item_id", "quantity_ordered", "unit_price")
+             .join(items.select("item_id", "cube_ft", "weight_lb"), "item_id", "left"))
     cube = F.coalesce(F.col("cube_ft").cast("decimal(12,4)"), F.lit(C.FREIGHT_DEFAULT_CUBE).cast("decimal(12,4)"))
     wt = F.coalesce(F.col("weight_lb").cast("decimal(12,4)"), F.lit(C.FREIGHT_DEFAULT_WEIGHT).cast("decimal(12,4)"))
+    more = [c.alias(n) for n, c in (extra or {}).items()]
     agg = j.groupBy("order_id").agg(
         F.sum(F.col("quantity_ordered") * F.col("unit_price").cast("decimal(12,2)")).cast("decimal(18,2)")
         .alias("merchandise_total"),
-        F.sum(cube * F.col("quantity_ordered")).alias("tc"), F.sum(wt * F.col("quantity_ordered")).alias("tw"))
+        F.sum(cube * F.col("quantity_ordered")).alias("tc"), F.sum(wt * F.col("quantity_ordered")).alias("tw"), *more)
     f = (F.lit(base).cast("decimal(8,2)") + F.col("tc") * F.lit(per_cuft).cast("decimal(8,4)")
          + F.col("tw") * F.lit(per_50lb / 50.0).cast("decimal(10,6)"))
     return agg.select("order_id", "merchandise_total",
-                      F.greatest(F.lit(0), F.round(f, 2)).cast("decimal(14,2)").alias("freight_billed"))
+                      F.greatest(F.lit(0), F.round(f, 2)).cast("decimal(14,2)").alias("freight_billed"), *(extra or {}))
 
 
 def payment_terms(order_id) -> dict:
@@ -202,12 +211,14 @@ def payment_terms(order_id) -> dict:
     return {"payment_terms": name, "terms_days": days, "early_pay_share": disc}
 
 
-def build_invoices(orders: DataFrame, order_lines: DataFrame, customers: DataFrame, items: DataFrame,
+def build_invoices(orders: DataFrame, order_lines: DataFrame, customers: DataFrame, items: DataFrame | None = None,
                    seed: int = C.SEED, discount_taken_rate: float = C.DISCOUNT_TAKEN_RATE,
-                   invoice_lag_days: int = C.INVOICE_LAG_DAYS) -> DataFrame:
+                   invoice_lag_days: int = C.INVOICE_LAG_DAYS, totals: DataFrame | None = None) -> DataFrame:
     """One invoice per order that has lines (C13): merchandise + freight + tax
-    - early-pay discount, 2 dp (I5).  invoice_id = order_id."""
-    totals = order_totals(order_lines, items)
+    - early-pay discount, 2 dp (I5).  invoice_id = order_id.  ``totals``:
+    order totals made before (columns beyond the two sums are kept)."""
+    totals = order_totals(order_lines, items) if totals is None else totals
+    kept = [c for c in totals.columns if c not in ("order_id", "merchandise_total", "freight_billed")]
     terms = payment_terms("order_id")
     taken = keyed_uniform(seed, "discount", "order_id") < discount_taken_rate
     base = (orders.select("order_id", "customer_id", "order_date")
@@ -227,7 +238,7 @@ def build_invoices(orders: DataFrame, order_lines: DataFrame, customers: DataFra
         "merchandise_total", "freight_billed",
         tax.cast("decimal(14,2)").alias("tax_amount"),
         disc.cast("decimal(14,2)").alias("discount_amount"),
-        terms["payment_terms"].alias("payment_terms"))
+        terms["payment_terms"].alias("payment_terms"), *kept)
     return out.withColumn("total_amount", F.round(F.col("merchandise_total") + F.col("freight_billed")
                                                   + F.col("tax_amount") - F.col("discount_amount"), 2)
                           .cast("decimal(16,2)"))
@@ -236,11 +247,12 @@ def build_invoices(orders: DataFrame, order_lines: DataFrame, customers: DataFra
 # ---------------------------------------------------------------- I6, I7
 def build_ar_ledger(invoices: DataFrame, payments: DataFrame, customers: DataFrame,
                     as_of: _dt.date = C.AS_OF, posting_lag_days: int = C.POSTING_LAG_DAYS,
-                    default_risk: float = 0.5) -> DataFrame:
+                    default_risk: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
     """Receivables from invoices and *given* payments (paid_ratio per invoice).
     Rules in order: balance, aging at ``as_of``, hold candidate, write-off
     candidate (which zeroes the balance and resets aging)."""
-    j = (invoices.select("invoice_id", "customer_id", "invoice_date", "due_date", "total_amount")
+    kept = [c for c in carry if c in invoices.columns]
+    j = (invoices.select("invoice_id", "customer_id", "invoice_date", "due_date", "total_amount", *kept)
          .join(payments.select("invoice_id", "paid_ratio"), "invoice_id", "left")
          .join(customers.select("customer_id", "risk_score"), "customer_id", "left"))
     due = F.col("total_amount").cast("decimal(16,2)")
@@ -261,20 +273,23 @@ def build_ar_ledger(invoices: DataFrame, payments: DataFrame, customers: DataFra
         F.when(wo, F.lit(0)).otherwise(F.col("days_past_due")).alias("days_past_due"),
         F.when(wo, F.lit("Current")).otherwise(R.aging_bucket("days_past_due")).alias("aging_bucket"),
         hold.alias("credit_hold_flag"),
-        F.when(wo, F.lit("Small Balance Write-off")).alias("writeoff_reason"))
+        F.when(wo, F.lit("Small Balance Write-off")).alias("writeoff_reason"), *kept)
 
 
 def ar_aging_summary(ledger: DataFrame) -> DataFrame:
-    """Open balance by customer x aging bucket, pivoted (I7).  The pivot
-    values are fixed, so Spark needs no extra pass to find them."""
-    return (ledger.groupBy("customer_id").pivot("aging_bucket", C.AGING_BUCKETS)
+    """Open balance by customer x aging bucket, pivoted (I7), with the
+    balances beyond the last bucket as ``bal_unknown``, so that nothing is
+    lost.  The pivot values are fixed: no extra pass to find them."""
+    return (ledger.withColumn("aging_bucket", F.when(F.col("aging_bucket").isin(C.AGING_BUCKETS), F.col("aging_bucket")).otherwise("Unknown"))
+            .groupBy("customer_id").pivot("aging_bucket", [*C.AGING_BUCKETS, "Unknown"])
             .agg(F.sum("balance").cast("decimal(18,2)"))
             .select("customer_id", *[F.coalesce(F.col(b), F.lit(0).cast("decimal(18,2)")).alias(
-                "bal_" + b.replace("-", "_").replace("+", "_plus").lower()) for b in C.AGING_BUCKETS]))
+                "bal_" + b.replace("-", "_").replace("+", "_plus").lower()) for b in [*C.AGING_BUCKETS, "Unknown"]]))
 
 
 # ---------------------------------------------------------------- I9
-def build_returns(eligible: DataFrame, returned: DataFrame, min_days: int = 5, max_days: int = 45) -> DataFrame:
+def build_returns(eligible: DataFrame, returned: DataFrame, min_days: int = 5, max_days: int = 45,
+                  with_ids: bool = True) -> DataFrame:
     """Returns of complete, shipped lines flagged as returned (I9): return
     date = first ship date + 5..45 days (by key), quantity checked to
     1..qty, credit by condition (B22), restock flag; dense ids."""
@@ -286,4 +301,4 @@ def build_returns(eligible: DataFrame, returned: DataFrame, min_days: int = 5, m
                    F.date_add("ship_date", delay).alias("return_date"), "reason_code", "condition_code",
                    "qty_returned", R.restock_flag("condition_code").alias("restock_flag"),
                    R.return_credit("unit_price", "qty_returned", "condition_code").alias("credit_amount"))
-    return dense_keys(out, ["order_line_id"], "return_id", sample_from=returned.select("order_line_id"))
+    return dense_keys(out, ["order_line_id"], "return_id") if with_ids else out

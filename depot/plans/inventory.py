@@ -76,7 +76,7 @@ def build_backorders(lines: DataFrame, orders: DataFrame, stock: DataFrame, item
                    F.when(filled, fill).alias("date_filled"),
                    F.when(filled, F.col("lead_time_days").cast("int")).alias("days_backordered"),
                    reason.alias("reason_code"), filled.alias("is_filled_flag"))
-    return dense_keys(out, ["order_line_id"], "backorder_id", sample_from=lines.select("order_line_id"))
+    return dense_keys(out, ["order_line_id"], "backorder_id")
 
 
 # ---------------------------------------------------------------- I10
@@ -88,7 +88,7 @@ def vendor_fill_rates(lines: DataFrame) -> DataFrame:
 
 
 def build_purchase_orders(stock: DataFrame, items: DataFrame, status: DataFrame, vendor_cost: DataFrame,
-                          fill_rates: DataFrame, partial_multiplier: float = 0.675) -> DataFrame:
+                          fill_rates: DataFrame, partial_multiplier: float = 0.675, with_ids: bool = True) -> DataFrame:
     """One purchase order per stock row with quantity on order (I10): cost
     fallback vendor-item cost -> last -> avg -> 0 (C4), lead time cleaned
     (default 7, at least 1), dates (B26), receipt quantity by status and
@@ -108,9 +108,9 @@ def build_purchase_orders(stock: DataFrame, items: DataFrame, status: DataFrame,
                  .alias("actual_receipt_date"))
     s = s.withColumn("qty_received", R.po_received_qty("po_status", F.col("qty_on_order").cast("int"), "fill_rate",
                                                        partial_multiplier))
-    keyed = dense_keys(s, ["dc_id", "item_id"], "purchase_order_id")
-    return keyed.select("purchase_order_id", R.po_number("dc_id", "purchase_order_id").alias("po_number"),
-                        "vendor_id", "dc_id", "item_id", "po_date", "expected_receipt_date", "actual_receipt_date",
+    keyed = dense_keys(s, ["dc_id", "item_id"], "purchase_order_id") if with_ids else s
+    ids = ["purchase_order_id", R.po_number("dc_id", "purchase_order_id").alias("po_number")] if with_ids else []
+    return keyed.select(*ids, "vendor_id", "dc_id", "item_id", "po_date", "expected_receipt_date", "actual_receipt_date",
                         F.col("qty_on_order").cast("int").alias("qty_ordered"), "qty_received", "unit_cost",
                         "po_status")
 
@@ -176,11 +176,12 @@ def build_slotting(dcs: DataFrame, items: DataFrame, pick_share_b: float = 0.6,
     it = dense_keys(it, ["slotting_rank", "item_id"], "_pos")
     it = dense_keys(it, ["item_id"], "_irank")
     n_items = items.agg(F.count(F.lit(1)).alias("_n"))
-    d = dense_keys(dcs.select("dc_id"), ["dc_id"], "_drank", n_ranges=1)       # one row per DC
-    grid = it.crossJoin(F.broadcast(d.crossJoin(n_items)))                     # DCs: fixed, tiny
+    d = dense_keys(dcs.select("dc_id"), ["dc_id"], "_drank")
+    grid = it.crossJoin(d.crossJoin(n_items))                                  # every DC slots every item
     p = F.col("_pos") - 1
-    pick_code = R.location_code(F.floor(p / 180) % 40 + 1, F.floor(p / 6) % 30 + 1, p % 6 + 1)
-    repl_code = R.location_code(F.floor(p / 300) % 40 + 1, F.floor(p / 10) % 30 + 1, p % 10 + 1)
+    # as many aisles as the items need: a location is never handed out twice
+    pick_code = R.location_code(F.floor(p / 180) + 1, F.floor(p / 6) % 30 + 1, p % 6 + 1)
+    repl_code = R.location_code(F.floor(p / 300) + 1, F.floor(p / 10) % 30 + 1, p % 10 + 1)
     u = keyed_uniform(seed, "pick", "dc_id", "item_id")
     has_pick = (F.col("velocity_class") == "A") | ((F.col("velocity_class") == "B") & (u < pick_share_b))
     return grid.select(((F.col("_drank") - 1) * F.col("_n") + F.col("_irank")).alias("slotting_id"),

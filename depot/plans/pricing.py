@@ -33,7 +33,7 @@ def build_price_history(lines: DataFrame, orders: DataFrame, with_ids: bool = Tr
                           ["item_id"], "effective_date")
     ids = ["price_history_id"] if with_ids else []      # the ranking pass runs only when ids are wanted
     if with_ids:
-        v = dense_keys(v, ["item_id", "effective_date"], "price_history_id", sample_from=lines.select("item_id"))
+        v = dense_keys(v, ["item_id", "effective_date"], "price_history_id")
     return v.select(*ids, "item_id", F.lit(None).cast("long").alias("customer_id"),
                     "effective_date", "end_date", "list_price",
                     F.lit(0).cast("decimal(5,2)").alias("discount_pct"),
@@ -69,8 +69,7 @@ def build_preferences(lines: DataFrame, orders: DataFrame, as_of, min_score: flo
     top = top_n(kept, ["customer_id"], [F.col("_score").desc(), F.col("item_id")], top_n_per_customer)
     ids = ["preference_id"] if with_ids else []
     # range bounds from the orders' customer ids: a scan, not the score pipeline
-    keyed = (dense_keys(top.withColumn("_neg", -F.col("_score")), ["customer_id", "_neg", "item_id"], "preference_id",
-                        sample_from=orders.select("customer_id"))
+    keyed = (dense_keys(top.withColumn("_neg", -F.col("_score")), ["customer_id", "_neg", "item_id"], "preference_id")
              if with_ids else top)
     return keyed.select(*ids, "customer_id", "item_id",
                         F.round("_score", 4).cast("decimal(10,4)").alias("preference_score"),
@@ -86,7 +85,7 @@ def contract_prices(preferences: DataFrame, price_history: DataFrame, quantile:
     from depot.operators.aggregates import exact_percentile
     from depot.operators.windows import latest_per_key
     thr = exact_percentile(preferences, "score_raw", quantile, tie_cols=["customer_id", "item_id"])
-    top = (preferences.join(F.broadcast(thr), F.col("score_raw") >= F.col("value"))   # thr: one row
+    top = (preferences.filter(F.col("score_raw") >= thr.select("value").scalar())
            .select("customer_id", "item_id").dropDuplicates())
     latest = latest_per_key(price_history.select("item_id", "effective_date", "list_price"), ["item_id"],
                             "effective_date")
@@ -128,7 +127,7 @@ def build_item_costs(price_history: DataFrame, items: DataFrame, cost_ratio: flo
                    F.col("shipping_cost_per_unit").cast("decimal(18,4)").alias("shipping_cost_per_unit"),
                    "freight_cost", "duty_rate", lc["landed_cost"].alias("landed_cost"),
                    lc["replacement_cost"].alias("replacement_cost"), lc["map_price"].alias("map_price"))
-    return dense_keys(out, ["item_id", "effective_date"], "item_cost_id", sample_from=items.select("item_id"))
+    return dense_keys(out, ["item_id", "effective_date"], "item_cost_id")
 
 
 # ---------------------------------------------------------------- I16, I15
@@ -171,5 +170,5 @@ def build_promo_orders(promotions: DataFrame, orders: DataFrame, rate: float = 1
     one = pick_one(j.select("order_id", "promo_id"), ["order_id"], "promo_id", seed)
     if rate < 1.0:
         one = fraction_sample(one, rate, ["order_id"], seed, "promo_tag")
-    return dense_keys(one, ["order_id"], "promo_order_id", sample_from=orders.select("order_id")).select(
+    return dense_keys(one, ["order_id"], "promo_order_id").select(
         "promo_order_id", "promo_id", "order_id")

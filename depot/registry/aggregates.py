@@ -93,7 +93,7 @@ FROM x_rfm""")
 def q_score_quantile(t):
     r = rfm(t)
     p = A.exact_percentile(r, "total_revenue", 0.8, tie_cols=["customer_id", "item_id"])
-    above = (r.join(F.broadcast(p), F.col("total_revenue").cast("double") >= F.col("value"))
+    above = (r.filter(F.col("total_revenue").cast("double") >= p.select("value").scalar())
              .agg(F.count(F.lit(1)).alias("n_at_or_above")))
     return p.crossJoin(above).select(F.round("value", 2).cast("decimal(18,2)").alias("p80"), "n_at_or_above")
 

@@ -17,10 +17,11 @@ AS_OF = C.AS_OF.isoformat()
 
 # ---- G2
 @register("concat_chunks", """
-SELECT shipment_id, CASE WHEN year(ship_date) < 1997 THEN 1 WHEN year(ship_date) < 2000 THEN 2 ELSE 3 END AS chunk
+SELECT shipment_id, CASE WHEN coalesce(year(ship_date), 0) < 1997 THEN 1 WHEN year(ship_date) < 2000 THEN 2 ELSE 3 END AS chunk
 FROM v_shipments""")
 def q_concat_chunks(t):
-    s = t.v_shipments.select("shipment_id", F.year("ship_date").alias("y"))
+    # the first chunk also takes the rows without a date
+    s = t.v_shipments.select("shipment_id", F.coalesce(F.year("ship_date"), F.lit(0)).alias("y"))
     chunks = [s.filter(F.col("y") < 1997).select("shipment_id", F.lit(1).alias("chunk")),
               s.filter((F.col("y") >= 1997) & (F.col("y") < 2000)).select("shipment_id", F.lit(2).alias("chunk")),
               s.filter(F.col("y") >= 2000).select("shipment_id", F.lit(3).alias("chunk"))]

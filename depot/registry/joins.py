@@ -35,7 +35,7 @@ def q_lookup_item_carrier(t):
          .join(t.v_shipments.select("order_id", "carrier_id"), "order_id"))
     j = J.lookup(j, t.v_items.select("item_id", F.col("weight_lb").cast("decimal(12,4)").alias("weight_lb"),
                                       F.col("cube_ft").cast("decimal(12,4)").alias("cube_ft")), "item_id")
-    j = J.lookup(j, F.broadcast(t.v_carriers.select("carrier_id", "carrier_type")), "carrier_id")
+    j = J.lookup(j, t.v_carriers.select("carrier_id", "carrier_type"), "carrier_id")
     return j.select("order_line_id", "weight_lb", "cube_ft", "carrier_type")
 
 
@@ -107,8 +107,7 @@ def q_range_join_promos(t):
 # ---- C7
 @register("cross_dc_item", "SELECT d.dc_id, i.item_id FROM v_dcs d CROSS JOIN v_items i")
 def q_cross_dc_item(t):
-    # the DC dimension is one row per nation: a fixed, tiny size
-    return t.v_items.select("item_id").crossJoin(F.broadcast(t.v_dcs.select("dc_id"))).select("dc_id", "item_id")
+    return t.v_items.select("item_id").crossJoin(t.v_dcs.select("dc_id")).select("dc_id", "item_id")
 
 
 # ---- C8
@@ -129,8 +128,7 @@ CROSS JOIN (SELECT CAST(unnest(generate_series(date_trunc('week', min(order_date
                    AS week_start_date FROM v_orders) w""")
 def q_cross_dc_dept_week(t):
     dd = J.cross_literals(t.v_dcs.select("dc_id"), "department", _DEPTS)
-    # DCs x departments is fixed and tiny: broadcast it over the weeks
-    return week_scaffold(t).crossJoin(F.broadcast(dd)).select("dc_id", "department", "week_start_date")
+    return week_scaffold(t).crossJoin(dd).select("dc_id", "department", "week_start_date")
 
 
 # ---- C9

@@ -108,6 +108,6 @@ def _conform_sql():
 
 @register("conform_to_schema", _conform_sql())
 def q_conform_to_schema(t):
-    from depot.registry.tables import shipment_lines
+    from depot.registry.tables import plain_shipment_lines
     from depot.plans.fulfillment import build_shipments
-    return Q.conform_to_schema(build_shipments(t.v_shipments, shipment_lines(t), t.v_items), SPECS["shipments"].struct)
+    return Q.conform_to_schema(build_shipments(t.v_shipments, plain_shipment_lines(t), t.v_items), SPECS["shipments"].struct)

@@ -223,22 +223,25 @@ def q_dc_time_zone(t):
 @register("format_codes", """
 SELECT o.order_id, printf('INV-%08d', o.order_id) AS invoice_number,
        printf('PO-%03d-%08d', o.dc_id, o.order_id) AS po_number,
-       printf('PROMO-%d-%04d', year(o.order_date), o.order_id % 10000) AS promo_code,
+       printf('PROMO-%d-%04d', year(o.order_date), o.order_id) AS promo_code,
        CASE WHEN c.is_sub THEN printf('S%06d', c.customer_id) ELSE printf('M%06d', c.master_id) END AS account_number,
-       upper(substr(v.vendor_name, 1, 3)) || '-' || printf('%06d', o.order_id % 1000000) AS vendor_item_number,
+       upper(substr(v.vendor_name, 1, 3)) || '-' || printf('%06d', o.order_id) AS vendor_item_number,
        CAST(o.order_id AS VARCHAR) || '-C1' AS first_carton
 FROM v_orders o LEFT JOIN v_customers c ON o.customer_id = c.customer_id
-LEFT JOIN v_vendors v ON v.vendor_id = o.customer_id % 100 + 1""")
+LEFT JOIN v_vendors v ON v.vendor_id = o.customer_id % (SELECT count(*) FROM v_vendors)""")
 def q_format_codes(t):
+    # an order's vendor: the customer's number modulo the vendors there are
+    n = t.v_vendors.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("_vendors"))
     o = (t.v_orders.join(t.v_customers.select("customer_id", "master_id", "is_sub"), "customer_id", "left")
-         .join(t.v_vendors, F.col("vendor_id") == F.col("customer_id") % 100 + 1, "left"))
+         .crossJoin(n).withColumn("_vendor", F.col("customer_id") % F.col("_vendors"))
+         .join(t.v_vendors, F.col("vendor_id") == F.col("_vendor"), "left"))
     return o.select(
         "order_id", R.invoice_number("order_id").alias("invoice_number"),
         R.po_number("dc_id", "order_id").alias("po_number"),
-        R.promo_code(F.year("order_date"), F.col("order_id") % 10000).alias("promo_code"),
+        R.promo_code(F.year("order_date"), F.col("order_id")).alias("promo_code"),
         F.when(F.col("is_sub"), R.account_number("S", "customer_id"))
         .otherwise(R.account_number("M", "master_id")).alias("account_number"),
-        R.vendor_item_number("vendor_name", F.col("order_id") % 1000000).alias("vendor_item_number"),
+        R.vendor_item_number("vendor_name", F.col("order_id")).alias("vendor_item_number"),
         R.carton_code("order_id", F.lit(1)).alias("first_carton"))
 
 

@@ -11,7 +11,7 @@ from depot.functions.draws import keyed_uniform_sql
 from depot.registry import register
 from depot.session import scratch_path
 from depot.sources import files as FI
-from depot.sources.tables import STATE_CODES
+from depot.sources.tables import STATE_CODES, STATE_SQL
 from depot.plans.fulfillment import tracking_milestones
 
 
@@ -35,7 +35,7 @@ def _postal_lines(t):
     c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     zip_ = F.when(F.col("c_custkey") % 17 == 0, F.lit("")).otherwise(
         F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0"))
-    state = F.expr(f"substr('{STATE_CODES}', 2*n_nationkey+1, 2)")
+    state = F.get(F.array(*[F.lit(x) for x in STATE_CODES]), F.col("n_nationkey"))
     full = F.concat_ws("\t", F.lit("US"), zip_, F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")), F.col("n_name"),
                        state, F.lit("County"), F.lit(""), F.lit(""), F.lit(""), F.lit("0.0"), F.lit("0.0"), F.lit("4"))
     short = F.concat_ws("\t", F.lit("US"), zip_, F.col("n_name"), F.col("n_name"))
@@ -43,7 +43,7 @@ def _postal_lines(t):
 
 
 @register("scan_postal_tsv", f"""
-SELECT trim('  ' || n_name || ' ') AS city, substr('{STATE_CODES}', 2*n_nationkey+1, 2) AS state,
+SELECT trim('  ' || n_name || ' ') AS city, {STATE_SQL} AS state,
        lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 WHERE c_custkey % 23 <> 0 AND c_custkey % 17 <> 0""")
@@ -80,8 +80,9 @@ def q_sink_parquet(t):
 def _appended(t):
     path = scratch_path(t.spark, "appended")
     o = t.v_orders.withColumn("order_year", F.year("order_date"))
-    chunks = [o.filter(F.col("order_year") < 1997), o.filter(F.col("order_year").between(1997, 1999)),
-              o.filter(F.col("order_year") >= 2000)]
+    # the first chunk also takes the rows without a date
+    year = F.coalesce("order_year", F.lit(0))
+    chunks = [o.filter(year < 1997), o.filter(year.between(1997, 1999)), o.filter(year >= 2000)]
     FI.append_parts(chunks, path, ["order_year"])
     return path, o.schema
 

@@ -1,9 +1,7 @@
 """Streaming operators and the reload of streamed output.
 
 Each query runs the stream to completion (``availableNow``) and returns
-the sink read back as a batch DataFrame.  The J1 sink is shared by the
-queries that read it within one process (it is durable output in the
-shared scratch folder)."""
+the sink read back as a batch DataFrame."""
 
 from __future__ import annotations
 
@@ -14,19 +12,9 @@ from depot.plans.fulfillment import shipment_totals
 from depot.registry import register
 from depot.streaming import pipeline as P
 
-_SINKS: dict[tuple[int, str], str] = {}
-
-
-def _order_sink(t) -> str:
-    key = (id(t.spark), t.sf_dir)
-    if key not in _SINKS:
-        _SINKS[key] = P.stream_order_pipeline(t)
-    return _SINKS[key]
-
-
 @register("stream_order_pipeline", "SELECT * FROM x_built_shipments")
 def q_stream_order_pipeline(t):
-    sink = _order_sink(t)
+    sink = P.stream_order_pipeline(t)
     cols = ["shipment_id", "order_id", "dc_id", "carrier_id", "ship_date", "promised_date", "delivery_date",
             "shipment_type", "total_weight_lb", "total_cube_ft", "estimated_cost", "actual_cost"]
     return P.read_sink(t.spark, sink, "shipments").select(*cols)
@@ -38,7 +26,7 @@ SELECT 'shipment_lines' AS table_name, count(*) AS n, count(*) AS n_distinct, CA
 UNION ALL
 SELECT 'tracking_events', count(*), count(*), CAST(1 AS BIGINT), CAST(count(*) AS BIGINT), true FROM x_tracking""")
 def q_stream_dense_ids(t):
-    sink = _order_sink(t)
+    sink = P.stream_order_pipeline(t)
     return check_sequential_ids({
         "shipment_lines": (P.read_sink(t.spark, sink, "shipment_lines"), "shipment_line_id"),
         "tracking_events": (P.read_sink(t.spark, sink, "tracking_events"), "tracking_event_id")})
@@ -50,7 +38,7 @@ SELECT s.shipment_id, CAST(round(coalesce(w, 0), 3) AS DECIMAL(18,3)) AS total_w
 FROM v_shipments s LEFT JOIN (SELECT shipment_id, sum(line_weight_lb) AS w, sum(line_cube_ft) AS c
                               FROM x_shipment_lines GROUP BY shipment_id) t ON s.shipment_id = t.shipment_id""")
 def q_reload_streamed(t):
-    sink = _order_sink(t)
+    sink = P.stream_order_pipeline(t)
     return shipment_totals(P.read_sink(t.spark, sink, "shipments").select("shipment_id"),
                            P.read_sink(t.spark, sink, "shipment_lines"))
 
@@ -60,6 +48,9 @@ def q_stream_milestones(t):
     return P.stream_milestones(t)
 
 
-@register("stream_progress_counts", "SELECT order_status, count(*) AS n_orders FROM v_orders GROUP BY order_status")
+@register("stream_progress_counts", """
+SELECT 'orders' AS table_name, count(*) AS row_count FROM v_orders
+UNION ALL SELECT 'order_lines', count(*) FROM v_lines
+UNION ALL SELECT 'shipments', count(*) FROM v_shipments""")
 def q_stream_progress_counts(t):
-    return P.stream_progress_counts(t).select("order_status", F.col("n_orders").cast("long").alias("n_orders"))
+    return P.stream_progress_counts(t).select("table_name", F.col("row_count").cast("long").alias("row_count"))

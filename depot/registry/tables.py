@@ -108,14 +108,25 @@ def order_lines(t):
     return FUL.build_order_lines(t.v_lines, t.v_orders, t.v_customers, t.v_items)
 
 
-def shipment_lines(t):
-    return FUL.build_shipment_lines(t.v_shipments, t.v_lines, t.v_items, t.v_carriers, t.v_orders)
+def shipment_lines(t, with_ids=True):
+    return FUL.build_shipment_lines(t.v_shipments, t.v_lines, t.v_items, t.v_carriers, t.v_orders, with_ids=with_ids)
+
+
+def plain_shipment_lines(t):
+    """Item and quantity of every shipped line with its weight and cube: what
+    the shipment rollups need, without line ids, carriers or customers."""
+    return (t.v_lines_noid.select("order_id", "item_id", F.col("quantity_ordered").alias("quantity_shipped"))
+            .join(t.v_shipments.select("shipment_id", "order_id"), "order_id")
+            .join(t.v_items.select("item_id", "weight_lb", F.col("cube_ft").cast("decimal(12,4)").alias("cube_ft")), "item_id", "left")
+            .select("shipment_id", "item_id", "quantity_shipped",
+                    F.round(F.col("weight_lb") * F.col("quantity_shipped"), 3).cast("decimal(14,3)").alias("line_weight_lb"),
+                    F.round(F.col("cube_ft") * F.col("quantity_shipped"), 4).cast("decimal(16,4)").alias("line_cube_ft")))
 
 
 def invoices(t):
     # invoices need no line ids: price the id-free lines (no ranking pass)
-    lines = FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items)
-    return FUL.build_invoices(t.v_orders, lines, t.v_customers, t.v_items)
+    lines = FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items, carry=("cube_ft", "weight_lb"))
+    return FUL.build_invoices(t.v_orders, lines, t.v_customers)
 
 
 def ar_ledger(t):
@@ -138,7 +149,7 @@ SELECT s.shipment_id, CAST(round(coalesce(w, 0), 3) AS DECIMAL(18,3)) AS total_w
 FROM v_shipments s LEFT JOIN (SELECT shipment_id, sum(line_weight_lb) AS w, sum(line_cube_ft) AS c
                               FROM x_shipment_lines GROUP BY shipment_id) t ON s.shipment_id = t.shipment_id""")
 def q_shipment_totals(t):
-    return FUL.shipment_totals(t.v_shipments, shipment_lines(t))
+    return FUL.shipment_totals(t.v_shipments, plain_shipment_lines(t))
 
 
 define_view("x_ship_cost", """
@@ -151,7 +162,7 @@ FROM v_shipments s LEFT JOIN (SELECT sl.shipment_id, sum(coalesce(i.shipping_cos
 
 @register("shipment_cost_rollup", "SELECT * FROM x_ship_cost")
 def q_shipment_cost_rollup(t):
-    return FUL.shipment_costs(t.v_shipments, shipment_lines(t), t.v_items)
+    return FUL.shipment_costs(t.v_shipments, plain_shipment_lines(t), t.v_items)
 
 
 define_view("x_built_shipments", """
@@ -167,7 +178,7 @@ JOIN x_ship_cost c ON s.shipment_id = c.shipment_id""")
 
 @register("build_shipments", "SELECT * FROM x_built_shipments")
 def q_build_shipments(t):
-    return FUL.build_shipments(t.v_shipments, shipment_lines(t), t.v_items)
+    return FUL.build_shipments(t.v_shipments, plain_shipment_lines(t), t.v_items)
 
 
 define_view("x_tracking", """
@@ -203,7 +214,8 @@ SELECT customer_id,
        CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = '1-30'), 0) AS DECIMAL(18,2)) AS bal_1_30,
        CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = '31-60'), 0) AS DECIMAL(18,2)) AS bal_31_60,
        CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = '61-90'), 0) AS DECIMAL(18,2)) AS bal_61_90,
-       CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = '90+'), 0) AS DECIMAL(18,2)) AS bal_90_plus
+       CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = '90+'), 0) AS DECIMAL(18,2)) AS bal_90_plus,
+       CAST(coalesce(sum(balance) FILTER (WHERE aging_bucket = 'Unknown'), 0) AS DECIMAL(18,2)) AS bal_unknown
 FROM x_ar GROUP BY customer_id""")
 def q_ar_aging_summary(t):
     return FUL.ar_aging_summary(ar_ledger(t))
@@ -224,19 +236,21 @@ def q_flagship(t):
 def flagship(t):
     """Orders -> priced lines -> shipments -> costs -> invoices -> AR, rolled
     up to DC x aging bucket (I30)."""
-    # the rollup needs no line ids: cost the id-free shipment lines
-    sl = (t.v_lines_noid.select("order_id", "item_id", F.col("quantity_ordered").alias("quantity_shipped"))
-          .join(t.v_shipments.select("shipment_id", "order_id"), "order_id"))
-    costs = FUL.shipment_costs(t.v_shipments, sl, t.v_items)
-    ar = ar_ledger(t)
-    return (ar.join(t.v_shipments.select("shipment_id", "order_id", "dc_id"),
-                    ar.invoice_id == F.col("order_id"))
-            .join(costs, "shipment_id")
+    # lines meet the items once; one aggregate per order gives merchandise,
+    # freight and shipping cost, which travels with the invoice and the ledger
+    # (a shipment of the order costs what its lines cost)
+    lines = FUL.build_order_lines(t.v_lines_noid, t.v_orders, t.v_customers, t.v_items,
+                                  carry=("cube_ft", "weight_lb", "shipping_cost_per_unit"))
+    cost = F.sum(F.coalesce(F.col("shipping_cost_per_unit"), F.lit(0)) * F.col("quantity_ordered"))
+    totals = FUL.order_totals(lines, extra={"_est": cost})
+    inv = FUL.build_invoices(t.v_orders, lines, t.v_customers, totals=totals)
+    ar = FUL.build_ar_ledger(inv, t.v_payments, t.v_customers, carry=("_est",))
+    return (ar.join(t.v_shipments.select("order_id", "dc_id"), ar.invoice_id == F.col("order_id"))
             .groupBy("dc_id", "aging_bucket")
             .agg(F.count(F.lit(1)).alias("n_invoices"),
                  F.sum("amount_due").cast("decimal(18,2)").alias("amount_due"),
                  F.sum("balance").cast("decimal(18,2)").alias("balance"),
-                 F.sum("estimated_cost").cast("decimal(18,2)").alias("shipping_cost")))
+                 F.sum(F.round("_est", 2).cast("decimal(14,2)")).cast("decimal(18,2)").alias("shipping_cost")))
 
 
 # ---------------------------------------------------------------- I11 .. I16
@@ -396,9 +410,9 @@ FROM (SELECT e.order_id, e.order_line_id, e.shipment_id, e.item_id, e.customer_i
       FROM x_eligible_lines e JOIN v_returned_lines r ON e.order_line_id = r.order_line_id) x""")
 
 
-def returns(t):
+def returns(t, with_ids=True):
     from depot.registry.joins import eligible_lines
-    return FUL.build_returns(eligible_lines(t), t.v_returned_lines)
+    return FUL.build_returns(eligible_lines(t), t.v_returned_lines, with_ids=with_ids)
 
 
 @register("build_returns", "SELECT * FROM x_returns")
@@ -438,10 +452,10 @@ FROM (
         WHERE coalesce(TRY_CAST(st.qty_on_order AS INT), 0) > 0) s) p""")
 
 
-def purchase_orders(t):
+def purchase_orders(t, with_ids=True):
     from depot.registry.joins import vendor_item_cost
     return INV.build_purchase_orders(t.v_stock, t.v_items, t.v_po_status, vendor_item_cost(t),
-                                     INV.vendor_fill_rates(t.v_lines_noid))
+                                     INV.vendor_fill_rates(t.v_lines_noid), with_ids=with_ids)
 
 
 @register("build_purchase_orders", "SELECT * FROM x_pos")
@@ -490,7 +504,7 @@ FROM (SELECT p.vendor_id, p.item_id, upper(substr(v.vendor_name, 1, 3)) || '-' |
 
 
 def scorecard(t):
-    return VEN.vendor_scorecard(t.v_vendors, purchase_orders(t), returns(t), t.v_lines)
+    return VEN.vendor_scorecard(t.v_vendors, purchase_orders(t, False), returns(t, False), t.v_lines)
 
 
 @register("vendor_scorecard", "SELECT * FROM x_scorecard")
@@ -648,8 +662,8 @@ _RANK = ("greatest(1, CAST(trunc(100 - vel + coalesce(nullif(CAST(i.cube_ft AS D
 @register("build_slotting", f"""
 SELECT row_number() OVER (ORDER BY dc_id, item_id) AS slotting_id, dc_id, item_id,
        CASE WHEN velocity_class = 'A' OR (velocity_class = 'B' AND u < 0.6)
-            THEN printf('A%02d-B%02d-L%02d', (p // 180) % 40 + 1, (p // 6) % 30 + 1, p % 6 + 1) END AS pick_location,
-       printf('A%02d-B%02d-L%02d', (p // 300) % 40 + 1, (p // 10) % 30 + 1, p % 10 + 1) AS replenishment_location,
+            THEN printf('A%02d-B%02d-L%02d', p // 180 + 1, (p // 6) % 30 + 1, p % 6 + 1) END AS pick_location,
+       printf('A%02d-B%02d-L%02d', p // 300 + 1, (p // 10) % 30 + 1, p % 10 + 1) AS replenishment_location,
        slotting_rank, velocity_class
 FROM (SELECT *, row_number() OVER (PARTITION BY dc_id ORDER BY slotting_rank, item_id) - 1 AS p
       FROM (SELECT d.dc_id, i.item_id, {_RANK} AS slotting_rank,

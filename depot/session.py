@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
@@ -41,8 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Return the cluster-shared scratch folder (``spark.checkpoint.dir``).
 
     A cluster names it in its configuration; we only read it.  Where it is
-    unset (local tests and benches) a fresh private folder is created once
-    per session and registered as the checkpoint directory.
+    unset, a local master (tests, benches) gets a fresh private folder, once
+    per session; any other master is an error, since its executors would
+    write to their own disks.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None)
@@ -54,6 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="depot-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -65,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared scratch folder and read it back: an
+    explicit, eager step that cuts the lineage and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ import re
 ADAPTER_SQL: dict[str, str] = {
     "v_dcs": """
 SELECT CAST(n_nationkey + 1 AS BIGINT) AS dc_id, concat('DC ', n_name) AS dc_name, n_name AS city,
-       substr('ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMDMAMIMNMSMO', 2*n_nationkey+1, 2) AS state,
+       (['AL', 'AK', 'AZ', 'AR', 'CA', 'CO', 'CT', 'DE', 'FL', 'GA', 'HI', 'ID', 'IL',
+         'IN', 'IA', 'KS', 'KY', 'LA', 'ME', 'MD', 'MA', 'MI', 'MN', 'MS', 'MO'])[n_nationkey + 1] AS state,
        lpad(CAST(10000 + 137*n_nationkey AS VARCHAR(5)), 5, '0') AS zip, r_name AS region,
        20000 + 18000*n_nationkey AS capacity_units
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
@@ -43,12 +44,12 @@ FROM part""",
     "v_vendors": """
 SELECT s_suppkey AS vendor_id, s_name AS vendor_name FROM supplier""",
     "v_carriers": """
-SELECT * FROM (VALUES (1,'Parcel A','parcel'), (2,'Parcel B','parcel'), (3,'Parcel C','parcel'), (4,'LTL A','LTL'), (5,'LTL B','LTL'),
-       (6,'Courier A','courier'), (7,'Courier B','courier'), (8,'Parcel D','parcel'), (9,'Fleet A','company'), (10,'Fleet B','company'))
-       AS t(carrier_id, carrier_name, carrier_type)""",
+SELECT CAST(s_suppkey + 1 AS INTEGER) AS carrier_id, s_name AS carrier_name,
+       (['parcel', 'parcel', 'parcel', 'LTL', 'LTL', 'courier', 'courier', 'parcel', 'company', 'company'])[s_suppkey % 10 + 1] AS carrier_type
+FROM supplier""",
     "v_reps": """
-SELECT CAST(r AS INT) AS rep_id, r_name AS region
-FROM range(1, 13) t(r) JOIN region ON (r - 1) % 4 = r_regionkey""",
+SELECT CAST(s_suppkey + 1 AS INTEGER) AS rep_id, r_name AS region
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 4""",
     "v_orders": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
        o_orderkey % 25 + 1 AS dc_id,

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from depot.config import ADJUSTMENT_REASONS, ADJUSTMENT_TYPES, RETURN_REASONS  # noqa: F401 (re-exported)
 from depot.operators.keys import dense_keys
+from depot.session import stored
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-# Fixed values of the adapters (state codes of the 25 DC slots, carriers).
-STATE_CODES = "ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMDMAMIMNMSMO"
-CARRIERS = [(1, "Parcel A", "parcel"), (2, "Parcel B", "parcel"), (3, "Parcel C", "parcel"),
-            (4, "LTL A", "LTL"), (5, "LTL B", "LTL"), (6, "Courier A", "courier"),
-            (7, "Courier B", "courier"), (8, "Parcel D", "parcel"), (9, "Fleet A", "company"),
-            (10, "Fleet B", "company")]
+# Fixed values of the adapters: state codes of the 25 DC slots in order, and
+# the type of the carrier with key 0, 1, ... (repeating).
+STATE_CODES = ["AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL",
+               "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO"]
+CARRIER_TYPES = ["parcel", "parcel", "parcel", "LTL", "LTL", "courier", "courier", "parcel", "company", "company"]
+STATE_SQL = "([" + ", ".join(f"'{s}'" for s in STATE_CODES) + "])[n_nationkey + 1]"
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -52,16 +53,15 @@ class Tables:
     so each view is defined once (like a session catalog of temp views);
     ``Tables.forget()`` drops them when the files under a folder change."""
 
-    _shared: dict[tuple[int, str], "Tables"] = {}
+    _shared: dict[tuple[str, str], "Tables"] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.materialize = materialize
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
@@ -87,7 +87,7 @@ class Tables:
                 .select((F.col("n_nationkey") + 1).cast("long").alias("dc_id"),
                         F.concat(F.lit("DC "), "n_name").alias("dc_name"),
                         F.col("n_name").alias("city"),
-                        F.expr(f"substr('{STATE_CODES}', 2*n_nationkey+1, 2)").alias("state"),
+                        F.get(F.array(*[F.lit(s) for s in STATE_CODES]), F.col("n_nationkey")).alias("state"),
                         F.lpad((F.lit(10000) + F.col("n_nationkey") * 137).cast("string"), 5, "0").alias("zip"),
                         F.col("r_name").alias("region"),
                         (F.lit(20000) + F.col("n_nationkey") * 18000).alias("capacity_units")))
@@ -139,15 +139,18 @@ class Tables:
 
     @cached_property
     def v_carriers(self) -> DataFrame:
-        return self.spark.createDataFrame(CARRIERS, "carrier_id int, carrier_name string, carrier_type string")
+        """The suppliers as carriers: their key, name and a type by key."""
+        kind = F.get(F.array(*[F.lit(x) for x in CARRIER_TYPES]), (F.col("s_suppkey") % len(CARRIER_TYPES)).cast("int"))
+        return self.supplier.select((F.col("s_suppkey") + 1).cast("int").alias("carrier_id"),
+                                    F.col("s_name").alias("carrier_name"), kind.alias("carrier_type"))
 
     @cached_property
     def v_reps(self) -> DataFrame:
-        """Twelve reps over the first four regions (so one region has none)."""
-        regions = self.region.select("r_regionkey", "r_name")
-        return (self.spark.range(1, 13).select(F.col("id").cast("int").alias("rep_id"))
-                .join(F.broadcast(regions), (F.col("rep_id") - 1) % 4 == F.col("r_regionkey"))
-                .select("rep_id", F.col("r_name").alias("region")))
+        """A rep for every supplier of the first four regions (so one region has none)."""
+        home = (self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
+                .filter(F.col("r_regionkey") < 4).select("n_nationkey", F.col("r_name").alias("region")))
+        return (self.supplier.join(home, F.col("s_nationkey") == F.col("n_nationkey"))
+                .select((F.col("s_suppkey") + 1).cast("int").alias("rep_id"), "region"))
 
     # ---- facts ------------------------------------------------------
     @cached_property
@@ -182,13 +185,13 @@ class Tables:
         then reads the stored table (pruned and filtered at the scan) instead
         of re-ranking lineitem, and its lineage is cut."""
         keyed = dense_keys(self.lineitem, LINE_ORDER, "order_line_id")
-        df = keyed.select("order_line_id", *self._line_cols(keyed))
-        if not self.materialize:
-            return df
-        from depot.session import scratch_path
-        path = scratch_path(self.spark, "v_lines")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(keyed.select("order_line_id", *self._line_cols(keyed)), "v_lines")
+
+    def prepare(self) -> "Tables":
+        """Store the ranked lines now, as a step of its own (queries that need
+        them do so on first use)."""
+        self.v_lines  # noqa: B018
+        return self
 
     @cached_property
     def v_lines_noid(self) -> DataFrame:
@@ -256,11 +259,14 @@ def _more_views(cls):
                .join(self.v_orders.select("order_id", "dc_id", F.trunc("order_date", "month").alias("month")),
                      "order_id")
                .groupBy("dc_id", "item_id", "month").agg(F.sum("quantity_ordered").cast("long").alias("qty_out")))
-        prev = out.select("dc_id", "item_id", F.add_months("month", 1).alias("month"),
-                          F.ceil(F.col("qty_out") * F.lit(1.1).cast("decimal(3,1)")).cast("long").alias("qty_in"))
-        return (out.join(prev, ["dc_id", "item_id", "month"], "full")
-                .select("dc_id", "item_id", "month", F.coalesce("qty_in", F.lit(0)).cast("long").alias("qty_in"),
-                        F.coalesce("qty_out", F.lit(0)).cast("long").alias("qty_out")))
+        # each month's total goes out in its month and comes in in the next: one more
+        # aggregate of rows that are already partitioned by pair, no self-join
+        q_in = F.ceil(F.col("qty_out") * F.lit(1.1).cast("decimal(3,1)")).cast("long")
+        none = F.lit(0).cast("long")
+        both = F.array(F.struct(F.col("month"), none.alias("qty_in"), F.col("qty_out")),
+                       F.struct(F.add_months("month", 1).alias("month"), q_in.alias("qty_in"), none.alias("qty_out")))
+        return (out.select("dc_id", "item_id", F.inline(both))
+                .groupBy("dc_id", "item_id", "month").agg(F.sum("qty_in").alias("qty_in"), F.sum("qty_out").alias("qty_out")))
 
     def v_adjustments(self) -> DataFrame:
         types = F.create_map(*[F.lit(x) for kv in EVENT_TO_ADJUSTMENT.items() for x in kv])

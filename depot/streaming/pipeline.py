@@ -1,8 +1,8 @@
 """Structured Streaming forms of the order pipeline (J ops).
 
 Orders arrive as files in a landing folder.  ``readStream`` picks them up,
-``foreachBatch`` turns each micro-batch into shipments, shipment lines, cost
-rollups and tracking events (the same ``build_*`` functions as the batch
+``foreachBatch`` turns each micro-batch into priced order lines, shipments,
+shipment lines, cost rollups and tracking events (the same ``build_*`` functions as the batch
 path), and every sink is written to a ``batch_id=<n>`` folder in overwrite
 mode, so a replayed batch replaces its own output (idempotent).  Ids that
 must continue across batches (J2) come from a ledger of (batch_id, counts)
@@ -23,7 +23,7 @@ from depot.plans import fulfillment as FUL
 from depot.session import scratch_path
 from depot.sources.tables import shipments_from_orders
 
-SINKS = ["shipments", "shipment_lines", "tracking_events", "shipment_costs"]
+SINKS = ["orders", "order_lines", "shipments", "shipment_lines", "tracking_events", "shipment_costs"]
 LEDGER_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("n_shipments", T.LongType()),
                               T.StructField("n_lines", T.LongType())])
 
@@ -35,52 +35,49 @@ def land_chunks(df: DataFrame, path: str, key: str, n_chunks: int, files_per_chu
     df.repartitionByRange(n_chunks * files_per_chunk, key).write.mode("append").parquet(path)
 
 
-def _ledger_start(spark: SparkSession, ledger: str, batch_id: int) -> tuple[int, int, bool]:
-    """(first shipment rank, first line id, replay?) for ``batch_id``; the
-    ledger holds one small row per finished batch."""
-    try:
-        led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
-        row = led.agg(
-            F.sum(F.when(F.col("batch_id") < batch_id, F.col("n_shipments")).otherwise(0)).alias("s"),
-            F.sum(F.when(F.col("batch_id") < batch_id, F.col("n_lines")).otherwise(0)).alias("l"),
-            F.count(F.when(F.col("batch_id") == batch_id, 1)).alias("seen")).first()
-        return int(row["s"] or 0) + 1, int(row["l"] or 0) + 1, bool(row["seen"])
-    except Exception:  # noqa: BLE001 - no ledger yet: first batch
-        return 1, 1, False
+def _ledger_start(spark: SparkSession, ledger: str, batch_id: int) -> tuple[int, int]:
+    """(first shipment rank, first line id) for ``batch_id``.  The ledger
+    holds one small row per finished batch, and one that was written before
+    the first; it always exists, so any error in reading it fails the batch."""
+    led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("batch_id") < batch_id)
+    row = led.agg(F.sum("n_shipments").alias("s"), F.sum("n_lines").alias("l")).first()
+    return int(row["s"]) + 1, int(row["l"]) + 1
 
 
 def order_pipeline_batch(tables, sink: str, static_lines: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body of J1/J2 over a stream of orders.
-    ``static_lines``: the order lines (with ids) as a written table, so each
-    batch joins against stored data instead of re-deriving it."""
+
+    ``static_lines``: the order lines (with ids) as a table stored in order of
+    ``order_id``; each batch reads only the row groups between its first and
+    last order."""
     spark = tables.spark
     ledger = f"{sink}/_ledger"
     all_lines = static_lines if static_lines is not None else tables.v_lines
+    spark.createDataFrame([(-1, 0, 0)], LEDGER_SCHEMA).write.mode("ignore").parquet(f"{ledger}/batch_id=-1")
 
     def out(name: str, batch_id: int) -> str:
         return f"{sink}/{name}/batch_id={batch_id}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        orders = batch.persist()
-        try:
-            s_start, l_start, _ = _ledger_start(spark, ledger, batch_id)
-            lines = all_lines.join(orders.select("order_id"), "order_id", "left_semi")
-            ships = shipments_from_orders(orders)
-            sl = FUL.build_shipment_lines(ships, lines, tables.v_items, tables.v_carriers, orders,
-                                          start_id=l_start)
-            sl.write.mode("overwrite").parquet(out("shipment_lines", batch_id))
-            sl = spark.read.schema(sl.schema).parquet(out("shipment_lines", batch_id))   # cut lineage
-            heads = FUL.build_shipments(ships, sl, tables.v_items)
-            costs = FUL.shipment_costs(ships, sl, tables.v_items)
-            track = FUL.build_tracking_events(ships, tables.v_dcs, start_id=(s_start - 1) * 4 + 1)
-            for name, df in [("shipments", heads), ("tracking_events", track), ("shipment_costs", costs)]:
-                df.write.mode("overwrite").parquet(out(name, batch_id))
-            n_ship = spark.read.parquet(out("shipments", batch_id)).count()
-            n_lines = sl.count()
-            spark.createDataFrame([(batch_id, n_ship, n_lines)], LEDGER_SCHEMA) \
-                .write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
-        finally:
-            orders.unpersist()
+        s_start, l_start = _ledger_start(spark, ledger, batch_id)
+        batch.write.mode("overwrite").parquet(out("orders", batch_id))
+        orders = spark.read.schema(batch.schema).parquet(out("orders", batch_id))
+        low, high, n_ship = orders.agg(F.min("order_id"), F.max("order_id"), F.count(F.lit(1))).first()
+        near = all_lines.filter(F.col("order_id").between(low, high)) if n_ship else all_lines.limit(0)
+        lines = near.join(orders.select("order_id"), "order_id", "left_semi")
+        ships = shipments_from_orders(orders)
+        sl = FUL.build_shipment_lines(ships, lines, tables.v_items, tables.v_carriers, orders, start_id=l_start)
+        sl.write.mode("overwrite").parquet(out("shipment_lines", batch_id))
+        sl = spark.read.schema(sl.schema).parquet(out("shipment_lines", batch_id))   # cut lineage
+        for name, df in [
+            ("order_lines", FUL.build_order_lines(lines, orders, tables.v_customers, tables.v_items)),
+            ("shipments", FUL.build_shipments(ships, sl, tables.v_items)),
+            ("tracking_events", FUL.build_tracking_events(ships, tables.v_dcs, start_id=(s_start - 1) * 4 + 1)),
+            ("shipment_costs", FUL.shipment_costs(ships, sl, tables.v_items)),
+        ]:
+            df.write.mode("overwrite").parquet(out(name, batch_id))
+        spark.createDataFrame([(batch_id, n_ship, sl.count())], LEDGER_SCHEMA) \
+            .write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
 
     return run
 
@@ -95,14 +92,7 @@ def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2) -> str:
     ckpt = scratch_path(spark, "stream-ckpt")
     orders = tables.v_orders
     land_chunks(orders, landing, "order_id", n_chunks)
-    # the static side (order lines with their ids) must be stored data that
-    # every micro-batch reads instead of re-deriving it; the shared view is
-    # already stored unless materialisation was turned off
-    lines = tables.v_lines
-    if not getattr(tables, "materialize", True):
-        static = scratch_path(spark, "static-lines")
-        lines.write.mode("overwrite").parquet(static)
-        lines = spark.read.schema(lines.schema).parquet(static)
+    lines = tables.v_lines          # stored once, in order of order_id
     stream = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", max_files).parquet(landing))
     q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink, lines))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -132,18 +122,22 @@ def stream_milestones(tables, n_chunks: int = 3) -> DataFrame:
     return spark.read.schema(events.schema).parquet(sink)
 
 
-def stream_progress_counts(tables, n_chunks: int = 4) -> DataFrame:
-    """Running row counts per order status over the order stream
-    (stateful aggregate, complete mode); each trigger overwrites a small
-    Parquet table with the current totals."""
+def stream_progress_counts(tables, n_chunks: int = 2) -> DataFrame:
+    """Running row counts per table over the streams of orders, order
+    lines and shipments (one stateful aggregate in complete mode); each
+    trigger overwrites a small Parquet table with the totals so far."""
     spark = tables.spark
-    landing = scratch_path(spark, "landing-counts")
     sink = scratch_path(spark, "progress")
     ckpt = scratch_path(spark, "progress-ckpt")
-    orders = tables.v_orders
-    land_chunks(orders, landing, "order_id", n_chunks)
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    counts = stream.groupBy("order_status").agg(F.count(F.lit(1)).alias("n_orders"))
+    streams = None
+    for name, df, key in [("orders", tables.v_orders, "order_id"), ("order_lines", tables.v_lines_noid, "order_id"),
+                          ("shipments", tables.v_shipments, "shipment_id")]:
+        landing = scratch_path(spark, f"landing-{name}")
+        land_chunks(df.select(key), landing, key, n_chunks)
+        own = (spark.readStream.schema(df.select(key).schema).option("maxFilesPerTrigger", 2).parquet(landing)
+               .select(F.lit(name).alias("table_name")))
+        streams = own if streams is None else streams.unionByName(own)
+    counts = streams.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
 
     def publish(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(sink)

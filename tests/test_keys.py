@@ -47,8 +47,20 @@ def test_empty_input(spark):
     assert dense_keys(df, ["a"], "rid").count() == 0
 
 
-def test_dense_keys_many_ranges_array_search(spark):
-    # more than 512 bounds: the array-literal binary search path
+def test_dense_keys_over_a_daylight_saving_gap(spark):
+    # zone-less timestamps keep their own order in any session zone
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(0, 8640).select(F.expr("timestamp_ntz'2024-03-10 00:00:00' + make_dt_interval(0, 0, 0, id * 10)").alias("ts"),
+                                         F.col("id"))
+        got = dense_keys(df, ["ts", "id"], "rid", n_ranges=600)
+        assert got.filter(F.col("rid") != F.col("id") + 1).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_dense_keys_many_ranges(spark):
     df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("a"))
     got = dense_keys(df, ["a"], "rid", n_ranges=700)
     assert got.filter(F.col("rid") != F.col("a") + 1).count() == 0
