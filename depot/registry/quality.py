@@ -11,7 +11,9 @@ from depot.sources.schemas import SPECS
 
 # ---- K1
 _UNIQUE = [("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderkey"]), ("part", ["p_partkey"]),
-           ("customer", ["c_custkey"])]
+           ("customer", ["c_custkey"]), ("supplier", ["s_suppkey"]), ("nation", ["n_nationkey"]), ("region", ["r_regionkey"]),
+           ("events", ["event_id"]), ("documents", ["doc_id"]), ("labels", ["doc_id"]), ("pages", ["page_id"]),
+           ("benchmark", ["item_id"]), ("embeddings", ["vec_id"]), ("conversations", ["conv_id", "turn"])]
 
 
 @register("check_unique", " UNION ALL ".join(
@@ -27,7 +29,11 @@ _FKS = [("order_lines.order_id", "lineitem", "l_orderkey", "orders", "o_orderkey
         ("order_lines.item_id", "lineitem", "l_partkey", "part", "p_partkey"),
         ("order_lines.vendor_id", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
         ("orders.customer_id", "orders", "o_custkey", "customer", "c_custkey"),
-        ("customers.nation_id", "customer", "c_nationkey", "nation", "n_nationkey")]
+        ("customers.nation_id", "customer", "c_nationkey", "nation", "n_nationkey"),
+        ("suppliers.nation_id", "supplier", "s_nationkey", "nation", "n_nationkey"),
+        ("nations.region_id", "nation", "n_regionkey", "region", "r_regionkey"),
+        ("events.customer_id", "events", "user_id", "customer", "c_custkey"),
+        ("labels.doc_id", "labels", "doc_id", "documents", "doc_id")]
 
 
 @register("check_foreign_keys", " UNION ALL ".join(

@@ -74,35 +74,29 @@ def q_price_intervals(t):
 
 
 # ---- E7
-def _walk_factor_sql(v):
-    return (f"CAST(round(CAST(1 + (0.03 + 0.09 * {u_sql('walk1', 'item_id', v)}) "
-            f"* CASE WHEN {u_sql('walk2', 'item_id', v)} < 0.5 THEN -1 ELSE 1 END AS DECIMAL(12,8)), 4) AS DECIMAL(8,4))")
-
-
-@register("price_walk", f"""
+@register("price_walk", """
 SELECT item_id, v AS version, p AS price FROM (
   WITH RECURSIVE f AS (
-      SELECT item_id, v, {_walk_factor_sql('v')} AS factor
-      FROM (SELECT item_id, unnest(range(1, 2 + item_id % 4)) AS v FROM v_items) x),
+      SELECT item_id, row_number() OVER w - 1 AS v, CAST(list_price AS DECIMAL(18,4)) AS list_price,
+             CAST((20000 * n + lag(n) OVER w) // (2 * lag(n) OVER w) AS DECIMAL(12,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS factor
+      FROM (SELECT *, CAST(CAST(list_price AS DECIMAL(18,4)) * 10000 AS BIGINT) AS n FROM x_price_history) h WINDOW w AS (PARTITION BY item_id ORDER BY effective_date)),
     walk AS (
-      SELECT item_id, 0 AS v, CAST(greatest(CAST(0.01 AS DECIMAL(18,4)), CAST(unit_price AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS p
-      FROM v_items
+      SELECT item_id, v, greatest(CAST(0.01 AS DECIMAL(18,4)), list_price) AS p FROM f WHERE v = 0
       UNION ALL
-      SELECT w.item_id, w.v + 1, CAST(greatest(CAST(0.01 AS DECIMAL(18,4)), CAST(round(w.p * f.factor, 4) AS DECIMAL(18,4))) AS DECIMAL(18,4))
+      SELECT w.item_id, f.v, CAST(greatest(CAST(0.01 AS DECIMAL(18,4)), CAST(round(w.p * f.factor, 4) AS DECIMAL(18,4))) AS DECIMAL(18,4))
       FROM walk w JOIN f ON f.item_id = w.item_id AND f.v = w.v + 1)
   SELECT * FROM walk) z""")
 def q_price_walk(t):
-    n = F.lit(2) + F.col("item_id") % 4
-
-    def factor(v):
-        u1 = keyed_uniform(SEED, "walk1", F.col("item_id"), v)
-        u2 = keyed_uniform(SEED, "walk2", F.col("item_id"), v)
-        f = F.lit(1) + (F.lit(0.03) + F.lit(0.09) * u1) * F.when(u2 < 0.5, F.lit(-1)).otherwise(F.lit(1))
-        return F.round(f.cast("decimal(12,8)"), 4).cast("decimal(8,4)")
-
-    factors = F.transform(F.sequence(F.lit(1), (n - 1).cast("int")), factor)
-    path = compounded_walk(F.col("unit_price"), factors)
-    return t.v_items.select("item_id", F.posexplode(path).alias("version", "price")) \
+    # the item's first observed price, moved by the observed changes from price to price
+    # (a row per item and month at most, so an item's list is short)
+    ph = PR.build_price_history(t.v_lines_noid, t.v_orders, with_ids=False)
+    n = (F.col("list_price").cast("decimal(18,4)") * 10000).cast("long")
+    per = ph.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("effective_date", F.col("list_price").alias("p"), n.alias("n")))).alias("h"))
+    # the ratio of two prices to four places, half up, in whole numbers
+    change = F.expr("transform(slice(h, 2, size(h)), (x, i) -> "
+                    "cast((20000 * x.n + h[i].n) div (2 * h[i].n) AS decimal(12,0)) * cast(0.0001 AS decimal(4,4)))")
+    path = compounded_walk(F.get(F.col("h"), F.lit(0))["p"], change)
+    return per.select("item_id", F.posexplode(path).alias("version", "price")) \
         .select("item_id", "version", F.col("price").cast("decimal(18,4)").alias("price"))
 
 

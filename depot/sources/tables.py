@@ -18,7 +18,8 @@ from depot.config import ADJUSTMENT_REASONS, ADJUSTMENT_TYPES, RETURN_REASONS  #
 from depot.operators.keys import dense_keys
 from depot.session import stored
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 # Fixed values of the adapters: state codes of the 25 DC slots in order, and
 # the type of the carrier with key 0, 1, ... (repeating).
