@@ -27,6 +27,15 @@ def conform_to_schema(df: DataFrame, schema: T.StructType, safe: bool = True) ->
     return df.select(*cols)
 
 
+def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """What ``conform_to_schema`` turns into null: (column_name, lost) for
+    every declared column of ``df``, in one aggregate."""
+    cols = [f for f in schema.fields if f.name in df.columns]
+    lost = df.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in cols])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("long").alias("lost")) for f in cols])
+    return lost.select(F.inline(rows))
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

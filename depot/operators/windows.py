@@ -38,7 +38,9 @@ def group_totals(df: DataFrame, group_cols: Sequence[str], aggs: dict[str, Colum
 def top_n(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], n: int,
           rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows per group (E3); ``order`` must be a total
-    order (add a unique tie key)."""
+    order (add a unique tie key).  Up to ``spark.sql.optimizer.windowGroupLimitThreshold``
+    (1,000) a task sends at most ``n`` rows of a group; for a larger ``n`` all
+    rows of a group meet in one task."""
     w = Window.partitionBy(*group_cols).orderBy(*order)
     rn = rank_col or "_rn"
     out = df.withColumn(rn, F.row_number().over(w).cast("long")).filter(F.col(rn) <= n)

@@ -30,3 +30,12 @@ def test_checks_find_violations(spark):
     assert ne == {"child": (False, "ok"), "none": (True, "empty"), "missing": (True, "missing")}
     seq = Q.check_sequential_ids({"child": (child, "cid")}, start=10).first()
     assert not seq.ok and seq.n == 4 and seq.n_distinct == 3
+
+
+def test_cast_losses_are_counted(spark):
+    from pyspark.sql import types as T
+    from depot.operators.quality import conform_losses, conform_to_schema
+    df = spark.createDataFrame([("1", "12.345"), ("x", "99999999"), (None, "7")], "a string, b string")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DecimalType(6, 2)), T.StructField("c", T.StringType())])
+    assert {r.column_name: r.lost for r in conform_losses(df, schema).collect()} == {"a": 1, "b": 1}
+    assert conform_to_schema(df, schema).count() == 3
