@@ -10,7 +10,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations"]
 # a cross-section of every operator family; the full list runs in scripts/check_oracle.py
 KEYS = ["shipment_totals", "build_order_lines", "build_invoices", "build_ar_ledger", "ar_aging_summary",
         "freight_class", "normalize_timestamps", "range_join_promos", "asof_price", "secondary_rep",

@@ -2,7 +2,7 @@
 
 import re
 
-import __spark_entry__ as E
+from depot import registry
 
 SF = "/root/testdata/sf0.001"
 # these run a stream or write files when called; their plans read written output
@@ -13,7 +13,7 @@ SKIP = {"stream_order_pipeline", "stream_dense_ids", "reload_streamed", "stream_
 
 def test_no_python_in_plans(spark):
     bad = []
-    for key, fn in E.queries().items():
+    for key, fn in registry.queries().items():
         if key in SKIP:
             continue
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()

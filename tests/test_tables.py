@@ -64,4 +64,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from depot import registry
+    assert set(registry.queries()) == set(registry.oracle_sql())
