@@ -8,6 +8,7 @@ separator), and 64-bit word hashes that do not depend on batch boundaries.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -25,7 +26,9 @@ from depot.session import scratch_path
 #: Java regex of a word: everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 8 << 20
 _PIECE = 1 << 20
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _MULT = 0x9E3779B97F4A7C15 | 5          # odd; -1 of it is divisible by 4 only
 _MASK = (1 << 64) - 1
 
@@ -57,12 +60,31 @@ def ship(spark: SparkSession) -> None:
                 z.write(p, p.relative_to(top.parent))
         spark.sparkContext.addPyFile(archive)
         _shipped.add(app)
+    # batches that JVM and worker can both hold: a batch of texts ends at 8 MB
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(limit, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Give freed memory back to the system, so that a worker's size follows its batch."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _tidy(run: Callable) -> Callable:
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out
+            del out
+            release()
+    return tidy
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with the package at hand in the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_tidy(run), schema)
 
 
 def map_groups(df: DataFrame, keys: list[str], run: Callable, schema) -> DataFrame:
@@ -71,6 +93,26 @@ def map_groups(df: DataFrame, keys: list[str], run: Callable, schema) -> DataFra
     return df.groupBy(*keys).applyInArrow(run, schema)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The runs of equal (integer) keys in batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = np.stack([b.column(k).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            key = tuple(cols[:, lo].tolist())
+            if key != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (in any case)."""
     taken = {c.lower() for c in df.columns}
@@ -141,6 +183,11 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    """Lower case of all scripts."""
+    return pc.utf8_lower(texts)
+
+
 def scan_words(texts: pa.Array, lower: bool, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of each text: (hash, start byte, end byte) per word and n+1
     offsets of the texts' words.  A word is a run without ASCII white space,

@@ -12,9 +12,12 @@ with less variance than as many independent minima.
 3. Members of a bucket are compared with its smallest class only (two such
    partners per class), confirmed on full sets, and joined into components.
 4. What is still apart within a bucket is compared by signature inside tasks,
-   a large bucket in chunks; pairs with an estimate of at least 0.55 (five
-   standard deviations below 0.75) are confirmed on full sets as well.  So
-   every candidate pair is in one component or has been confirmed or refuted.
+   a large bucket in chunks, a pair in the first band that it shares.  Members
+   with an estimate of at least 0.6 to another (four standard deviations below
+   0.75) come with their full sets to a second task, which confirms pairs in
+   falling order of the estimate and skips those that its own links already
+   join.  So every candidate pair is in one component or has been refuted, and
+   what leaves a task is linear in the members of a bucket.
 5. Components by minimum labels with pointer jumping, each round stored.
 
 Links, components and fingerprints stay distributed.  A broadcast bitmap of
@@ -32,11 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from depot.llm.common import byte_slices, fresh, map_arrow, map_groups, mix64, scan_words, shingle_sets, stored
+from depot.llm.common import byte_slices, fresh, grouped, map_arrow, mix64, scan_words, shingle_sets, stored
 
 PERMUTATIONS, BANDS, WIDTH = 64, 32, 5
 SIMILAR = 75                                # percent
-ESTIMATE = 0.55
+ESTIMATE = 0.6
 _SALTS, _CHUNK, _BITS = 16, 512, 1 << 22
 
 
@@ -103,13 +106,14 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, node, leader) of all members of buckets with two classes or more."""
+    """(bucket, band, node, leader) of all members of buckets with two classes or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = np.frombuffer(b"".join(b.column("bands").to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], ["bucket", "node"])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(band), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], ["bucket", "band", "node"])
 
-    rows = map_arrow(classes.select("node", "bands"), run, "bucket long, node long")
+    rows = map_arrow(classes.select("node", "bands"), run, "bucket long, band int, node long")
     crowded = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return stored(_salted(rows, crowded.drop("_n"), "bucket", "inner"), "minmax-buckets")
 
@@ -170,24 +174,26 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_arrow(joined.select("a", "b", "sig_a", "sig_b"), run, "a long, b long")
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """100 * intersection >= SIMILAR * union of two sorted sets."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < SIMILAR * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int(np.count_nonzero(large[at] == small))
+    return 100 * common >= SIMILAR * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose full sets are similar: 100 * intersection >= 75 * union."""
+    """Pairs whose full sets are similar."""
     joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("set_a"), b.column("set_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(small) < SIMILAR * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                common = int(np.count_nonzero(large[at] == small))
-                keep.append(100 * common >= SIMILAR * (len(x) + len(y) - common))
+            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                    for x, y in zip(b.column("set_a"), b.column("set_b"))]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(joined.select("a", "b", "set_a", "set_b"), run, "a long, b long")
@@ -210,32 +216,86 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+_MEMBER = "bucket long, band int, i int, j int, own int, node long, label long, sig binary"
+
+
+def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, later rows, estimates) of the pairs of a chunk pair that have
+    different labels, similar signatures, and share no earlier band."""
+    node, label, own = (group.column(c).to_numpy() for c in ("node", "label", "own"))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
+    i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
+    left, right = (np.arange(len(node)),) * 2 if i == j else (np.flatnonzero(own == i), np.flatnonzero(own == j))
+    for k in left:
+        far = right[(label[right] != label[k]) & ((right > k) if i == j else True)]
+        if len(far):
+            same = sig[far] == sig[k]
+            estimate = same.mean(axis=1)
+            keep = (estimate >= ESTIMATE) & ~same.reshape(len(far), BANDS, -1)[:, :band].all(axis=2).any(axis=1)
+            if keep.any():
+                yield int(k), far[keep], estimate[keep]
+
+
 def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one bucket with different labels and similar signatures."""
-    rows = (members.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")))
+    """Members of a bucket that have a candidate with another label in it."""
+    rows = (members.select("bucket", "band", "node").join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("label", "node").alias("label")))
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo < _hi")
     rows = _salted(rows, mixed.select("bucket", F.ceil(F.col("_n") / F.lit(_CHUNK)).cast("int").alias("chunks")), "bucket", "inner")
     rows = rows.join(classes.select("node", "sig"), "node")
     # a large bucket: chunk i meets chunk j in the group (i, j), i <= j
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "sig"))
+            .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "sig"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for group in grouped(batches, ["bucket", "i", "j"]):
+            found = [np.r_[k, far] for k, far, _ in _candidates(group)]
+            if found:
+                held += group.take(pa.array(np.unique(np.concatenate(found)))).to_batches()
+                n += held[-1].num_rows
+                if n >= 10_000:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, n = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return map_arrow(ordered, run, _MEMBER)
+
+
+def _links_apart(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the labels met in a bucket, confirmed on full sets."""
+    def links(group: pa.Table) -> Iterator[tuple[int, int]]:
+        node, label = group.column("node").to_numpy(), group.column("label").to_numpy()
+        full = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        parent = {int(x): int(x) for x in label}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        pairs = [(np.full(len(far), k), far, e) for k, far, e in _candidates(group)]
+        if not pairs:
+            return
+        one, two, estimate = (np.concatenate(c) for c in zip(*pairs))
+        for p in np.argsort(-estimate, kind="stable"):
+            k, m = int(one[p]), int(two[p])
+            x, y = find(int(label[k])), find(int(label[m]))
+            if x != y and similar(full[k], full[m]):
+                parent[x] = y
+                yield int(node[k]), int(node[m])
 
-    def run(table: pa.Table) -> pa.Table:
-        node, label, own = (table.column(c).to_numpy() for c in ("node", "label", "own"))
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = (np.arange(len(node)),) * 2 if i == j else (np.flatnonzero(own == i), np.flatnonzero(own == j))
-        a, b = [], []
-        for k in left:
-            far = right[(label[right] != label[k]) & ((node[right] > node[k]) if i == j else True)]
-            if len(far):
-                hit = far[(sig[far] == sig[k]).mean(axis=1) >= ESTIMATE]
-                a += [int(min(node[k], x)) for x in node[hit]]
-                b += [int(max(node[k], x)) for x in node[hit]]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["bucket", "i", "j"]):
+            found = list(links(group))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
 
-    return map_groups(rows, ["bucket", "i", "j"], run, "a long, b long").distinct()
+    ordered = apart.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return map_arrow(ordered, run, "a long, b long")
 
 
 class Found(NamedTuple):
@@ -258,11 +318,11 @@ def analyse(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Found:
     edges = stored(_confirmed(first, sets), "minmax-links")
     labels = components(edges)
     # the rest of the candidates: apart in spite of a common bucket
-    rest = stored(_apart(members, labels, classes).join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "minmax-apart")
+    rest = stored(_apart(members, labels, classes), "minmax-apart")
     if rest.limit(1).count():
-        more = rest.select(F.col("a").alias("node")).unionByName(rest.select(F.col("b").alias("node"))).distinct().join(nodes, "node", "left_anti")
+        more = rest.select("node").distinct().join(nodes, "node", "left_anti")
         sets = sets.unionByName(_full_sets(docs, text, stored(more, "minmax-nodes")))
-        found = stored(_confirmed(rest, sets), "minmax-links")
+        found = stored(_links_apart(rest, sets), "minmax-links")
         if found.limit(1).count():
             labels = components(edges.unionByName(found))
     linked = classes.join(labels, "node", "left").where("copies > 1 or label is not null").select("node", "min_id", F.coalesce("label", "node").alias("label"))
