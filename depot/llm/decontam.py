@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, map_arrow, scan_words, stored
+from depot.llm.common import byte_slices, folded, map_arrow, scan_words, stored
 
 
 class Item(NamedTuple):
@@ -51,7 +51,7 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def _hashes(text: str) -> np.ndarray:
-    return scan_words(pa.array([text or ""]), lower=True, letters_only=True)[0]
+    return scan_words(folded(pa.array([text or ""])), lower=True, letters_only=True)[0]
 
 
 def make_items(rows: list[tuple[int, str]]) -> list[Item]:
@@ -96,7 +96,7 @@ def _count(docs: DataFrame, vocabulary: np.ndarray, span: int, sample_docs: int,
         for batch in batches:
             out = []
             for b in byte_slices(batch, "text", 4 << 20):
-                words, _, _, at = scan_words(b.column("text"), lower=True, letters_only=True)
+                words, _, _, at = scan_words(folded(b.column("text")), lower=True, letters_only=True)
                 where = places(words)
                 hit = np.flatnonzero(where >= 0)
                 doc = np.searchsorted(at, hit, side="right") - 1
@@ -259,7 +259,7 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 def _matches(texts: pa.Array, places, index: Index, limit: float, strong: float = 0.75, weak: float = 0.55) -> dict[tuple[int, int], tuple[int, bool]]:
     """(text, item): common words in the best window and whether the answer stands there."""
-    words, _, _, at = scan_words(texts, lower=True, letters_only=True)
+    words, _, _, at = scan_words(folded(texts), lower=True, letters_only=True)
     where = places(words)
     best: dict[tuple[int, int], tuple[int, bool]] = {}
     for t, start, i, _ in candidates(where, at, index, limit):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, map_arrow, prefix_hashes, scan_words, stored
+from depot.llm.common import byte_slices, folded, map_arrow, prefix_hashes, scan_words, stored
 
 GRADES = 4
 PREFIXES = (4, 5, 6)
@@ -38,6 +38,7 @@ class Model(NamedTuple):
 def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(term hashes, text of each term, words of each text): every word, and
     its first 4, 5 and 6 bytes, so that a stem counts whatever its ending."""
+    texts = folded(texts)
     words, starts, ends, at = scan_words(texts, lower=True, letters_only=True)
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
     terms, owner = [words], [text]
