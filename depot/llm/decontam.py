@@ -47,6 +47,7 @@ class Index(NamedTuple):
     span: int                   # words in half a window
 
 
+_CHUNK = 1 << 12                            # tokens whose latent rows are held at once
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -132,15 +133,15 @@ def _gram(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, q: np.
     y = np.zeros((n, q.shape[1]))
     order = np.argsort(rows, kind="stable")
     rows, cols, values = rows[order], cols[order], values[order]
-    for at in range(0, len(rows), 1 << 16):             # bounded temporaries
-        r, c, v = rows[at:at + (1 << 16)], cols[at:at + (1 << 16)], values[at:at + (1 << 16)]
+    for at in range(0, len(rows), _CHUNK):             # bounded temporaries
+        r, c, v = rows[at:at + _CHUNK], cols[at:at + _CHUNK], values[at:at + _CHUNK]
         first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
         y[r[first]] += np.add.reduceat(q[c] * v[:, None], first, axis=0)
     z = np.zeros_like(q)
     order = np.argsort(cols, kind="stable")
     rows, cols, values = rows[order], cols[order], values[order]
-    for at in range(0, len(rows), 1 << 16):
-        r, c, v = rows[at:at + (1 << 16)], cols[at:at + (1 << 16)], values[at:at + (1 << 16)]
+    for at in range(0, len(rows), _CHUNK):
+        r, c, v = rows[at:at + _CHUNK], cols[at:at + _CHUNK], values[at:at + _CHUNK]
         first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
         z[c[first]] += np.add.reduceat(y[r] * v[:, None], first, axis=0)
     return z
@@ -224,8 +225,8 @@ def candidates(where: np.ndarray, at: np.ndarray, index: Index, limit: float) ->
     cell = base[text] + (hit - at[text]) // span
     vectors = np.zeros((int(base[-1]), index.basis.shape[1]), np.float32)
     value = index.idf.astype(np.float32)
-    for k in range(0, len(hit), 1 << 14):
-        c, w = cell[k:k + (1 << 14)], where[hit[k:k + (1 << 14)]]
+    for k in range(0, len(hit), _CHUNK):
+        c, w = cell[k:k + _CHUNK], where[hit[k:k + _CHUNK]]
         first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
         vectors[c[first]] += np.add.reduceat(index.basis[w] * value[w][:, None], first, axis=0)
     owner = np.repeat(np.arange(n), spans)
