@@ -8,7 +8,10 @@
    passages, partial products are added by blocks of rows), orthonormalised,
    multiplied again, and a small eigenproblem gives the latent basis.
 3. Search: every window of every whole document is projected and compared with
-   all items in blocks; windows above a cosine limit are candidates.
+   the items of its length class in blocks; windows above a cosine limit are
+   candidates.  Items are classed by powers of two of their words and each class
+   has windows and a stride of its own, so a long item widens no window of a
+   short one.  Vectors of wide spans are sums of those of the narrowest.
 4. A candidate is a leak if the longest common subsequence of words covers
    enough of the item and of the rarer half of its words, or covers less but
    the item's answer (its last sentence) stands in the window: a paraphrase.
@@ -44,10 +47,12 @@ class Index(NamedTuple):
     basis: np.ndarray           # vocabulary x rank, float32
     items: list[Item]
     latent: np.ndarray          # rank x items, unit columns
-    span: int                   # words in half a window
+    span: int                   # words in half a sampled passage
 
 
 _CHUNK = 1 << 12                            # tokens whose latent rows are held at once
+_CELLS = 1 << 13                            # narrowest spans whose vectors are held at once
+_LEAST = 4                                  # words in the narrowest span
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -183,7 +188,7 @@ def build_index(docs: DataFrame, items: list[Item], n_docs: int, rank: int = 256
     ``sample_docs`` documents (items weigh as much as the sample).  Word
     statistics are of all documents."""
     vocabulary = np.unique(np.concatenate([i.words for i in items]))
-    span = max(32, max(len(i.words) for i in items))
+    span = max(32, int(np.sort(_spans(items))[len(items) // 2]))
     rows = _count(docs, vocabulary, span, sample_docs, n_docs)
     df = np.zeros(len(vocabulary))
     for r in rows.where("place >= 0").groupBy("place").agg(F.sum("docs").alias("docs")).collect():     # a row per benchmark word
@@ -212,34 +217,78 @@ def build_index(docs: DataFrame, items: list[Item], n_docs: int, rank: int = 256
     return Index(vocabulary, idf, basis, items, np.ascontiguousarray(latent.T), span)
 
 
+def _spans(items: list[Item]) -> np.ndarray:
+    """Words in half a window of each item: its length up to the next power of two."""
+    return np.array([max(_LEAST, 1 << (len(i.words) - 1).bit_length()) for i in items], np.int64)
+
+
+def _pieces(at: np.ndarray, step: int, over: int) -> Iterator[list[tuple[int, int, int, int]]]:
+    """Runs of pieces (text, first word, end, end of the words that begin
+    windows) of about ``step`` words; a longer text is cut, its pieces reach
+    ``over`` words into the next."""
+    run, total = [], 0
+    for t in range(len(at) - 1):
+        lo, end = int(at[t]), int(at[t + 1])
+        while lo < end:
+            own = end if end - lo <= step + over else lo + step
+            to = min(own + over, end)
+            if run and total + to - lo > step + over:
+                yield run
+                run, total = [], 0
+            run.append((t, lo, to, own))
+            total += to - lo
+            lo = own
+    if run:
+        yield run
+
+
 def candidates(where: np.ndarray, at: np.ndarray, index: Index, limit: float) -> list[tuple[int, int, int, float]]:
     """(text, first word, item, cosine) of the windows whose latent cosine
-    with an item reaches ``limit``.  A window is two neighbouring spans, so an
-    item of up to one span lies whole in some window; a window's vector is the
-    sum of its spans' vectors."""
-    span, n = index.span, len(at) - 1
-    spans = np.maximum(1, -(-np.diff(at) // span))
-    base = np.concatenate([[0], np.cumsum(spans)])
-    hit = np.flatnonzero(where >= 0)
-    text = np.searchsorted(at, hit, side="right") - 1
-    cell = base[text] + (hit - at[text]) // span
-    vectors = np.zeros((int(base[-1]), index.basis.shape[1]), np.float32)
+    with an item reaches ``limit``.  A window is two neighbouring spans of the
+    item's length class, so an item lies whole in some window and fills a
+    quarter of it or more; a window's vector is the sum of its spans' vectors."""
+    own = _spans(index.items)
+    least, most = int(own.min()), int(own.max())
+    classes = {int(s): np.flatnonzero(own == s) for s in np.unique(own)}
+    latent = {s: np.ascontiguousarray(index.latent[:, members]) for s, members in classes.items()}
     value = index.idf.astype(np.float32)
-    for k in range(0, len(hit), _CHUNK):
-        c, w = cell[k:k + _CHUNK], where[hit[k:k + _CHUNK]]
-        first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-        vectors[c[first]] += np.add.reduceat(index.basis[w] * value[w][:, None], first, axis=0)
-    owner = np.repeat(np.arange(n), spans)
-    joined = vectors.copy()
-    joined[:-1][owner[:-1] == owner[1:]] += vectors[1:][owner[:-1] == owner[1:]]
+    step = max(1, _CELLS * least // most) * most
     out = []
-    for k in range(0, len(joined), 4096):
-        block = joined[k:k + 4096]
-        norm = np.maximum(np.linalg.norm(block, axis=1), 1e-9)
-        cos = block @ index.latent / norm[:, None]
-        for r, i in zip(*np.nonzero(cos >= limit)):
-            t = int(owner[k + r])
-            out.append((t, int(at[t] + (k + r - base[t]) * span), int(i), float(cos[r, i])))
+    for run in _pieces(at, step, most):
+        text, first, end, owned = (np.array(x, np.int64) for x in zip(*run))
+        count = -(-(end - first) // least)
+        base = np.concatenate([[0], np.cumsum(count)])
+        vectors = np.zeros((int(base[-1]), index.basis.shape[1]), np.float32)
+        hits = [f + np.flatnonzero(where[f:e] >= 0) for f, e in zip(first.tolist(), end.tolist())]       # pieces of a text overlap
+        hit, piece = np.concatenate(hits), np.repeat(np.arange(len(run)), [len(h) for h in hits])
+        cell = base[piece] + (hit - first[piece]) // least
+        for k in range(0, len(hit), _CHUNK):
+            c, w = cell[k:k + _CHUNK], where[hit[k:k + _CHUNK]]
+            begin = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            vectors[c[begin]] += np.add.reduceat(index.basis[w] * value[w][:, None], begin, axis=0)
+        span = least
+        while True:
+            owner = np.repeat(np.arange(len(run)), count)
+            place = np.arange(len(owner)) - base[owner]
+            if span in classes:
+                start = first[owner] + place * span
+                for k in range(0, len(vectors), 4096):
+                    rows = np.arange(k, min(k + 4096, len(vectors)))
+                    block = vectors[k:k + 4096].copy()
+                    more = rows[rows + 1 < len(vectors)]
+                    more = more[owner[more] == owner[more + 1]]
+                    block[more - k] += vectors[more + 1]
+                    norm = np.maximum(np.linalg.norm(block, axis=1), 1e-9)
+                    cos = block @ latent[span] / norm[:, None]
+                    for r, i in zip(*np.nonzero(cos >= limit)):
+                        if start[k + r] < owned[owner[k + r]]:
+                            out.append((int(text[owner[k + r]]), int(start[k + r]), int(classes[span][i]), float(cos[r, i])))
+            if span == most:
+                break
+            vectors = np.add.reduceat(vectors, np.flatnonzero(place % 2 == 0), axis=0)     # two spans are one of the next width
+            count = -(-count // 2)
+            base = np.concatenate([[0], np.cumsum(count)])
+            span *= 2
     return out
 
 
@@ -263,10 +312,12 @@ def _matches(texts: pa.Array, places, index: Index, limit: float, strong: float
     words, _, _, at = scan_words(folded(texts), lower=True, letters_only=True)
     where = places(words)
     best: dict[tuple[int, int], tuple[int, bool]] = {}
+    spans = _spans(index.items).tolist()
     for t, start, i, _ in candidates(where, at, index, limit):
-        item = index.items[i]
-        own = words[start:min(start + 2 * index.span, at[t + 1])]
-        n = common_subsequence(item.words, own[where[start:start + len(own)] >= 0])
+        item, more = index.items[i], spans[i] // 4                      # put-in words may reach beyond the window
+        begin, end = max(start - more, at[t]), min(start + 2 * spans[i] + more, at[t + 1])
+        own = words[begin:end]
+        n = common_subsequence(item.words, own[where[begin:end] >= 0])
         if n < weak * len(item.words):
             continue
         rare = common_subsequence(item.rare, own) / len(item.rare)      # frequent words alone prove nothing

@@ -95,3 +95,50 @@ def test_candidate_recall_against_brute_force():
             c = dense @ x / np.maximum(np.linalg.norm(dense, axis=1) * np.linalg.norm(x), 1e-9)
             want |= {(t, s, int(i)) for i in np.flatnonzero(c >= 0.5)}
     assert len(want & got) >= 0.9 * len(want)
+
+
+def test_short_items_beside_a_long_one(spark):
+    """Exact copies and paraphrases of 15-word items, with and without a 1,000-word item in their block."""
+    rng = random.Random(3)
+    even = lambda n: " ".join(f"w{rng.randrange(4000)}x" for _ in range(n))
+    short = [(i, even(15)) for i in range(40)]
+    long = (40, even(1000))
+    rows, planted = [], set()
+    for d in range(240):
+        own = prose(rng, rng.randint(300, 3000)).split()
+        w = short[d % 40][1].split()
+        if d % 3 == 1:                                  # a paraphrase
+            w = [x.upper() for k, x in enumerate(w) if k % 9 != 4]
+            w.insert(7, "indeed")
+        if d % 3 < 2:
+            at = rng.randint(0, len(own))
+            own[at:at] = w
+            planted.add((d, d % 40))
+        rows.append((d, " ".join(own)))
+    rows.append((240, prose(rng, 700) + " " + long[1] + " " + prose(rng, 700)))
+    df = docs(spark, rows)
+    for items in (short, [*short, long]):
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        found = {(r.doc_id, r.item_id) for r in decontam.leaks(df, bench).collect()}
+        assert planted <= found and not found - planted - {(240, 40)}
+    assert (240, 40) in found
+
+
+def test_cut_texts_give_the_same_candidates(monkeypatch):
+    """A text held in many pieces has the candidates of one held whole."""
+    rng = np.random.default_rng(4)
+    items = [decontam.Item(i, rng.integers(0, 300, n).astype(np.uint64), np.zeros(0), np.zeros(0)) for i, n in enumerate((1, 3, 5, 15, 16, 17, 60, 130))]
+    latent = np.zeros((300, len(items)), np.float32)
+    for i, x in enumerate(items):
+        np.add.at(latent[:, i], x.words.astype(int), 1)
+    latent /= np.linalg.norm(latent, axis=0)
+    index = decontam.Index(np.arange(300, dtype=np.uint64), np.ones(300), np.eye(300, dtype=np.float32), items, latent, 32)
+    at = np.array([0, 7, 7, 3000, 3001, 3500])
+    where = rng.integers(-1, 300, 3500).astype(np.int32)
+    for k, x in enumerate(items):
+        where[200 + 300 * k:200 + 300 * k + len(x.words)] = x.words
+    whole = decontam.candidates(where, at, index, 0.3)
+    monkeypatch.setattr(decontam, "_CELLS", 1)
+    cut = decontam.candidates(where, at, index, 0.3)
+    assert sorted(c[:3] for c in whole) == sorted(c[:3] for c in cut) and {c[2] for c in whole} == set(range(len(items)))
+    assert all(at[t] <= s < at[t + 1] and (s - at[t]) % decontam._spans(items)[i] == 0 for t, s, i, _ in whole)
