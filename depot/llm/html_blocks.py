@@ -37,7 +37,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>"
     r"|<[!?][^>]*+>"
     r"|</?[a-zA-Z!?][^>]*+\Z", re.S | re.I)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"[\s/]*+([^\s/=>]++|=[^\s/=>]*+)(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s>]++))?")     # one attribute, from where the last one ended
 
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
                    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -55,13 +55,22 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form aler
 LONG, PROSE, LINKS = 70, 0.2, 0.5
 
 
+def _attributes(attrs: str) -> Iterator[tuple[str, str]]:
+    """Names (lower case) and values of a tag's attributes, the first of each name."""
+    at, seen = 0, set()
+    while m := _ATTR.match(attrs, at):
+        at, name, value = m.end(), m[1].lower(), m[2] or ""
+        if name not in seen:
+            seen.add(name)
+            yield name, html.unescape(value.strip(value[0]) if value[:1] in ("\"", "'") else value)
+
+
 def _furniture(tag: str, attrs: str, in_room: bool) -> bool:
     if tag in _ROOM or tag in ("html", "body"):
         return False
     if tag in _FURNITURE or tag == "header" and not in_room:
         return True
-    for name, value in _ATTR.findall(attrs) if attrs else ():
-        name, value = name.lower(), value.strip("\"'")
+    for name, value in _attributes(attrs) if attrs else ():
         if name in ("class", "id") and (_HINT.search(value) or not in_room and _PAGE_HINT.search(value)):
             return True
         if name == "role" and value.lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":

@@ -32,3 +32,12 @@ def test_query_shape(spark):
     rows = H.extract(df).collect()
     assert len(rows) == 3 and sorted(r.n_chars for r in rows)[:2] == [0, 0] and all(r.n_chars == len(r.text) for r in rows)
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_attributes_by_whole_name():
+    long = "It is the one of them that has been with us for all of the time that we had, and so on to the end of it."
+    for attrs in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-hidden="false"', 'data-class="sidebar"', "title='id=footer'", 'data-x=hidden', 'title="a\' class=ad"',
+                  'style = "x" title = "role=navigation"', "hiddenx", 'data-role="search"', "x/=hidden", 'class="main" class="ad"'):
+        assert H.main_text(f"<body><div {attrs}><div><p>{long}</p></div></div>") == long, attrs
+    for attrs in ("hidden", "HIDDEN=''", "hidden/", 'title="a"hidden', 'style="x" class="ad"', "id = footer", "role='Navigation'", "aria-hidden=true", 'title="a" aria-hidden="TRUE"', 'class="a&#32;sidebar"'):
+        assert H.main_text(f"<body><div {attrs}><div><p>{long}</p></div></div>") == "", attrs
