@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags.  Pass 1 looks at each block
 alone: what stands in page furniture (by element, role, class or id) or is
 mostly links is boilerplate; what is long or has the stop-word density of
-prose is content; the rest is ambiguous.  Pass 2 gives ambiguous blocks the
+prose is content (where no block of a page without article or main has it,
+as in other languages than those of the stop words, what is long); the rest is
+ambiguous.  Pass 2 gives ambiguous blocks the
 label of the nearest decided block of the same section (ties: content), or of
 the section itself (inside article or main: content).
 """
@@ -155,17 +157,12 @@ def _prose(text: str) -> float:
 def main_text(page: str | None) -> str:
     """Content blocks of a page in order, joined by an empty line."""
     found = blocks(page or "")
-    labels: list[bool | None] = []
-    for text, linked, bad, room, heading in found:
-        dense = linked > LINKS * len(text) and not heading
-        if bad or dense:
-            labels.append(False)
-        elif len(text) >= LONG and (room or _prose(text) >= PROSE):
-            labels.append(True)
-        elif not room and len(text) >= LONG:
-            labels.append(False)
-        else:
-            labels.append(None)
+    aside = [bad or linked > LINKS * len(text) and not heading for text, linked, bad, _, heading in found]
+    long = [not out and len(b[0]) >= LONG for b, out in zip(found, aside)]
+    prose = [own and (b[3] > 0 or _prose(b[0]) >= PROSE) for b, own in zip(found, long)]
+    if not any(prose) and not any(b[3] for b in found):
+        prose = long
+    labels: list[bool | None] = [False if out else own if far else None for out, far, own in zip(aside, long, prose)]
     # pass 2: nearest decided block of the section, furniture aside
     final = list(labels)
     by_room: dict[int, list[int]] = {}

@@ -41,3 +41,14 @@ def test_attributes_by_whole_name():
         assert H.main_text(f"<body><div {attrs}><div><p>{long}</p></div></div>") == long, attrs
     for attrs in ("hidden", "HIDDEN=''", "hidden/", 'title="a"hidden', 'style="x" class="ad"', "id = footer", "role='Navigation'", "aria-hidden=true", 'title="a" aria-hidden="TRUE"', 'class="a&#32;sidebar"'):
         assert H.main_text(f"<body><div {attrs}><div><p>{long}</p></div></div>") == "", attrs
+
+
+def test_languages_without_stop_words():
+    chinese = "这个城市的老图书馆在去年春天重新开放，许多居民带着孩子来到这里读书。" * 3
+    polish = "Stara biblioteka miejska została ponownie otwarta wiosną ubiegłego roku, mieszkańcy przychodzą tutaj czytać książki."
+    for text in (chinese, polish):
+        page = f"<body><div><a href=x>{text}</a></div><div><h2>A</h2><p>{text}</p><p>B</p><p>{text}</p></div><div class='footer'>{text}</div></body>"
+        assert H.main_text(page).split("\n\n") == ["A", text, "B", text]
+    english = "It is the one of them that has been with us for all of the time that we had, and so on to the end of it."
+    assert H.main_text(f"<body><p>{english}</p><div>{'Product number price cart ' * 5}</div></body>") == english
+    assert H.main_text(f"<body><article><p>Short</p></article><div>{'Product number price cart ' * 5}</div></body>") == "Short"
