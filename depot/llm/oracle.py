@@ -76,4 +76,86 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM bits
 """
 
-ORACLE = {"op1_chat_format": OP1, "op2_quality_rules": OP2, "op8_warc": OP8}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _runs(table: str) -> str:
+    return f"SELECT row_number() OVER () AS r, *, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LETTERS}') AS ws FROM {table}"
+
+
+OP12 = rf"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), d AS ({_runs('documents')}), m AS ({_runs('benchmark')}
+), dw AS (
+  SELECT r, unnest(ws) AS w FROM d
+), mw AS (
+  SELECT unnest(ws) AS w FROM m
+), vocabulary AS (
+  SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM mw) u
+), bytes AS (
+  SELECT w, list_transform(range(len(h) // 2), lambda i: CAST(16 * (strpos('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1)
+                                                              + strpos('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1 AS BIGINT)) AS b FROM vocabulary
+), hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes CROSS JOIN crc
+), s AS (
+  SELECT bucket, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS n FROM mw JOIN hashed USING (w) GROUP BY bucket
+), totals AS (
+  SELECT CAST((SELECT count(*) FROM dw) AS DOUBLE) AS s, CAST((SELECT count(*) FROM mw) AS DOUBLE) AS t
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * (totals.s + 10000) / ((s.n + 1.0::DOUBLE) * (totals.t + 10000)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (bucket) CROSS JOIN totals
+), weight AS (
+  SELECT r, sum(g) AS weight FROM dw JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY r
+), hx AS (
+  SELECT r, doc_id, len(ws) AS n, coalesce(weight.weight, 0) AS weight, substr(sha256('2024:' || doc_id), 1, 8) AS x FROM d LEFT JOIN weight USING (r)
+), scored AS (
+  SELECT r, doc_id, n, weight, weight + CAST(floor(-1000 * ln(-ln((list_reduce(list_transform(range(8),
+           lambda i: CAST(strpos('0123456789abcdef', substr(x, i + 1, 1)) - 1 AS BIGINT)), lambda a, b: 16 * a + b) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM hx
+), placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, weight, n) AS place, count(*) OVER () AS fit FROM scored WHERE n >= 20
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN place <= 10 * fit // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""
+
+
+def _op13(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'distance': distance, 'c': c}}) AS near
+  FROM (SELECT q.r, q.vec_id, q.v, c.c, list_sum(list_transform(range(1, {dims + 1}), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i]))) AS distance
+        FROM q CROSS JOIN c{i} c) x GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS (
+  SELECT old.c, coalesce(new.v, old.v) AS v FROM c{i} old LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+    FROM (SELECT near.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM a{i} CROSS JOIN range(1, {dims + 1}) t(i) GROUP BY near.c, i) y GROUP BY c
+  ) new ON old.c = new.c
+)""")
+    return f"""
+WITH q AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({dims} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM q QUALIFY c < {k}
+), {', '.join(steps)}
+SELECT a.vec_id, CAST(near.c AS INTEGER) AS cluster, CAST(near.distance AS BIGINT) AS distance,
+       CAST(sum(near.distance) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia, CAST(sum(near.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.near.c = c.c
+"""
+
+
+OP13 = _op13()
+
+ORACLE = {"op1_chat_format": OP1, "op2_quality_rules": OP2, "op8_warc": OP8, "op12_resample": OP12, "op13_centroids": OP13}

@@ -6,7 +6,7 @@ import pytest
 from depot import llm
 
 DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "conversations", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "conversations", "benchmark", "labels")
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
@@ -23,4 +23,4 @@ def test_oracle(spark, name):
 
 def test_all_ops_are_registered():
     names = list(llm.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
