@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depot.llm import centroids, chat, cube, decontam, html_blocks, maxent, minmax, quality, rendezvous, resample, toxicity, warc
+from depot.llm import centroids, chat, cube, decontam, html_blocks, maxent, minmax, pii, quality, rendezvous, resample, toxicity, warc
 from depot.llm.common import table
 from depot.llm.oracle import ORACLE
 
@@ -59,6 +59,10 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.shard(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents")).withColumn("spans", pii.joined())
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -74,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [op1_chat_format, op2_quality_rules, op3_decontaminate, op4_lm_score, op5_minmax_dedup, op6_toxicity,
-        op7_html_extract, op8_warc, op9_mix_sources, op10_shard, op12_resample, op13_centroids, pipeline]
+        op7_html_extract, op8_warc, op9_mix_sources, op10_shard, op11_pii, op12_resample, op13_centroids, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
