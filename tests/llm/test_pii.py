@@ -97,7 +97,7 @@ def test_reliabilities_follow_the_counts():
         counts[code] = counts.get(code, 0) + 1
     got, post = pii.reliabilities([(0, c, k) for c, k in counts.items()])
     assert np.allclose(got, [right, right], atol=0.03)
-    assert np.allclose(post[1:], pii.reliabilities([])[1][1:], atol=0.5)
+    assert post[0, -1] > 0.999 and post[0, 0] < 0.001
 
 
 def test_mask_replaces_spans(spark, corpus):
