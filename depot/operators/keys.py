@@ -14,7 +14,9 @@ one task.  Here Spark's own range partitioning does the ordering:
 
 Nothing is collected.  Ids are a function of the order alone: number and
 bounds of the ranges do not matter, and a lost executor reads stored rows.
-Assigning ids is an eager step (two writes to the shared scratch folder).
+Assigning ids is an eager step (two writes to the shared scratch folder); the
+first copy is deleted once the second stands, the second stays as long as the
+result is read (``session.scratch_scope`` frees it).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depot.session import stored
+from depot.session import discard, scratch_path, stored
 
 _BITS = 33                                  # of the position in monotonically_increasing_id
 
@@ -40,10 +42,14 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int
                n_ranges: int | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following the ascending order of
     ``order_cols`` (nulls first; a total order gives repeatable ids)."""
-    staged = stored(df, "keys-input")
+    spark = df.sparkSession
+    source = scratch_path(spark, "keys-input")
+    df.write.parquet(source)
+    staged = spark.read.schema(df.schema).parquet(source)
     n = n_ranges or _n_ranges(staged, staged.count())
     placed = stored(staged.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                     .withColumn("_place", F.monotonically_increasing_id()), "keys-ordered")
+    discard(spark, source)                      # only the ordered copy is read from here on
     placed = placed.select(*df.columns, F.shiftright("_place", _BITS).alias("_range"),
                            F.col("_place").bitwiseAND(F.lit((1 << _BITS) - 1)).alias("_at"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -73,7 +73,7 @@ def q_sink_csv(t):
 def q_sink_parquet(t):
     path = scratch_path(t.spark, "parquet-sink")
     FI.write_parquet(t.v_shipments, path)
-    return t.spark.read.schema(t.v_shipments.schema).parquet(path)
+    return FI.read_parquet(t.spark, path, t.v_shipments.schema)
 
 
 # ---- A5, A6
@@ -90,14 +90,13 @@ def _appended(t):
 @register("append_parts", "SELECT *, CAST(year(order_date) AS INT) AS order_year FROM v_orders")
 def q_append_parts(t):
     path, schema = _appended(t)
-    return t.spark.read.schema(schema).parquet(path)
+    return FI.read_parquet(t.spark, path, schema)
 
 
 @register("compact_parts", "SELECT *, CAST(year(order_date) AS INT) AS order_year FROM v_orders")
 def q_compact_parts(t):
     path, schema = _appended(t)
-    n_files = max(2, int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    return FI.compact_parts(t.spark, path, scratch_path(t.spark, "compacted"), n_files, schema, ["order_id"])
+    return FI.compact_parts(t.spark, path, ["order_year"], schema=schema)
 
 
 # ---- A8

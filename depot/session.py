@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,10 +68,38 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_open = threading.local()                   # the scopes that this thread is in
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch folder."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    for scope in getattr(_open, "scopes", ()):
+        scope.append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    from depot.sources import storage
+
+    storage.delete(spark, path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving whatever was stored under the scratch folder inside:
+    for work whose results have been written elsewhere by then."""
+    scopes = _open.__dict__.setdefault("scopes", [])
+    mine: list[str] = []
+    scopes.append(mine)
+    try:
+        yield
+    finally:
+        scopes[:] = [x for x in scopes if x is not mine]
+        for path in mine:
+            discard(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from depot.config import CATALOG_COLUMNS, POSTAL_FIELDS, TIMESTAMP_FORMAT
 from depot.functions.rules import normalize_timestamp
+from depot.sources import versions
 
 # the item fields the catalog columns map to, and their types
 CATALOG_RENAMES = {"product_code": "item_sku", "description": "item_description", "product_category": "category",
@@ -65,43 +66,48 @@ def write_csv(df: DataFrame, path: str, timestamp_cols: Sequence[str] = (), mode
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Parquet sink (A4); the output committer makes the replace atomic per
-    job (no temp-name swap by hand)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Parquet sink (A4).  ``overwrite`` replaces the table whole: the new
+    version is staged beside the old one, which stays readable until the new one
+    stands and for good if the write fails; ``append`` adds to the current
+    version.  Read it with ``read_parquet``."""
+    if mode == "overwrite":
+        versions.replace(df, path, partition_by)
+    elif mode == "append":
+        versions.append(df, path, partition_by)
+    else:
+        raise ValueError(f"mode {mode!r} is neither overwrite nor append")
+
+
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current version of a table that ``write_parquet`` wrote."""
+    return versions.read(spark, path, schema)
 
 
-def append_parts(chunks: Sequence[DataFrame], path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append each chunk to one table (A5): ``mode('append')``, partitioned."""
+def append_parts(chunks: Sequence[DataFrame], path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+                 timestamp_cols: Sequence[str] = ()) -> None:
+    """Append each chunk to one table (A5), as Parquet or as CSV with a header."""
     for ch in chunks:
-        write_parquet(ch, path, partition_by, mode="append")
-
-
-def compact_parts(spark: SparkSession, src: str, dst: str, n_files: int, schema: T.StructType | None = None,
-                  sort_cols: Sequence[str] = ()) -> DataFrame:
-    """Rewrite many small part files as ``n_files`` larger ones into a new
-    folder (A6) and return the compacted table.  ``repartition`` spreads the
-    rewrite over ``n_files`` tasks (never one task)."""
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    df = r.parquet(src)
-    if sort_cols:
-        df = df.repartitionByRange(n_files, *sort_cols).sortWithinPartitions(*sort_cols)
-    else:
-        df = df.repartition(n_files)
-    df.write.mode("overwrite").parquet(dst)
-    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(dst)
+        if fmt == "csv":
+            write_csv(ch, path, timestamp_cols, mode="append")
+        else:
+            write_parquet(ch, path, partition_by, mode="append")
+
+
+def compact_parts(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_bytes: int = versions.TARGET_BYTES,
+                  schema: T.StructType | None = None, sort_cols: Sequence[str] = ()) -> DataFrame:
+    """Rewrite many small part files as files of about ``target_bytes``, in
+    place (A6), and return the compacted table.  The bytes of the listing decide
+    how many files there are; the old version stays until the new one stands."""
+    return versions.compact(spark, path, partition_by, target_bytes, sort_cols, schema)
 
 
 def bulk_load(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | None]],
               prefix: str = "") -> DataFrame:
-    """Load files as named temp views (A8) and return (table, rows).  Load
-    order does not matter in Spark; foreign keys are checked separately (K2)."""
+    """Load tables of the Parquet sink as named temp views (A8) and return (table,
+    rows).  Load order does not matter in Spark; foreign keys are checked separately (K2)."""
     counts = []
     for name, (path, schema) in tables.items():
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        r.parquet(path).createOrReplaceTempView(prefix + name)
+        read_parquet(spark, path, schema).createOrReplaceTempView(prefix + name)
         counts.append(spark.table(prefix + name).agg(F.count(F.lit(1)).alias("row_count"))
                       .select(F.lit(name).alias("table_name"), "row_count"))
     out = counts[0]
@@ -111,10 +117,10 @@ def bulk_load(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType
 
 
 def preview_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], names: Sequence[str], n: int,
-                   out_dir: str | None = None, seed: int = 42) -> DataFrame:
+                   out_dir: str | None = None, seed: int = 42, fmt: str = "parquet") -> DataFrame:
     """Preview (A10): the selected tables in canonical order, each capped at
-    ``n`` rows by a seeded sample (F2), optionally written, and profiled
-    (D14).  Tables not selected are never computed."""
+    ``n`` rows by a seeded sample (F2), optionally written (Parquet or CSV), and
+    profiled (D14).  Tables not selected are never computed."""
     from depot.operators.aggregates import table_profile
     from depot.operators.sampling import sample_rows
     chosen = [nm for nm in tables if nm in set(names)]
@@ -122,8 +128,12 @@ def preview_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], names:
     for nm in chosen:
         df, keys = tables[nm]
         s = sample_rows(df, n, keys, seed)
-        if out_dir:
-            write_parquet(s, f"{out_dir.rstrip('/')}/{nm}")
-            s = df.sparkSession.read.parquet(f"{out_dir.rstrip('/')}/{nm}")
+        path = f"{out_dir.rstrip('/')}/{nm}" if out_dir else None
+        if path and fmt == "csv":
+            write_csv(s, path, [f.name for f in s.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))])
+            s = df.sparkSession.read.schema(", ".join(f"`{c}` string" for c in s.columns)).option("header", True).csv(path)
+        elif path:
+            write_parquet(s, path)
+            s = read_parquet(df.sparkSession, path)
         samples[nm] = s
     return table_profile(samples)

@@ -1,31 +1,30 @@
 """Structured Streaming forms of the order pipeline (J ops).
 
-Orders arrive as files in a landing folder.  ``readStream`` picks them up,
+Orders arrive as files in a landing folder.  ``readStream`` picks them up and
 ``foreachBatch`` turns each micro-batch into priced order lines, shipments,
-shipment lines, cost rollups and tracking events (the same ``build_*`` functions as the batch
-path), and every sink is written to a ``batch_id=<n>`` folder in overwrite
-mode, so a replayed batch replaces its own output (idempotent).  Ids that
-must continue across batches (J2) come from a ledger of (batch_id, counts)
-rows: a replayed batch reuses its ledger entry, a new batch starts after the
-sum of the earlier ones.  ``trigger(availableNow=True)`` drains what has
-landed and stops; checkpoints live under the shared scratch folder.
+shipment lines, cost rollups and tracking events (the same ``build_*``
+functions as the batch path).  The tables of a batch become visible together,
+by a commit record written last (``streaming.commits``): a batch that broke
+half way is seen in none of them, and a replay of a committed batch changes
+nothing.  The record carries the rows of each table, observed while they were
+written; ids continue from these (J2) and running counts are read from them (J4).
+``trigger(availableNow=True)`` drains what has landed and stops; checkpoints
+live under the shared scratch folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from depot.plans import fulfillment as FUL
-from depot.session import scratch_path
+from depot.session import scratch_path, scratch_scope, stored
 from depot.sources.tables import shipments_from_orders
+from depot.streaming import commits
 
 SINKS = ["orders", "order_lines", "shipments", "shipment_lines", "tracking_events", "shipment_costs"]
-LEDGER_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("n_shipments", T.LongType()),
-                              T.StructField("n_lines", T.LongType())])
 
 
 def land_chunks(df: DataFrame, path: str, key: str, n_chunks: int, files_per_chunk: int = 2) -> None:
@@ -35,54 +34,49 @@ def land_chunks(df: DataFrame, path: str, key: str, n_chunks: int, files_per_chu
     df.repartitionByRange(n_chunks * files_per_chunk, key).write.mode("append").parquet(path)
 
 
-def _ledger_start(spark: SparkSession, ledger: str, batch_id: int) -> tuple[int, int]:
-    """(first shipment rank, first line id) for ``batch_id``.  The ledger
-    holds one small row per finished batch, and one that was written before
-    the first; it always exists, so any error in reading it fails the batch."""
-    led = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("batch_id") < batch_id)
-    row = led.agg(F.sum("n_shipments").alias("s"), F.sum("n_lines").alias("l")).first()
-    return int(row["s"]) + 1, int(row["l"]) + 1
-
-
-def order_pipeline_batch(tables, sink: str, static_lines: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+def order_pipeline_batch(tables, sink: str, static_lines: DataFrame | None = None,
+                         names: Sequence[str] = SINKS) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body of J1/J2 over a stream of orders.
 
     ``static_lines``: the order lines (with ids) as a table stored in order of
     ``order_id``; each batch reads only the row groups between its first and
-    last order."""
+    last order, once: its own lines are stored for the tables made of them, and
+    freed with everything else that the batch stored on its way.  ``names``:
+    the tables to write."""
     spark = tables.spark
-    ledger = f"{sink}/_ledger"
     all_lines = static_lines if static_lines is not None else tables.v_lines
-    spark.createDataFrame([(-1, 0, 0)], LEDGER_SCHEMA).write.mode("ignore").parquet(f"{ledger}/batch_id=-1")
-
-    def out(name: str, batch_id: int) -> str:
-        return f"{sink}/{name}/batch_id={batch_id}"
+    commits.start(spark, sink)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        s_start, l_start = _ledger_start(spark, ledger, batch_id)
-        batch.write.mode("overwrite").parquet(out("orders", batch_id))
-        orders = spark.read.schema(batch.schema).parquet(out("orders", batch_id))
-        low, high, n_ship = orders.agg(F.min("order_id"), F.max("order_id"), F.count(F.lit(1))).first()
-        near = all_lines.filter(F.col("order_id").between(low, high)) if n_ship else all_lines.limit(0)
-        lines = near.join(orders.select("order_id"), "order_id", "left_semi")
-        ships = shipments_from_orders(orders)
-        sl = FUL.build_shipment_lines(ships, lines, tables.v_items, tables.v_carriers, orders, start_id=l_start)
-        sl.write.mode("overwrite").parquet(out("shipment_lines", batch_id))
-        sl = spark.read.schema(sl.schema).parquet(out("shipment_lines", batch_id))   # cut lineage
-        for name, df in [
-            ("order_lines", FUL.build_order_lines(lines, orders, tables.v_customers, tables.v_items)),
-            ("shipments", FUL.build_shipments(ships, sl, tables.v_items)),
-            ("tracking_events", FUL.build_tracking_events(ships, tables.v_dcs, start_id=(s_start - 1) * 4 + 1)),
-            ("shipment_costs", FUL.shipment_costs(ships, sl, tables.v_items)),
-        ]:
-            df.write.mode("overwrite").parquet(out(name, batch_id))
-        spark.createDataFrame([(batch_id, n_ship, sl.count())], LEDGER_SCHEMA) \
-            .write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+        now = commits.Batch(spark, sink, batch_id)
+        if now.committed():
+            return
+        with scratch_scope(spark):
+            orders = now.write(batch, "orders")
+            low, high = orders.agg(F.min("order_id"), F.max("order_id")).first()
+            near = all_lines.filter(F.col("order_id").between(low, high)) if low is not None else all_lines.limit(0)
+            lines = near.join(orders.select("order_id"), "order_id", "left_semi")
+            if {"order_lines", "shipment_lines", "shipments", "shipment_costs"} & set(names):
+                lines = stored(lines, "batch-lines")
+            ships = shipments_from_orders(orders)
+            if {"shipment_lines", "shipments", "shipment_costs"} & set(names):
+                sl = FUL.build_shipment_lines(ships, lines, tables.v_items, tables.v_carriers, orders,
+                                              start_id=now.earlier("shipment_lines") + 1)
+                sl = now.write(sl, "shipment_lines")
+            if "order_lines" in names:
+                now.write(FUL.build_order_lines(lines, orders, tables.v_customers, tables.v_items), "order_lines")
+            if "shipments" in names:
+                now.write(FUL.build_shipments(ships, sl, tables.v_items), "shipments")
+            if "tracking_events" in names:
+                now.write(FUL.build_tracking_events(ships, tables.v_dcs, start_id=now.earlier("tracking_events") + 1), "tracking_events")
+            if "shipment_costs" in names:
+                now.write(FUL.shipment_costs(ships, sl, tables.v_items), "shipment_costs")
+            now.commit()
 
     return run
 
 
-def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2) -> str:
+def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2, names: Sequence[str] = SINKS) -> str:
     """Run J1 end to end over the orders of ``tables``: land them as chunks,
     stream them through the pipeline with ``availableNow``, and return the
     sink folder (one sub-folder per table)."""
@@ -94,15 +88,21 @@ def stream_order_pipeline(tables, n_chunks: int = 2, max_files: int = 2) -> str:
     land_chunks(orders, landing, "order_id", n_chunks)
     lines = tables.v_lines          # stored once, in order of order_id
     stream = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", max_files).parquet(landing))
-    q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink, lines))
+    q = (stream.writeStream.foreachBatch(order_pipeline_batch(tables, sink, lines, names))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return sink
 
 
 def read_sink(spark: SparkSession, sink: str, name: str) -> DataFrame:
-    """Read a streamed table back (A9); the batch folder is a partition column."""
-    return spark.read.parquet(f"{sink}/{name}").drop("batch_id")
+    """Read a streamed table back (A9): the committed batches only."""
+    return commits.read(spark, sink, name)
+
+
+def running_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """Rows so far per streamed table, as observed while its batches were
+    written: (table_name, row_count).  Torn batches do not count."""
+    return commits.row_counts(spark, sink).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
 
 
 def stream_milestones(tables, n_chunks: int = 3) -> DataFrame:
@@ -120,29 +120,3 @@ def stream_milestones(tables, n_chunks: int = 3) -> DataFrame:
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(events.schema).parquet(sink)
-
-
-def stream_progress_counts(tables, n_chunks: int = 2) -> DataFrame:
-    """Running row counts per table over the streams of orders, order
-    lines and shipments (one stateful aggregate in complete mode); each
-    trigger overwrites a small Parquet table with the totals so far."""
-    spark = tables.spark
-    sink = scratch_path(spark, "progress")
-    ckpt = scratch_path(spark, "progress-ckpt")
-    streams = None
-    for name, df, key in [("orders", tables.v_orders, "order_id"), ("order_lines", tables.v_lines_noid, "order_id"),
-                          ("shipments", tables.v_shipments, "shipment_id")]:
-        landing = scratch_path(spark, f"landing-{name}")
-        land_chunks(df.select(key), landing, key, n_chunks)
-        own = (spark.readStream.schema(df.select(key).schema).option("maxFilesPerTrigger", 2).parquet(landing)
-               .select(F.lit(name).alias("table_name")))
-        streams = own if streams is None else streams.unionByName(own)
-    counts = streams.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
-
-    def publish(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(sink)
-
-    q = (counts.writeStream.outputMode("complete").foreachBatch(publish)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(sink)

@@ -1,5 +1,5 @@
 """Rows, balances, codes and ids that must survive: null dates, late buckets,
-many items, a damaged ledger, a master without a shared folder."""
+many items, a damaged record, a master without a shared folder."""
 
 import datetime as dt
 import os
@@ -45,16 +45,18 @@ def test_locations_are_unique_for_many_items(spark):
     assert n[0] == 20_000 and n[1] == n[2] and n[3] == 20_000
 
 
-def test_damaged_ledger_fails_the_batch(spark, tables):
-    from depot.streaming.pipeline import _ledger_start, order_pipeline_batch
+def test_damaged_record_fails_the_batch(spark, tables):
+    from depot.streaming import commits
+    from depot.streaming.pipeline import order_pipeline_batch
     sink = scratch_path(spark, "damaged")
-    order_pipeline_batch(tables, sink)
-    assert _ledger_start(spark, f"{sink}/_ledger", 5) == (1, 1)
-    os.makedirs(f"{sink}/_ledger/batch_id=4")
-    with open(f"{sink}/_ledger/batch_id=4/part-00000.parquet", "w") as f:
-        f.write("not parquet")
+    run = order_pipeline_batch(tables, sink)
+    assert commits.Batch(spark, sink, 5).earlier("shipment_lines") == 0
+    with open(f"{sink}/_commits/4.json", "w") as f:
+        f.write('{"batch_id": 4, "attem')
     with pytest.raises(Exception):  # noqa: B017
-        _ledger_start(spark, f"{sink}/_ledger", 5)
+        commits.Batch(spark, sink, 5).earlier("shipment_lines")
+    with pytest.raises(Exception):  # noqa: B017
+        run(tables.v_orders.limit(5), 5)
 
 
 def test_stream_writes_all_sinks(spark, tables):
