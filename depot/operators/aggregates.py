@@ -4,29 +4,23 @@ broadcast (size 1 by construction), never an unpartitioned window."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depot.operators.keys import dense_keys
+from depot.operators import selection
 
 
 def exact_percentile(df: DataFrame, col: str, p: float, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Exact percentile with linear interpolation (D10), as one row ``value``.
 
     ``percentile()`` keeps every distinct value in one aggregation buffer;
-    here values are ranked with the range-partitioned dense rank, and only
-    the two rows around 0-based position p (n - 1) are read back.  ``tie_cols``
-    spread a hot value over several ranges (they do not change the result)."""
-    vals = df.select(F.col(col).cast("double").alias("_x"), *tie_cols).filter(F.col("_x").isNotNull())
-    ranked = dense_keys(vals, ["_x", *tie_cols], "_r")
-    n = ranked.count()                              # of stored rows
-    rn = p * max(n - 1, 0)                          # 0-based position, as percentile() uses
-    lo, hi, frac = math.floor(rn) + 1, math.ceil(rn) + 1, rn - math.floor(rn)
-    at = lambda r: F.max(F.when(F.col("_r") == r, F.col("_x")))
-    return ranked.filter(F.col("_r").isin(lo, hi)).agg((at(lo) + F.lit(frac) * (at(hi) - at(lo))).alias("value"))
+    here histograms narrow the range around the rank (``selection``): no sort,
+    and nothing is written.  ``tie_cols`` are not needed and stay for callers
+    that name them.  Eager: the value is found when this is called."""
+    value = selection.interpolated(df, col, p)
+    return df.sparkSession.range(1).select(F.lit(value).cast("double").alias("value"))
 
 
 def minmax_normalize(df: DataFrame, col: str, out: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depot.functions.draws import keyed_uniform
-from depot.operators.keys import dense_keys
+from depot.operators.selection import smallest
 from depot.operators.windows import top_n
 
 
@@ -33,12 +33,13 @@ def fraction_sample(df: DataFrame, frac: float, key_cols: Sequence[str], seed: i
 
 
 def sample_exact_fraction(df: DataFrame, rate: float, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly max(1, round(n x rate)) rows (F4): rows ranked by the keyed
-    draw with the range-partitioned dense rank, and a filter on the rank (the
-    row count is one number)."""
-    ranked = dense_keys(df.withColumn("_u", keyed_uniform(seed, "exact", *key_cols)), ["_u", *key_cols], "_rank")
-    k = max(1, math.floor(ranked.count() * rate + 0.5))
-    return ranked.filter(F.col("_rank") <= k).drop("_u", "_rank")
+    """Exactly max(1, round(n x rate)) rows (F4), those with the smallest keyed
+    draws: the last draw that stays is found by histograms (``selection``), and
+    the sample is a filter on it.  No rows are sorted or written."""
+    n = df.count()
+    k = max(1, math.floor(n * rate + 0.5))
+    u = keyed_uniform(seed, "exact", *key_cols)
+    return smallest(df.withColumn("_u", u), F.col("_u"), k, n, key_cols).drop("_u")
 
 
 def weighted_sample(df: DataFrame, group_cols: Sequence[str], weight_col: str, k: int,
