@@ -7,10 +7,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depot.sources.schemas import TableSpec
+
 
 def conform_to_schema(df: DataFrame, schema: T.StructType, safe: bool = True) -> DataFrame:
     """Cast every declared column to its type, in declared order.
@@ -36,6 +38,60 @@ def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
     return lost.select(F.inline(rows))
 
 
+def check_declared(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
+    """All checks that the declared specs call for on the given tables:
+    (table_name, check_name, subject, failures), a row per check, kept or broken.
+
+    Rows of a table are read as the declared types.  One aggregate per table
+    counts empty tables (``non_empty``), nulls in NOT NULL columns
+    (``not_null``) and values that the cast turns to null (``lost_in_cast``).
+    One shuffle per key does the rest: the values of the key and of every column
+    that refers to it meet in one aggregate, which counts values that occur
+    twice (``unique``) and rows whose value the parent lacks (``foreign_key``).
+    Null keys and references are in neither.  References to tables that are not
+    given, and specs without a table, are left out."""
+    given = {n: specs[n] for n in tables}
+    conformed = {n: conform_to_schema(tables[n], spec.struct) for n, spec in given.items()}
+    out = []
+    for name, spec in given.items():
+        out.append(_table_checks(name, tables[name], spec))
+        for key in spec.keys:
+            links = [(child, c) for child, s in given.items() for c, parent, pc in s.foreign if parent == name and [pc] == key]
+            out.append(_key_checks(name, key, conformed[name], [(child, c, conformed[child]) for child, c in links]))
+    return _union(out)
+
+
+def _findings(row: DataFrame, checks: Sequence[tuple[str, str, str, Column]]) -> DataFrame:
+    """One row of counts as a row per (table, check, subject, count)."""
+    return row.select(F.inline(F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(check).alias("check_name"), F.lit(what).alias("subject"),
+                                                  F.coalesce(n, F.lit(0)).cast("long").alias("failures")) for t, check, what, n in checks])))
+
+
+def _table_checks(name: str, df: DataFrame, spec: TableSpec) -> DataFrame:
+    have = set(df.columns)
+    aggs, checks = [F.count(F.lit(1)).alias("n")], [(name, "non_empty", "", (F.col("n") == 0).cast("long"))]
+    for f in spec.struct.fields:
+        cast = F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None)
+        if not f.nullable:
+            aggs.append(F.count_if(cast.isNull()).alias(f"nn_{f.name}"))
+            checks.append((name, "not_null", f.name, F.col(f"nn_{f.name}")))
+        if f.name in have:
+            aggs.append(F.count_if(F.col(f.name).isNotNull() & cast.isNull()).alias(f"lost_{f.name}"))
+            checks.append((name, "lost_in_cast", f.name, F.col(f"lost_{f.name}")))
+    return _findings(df.agg(*aggs), checks)
+
+
+def _key_checks(name: str, key: Sequence[str], parent: DataFrame, links: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
+    sides = [parent.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], F.lit(0).alias("side"))]
+    sides += [child.select(F.col(c).cast(parent.schema[key[0]].dataType).alias("k0"), F.lit(i).alias("side")) for i, (_, c, child) in enumerate(links, 1)]
+    ks = [f"k{i}" for i in range(len(key))]
+    rows = _union(sides).filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ks]))
+    per_value = rows.groupBy(*ks).agg(*[F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(len(sides))])
+    total = per_value.agg(F.count_if(F.col("n0") > 1).alias("twice"), *[F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}"))).alias(f"lone{i}") for i in range(1, len(sides))])
+    return _findings(total, [(name, "unique", ",".join(key), F.col("twice")),
+                             *[(child, "foreign_key", c, F.col(f"lone{i}")) for i, (child, c, _) in enumerate(links, 1)]])
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -145,7 +145,7 @@ def _profile_sql(name: str, cols: list[str]) -> str:
             f"CAST({nulls} AS BIGINT) AS null_cells FROM {name}")
 
 
-_COLS = {
+GIVEN_COLUMNS = {
     "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
     "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
@@ -160,7 +160,7 @@ _COLS = {
 }
 
 
-@register("table_profile", " UNION ALL ".join(_profile_sql(n, c) for n, c in _COLS.items()))
+@register("table_profile", " UNION ALL ".join(_profile_sql(n, c) for n, c in GIVEN_COLUMNS.items()))
 def q_table_profile(t):
     return A.table_profile(_base(t))
 

@@ -39,3 +39,48 @@ def test_cast_losses_are_counted(spark):
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DecimalType(6, 2)), T.StructField("c", T.StringType())])
     assert {r.column_name: r.lost for r in conform_losses(df, schema).collect()} == {"a": 1, "b": 1}
     assert conform_to_schema(df, schema).count() == 3
+
+
+def test_all_declared_tables_have_a_spec():
+    from depot.sources.schemas import SPECS
+    assert len(SPECS) == 32
+    for spec in SPECS.values():
+        names = [c for c, _ in spec.columns]
+        assert len(set(names)) == len(names) and set(spec.not_null) <= set(names) and set(spec.keys[0]) <= set(spec.not_null)
+        for key in spec.keys:
+            assert set(key) <= set(names)
+        for column, parent, key in spec.foreign:
+            assert column in names and [key] in SPECS[parent].keys
+
+
+def test_declared_checks_on_dirty_tables(spark):
+    """Every declared table, empty but for the dirty rows of three of them."""
+    from depot.sources.schemas import SPECS
+    tables = {n: spark.createDataFrame([], s.struct) for n, s in SPECS.items()}
+    tables["vendors"] = spark.createDataFrame([("1", "a"), ("1", "b"), ("x", None), (None, "d")], "vendor_id string, vendor_name string")
+    tables["items"] = spark.createDataFrame([(1, "s1", 1, "2.5"), (2, "s1", 7, "much"), (3, None, None, "99999999")], "item_id int, item_sku string, vendor_id int, weight_lb string")
+    tables["vendor_item_details"] = spark.createDataFrame([(1, 1, 1), (2, 1, 1), (3, 7, 5), (4, None, 1)], "vendor_item_id long, vendor_id long, item_id long")
+    got = {(r.table_name, r.check_name, r.subject): r.failures for r in Q.check_declared(tables, SPECS).collect()}
+    assert len(got) == sum(1 + len(s.not_null) + len(s.keys) + len(s.foreign) + len(set(tables[n].columns) & {c for c, _ in s.columns}) for n, s in SPECS.items())
+    broken = {k: v for k, v in got.items() if v and k[1] != "non_empty"}
+    assert broken == {
+        ("vendors", "not_null", "vendor_id"): 2, ("vendors", "not_null", "vendor_name"): 1, ("vendors", "lost_in_cast", "vendor_id"): 1, ("vendors", "unique", "vendor_id"): 1,
+        ("items", "not_null", "item_sku"): 1, ("items", "not_null", "vendor_id"): 1, ("items", "lost_in_cast", "weight_lb"): 2, ("items", "unique", "item_sku"): 1,
+        ("items", "foreign_key", "vendor_id"): 1,
+        ("vendor_item_details", "not_null", "vendor_id"): 1, ("vendor_item_details", "unique", "vendor_id,item_id"): 1,
+        ("vendor_item_details", "foreign_key", "vendor_id"): 1, ("vendor_item_details", "foreign_key", "item_id"): 1}
+    assert {k[0] for k, v in got.items() if k[1] == "non_empty" and not v} == {"vendors", "items", "vendor_item_details"}
+
+
+def test_a_key_and_its_references_share_one_shuffle(spark):
+    from depot.sources.schemas import SPECS
+    tables = {n: spark.createDataFrame([], SPECS[n].struct) for n in ("vendors", "items", "inventory")}
+    parts = Q._key_checks("vendors", ["vendor_id"], tables["vendors"], [("items", "vendor_id", tables["items"]), ("inventory", "vendor_id", tables["inventory"])])
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate [k0") == 1
+
+
+def test_view_columns_are_those_of_the_views(tables):
+    from depot.registry.quality import DECLARED_VIEWS
+    for view, columns in DECLARED_VIEWS.values():
+        assert getattr(tables, view).columns == columns.split(), view
