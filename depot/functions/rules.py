@@ -110,12 +110,12 @@ def velocity_class(velocity, a_min: float = 80, b_min: float = 30) -> Column:
     return F.when(v > a_min, "A").when(v > b_min, "B").otherwise("C")
 
 
-def abc_class(revenue, a_min: float = 5000, b_min: float = 1500) -> Column:
+def abc_class(revenue, a_min: float | Column = 5000, b_min: float | Column = 1500) -> Column:
     r = _c(revenue)
     return F.when(r > a_min, "A").when(r > b_min, "B").otherwise("C")
 
 
-def xyz_class(velocity, x_min: float = 80, y_min: float = 30) -> Column:
+def xyz_class(velocity, x_min: float | Column = 80, y_min: float | Column = 30) -> Column:
     v = _c(velocity)
     return F.when(v > x_min, "X").when(v > y_min, "Y").otherwise("Z")
 

@@ -23,6 +23,17 @@ def exact_percentile(df: DataFrame, col: str, p: float, tie_cols: Sequence[str]
     return df.sparkSession.range(1).select(F.lit(value).cast("double").alias("value"))
 
 
+def by_order(lines: DataFrame, orders: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lines joined with their orders and summed per order and ``keys`` (D4):
+    units ``_q``, revenue ``_m`` and ``order_date``.  Orders per key are then a
+    plain count of these rows, which a further aggregate takes in the shuffle
+    that it needs anyway; a distinct count would expand and shuffle the join."""
+    j = (lines.select("order_id", "item_id", "quantity_ordered", "extended_price")
+         .join(orders.select("order_id", "customer_id", "order_date"), "order_id"))
+    return j.groupBy("order_id", *keys).agg(F.sum("quantity_ordered").alias("_q"), F.sum("extended_price").alias("_m"),
+                                            F.max("order_date").alias("order_date"))
+
+
 def minmax_normalize(df: DataFrame, col: str, out: str) -> DataFrame:
     """(x - min) / (max - min) over the whole column; a constant column -> 0.5."""
     mm = df.agg(F.min(F.col(col).cast("double")).alias("_mn"), F.max(F.col(col).cast("double")).alias("_mx"))

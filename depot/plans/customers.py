@@ -17,8 +17,11 @@ from depot.session import stored
 
 
 def reps_by_region(reps: DataFrame) -> DataFrame:
-    """Sorted rep ids per region."""
-    return reps.groupBy("region").agg(F.sort_array(F.collect_list("rep_id")).alias("rep_ids"))
+    """The reps of each region in order of their id (D7): a row per rep with
+    its place in the region and the region's size, never a list of a region."""
+    placed = seq_within(reps.select("region", "rep_id"), ["region"], ["rep_id"], "place")
+    sizes = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n_reps"))
+    return placed.join(sizes, "region").select("region", "place", "rep_id", "n_reps")
 
 
 def account_hierarchy(customers: DataFrame) -> DataFrame:
@@ -49,11 +52,13 @@ def contact_reps(customers: DataFrame, reps: DataFrame, seed: int = C.SEED) -> D
     the region has none) and a secondary rep (another rep of the region,
     else any other rep, else any) for every customer (C10, D7).
 
-    Reps are ranked once per region and once over all; a customer's choice is
-    a place in such a ranking, met by an equi-join on (pool, place).  No list
-    of reps is collected and no customer x rep pairs are formed."""
-    every = dense_keys(reps.select("rep_id", "region"), ["rep_id"], "_all")
-    regional = seq_within(every, ["region"], ["rep_id"], "_own")
+    Reps are ranked once, by region and id: the rank is the place over all, and
+    minus the region's first rank the place in the region.  A customer's choice
+    is such a place, met by an equi-join on (pool, place).  No list of reps is
+    collected and no customer x rep pairs are formed."""
+    every = dense_keys(reps.select("rep_id", "region"), ["region", "rep_id"], "_all")
+    first = every.groupBy("region").agg(F.min("_all").alias("_first"))
+    regional = every.join(first, "region").withColumn("_own", F.col("_all") - F.col("_first") + 1)
     name = F.concat(F.lit("region/"), F.col("region"))
     pools = stored(regional.select(name.alias("_pool"), (F.col("_own") - 1).alias("_at"), "rep_id", (F.col("_all") - 1).alias("_all_at"))
                    .unionByName(every.select(F.lit("all").alias("_pool"), (F.col("_all") - 1).alias("_at"), "rep_id", (F.col("_all") - 1).alias("_all_at"))),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from depot import config as C
 from depot.functions import rules as R
 from depot.operators.keys import dense_keys
+from depot.session import stored
 
 
 def build_inventory(lines: DataFrame, orders: DataFrame, items: DataFrame,
@@ -123,11 +124,13 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
     all earlier movements (floor 0); every pair that ever moved gets a row
     for every month of the window (C7 x H3); aging split (B29), availability
     and days on hand, excess and obsolete by lifecycle (B30), cycle-count
-    accuracy by ABC class.  The running window is partitioned by DC-item,
-    whose rows are one per month (bounded)."""
+    accuracy by ABC class.  The movements are stored once; the running window is
+    partitioned by DC-item, whose rows are one per month (bounded).  A month
+    more needs no full run: see ``advance_balances`` and ``snapshot_month``."""
     from pyspark.sql import Window
     from depot.operators.expand import month_series
     end = F.trunc(F.lit(as_of), "month")
+    movements = stored(movements, "movements")
     # ids: pairs are ranked once, each pair owns months_back consecutive ids
     pairs = dense_keys(movements.select("dc_id", "item_id").distinct(), ["dc_id", "item_id"], "_prank")
     grid = pairs.select("dc_id", "item_id", "_prank",
@@ -140,7 +143,29 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
     bal = (grid.unionByName(moves).withColumn("_bal", F.sum("_delta").over(w))
            .filter(F.col("_grid")).select("dc_id", "item_id", F.col("month").alias("snapshot_month"),
                                           ((F.col("_prank") - 1) * months_back + F.col("_mi") + 1).alias("snapshot_id"),
-                                          F.greatest(F.lit(0), F.col("_bal")).cast("long").alias("quantity_on_hand")))
+                                          F.col("_bal").alias("balance")))
+    return _snapshot_rows(bal, items, abc, allocated_share, ("snapshot_id",))
+
+
+def advance_balances(last: DataFrame | None, movements: DataFrame, month) -> DataFrame:
+    """Month-end balances (dc_id, item_id, balance) from those of the month
+    before and the movements of ``month`` alone.  ``last`` None: from the
+    beginning, by all movements up to ``month``."""
+    at = F.trunc(F.lit(month), "month")
+    moves = movements.filter((F.col("month") <= at) if last is None else (F.col("month") == at)) \
+        .select("dc_id", "item_id", (F.col("qty_in") - F.col("qty_out")).alias("balance"))
+    both = moves if last is None else last.select("dc_id", "item_id", "balance").unionByName(moves)
+    return both.groupBy("dc_id", "item_id").agg(F.sum("balance").cast("long").alias("balance"))
+
+
+def snapshot_month(balances: DataFrame, items: DataFrame, abc: DataFrame, month, allocated_share: float = 0.15) -> DataFrame:
+    """The snapshot rows of one month (without ids) from its balances: those of
+    the full run for every pair that has moved by then."""
+    return _snapshot_rows(balances.withColumn("snapshot_month", F.trunc(F.lit(month), "month")), items, abc, allocated_share)
+
+
+def _snapshot_rows(bal: DataFrame, items: DataFrame, abc: DataFrame, allocated_share: float, ids: tuple[str, ...] = ()) -> DataFrame:
+    bal = bal.withColumn("quantity_on_hand", F.greatest(F.lit(0), F.col("balance")).cast("long")).drop("balance")
     it = items.select("item_id", R.price_velocity("unit_price").alias("_vel"),
                       R.lifecycle_stage("item_id").alias("_life")).join(abc.select("item_id", "abc_class"),
                                                                            "item_id", "left")
@@ -149,7 +174,7 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
     health = R.stock_health("quantity_on_hand", "quantity_allocated", "_vel", "_life")
     aging = R.aging_split("quantity_on_hand")
     acc = R.map_lookup(R.CYCLE_COUNT_ACCURACY, F.coalesce(F.col("abc_class"), F.lit("C")))
-    return b.select("snapshot_id", "dc_id", "item_id", "snapshot_month", "quantity_on_hand", "quantity_allocated",
+    return b.select(*ids, "dc_id", "item_id", "snapshot_month", "quantity_on_hand", "quantity_allocated",
                    health["quantity_available"].alias("quantity_available"),
                    health["days_on_hand"].alias("days_on_hand"),
                    health["excess_quantity"].alias("excess_quantity"),
@@ -159,34 +184,30 @@ def build_inventory_snapshot(movements: DataFrame, items: DataFrame, abc: DataFr
 
 
 # ---------------------------------------------------------------- I20
-def build_slotting(dcs: DataFrame, items: DataFrame, pick_share_b: float = 0.6, seed: int = 42) -> DataFrame:
-    """Slotting for every DC-item pair (I20): price velocity (B7) and class
-    (B8), rank (B23); locations handed out in rank order within each DC
+def build_slotting(dcs: DataFrame, items: DataFrame, pick_share_b: float = 0.6, seed: int = 42,
+                   stock: DataFrame | None = None) -> DataFrame:
+    """Slotting of the stocked DC-item pairs (I20): price velocity (B7) and
+    class (B8), rank (B23); locations handed out in rank order within each DC
     (B24): A items get a pick and a reserve slot, B items a pick slot with
     probability ``pick_share_b`` (keyed draw), C items reserve only.
 
-    The rank depends on the item only, so the in-DC position is the item's
-    dense rank by (slotting rank, item id), and the pair id is
-    (DC rank - 1) x items + item rank: all ranking runs over the item table,
-    never over the DC x item product."""
+    ``stock``: the (dc_id, item_id) pairs to slot; without it every DC slots
+    every item.  One ranking by (DC, slotting rank, item) is the id; minus the
+    DC's first rank it is the place in the DC."""
     from depot.functions.draws import keyed_uniform
     it = items.select("item_id", "cube_ft", "weight_lb", R.price_velocity("unit_price").alias("velocity"))
-    it = it.withColumn("slotting_rank", R.slotting_rank("velocity", "cube_ft", "weight_lb")).withColumn(
-        "velocity_class", R.velocity_class("velocity"))
-    it = dense_keys(it, ["slotting_rank", "item_id"], "_pos")
-    it = dense_keys(it, ["item_id"], "_irank")
-    n_items = items.agg(F.count(F.lit(1)).alias("_n"))
-    d = dense_keys(dcs.select("dc_id"), ["dc_id"], "_drank")
-    grid = it.crossJoin(d.crossJoin(n_items))                                  # every DC slots every item
-    p = F.col("_pos") - 1
+    it = it.select("item_id", R.slotting_rank("velocity", "cube_ft", "weight_lb").alias("slotting_rank"), R.velocity_class("velocity").alias("velocity_class"))
+    pairs = it.crossJoin(dcs.select("dc_id")) if stock is None else stock.select("dc_id", "item_id").distinct().join(it, "item_id")
+    ranked = dense_keys(pairs.select("dc_id", "item_id", "slotting_rank", "velocity_class"), ["dc_id", "slotting_rank", "item_id"], "slotting_id")
+    first = ranked.groupBy("dc_id").agg(F.min("slotting_id").alias("_first"))
+    p = F.col("slotting_id") - F.col("_first")
     # as many aisles as the items need: a location is never handed out twice
     pick_code = R.location_code(F.floor(p / 180) + 1, F.floor(p / 6) % 30 + 1, p % 6 + 1)
     repl_code = R.location_code(F.floor(p / 300) + 1, F.floor(p / 10) % 30 + 1, p % 10 + 1)
     u = keyed_uniform(seed, "pick", "dc_id", "item_id")
     has_pick = (F.col("velocity_class") == "A") | ((F.col("velocity_class") == "B") & (u < pick_share_b))
-    return grid.select(((F.col("_drank") - 1) * F.col("_n") + F.col("_irank")).alias("slotting_id"),
-                       "dc_id", "item_id", F.when(has_pick, pick_code).alias("pick_location"),
-                       repl_code.alias("replenishment_location"), "slotting_rank", "velocity_class")
+    return ranked.join(first, "dc_id").select("slotting_id", "dc_id", "item_id", F.when(has_pick, pick_code).alias("pick_location"),
+                                              repl_code.alias("replenishment_location"), "slotting_rank", "velocity_class")
 
 
 # ---------------------------------------------------------------- I21

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depot.operators.aggregates import by_order
 from depot.operators.keys import dense_keys
 from depot.operators.windows import version_intervals
 from pyspark.sql import Window
@@ -48,11 +49,9 @@ def build_preferences(lines: DataFrame, orders: DataFrame, as_of, min_score: flo
     min-max scaling (D11) of frequency, monetary value and recency,
     score = 100 x (0.4 F + 0.4 M + 0.2 (1 - R)); keep score >= ``min_score``
     and the top ``top_n_per_customer`` per customer (E3); dense ids."""
-    j = (lines.select("order_id", "item_id", "quantity_ordered", "extended_price")
-         .join(orders.select("order_id", "customer_id", "order_date"), "order_id"))
-    agg = j.groupBy("customer_id", "item_id").agg(
-        F.sum("extended_price").cast("double").alias("_m"),
-        F.countDistinct("order_id").cast("double").alias("_f"),
+    agg = by_order(lines, orders, ["customer_id", "item_id"]).groupBy("customer_id", "item_id").agg(
+        F.sum("_m").cast("double").alias("_m"),
+        F.count(F.lit(1)).cast("double").alias("_f"),
         F.max("order_date").alias("last_purchased_date"))
     agg = agg.withColumn("_r", F.greatest(F.lit(0), F.datediff(F.lit(as_of), "last_purchased_date")).cast("double"))
     mm = agg.agg(*[f(c).alias(f"{c}_{n}") for c in ["_f", "_m", "_r"] for n, f in [("mn", F.min), ("mx", F.max)]])
@@ -68,7 +67,6 @@ def build_preferences(lines: DataFrame, orders: DataFrame, as_of, min_score: flo
     from depot.operators.windows import top_n
     top = top_n(kept, ["customer_id"], [F.col("_score").desc(), F.col("item_id")], top_n_per_customer)
     ids = ["preference_id"] if with_ids else []
-    # range bounds from the orders' customer ids: a scan, not the score pipeline
     keyed = (dense_keys(top.withColumn("_neg", -F.col("_score")), ["customer_id", "_neg", "item_id"], "preference_id")
              if with_ids else top)
     return keyed.select(*ids, "customer_id", "item_id",

@@ -30,13 +30,12 @@ FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id GROUP BY o.customer_id
 
 def rfm(t):
     """Per customer-item: units, revenue, last order date, distinct orders."""
-    j = (t.v_lines_noid.select("order_id", "item_id", "quantity_ordered", "extended_price")
-         .join(t.v_orders.select("order_id", "customer_id", "order_date"), "order_id"))
-    return j.groupBy("customer_id", "item_id").agg(
-        F.sum("quantity_ordered").cast("long").alias("total_qty"),
-        F.sum("extended_price").cast("decimal(18,2)").alias("total_revenue"),
+    per_order = A.by_order(t.v_lines_noid, t.v_orders, ["customer_id", "item_id"])
+    return per_order.groupBy("customer_id", "item_id").agg(
+        F.sum("_q").cast("long").alias("total_qty"),
+        F.sum("_m").cast("decimal(18,2)").alias("total_revenue"),
         F.max("order_date").alias("last_order_date"),
-        F.countDistinct("order_id").alias("n_orders"))
+        F.count(F.lit(1)).alias("n_orders"))
 
 
 @register("rfm_aggregate", "SELECT * FROM x_rfm")
@@ -60,12 +59,11 @@ def q_invoice_freight(t):
 
 # ---- D7
 @register("reps_by_region", """
-SELECT region, array_to_string(list_sort(array_agg(rep_id)), ',') AS rep_ids, count(*) AS n_reps
-FROM v_reps GROUP BY region""")
+SELECT region, row_number() OVER (PARTITION BY region ORDER BY rep_id) AS place, rep_id,
+       count(*) OVER (PARTITION BY region) AS n_reps
+FROM v_reps""")
 def q_reps_by_region(t):
-    r = CU.reps_by_region(t.v_reps)
-    return r.select("region", F.array_join(F.col("rep_ids").cast("array<string>"), ",").alias("rep_ids"),
-                    F.size("rep_ids").cast("long").alias("n_reps"))
+    return CU.reps_by_region(t.v_reps)
 
 
 # ---- D8

@@ -247,4 +247,4 @@ FROM (
            coalesce(r.ids, a.all_ids)[(c.customer_id % len(coalesce(r.ids, a.all_ids))) + 1] AS primary_rep_id
     FROM v_customers c
     LEFT JOIN (SELECT region, list_sort(array_agg(rep_id)) AS ids FROM v_reps GROUP BY region) r ON c.region = r.region
-    CROSS JOIN (SELECT list_sort(array_agg(rep_id)) AS all_ids FROM v_reps) a) x) y""")
+    CROSS JOIN (SELECT array_agg(rep_id ORDER BY region, rep_id) AS all_ids FROM v_reps) a) x) y""")

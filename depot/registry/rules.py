@@ -110,22 +110,30 @@ def q_velocity_class(t):
     return v.select("item_id", "velocity", R.velocity_class("velocity").alias("velocity_class"))
 
 
-# ---- B9 (measured units and revenue; thresholds sized for the fixture)
-ABC_PARAMS = dict(a_min=1_800_000, b_min=1_400_000)
-XYZ_PARAMS = dict(x_min=880, y_min=640)
+# ---- B9 (measured units and revenue; thresholds as percentages of the average item's
+# share of the measured totals, so that the classes do not depend on the size of the data)
+ABC_PERCENT = dict(a_min=120, b_min=90)
+XYZ_PERCENT = dict(x_min=115, y_min=85)
 define_abc = f"""
 SELECT item_id, revenue, units,
-       CASE WHEN revenue > {ABC_PARAMS['a_min']} THEN 'A' WHEN revenue > {ABC_PARAMS['b_min']} THEN 'B' ELSE 'C' END AS abc_class,
-       CASE WHEN units > {XYZ_PARAMS['x_min']} THEN 'X' WHEN units > {XYZ_PARAMS['y_min']} THEN 'Y' ELSE 'Z' END AS xyz_class
-FROM (SELECT item_id, CAST(sum(extended_price) AS DECIMAL(18,2)) AS revenue, CAST(sum(quantity_ordered) AS BIGINT) AS units
-      FROM v_lines GROUP BY item_id) m"""
+       CASE WHEN 100 * n * revenue > {ABC_PERCENT['a_min']} * all_revenue THEN 'A'
+            WHEN 100 * n * revenue > {ABC_PERCENT['b_min']} * all_revenue THEN 'B' ELSE 'C' END AS abc_class,
+       CASE WHEN 100 * n * units > {XYZ_PERCENT['x_min']} * all_units THEN 'X'
+            WHEN 100 * n * units > {XYZ_PERCENT['y_min']} * all_units THEN 'Y' ELSE 'Z' END AS xyz_class
+FROM (SELECT *, count(*) OVER () AS n, CAST(sum(revenue) OVER () AS DECIMAL(38,2)) AS all_revenue, sum(units) OVER () AS all_units
+      FROM (SELECT item_id, CAST(sum(extended_price) AS DECIMAL(18,2)) AS revenue, CAST(sum(quantity_ordered) AS BIGINT) AS units
+            FROM v_lines GROUP BY item_id) m) s"""
 
 
 def abc_xyz(t):
     m = t.v_lines_noid.groupBy("item_id").agg(F.sum("extended_price").cast("decimal(18,2)").alias("revenue"),
                                               F.sum("quantity_ordered").cast("long").alias("units"))
-    return m.select("item_id", "revenue", "units", R.abc_class("revenue", **ABC_PARAMS).alias("abc_class"),
-                    R.xyz_class("units", **XYZ_PARAMS).alias("xyz_class"))
+    total = m.agg(F.count(F.lit(1)).alias("_n"), F.sum("revenue").cast("decimal(28,2)").alias("_revenue"), F.sum("units").cast("decimal(28,0)").alias("_units"))
+    wide = lambda c: F.col("_n").cast("decimal(10,0)") * 100 * F.col(c)
+    s = m.crossJoin(F.broadcast(total))                     # one row
+    abc = R.abc_class(wide("revenue"), **{k: F.col("_revenue") * p for k, p in ABC_PERCENT.items()})
+    xyz = R.xyz_class(wide("units"), **{k: F.col("_units") * p for k, p in XYZ_PERCENT.items()})
+    return s.select("item_id", "revenue", "units", abc.alias("abc_class"), xyz.alias("xyz_class"))
 
 
 @register("abc_xyz_class", define_abc)
@@ -185,13 +193,10 @@ _SEASON_SQL = """CASE WHEN contains(lower(category), 'office') THEN CASE WHEN m
 
 @register("seasonality_index", f"""
 SELECT category, m AS month, CAST({_SEASON_SQL} AS DECIMAL(8,4)) AS seasonality_index
-FROM (SELECT DISTINCT i.category, CAST(month(o.order_date) AS INT) AS m
-      FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id JOIN v_items i ON l.item_id = i.item_id) x""")
+FROM (SELECT DISTINCT category FROM v_items) c CROSS JOIN (SELECT DISTINCT CAST(month(order_date) AS INT) AS m FROM v_orders) o""")
 def q_seasonality_index(t):
-    x = (t.v_lines_noid.select("order_id", "item_id")
-         .join(t.v_orders.select("order_id", F.month("order_date").cast("int").alias("month")), "order_id")
-         .join(t.v_items.select("item_id", "category"), "item_id")
-         .select("category", "month").distinct())
+    months = t.v_orders.select(F.month("order_date").cast("int").alias("month")).distinct()      # 12 rows at most
+    x = t.v_items.select("category").distinct().crossJoin(months)
     return x.select("category", "month", R.seasonality_index("category", "month").cast("decimal(8,4)")
                     .alias("seasonality_index"))
 

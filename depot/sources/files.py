@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from depot.config import CATALOG_COLUMNS, POSTAL_FIELDS, TIMESTAMP_FORMAT
 from depot.functions.rules import normalize_timestamp
+from depot.session import scratch_path
 from depot.sources import versions
 
 # the item fields the catalog columns map to, and their types
@@ -116,6 +117,22 @@ def bulk_load(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType
     return out
 
 
+def load_bucketed(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str]], buckets: int) -> dict[str, DataFrame]:
+    """Load tables laid out for joins (A8): each (table, key) is stored bucketed
+    and sorted by its key, one file a bucket, as a table of its own under the
+    shared scratch folder.  Tables with equal buckets join on that key, and
+    aggregate by it, without a shuffle.  Choose ``buckets`` so that a bucket of
+    the largest table fits a task, and as a multiple of the cores."""
+    out = {}
+    for name, (df, key) in tables.items():
+        path = scratch_path(spark, f"bucketed-{name}")
+        table = path.rsplit("/", 1)[-1].replace("-", "_")
+        (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+         .option("path", path).format("parquet").saveAsTable(table))
+        out[name] = spark.table(table)
+    return out
+
+
 def preview_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], names: Sequence[str], n: int,
                    out_dir: str | None = None, seed: int = 42, fmt: str = "parquet") -> DataFrame:
     """Preview (A10): the selected tables in canonical order, each capped at

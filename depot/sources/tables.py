@@ -194,6 +194,16 @@ class Tables:
         self.v_lines  # noqa: B018
         return self
 
+    def load(self, buckets: int | None = None) -> "Tables":
+        """Store orders and order lines bucketed by order (A8); the views made
+        of them then join on the order without a shuffle.  ``buckets``: by
+        default one per shuffle partition."""
+        from depot.sources.files import load_bucketed
+        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.__dict__.update(load_bucketed(self.spark, {"v_orders": (self.v_orders, "order_id"), "v_lines_noid": (self.v_lines_noid, "order_id")}, n))
+        self.__dict__.pop("v_shipments", None)              # derived from the orders
+        return self
+
     @cached_property
     def v_lines_noid(self) -> DataFrame:
         """Order lines without the line id, for rollups that never need it."""
