@@ -47,11 +47,21 @@ _FURNITURE = frozenset("nav footer aside form menu dialog fieldset head".split()
 _ROOM = frozenset("article main".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("hr".split())
-_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsored|sponsors?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|"
-    r"newsletters?|subscribe|signup|login|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|masthead|footers?|comments?|commentlist|respond|replies|disqus|related|"
-    r"share|sharing|social|widgets?|pagination|pager|toolbar|search)(?:$|[\s_-])", re.I)
-_PAGE_HINT = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header|topbar)(?:$|[\s_-])", re.I)
+# Names of page furniture in classes and ids.  A name counts as a whole: all its
+# pieces must be such words or words of place, so that the state of a wrapper
+# (has-sidebar, comments-open) or a name that merely begins so (search-result) does not.
+_HINTS = frozenset(
+    "ad ads advert adverts advertisement advertisements adsense sponsored sponsor sponsors promo promos promotion promotions cookie cookies "
+    "consent gdpr notice notices popup popups modal modals newsletter newsletters subscribe signup login sidebar sidebars menu menus nav navbar "
+    "navigation breadcrumb breadcrumbs masthead footer footers comment comments commentlist respond replies disqus related pagination pager".split())
+#: Inside an article such a block keeps long prose without many links.
+_WEAK = frozenset("alert alerts banner banners overlay search share sharing social toolbar widget widgets".split())
+_PLACE = frozenset(
+    "site page main top bottom left right upper lower area bar box block list item section container wrapper wrap inner outer primary secondary global "
+    "post posts article articles entry stories user reader form link links button buttons icons media slot unit".split())
+_PAGE_HEAD = frozenset("header topbar".split())
+_PAGE_PLACE = frozenset("site page main top global".split())
+_PIECES = re.compile(r"[-_]+")
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 LONG, PROSE, LINKS = 70, 0.2, 0.5
@@ -67,23 +77,37 @@ def _attributes(attrs: str) -> Iterator[tuple[str, str]]:
             yield name, html.unescape(value.strip(value[0]) if value[:1] in ("\"", "'") else value)
 
 
-def _furniture(tag: str, attrs: str, in_room: bool) -> bool:
+def _named(value: str, words: frozenset, places: frozenset) -> bool:
+    """Is one of the names made of ``words`` (one at least) and ``places``?"""
+    for name in value.lower().split():
+        pieces = [p for p in _PIECES.split(name) if p and not p.isdigit()]
+        if any(p in words for p in pieces) and all(p in words or p in places for p in pieces):
+            return True
+    return False
+
+
+def _furniture(tag: str, attrs: str, in_room: bool) -> int:
+    """0: no furniture; 1: only by a weak name inside an article; 2: furniture."""
     if tag in _ROOM or tag in ("html", "body"):
-        return False
+        return 0
     if tag in _FURNITURE or tag == "header" and not in_room:
-        return True
+        return 2
+    weak = 0
     for name, value in _attributes(attrs) if attrs else ():
-        if name in ("class", "id") and (_HINT.search(value) or not in_room and _PAGE_HINT.search(value)):
-            return True
+        if name in ("class", "id"):
+            if _named(value, _HINTS, _PLACE | _WEAK) or not in_room and _named(value, _PAGE_HEAD, _PAGE_PLACE):
+                return 2
+            if _named(value, _WEAK, _PLACE):
+                weak = 1 if in_room else 2
         if name == "role" and value.lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+            return 2
+    return weak
 
 
 class _Page:
     def __init__(self) -> None:
-        self.blocks: list[tuple[str, int, bool, int, bool]] = []   # text, characters in links, furniture, section, heading
-        self.stack: list[tuple[str, bool, int]] = []               # open block elements: tag, furniture, section
+        self.blocks: list[tuple[str, int, int, int, bool]] = []    # text, characters in links, furniture, section, heading
+        self.stack: list[tuple[str, int, int]] = []                # open block elements: tag, furniture, section
         self.parts: list[str] = []
         self.linked, self.in_link, self.rooms = 0, False, 0
 
@@ -98,7 +122,7 @@ class _Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                tag, bad, room = self.stack[-1] if self.stack else ("", False, 0)
+                tag, bad, room = self.stack[-1] if self.stack else ("", 0, 0)
                 self.blocks.append((text, self.linked, bad, room, tag in _HEADING))
             self.parts.clear()
         self.linked = 0
@@ -111,11 +135,11 @@ class _Page:
                 self.stack.pop()
             if tag in _VOID:
                 return
-            _, bad, room = self.stack[-1] if self.stack else ("", False, 0)
+            _, bad, room = self.stack[-1] if self.stack else ("", 0, 0)
             if tag in _ROOM and not (bad and any(t == tag for t, _, _ in self.stack)):
                 self.rooms += 1
-                bad, room = False, self.rooms
-            self.stack.append((tag, bad or _furniture(tag, attrs, room > 0), room))
+                bad, room = 0, self.rooms
+            self.stack.append((tag, max(bad, _furniture(tag, attrs, room > 0)), room))
         elif tag == "a":
             self.in_link = True
         elif tag == "br":
@@ -132,7 +156,7 @@ class _Page:
             self.in_link = False
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
+def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
     p, at = _Page(), 0
     for m in _TOKEN.finditer(page):
         p.text(page[at:m.start()])
@@ -157,7 +181,10 @@ def _prose(text: str) -> float:
 def main_text(page: str | None) -> str:
     """Content blocks of a page in order, joined by an empty line."""
     found = blocks(page or "")
-    aside = [bad or linked > LINKS * len(text) and not heading for text, linked, bad, _, heading in found]
+    # long prose without many links in a weakly named block of an article is the article's
+    found = [(text, linked, 0 if bad == 1 and len(text) >= LONG and linked <= LINKS * len(text) and _prose(text) >= PROSE else bad, room, heading)
+             for text, linked, bad, room, heading in found]
+    aside = [bad > 0 or linked > LINKS * len(text) and not heading for text, linked, bad, _, heading in found]
     long = [not out and len(b[0]) >= LONG for b, out in zip(found, aside)]
     prose = [own and (b[3] > 0 or _prose(b[0]) >= PROSE) for b, own in zip(found, long)]
     if not any(prose) and not any(b[3] for b in found):

@@ -52,3 +52,18 @@ def test_languages_without_stop_words():
     english = "It is the one of them that has been with us for all of the time that we had, and so on to the end of it."
     assert H.main_text(f"<body><p>{english}</p><div>{'Product number price cart ' * 5}</div></body>") == english
     assert H.main_text(f"<body><article><p>Short</p></article><div>{'Product number price cart ' * 5}</div></body>") == "Short"
+
+
+def test_names_count_as_a_whole():
+    """States of a wrapper are no furniture; weak names inside an article keep prose; strong ones do not."""
+    long = "It is the one of them that has been with us for all of the time that we had, and so on to the end of it."
+    for wrapper in ('class="content has-sidebar"', 'id="no-sidebar"', 'class="post comments-open"', 'class="with_menu main"', 'class="footer-less"'):
+        assert H.main_text(f"<body><div {wrapper}><h2>Title</h2><p>{long}</p><p>Short.</p></div></body>").split("\n\n") == ["Title", long, "Short."], wrapper
+    for inside in ('class="search-result"', 'class="alert"', 'id="social"', 'class="widget area"'):
+        assert H.main_text(f"<article><p>{long}</p><div {inside}><p>{long}</p></div></article>").split("\n\n") == [long, long], inside
+    links = "<a href=x>" + "to the one of them that is in the list of it and so on, " * 2 + "</a>"
+    for inside, body in (('class="social"', "Share this"), ('class="social"', links), ('class="comments"', long), ('class="post-comments"', long), ('id="comment-12"', long),
+                         ('class="ad-slot-1"', long), ('class="cookie-banner"', long), ('class="related-posts"', long), ('class="newsletter box"', long), ('class="main-nav"', long)):
+        assert H.main_text(f"<article><p>{long}</p><div {inside}><p>{body}</p></div></article>") == long, (inside, body)
+    for outside in ("site-header", "header", "page_header", "sidebar-left", "social", "search", "widget-area", "alert"):
+        assert H.main_text(f"<body><div class='{outside}'><p>{long}</p></div><div><p>{long} More.</p></div></body>") == f"{long} More.", outside
