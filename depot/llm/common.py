@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from depot.session import scratch_path
 
@@ -125,6 +126,116 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+# ---- rows by digest: which rows of a wide table are in a narrow list
+_PROBES, _PAGE = 4, 1 << 16
+_LEAST_BITS, _MOST_BITS = 1 << 19, 1 << 27
+
+
+def digests(docs: DataFrame, first: str, second: str, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` with two 64-bit digests of its columns (or of those named)."""
+    names = [F.col(f"`{c}`") for c in columns or docs.columns]
+    return docs.withColumns({first: F.xxhash64(*names), second: F.xxhash64(F.lit(2), *names)})
+
+
+def _probe(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for k in range(1, _PROBES + 1):
+        yield mix64(keys.astype(np.int64).view(np.uint64) + np.uint64((k * 0x9E3779B97F4A7C15) & _MASK)) & np.uint64(bits - 1)
+
+
+def bloom(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of a column of longs: 16 bits a key up to 16 MB, a bound
+    beyond which it only lets more rows through.  Tasks make pages of it, which
+    are added before they reach the driver."""
+    column = keys.columns[0]
+    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << (16 * keys.count()).bit_length()))
+    pages = bits // 8 // _PAGE
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits // 8, np.uint8)
+        for b in batches:
+            for at in _probe(b.column(column).to_numpy(), bits):
+                np.bitwise_or.at(held, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        yield from _paged({k: x for k, x in enumerate(held.reshape(pages, _PAGE)) if x.any()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("page").to_pylist(), b.column("bits").to_pylist()):
+                x = np.frombuffer(x, np.uint8)
+                sums[k] = sums[k] | x if k in sums else x
+        yield from _paged(sums)
+
+    out = np.zeros((pages, _PAGE), np.uint8)
+    schema = "page int, bits binary"
+    for r in map_arrow(map_arrow(keys, part, schema).repartition(min(pages, 32), "page"), add, schema).collect():
+        out[r.page] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def _paged(pages: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for k, x in pages.items():
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["page", "bits"])
+
+
+def maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Is a key in the filter's list?  No is certain."""
+    out = np.ones(len(keys), bool)
+    for at in _probe(keys, 8 * len(bits)):
+        out &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return out
+
+
+def passed(df: DataFrame, bits: np.ndarray, key: str, inside: bool) -> DataFrame:
+    """The rows whose ``key`` may be in the filter (``inside``), or certainly is not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(maybe_in(bits, b.column(key).to_numpy()) == inside))
+
+    return map_arrow(df, run, df.schema)
+
+
+#: False alarms that tasks hold in memory (32 MB); beyond that they are joined.
+_FEW = 1 << 18
+
+
+def split(docs: DataFrame, listed: DataFrame, first: str, second: str) -> tuple[DataFrame, DataFrame]:
+    """(rows in ``listed``, rows not in it) of a wide table with digests, by a
+    stored list (first, second) of digests.  Most rows outside the list are told
+    by a Bloom filter where they lie; the few others are found among the digests
+    alone and stored, so that wide rows meet a short list at most: in the same
+    pass while it is short, by a join of the rows that the filter lets through
+    beyond that."""
+    bits = bloom(listed.select(first))
+    wrong = passed(docs.select(first, second), bits, first, True).join(listed, [first, second], "left_anti").distinct()
+    wrong = stored(wrong, "false-alarms")
+    if wrong.count() <= _FEW:
+        alarms = set(zip(*(c.to_pylist() for c in wrong.select(first, second).toArrow().columns)))
+
+        def side(inside: bool) -> DataFrame:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    found = maybe_in(bits, b.column(first).to_numpy())
+                    at = np.flatnonzero(found)
+                    ones, twos = (b.column(c).take(pa.array(at)).to_pylist() for c in (first, second))
+                    found[at] = [x not in alarms for x in zip(ones, twos)]
+                    yield b.filter(pa.array(found == inside))
+
+            return map_arrow(docs, run, docs.schema)
+
+        return side(True), side(False)
+    near = passed(docs, bits, first, True)
+    out = passed(docs, bits, first, False).unionByName(near.join(wrong, [first, second], "left_semi").select(docs.columns))
+    return near.join(wrong, [first, second], "left_anti").select(docs.columns), out
+
+
+def repeated(df: DataFrame, times: str, number: str, run: int = 10_000) -> DataFrame:
+    """Each row as often as ``times`` says, numbered 0, 1, ...: in runs, so that
+    no array is as long as the count of a very common row."""
+    runs = F.sequence(F.lit(0).cast("long"), (F.col(times) - 1).cast("long"), F.lit(run).cast("long"))
+    last = F.least(F.col(number) + run, F.col(times)) - 1
+    return df.where(F.col(times) > 0).withColumn(number, F.explode(runs)).withColumn(number, F.explode(F.sequence(F.col(number), last.cast("long"))))
+
+
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch with at most ``limit`` bytes of ``column`` each
     (one row may be larger: it is then alone)."""

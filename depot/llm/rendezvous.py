@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from depot.llm.common import repeated
+
 
 def draw(key: Column, shard: int, seed: str = "shard") -> Column:
     """u in (0, 1) from the key and the shard's number: 52 bits of an md5."""
@@ -67,8 +69,7 @@ def shard(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", text:
     offsets = totals.select("shard", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy("shard", "_part").orderBy("_order", F.col(key).asc_nulls_first(), "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return (ranked.join(offsets, ["shard", "_part"])
-            .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    return (repeated(ranked.join(offsets, ["shard", "_part"]), "_n", "_i")
             .select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("_off") + F.col("_in") + F.col("_i")).alias("slot"), "grown_shard"))
 
