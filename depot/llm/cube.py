@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from depot.llm.common import WORD, fresh, map_groups, stored
+from depot.llm.common import WORD, digests, fresh, map_groups, repeated, split, stored
+from depot.session import scratch_path, scratch_scope
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], total_factor: float, cap_factor: float) -> DataFrame:
@@ -135,7 +136,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), total_facto
     per_source = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("_m")).alias("source_size"), F.sum("_m").alias("source_rows"))
     goal = stored(targets(per_source, weights, total_factor, cap_factor), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    units = (rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1))).drop("_m")
+    units = (repeated(rows, "_m", "_i").drop("_m")
              .join(goal.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
              .withColumn("_base", F.floor(ratio + 1e-12)).withColumn("prob", F.greatest(ratio - F.col("_base"), F.lit(0.0)))
              .withColumn("_key", F.xxhash64("_id", "source", "size", "_i"))
@@ -168,22 +169,36 @@ def draw_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), total
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken.
 
     Rows are told apart by key, source and size; the copies of such a group
-    are dealt over its rows evenly, the first by a hash taking one more.  Equal
-    rows of a group are counted first, so any number of repeats is one row."""
-    mixed = mix(docs, weights, total_factor, cap_factor, key, text, source, block)
-    k, s, z, k2, s2, z2, rows, copies, same, before, times, i = fresh(
-        docs, "_k", "_s", "_z", "_k2", "_s2", "_z2", "_rows", "_copies", "_same", "_before", "_times", "_i")
-    goal = stored(mixed.groupBy(F.col(key).alias(k2), F.col("source").alias(s2), F.col("size").alias(z2))
-                  .agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)).where(F.col(copies) > 0), "mix-copies")
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    are dealt over its rows evenly, the first by a hash taking one more.  How
+    often a row is taken is settled on digests of the rows, a list for once, one
+    for twice and so on; texts stay where they are (``common.split``).  Equal rows
+    are counted first, so any number of repeats is one row.  Nulls as in ``mix``."""
+    spark = docs.sparkSession
+    k, s, z, one, two, times, i = fresh(docs, "_k", "_s", "_z", "_digest", "_digest2", "_times", "_i")
+    marked = digests(docs, one, two)
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.select("*", F.col(key).alias(k), F.col(source).alias(s), size.alias(z)).join(
-        goal, F.col(k).eqNullSafe(F.col(k2)) & F.col(s).eqNullSafe(F.col(s2)) & (F.col(z) == F.col(z2))).drop(k2, s2, z2)
-    alone = joined.where(F.col(rows) == 1).select(*names, F.col(copies).alias(times))
-    group = joined.where(F.col(rows) > 1).groupBy(*names, k, s, z, rows, copies).agg(F.count(F.lit(1)).alias(same))
-    order = Window.partitionBy(k, s, z).orderBy(F.xxhash64(*names), *names).rowsBetween(Window.unboundedPreceding, -1)
-    more = F.pmod(F.col(copies), F.col(rows))
-    group = group.withColumn(before, F.coalesce(F.sum(same).over(order), F.lit(0)))
-    dealt = F.floor(F.col(copies) / F.col(rows)) * F.col(same) + F.greatest(F.least(F.col(same), more - F.col(before)), F.lit(0))
-    every = alone.unionByName(group.select(*names, dealt.alias(times))).where(F.col(times) > 0)
-    return every.withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times).cast("long")))).select(*names)
+    path = scratch_path(spark, "mix-times")
+    with scratch_scope(spark):
+        goal = (mix(docs, weights, total_factor, cap_factor, key, text, source, block).groupBy(F.col(key).alias("k"), F.col(source).alias("s"), F.col("size").alias("z"))
+                .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"))
+        rows = (marked.select(F.col(key).alias(k), F.col(source).alias(s), size.alias(z), one, two)
+                .groupBy(k, s, z, one, two).agg(F.count(F.lit(1)).alias("same")))
+        group = rows.join(goal, F.col(k).eqNullSafe(F.col("k")) & F.col(s).eqNullSafe(F.col("s")) & (F.col(z) == F.col("z")))
+        order = Window.partitionBy(k, s, z).orderBy(one, two).rowsBetween(Window.unboundedPreceding, -1)
+        before, more = F.coalesce(F.sum("same").over(order), F.lit(0)), F.pmod(F.col("copies"), F.col("rows"))
+        dealt = F.floor(F.col("copies") / F.col("rows")) * F.col("same") + F.greatest(F.least(F.col("same"), more - before), F.lit(0))
+        (group.select(one, two, "same", dealt.cast("long").alias("taken")).where("taken > 0").write.parquet(path))
+    taken = spark.read.schema(f"{one} long, {two} long, same long, taken long").parquet(path)
+    # rows that stand once are taken 0 to n times, each time by a list of its own; a repeated row
+    # is taken as often as its rows together
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    alone, several = taken.where("same = 1"), taken.where("same > 1")
+    out, left = None, marked
+    if several.limit(1).count():
+        group, left = split(left, several.select(one, two), one, two)
+        out = repeated(group.dropDuplicates([one, two]).join(several.select(one, two, F.col("taken").alias(times)), [one, two]), times, i).select(*names)
+    most = alone.agg(F.max("taken")).first()[0] or 0
+    for n in range(1, most + 1):
+        left, _ = split(left, alone.where(F.col("taken") >= n).select(one, two), one, two)
+        out = left.select(*names) if out is None else out.unionByName(left.select(*names))
+    return out if out is not None else docs.limit(0)

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depot.llm.common import byte_slices, folded, map_arrow, scan_words, stored
+from depot.session import scratch_scope
 
 
 class Item(NamedTuple):
@@ -357,7 +358,9 @@ def _indexes(docs: DataFrame, benchmark: DataFrame, block_items: int, rank: int)
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
         items = make_items(sorted((tuple(r) for r in own), key=lambda r: (r[0] is None, r)))
         if items and n_docs:
-            yield build_index(docs, items, n_docs, rank)
+            with scratch_scope(docs.sparkSession):      # the index itself is in the driver, of a size bounded by the block
+                index = build_index(docs, items, n_docs, rank)
+            yield index
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = 512, rank: int = 256, limit: float = 0.3) -> DataFrame:
@@ -376,7 +379,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = 512, rank: i
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, block_items: int = 512, rank: int = 256, limit: float = 0.3) -> DataFrame:
     """The rows of ``docs`` in which no item of ``benchmark`` is found, with all
-    their columns: a narrow pass for each block of items."""
+    their columns: a narrow pass for each block of items.  Null texts hold
+    nothing and stay; repeated rows and null ids are rows like any other; an
+    empty table on either side leaves ``docs`` as it is."""
     for index in _indexes(docs, benchmark, block_items, rank):
         docs = _drop(docs, index, limit)
     return docs

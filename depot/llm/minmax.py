@@ -13,10 +13,12 @@ with less variance than as many independent minima.
    partners per class), confirmed on full sets, and joined into components.
 4. What is still apart within a bucket is compared by signature inside tasks,
    a large bucket in chunks, a pair in the first band that it shares.  Members
-   with an estimate of at least 0.6 to another (four standard deviations below
-   0.75) come with their full sets to a second task, which confirms pairs in
-   falling order of the estimate and skips those that its own links already
-   join.  So every candidate pair is in one component or has been refuted, and
+   of the label that most of a bucket has are not compared among themselves, so
+   its chunks meet the chunks of the others only.  Members with an estimate of
+   at least 0.5 to another (six standard deviations below 0.75: a pair there
+   falls under it with a probability under 1e-9) come with their full sets to a
+   second task, which confirms pairs in falling order of the estimate and skips
+   those that its own links already join.  So every candidate pair is in one component or has been refuted, and
    what leaves a task is linear in the members of a bucket.
 5. Components by minimum labels with pointer jumping, each round stored.
 
@@ -33,13 +35,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
-
-from depot.llm.common import byte_slices, fresh, grouped, map_arrow, mix64, scan_words, shingle_sets, stored
+from depot.llm.common import (bloom, byte_slices, digests, fresh, grouped, map_arrow, maybe_in, mix64, scan_words,
+                              shingle_sets, split, stored)
+from depot.session import discard, scratch_path, scratch_scope
 
 PERMUTATIONS, BANDS, WIDTH = 64, 32, 5
 SIMILAR = 75                                # percent
-ESTIMATE = 0.6
+ESTIMATE = 0.5
 _SALTS, _CHUNK, _BITS = 16, 512, 1 << 22
 
 
@@ -89,8 +91,9 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingle_sets(words, at, WIDTH)
 
 
-def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``n_shingles``, ``node`` (class key), ``bands`` and ``sig`` (16 bits of each value) of every row."""
+def signatures(docs: DataFrame, key: str, text: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, ``n_shingles``, ``node`` (class key), ``bands`` and ``sig`` (16 bits of each value) of every row,
+    and the long columns ``carried``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in byte_slices(batch, text, 4 << 20):
@@ -99,10 +102,11 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                 bands, short = band_keys(sig), (sig >> np.uint64(17)).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(key).cast(pa.int64()), pa.array(np.diff(at).astype(np.int64)), pa.array(set_keys(hashes, at).view(np.int64)),
-                     pa.array([x.tobytes() for x in bands], pa.binary()), pa.array([x.tobytes() for x in short], pa.binary())],
-                    ["doc_id", "n_shingles", "node", "bands", "sig"])
+                     pa.array([x.tobytes() for x in bands], pa.binary()), pa.array([x.tobytes() for x in short], pa.binary()), *(b.column(c) for c in carried)],
+                    ["doc_id", "n_shingles", "node", "bands", "sig", *carried])
 
-    return stored(map_arrow(docs.select(key, text), run, "doc_id long, n_shingles long, node long, bands binary, sig binary"), "minmax-signatures")
+    schema = ", ".join(["doc_id long, n_shingles long, node long, bands binary, sig binary", *(f"{c} long" for c in carried)])
+    return map_arrow(docs.select(key, text, *carried), run, schema)
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -114,8 +118,15 @@ def _buckets(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(band), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], ["bucket", "band", "node"])
 
     rows = map_arrow(classes.select("node", "bands"), run, "bucket long, band int, node long")
-    crowded = rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return stored(_salted(rows, crowded.drop("_n"), "bucket", "inner"), "minmax-buckets")
+    crowded = stored(rows.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "minmax-crowded")
+    bits = bloom(crowded.select("bucket"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(batches):                          # most buckets have one class: their rows stay here
+            yield b.filter(pa.array(maybe_in(bits, b.column("bucket").to_numpy())))
+
+    rows = map_arrow(classes.select("node", "bands"), near, "bucket long, band int, node long")
+    return stored(_salted(rows, crowded, "bucket", "inner"), "minmax-buckets")
 
 
 def _salted(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
@@ -216,7 +227,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-_MEMBER = "bucket long, band int, i int, j int, own int, node long, label long, sig binary"
+_MEMBER = "bucket long, band int, i int, j int, own int, node long, label long, bands binary, sig binary"
 
 
 def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -224,14 +235,14 @@ def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     different labels, similar signatures, and share no earlier band."""
     node, label, own = (group.column(c).to_numpy() for c in ("node", "label", "own"))
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
+    bands = np.frombuffer(b"".join(group.column("bands").to_pylist()), np.int64).reshape(len(node), -1)
     i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
     left, right = (np.arange(len(node)),) * 2 if i == j else (np.flatnonzero(own == i), np.flatnonzero(own == j))
     for k in left:
         far = right[(label[right] != label[k]) & ((right > k) if i == j else True)]
         if len(far):
-            same = sig[far] == sig[k]
-            estimate = same.mean(axis=1)
-            keep = (estimate >= ESTIMATE) & ~same.reshape(len(far), BANDS, -1)[:, :band].all(axis=2).any(axis=1)
+            estimate = (sig[far] == sig[k]).mean(axis=1)
+            keep = (estimate >= ESTIMATE) & ~(bands[far, :band] == bands[k, :band]).any(axis=1)
             if keep.any():
                 yield int(k), far[keep], estimate[keep]
 
@@ -239,13 +250,20 @@ def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 def _apart(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of a bucket that have a candidate with another label in it."""
     rows = (members.select("bucket", "band", "node").join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("label", "node").alias("label")))
-    mixed = rows.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo < _hi")
-    rows = _salted(rows, mixed.select("bucket", F.ceil(F.col("_n") / F.lit(_CHUNK)).cast("int").alias("chunks")), "bucket", "inner")
-    rows = rows.join(classes.select("node", "sig"), "node")
-    # a large bucket: chunk i meets chunk j in the group (i, j), i <= j
-    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "sig"))
+    mixed = (rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("_m"))
+             .groupBy("bucket").agg(F.max(F.struct("_m", "label")).alias("_top"), F.sum("_m").alias("_n"), F.count(F.lit(1)).alias("_labels")).where("_labels > 1"))
+    chunks = lambda n: F.ceil(n / F.lit(_CHUNK)).cast("int")
+    rows = _salted(rows, mixed.select("bucket", F.col("_top.label").alias("top"), chunks(F.col("_n") - F.col("_top._m")).alias("few"),
+                                      chunks(F.col("_top._m")).alias("many")), "bucket", "inner")
+    # a large bucket: chunk i meets chunk j in the group (i, j), i <= j.  The members of its
+    # commonest label are chunks from ``few`` on and meet only the chunks before these
+    most = F.col("label") == F.col("top")
+    place = F.xxhash64("node")
+    own = F.when(most, F.col("few") + F.pmod(place, F.col("many"))).otherwise(F.pmod(place, F.col("few"))).cast("int")
+    others = F.sequence(F.lit(0), F.col("few") + F.when(most, 0).otherwise(F.col("many")) - 1)
+    rows = (rows.withColumn("own", own).withColumn("other", F.explode(others))
+            .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label"))
+    rows = rows.join(classes.select("node", "bands", "sig"), "node").select([c.split()[0] for c in _MEMBER.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -299,14 +317,32 @@ def _links_apart(apart: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class Found(NamedTuple):
-    rows: DataFrame             # doc_id, n_shingles, node of every input row
+    rows: DataFrame             # doc_id, n_shingles, node of every input row, and what is carried
     nodes: DataFrame            # node, component_id, label of classes with copies or links
 
 
-def analyse(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Found:
-    rows = signatures(docs, key, text)
-    classes = stored(rows.where("n_shingles > 0").groupBy("node").agg(
+def analyse(docs: DataFrame, key: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()) -> Found:
+    """Rows with their classes, and the components; whatever else is stored on the way is freed."""
+    spark = docs.sparkSession
+    kept = [scratch_path(spark, name) for name in ("minmax-rows", "minmax-components")]
+    with scratch_scope(spark):
+        rows, nodes = _analyse(docs, key, text, carried, kept[0])
+        nodes.write.parquet(kept[1])
+    return Found(rows, spark.read.schema(nodes.schema).parquet(kept[1]))
+
+
+def _analyse(docs: DataFrame, key: str, text: str, carried: tuple[str, ...], path: str) -> tuple[DataFrame, DataFrame]:
+    spark = docs.sparkSession
+    wide = scratch_path(spark, "minmax-signatures")
+    signed = signatures(docs, key, text, carried)
+    signed.write.parquet(wide)
+    signed = spark.read.schema(signed.schema).parquet(wide)
+    narrow = signed.drop("bands", "sig")
+    narrow.write.parquet(path)
+    rows = spark.read.schema(narrow.schema).parquet(path)
+    classes = stored(signed.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("min_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minmax-classes")
+    discard(spark, wide)
     members = _buckets(classes)
     # partners: the leader met in most buckets and the smallest leader
     met = members.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
@@ -327,7 +363,7 @@ def analyse(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Found:
             labels = components(edges.unionByName(found))
     linked = classes.join(labels, "node", "left").where("copies > 1 or label is not null").select("node", "min_id", F.coalesce("label", "node").alias("label"))
     least = linked.groupBy("label").agg(F.min("min_id").alias("component_id"))
-    return Found(rows.select("doc_id", "n_shingles", "node"), stored(linked.join(least, "label").select("node", "component_id", "label"), "minmax-components"))
+    return rows, linked.join(least, "label").select("node", "component_id", "label")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -349,27 +385,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are alone, and one row (smallest id, then
     smallest class) of every component, with all their columns.  Nulls, empty
-    texts and repeated rows as in ``near_duplicates``."""
-    found = analyse(docs, key, text)
-    bits = bitmap(found.nodes)
-    node, mark, component, label = fresh(docs, "_node", "_marked", "_component", "_label")
-    schema = StructType([*docs.schema.fields, StructField(node, LongType()), StructField(mark, BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in byte_slices(batch, text, 4 << 20):
-                hashes, at = _sets(b.column(text))
-                keys = set_keys(hashes, at).view(np.int64)
-                marked = _marked(bits, keys) & (np.diff(at) > 0)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys), pa.array(marked)], [*b.schema.names, node, mark])
-
-    # a written table: both branches below read it
-    marked = stored(map_arrow(docs, run, schema), "minmax-marked")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    alone = marked.where(~F.col(mark)).select(*names)
-    classes = found.nodes.select(F.col("node").alias(node), F.col("component_id").alias(component), F.col("label").alias(label))
-    rest = marked.where(F.col(mark)).join(classes, node, "left")
-    false_alarm = rest.where(F.col(label).isNull()).select(*names)
-    first = (rest.where(F.col(label).isNotNull() & F.col(f"`{key}`").eqNullSafe(F.col(component)))
-             .groupBy(label).agg(F.min_by(F.struct(*names), F.struct(node, F.xxhash64(*names))).alias("row")).select("row.*"))
-    return alone.unionByName(false_alarm).unionByName(first)
+    texts and repeated rows as in ``near_duplicates``; an empty table stays one.
+
+    Which rows go is settled on digests of the rows; texts stay where they are
+    (``common.split``)."""
+    spark = docs.sparkSession
+    one, two = fresh(docs, "_digest", "_digest2")
+    marked = digests(docs, one, two)
+    paths = [scratch_path(spark, name) for name in ("minmax-dropped", "minmax-repeated")]
+    with scratch_scope(spark):
+        found = analyse(marked, key, text, (one, two))
+        members = _salted(found.rows.where("n_shingles > 0"), found.nodes, "node", "inner").select("doc_id", "node", "component_id", "label", one, two)
+        first = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min(F.struct("node", one, two)).alias("k"))
+        first = first.select(f"k.{one}", f"k.{two}")
+        every = stored(members.groupBy(one, two).agg(F.count(F.lit(1)).alias("n")), "minmax-members")
+        every.join(first, [one, two], "left_anti").select(one, two).write.parquet(paths[0])
+        every.where("n > 1").join(first, [one, two], "left_semi").select(one, two).write.parquet(paths[1])
+    dropped, repeated = (spark.read.schema(f"{one} long, {two} long").parquet(p) for p in paths)
+    _, left = split(marked, dropped, one, two)
+    if repeated.limit(1).count():                       # the row that stays stands there several times
+        several, left = split(left, repeated, one, two)
+        left = left.unionByName(several.dropDuplicates([one, two]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depot.llm.common import byte_slices, folded, map_arrow, prefix_hashes, scan_words, stored
+from depot.session import scratch_scope
 
 GRADES = 4
 PREFIXES = (4, 5, 6)
@@ -152,7 +153,13 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: n
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, features: int = 4096, min_docs: int = 4) -> Model:
-    """Fit the model.  Without toxic or without clean labels nothing is toxic."""
+    """Fit the model.  Without toxic or without clean labels nothing is toxic.
+    The stored sample is freed; the model is all that stays."""
+    with scratch_scope(docs.sparkSession):
+        return _train(docs, labels, max_labelled, features, min_docs)
+
+
+def _train(docs: DataFrame, labels: DataFrame, max_labelled: int, features: int, min_docs: int) -> Model:
     sample = labelled_counts(docs, labels, max_labelled)
     words = _select(sample, features, min_docs)
     if not len(words):
@@ -211,7 +218,9 @@ def score(docs: DataFrame, model: Model, limit: float = 0.5, key: str = "doc_id"
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not toxic, with all their columns."""
+    """The rows of ``docs`` that are not toxic, with all their columns.  Null or
+    empty texts have the model's base rate; null and repeated keys are rows like
+    any other; an empty table stays empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in byte_slices(batch, text, 4 << 20):
