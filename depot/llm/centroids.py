@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depot.llm.common import stored
+from depot.session import scratch_path, scratch_scope
 
 #: Components are held to this size, so that 64 squared differences fit a long.
 LARGEST = 1 << 27
@@ -63,6 +64,17 @@ def moved(data: DataFrame, centroids: list[list[int]], dims: int) -> list[list[i
     return out
 
 
+def _assigned(vectors: DataFrame, k: int, rounds: int, seed: int, scale: int, dims: int, id_col: str, vector_col: str) -> tuple[list[list[int]], DataFrame]:
+    """The final centroids, and (id, cluster, distance) of every usable vector."""
+    data = stored(quantised(vectors, id_col, vector_col, dims, scale), "centroids-vectors")
+    centroids = seeds(data, k, seed)
+    if not centroids:
+        return [], data.select("id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
+    for _ in range(rounds):
+        centroids = moved(data, centroids, dims)
+    return centroids, data.select("id", nearest(F.col("v"), centroids).alias("at")).select("id", "at.cluster", "at.distance")
+
+
 def cluster(vectors: DataFrame, k: int = 16, rounds: int = 3, seed: int = 1, scale: int = 64, dims: int = 64,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Each usable vector's cluster after ``rounds`` of moving the centroids:
@@ -73,16 +85,17 @@ def cluster(vectors: DataFrame, k: int = 16, rounds: int = 3, seed: int = 1, sca
     quantised vectors and the assignment are stored once, so a lost executor
     reads them again instead of computing them.
     """
-    data = stored(quantised(vectors, id_col, vector_col, dims, scale), "centroids-vectors")
-    centroids = seeds(data, k, seed)
-    if not centroids:
-        return data.select(F.col("id").alias(id_col), F.lit(0).alias("cluster"), *[F.lit(0).cast("long").alias(c) for c in ("distance", "cluster_inertia", "inertia")],
-                           F.lit("").alias("centroid_sha256"))
-    for _ in range(rounds):
-        centroids = moved(data, centroids, dims)
-    placed = stored(data.select("id", nearest(F.col("v"), centroids).alias("at")).select("id", "at.cluster", "at.distance"), "centroids-placed")
+    spark = vectors.sparkSession
+    path = scratch_path(spark, "centroids-placed")
+    with scratch_scope(spark):                              # the vectors go, the assignment stays
+        centroids, placed = _assigned(vectors, k, rounds, seed, scale, dims, id_col, vector_col)
+        placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
     # k sums: no row of the vectors leaves its task
     sums = {r["cluster"]: int(r["s"]) for r in placed.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
+    if not centroids:
+        none = F.lit(0).cast("long")
+        return placed.select(F.col("id").alias(id_col), "cluster", "distance", none.alias("cluster_inertia"), none.alias("inertia"), F.lit("").alias("centroid_sha256"))
     of_cluster = F.lit(np.array([sums.get(i, 0) for i in range(len(centroids))], np.int64))
     digests = F.array(*[F.lit(hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for c in centroids])
     return placed.select(F.col("id").alias(id_col), "cluster", "distance", F.get(of_cluster, F.col("cluster")).alias("cluster_inertia"),
