@@ -193,17 +193,23 @@ def _id(text: str | None) -> int | None:
     return int(value) if value not in ("", "None") else None
 
 
-def read_archives(manifest: DataFrame, split_bytes: int = 16 << 20, with_payload: bool = True) -> DataFrame:
+def read_archives(manifest: DataFrame, split_bytes: int = 16 << 20, with_payload: bool = True, ranges_a_task: int = 8) -> DataFrame:
     """Read the records back: ``path``, ``offset``, ``record_type``, ``page_id``,
     ``url``, ``payload_bytes`` and ``payload_digest`` (of the full payload, for a
     revisit as its headers tell), ``refers_to``, and ``payload`` (null for
     revisits).  A response whose payload does not have the digest of its
-    header fails the job."""
+    header fails the job; an empty manifest has no records.  Ranges are dealt
+    over as many tasks as there are, up to four a core, and beyond that
+    ``ranges_a_task`` to a task."""
     schema = "path string, offset long, record_type string, page_id long, url string, payload_bytes long, payload_digest string, refers_to long, payload binary"
     columns = [c.split()[0] for c in schema.split(", ")]
     kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
     ranges = (manifest.where("bytes > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-              .select("path", "start", (F.col("start") + split_bytes).alias("end")).repartition("path", "start"))
+              .select("path", "start", (F.col("start") + split_bytes).alias("end")))
+    # an explicit number: planned by their few bytes, all ranges would go to one task
+    n = ranges.count()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    ranges = ranges.repartition(max(1, min(n, 4 * cores), -(-n // ranges_a_task)), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

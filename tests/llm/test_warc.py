@@ -31,3 +31,11 @@ def test_write_and_read(spark):
     assert bytes(by[6, "a\r\nb%0A"].payload) == b"z" * 2_000_000
     assert {r.record_type for r in warc.read_archives(warc.write_archives(df, min_bytes=5)).where("page_id in (1, 3, 5)").collect()} == {"response"}
     assert warc.read_archives(warc.write_archives(df.limit(0))).count() == 0
+
+
+def test_ranges_are_read_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html")).repartition(2)
+    got = warc.read_archives(warc.write_archives(df), split_bytes=500)
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 400 and len(per_task) > 4 and max(per_task) < 200
