@@ -133,7 +133,8 @@ def _salted(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Join with a right side of one row a key, a hot key of the left side
     dealt over _SALTS parts."""
     salt = F.pmod(F.xxhash64(*[c for c in ("node", "doc_id") if c in left.columns]), F.lit(_SALTS)).cast("int")
-    many = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    # a merge join: the size by which Spark would broadcast this side leaves the salts out
+    many = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))).hint("merge")
     return left.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
 
 
