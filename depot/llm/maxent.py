@@ -1,9 +1,20 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) * P(word | class).  The class softmax
-has hashed features of the history: the previous word, the previous two, and
-the word before the previous one (a skip).  The word softmax has a bias per
-word only, whose maximum-likelihood value is its smoothed share of the class.
+P(word | history) = P(class | history) * P(word | class, previous word).
+
+The class softmax has hashed features of the history: the previous word, the
+previous two, and the word before the previous one (a skip).
+
+The word softmax of a class has a bias per word (the log of its smoothed share
+p of the class) and a weight for each pair of neighbouring words of the
+training documents.  With a prior of strength k the best weight of a pair seen
+n times is log(1 + n / (k p)), and its normaliser 1 + N / k, where N is how
+often the class follows the previous word.  So these weights need counts of
+pairs only, and as many pairs are learnt as the training documents hold: the
+counts stay in Spark, dealt over tasks by their hashes, and never meet in one
+place.  k is the value of ``STRENGTHS`` that gives all training tokens the
+highest likelihood when each is left out of its own counts.
+
 The 2**17 most frequent training words are the dictionary (a bound on what
 tasks hold); a dictionary word's class is its context cluster (which frequent
 words stand around it) with a frequency band.  All other words, and the one
@@ -19,8 +30,10 @@ unknown word, are the class of rare words.
    rounds; each round is a Spark job over all training documents, gradients
    are added by blocks of rows, and the driver holds the bounded weight tables
    only.
-5. Scores in numpy batches.  What rare words add needs their counts: one row
-   per document and rare word is joined with the counts and summed back.
+5. Each block asks for the counts of its pairs and rare words: it deals their
+   hashes over ranges of the hash space, as many as the tokens need; a task adds
+   up what the blocks counted in a range, and answers each block.
+6. Scores in numpy batches, blocks beside their answers.
 """
 
 from __future__ import annotations
@@ -33,7 +46,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import _MULT, byte_slices, ints, map_arrow, mix64, release, scan_words, stored
+from depot.llm.common import _MULT, byte_slices, ints, map_arrow, map_groups, mix64, release, scan_words, stored
+from depot.session import scratch_path, scratch_scope
 
 BLOCK_BYTES = 4 << 20
 END = np.uint64(0x2545F4914F6CDD1D)         # the end token's hash
@@ -41,22 +55,28 @@ DICTIONARY, SEEDS, CLUSTERS, BANDS = 1 << 17, 512, 8, (3e-5,)
 RARE = CLUSTERS * (len(BANDS) + 1)          # the class of the words beyond the dictionary
 CLASSES = RARE + 1
 BUCKETS, ROUNDS = 1 << 13, 4
+STRENGTHS = (0.5, 2.0, 8.0, 32.0, 128.0)
+RANGE_TOKENS = 1 << 20                      # tokens to a range of the hash space
 _STEP = 1 << 16                             # tokens in a numpy batch
+_CODE = 40                                  # bits of a pair's hash within its range
 
 
 # -- blocks ------------------------------------------------------------------
 
-_BLOCK = "block long, doc_ids array<long>, held binary, tokens binary, numbers binary, words binary"
+_BLOCK = "block long, size long, doc_ids array<long>, held binary, tokens binary, numbers binary, words binary"
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Word numbers as byte planes (three up to 2**24): the high ones are nearly all zero."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
+def _pack(numbers: np.ndarray, width: int = 4) -> bytes:
+    """Numbers below 256**width as byte planes: the high ones are nearly all zero."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
     return np.ascontiguousarray(planes.T).tobytes()
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+def _unpack(data: bytes, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<i8").reshape(-1)
 
 
 def encode(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
@@ -81,7 +101,7 @@ def encode(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
                 place[rank] = np.arange(len(own))
                 held = b.column("_held").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([(task << 16) + k]), pa.array([b.column(key).cast(pa.int64()).to_pylist()], pa.list_(pa.int64())),
+                    [pa.array([(task << 16) + k]), pa.array([len(inverse)]), pa.array([b.column(key).cast(pa.int64()).to_pylist()], pa.list_(pa.int64())),
                      pa.array([held.tobytes()], pa.binary()), pa.array([sizes.astype(np.int32).tobytes()], pa.binary()),
                      pa.array([_pack(place[inverse])], pa.binary()), pa.array([own[rank].tobytes()], pa.binary())],
                     [c.split()[0] for c in _BLOCK.split(", ")])
@@ -340,8 +360,91 @@ def gradient_round(blocks: DataFrame, words: Words, w: Weights, rate: float) ->
     return Weights((w.bias - step[-1]).astype(np.float32), (w.table - step[:-1]).astype(np.float32))
 
 
+# -- counts of pairs ---------------------------------------------------------------
+
+_ASK = "part int, block long, codes binary, counts binary, words binary, more binary"
+_ANSWER = "block long, part int, counts binary, more binary"
+
+
+class Keys(NamedTuple):
+    """What a block asks for, in order of the hash space."""
+    codes: np.ndarray           # distinct hashes of (previous word, word) and (previous word, class): range and _CODE bits
+    counts: np.ndarray          # of the block's training tokens
+    pair: np.ndarray            # per token: the place of its pair
+    total: np.ndarray           # per token: the place of its previous word and class
+    rare: np.ndarray            # the block's numbers of the words beyond the dictionary
+
+
+def keys_of(b: Block, kind: np.ndarray, bits: int) -> Keys:
+    """``bits``: log2 of the ranges that the hash space is cut into."""
+    code = mix64(b.words * np.uint64(_MULT))
+    before = np.empty(len(b.numbers), np.uint64)
+    before[1:] = code[b.numbers[:-1]]
+    before[np.cumsum(b.tokens) - b.tokens] = 1                      # a text begins
+    before *= np.uint64(5)
+    every = np.concatenate([before + code[b.numbers], before + (kind[b.numbers].astype(np.uint64) + np.uint64(1)) * np.uint64(_MULT)])
+    del before
+    every = mix64(every) >> np.uint64(64 - _CODE - bits)
+    codes, place = np.unique(every, return_inverse=True)
+    del every
+    n = len(b.numbers)
+    counts = np.bincount(place[:n][b.train], minlength=len(codes)) + np.bincount(place[n:][b.train], minlength=len(codes))
+    rare = np.flatnonzero(kind == RARE)
+    return Keys(codes, counts, place[:n], place[n:], rare[np.argsort(b.words[rare])])
+
+
+def _range_bits(tokens: int) -> int:
+    return min(64 - _CODE, max(0, -(-tokens // RANGE_TOKENS) - 1).bit_length())
+
+
+def _ranges(hashes: np.ndarray, shift: int) -> dict[int, slice]:
+    """Slice of each range that sorted hashes hold something of."""
+    if not len(hashes):
+        return {}
+    own = (hashes >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(hashes), np.int64)
+    at = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    return {int(own[i]): slice(i, j) for i, j in zip(at, [*at[1:], len(own)])}
+
+
+def answers(blocks: DataFrame, words: Words, bits: int) -> DataFrame:
+    """A row for each block and range: the counts over all training documents
+    of what the block asks for there, in the order of ``keys_of``."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, none = np.uint64((1 << _CODE) - 1), slice(0, 0)
+        for row, b in _blocks(batches):
+            k = keys_of(b, _known(b, words)[0], bits)
+            own = b.words[k.rare]
+            more = np.bincount(b.numbers[b.train], minlength=len(b.words))[k.rare]
+            first, second = _ranges(k.codes, _CODE), _ranges(own, 64 - bits)
+            parts = sorted(first.keys() | second.keys())
+            x, y = [first.get(p, none) for p in parts], [second.get(p, none) for p in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int32()), pa.array([row.column("block")[0].as_py()] * len(parts), pa.int64()),
+                 pa.array([_pack(np.diff(k.codes[i] & low, prepend=np.uint64(0)), _CODE // 8) for i in x], pa.binary()),
+                 pa.array([_pack(k.counts[i]) for i in x], pa.binary()),
+                 pa.array([_pack(own[i], 8) for i in y], pa.binary()), pa.array([_pack(more[i]) for i in y], pa.binary())],
+                [c.split()[0] for c in _ASK.split(", ")])
+
+    def add(own: pa.Table) -> pa.Table:
+        def totals(hashes: list[np.ndarray], counts: list[np.ndarray]) -> list[bytes]:
+            _, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)[place]      # exact below 2**53
+            return [_pack(x, 8) for x in np.split(n, np.cumsum([len(x) for x in hashes])[:-1])]
+
+        get = lambda c, width: [_unpack(x.as_buffer(), width) for x in own.column(c)]
+        found = totals([np.cumsum(x) for x in get("codes", _CODE // 8)], get("counts", 4)), totals(get("words", 8), get("more", 4))
+        return pa.table([own.column("block"), own.column("part"), pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())],
+                        names=[c.split()[0] for c in _ANSWER.split(", ")])
+
+    return map_groups(map_arrow(blocks, ask, _ASK), ["part"], add, _ANSWER)
+
+
 # -- the operator ------------------------------------------------------------------
 
+_SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+           "model array<double>, left_out array<double>")
+
+
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of every document by a model of the documents that are not ``held_out``.
 
@@ -351,7 +454,22 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     empty texts are one end token; null or repeated keys are a row each; with
     no training documents every token is unknown; further columns are ignored;
     an empty table gives an empty result.  The model's events are the training
-    words and one unknown word, as for the base score."""
+    words and one unknown word, as for the base score.  A pair's hash has 40
+    bits and those of its range, so about one pair in a million shares its
+    counts with another; those of words have 64."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "maxent-scored")
+    with scratch_scope(spark):
+        _scored(docs, held_out, key, text).write.parquet(path)
+    scored = spark.read.schema(_SCORED).parquet(path)
+    best = scored.select(*[F.sum(F.col("left_out")[k]).alias(str(k)) for k in range(len(STRENGTHS))]).first()
+    k = int(np.argmax([x or 0.0 for x in best]))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", F.col("model")[k].alias("score"))
+
+
+def _scored(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame:
+    """``score`` under each of ``STRENGTHS`` (``model``), and what training tokens
+    left out of their own counts add to it (``left_out``)."""
     blocks = encode(docs, held_out, key, text)
     counts = count_words(blocks)
     n, distinct = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
@@ -359,49 +477,41 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     mass = np.bincount(words.classes, weights=words.counts, minlength=CLASSES)
     kinds = np.bincount(words.classes, minlength=CLASSES)
     mass[RARE], kinds[RARE] = n - words.counts.sum(), distinct - len(words.hashes)
-    below = np.log10(mass + 0.5 * (kinds + (np.arange(CLASSES) == RARE)) + 1e-300)     # the unknown word is a rare word
+    below = np.maximum(mass + 0.5 * (kinds + (np.arange(CLASSES) == RARE)), 1e-300)     # the unknown word is a rare word
     base_below = np.log10(n + 0.5 * (distinct + 1))
     prior = (mass + 0.5) / (mass + 0.5).sum()
     w = start_weights(blocks, words, prior)
     for k in range(ROUNDS if n else 0):
         w = gradient_round(blocks, words, w, 0.8 / (1 + 0.5 * k))
-    partial = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
-    columns = [c.split()[0] for c in partial.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, b in _blocks(batches):
-            kind, count = _known(b, words)
-            inside = kind != RARE
-            top = np.where(inside, np.log10(count + 0.5), 0.0)          # what rare words add comes with their counts
-            model = np.empty(len(b.numbers))
-            for at in range(0, len(b.numbers), _STEP):
-                own = kind[b.numbers[at:at + _STEP]]
-                p = _softmax(features(b, np.arange(at, at + len(own))), w)
-                model[at:at + _STEP] = np.log10(np.maximum(p[np.arange(len(own)), own], 1e-30)) - below[own]
-            add = lambda x: np.bincount(b.doc, weights=x, minlength=len(b.tokens))  # noqa: B023,E731
-            common = add(top[b.numbers])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_uids(row, b)), row.column("doc_ids")[0].values, pa.array(b.held), pa.array(b.tokens), pa.array(add(inside[b.numbers]).astype(np.int64)),
-                 pa.array(common - b.tokens * base_below), pa.array(common + add(model))], columns)
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, b in _blocks(batches):
-            kind, _ = _known(b, words)
-            use = np.flatnonzero(kind[b.numbers] == RARE)
-            cell, tf = np.unique(b.doc[use].astype(np.int64) * len(b.words) + b.numbers[use], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(_uids(row, b)[cell // len(b.words)]), pa.array(b.words[cell % len(b.words)].view(np.int64)), pa.array(tf.astype(np.int32))],
-                                             ["uid", "word", "tf"])
-
-    scored = map_arrow(blocks, run, partial)
-    found = map_arrow(blocks, rare, "uid long, word long, tf int").join(counts, "word", "left")
-    more = found.groupBy("uid").agg(F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more"),
-                                    F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).cast("long").alias("known"))
-    joined = scored.join(more, "uid", "left")
-    extra = F.coalesce("more", F.lit(0.0))
-    return joined.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-                         F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + extra).alias("base_score"), (F.col("model") + extra).alias("score"))
-
-
-def _uids(row: pa.RecordBatch, b: Block) -> np.ndarray:
-    """A number for each document: block and place."""
-    return (row.column("block")[0].as_py() << 20) + np.arange(len(b.tokens))
+    bits = _range_bits(blocks.agg(F.sum("size")).first()[0] or 0)
+
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        (row, b), = _blocks(block.to_batches())
+        kind, count = _known(b, words)
+        k = keys_of(b, kind, bits)
+        found = found.sort_by("part")
+        seen = np.concatenate([_unpack(x.as_buffer(), 8) for x in found.column("counts")])
+        count[k.rare] = np.concatenate([_unpack(x.as_buffer(), 8) for x in found.column("more")])
+        unit = np.log10(count + 0.5)
+        model, left = np.zeros((len(STRENGTHS), len(b.tokens))), np.zeros((len(STRENGTHS), len(b.tokens)))
+        for at in range(0, len(b.numbers), _STEP):
+            use = slice(at, at + _STEP)
+            word, doc = b.numbers[use], b.doc[use]
+            own = kind[word]
+            p = _softmax(features(b, np.arange(at, at + len(own))), w)
+            chosen = np.log10(np.maximum(p[np.arange(len(own)), own], 1e-30))
+            low, pair, total = int(doc[0]), seen[k.pair[use]], seen[k.total[use]]
+            share, out = (count[word] + 0.5) / below[own], b.train[use].astype(np.int64)
+            less = (count[word] - out + 0.5) / below[own]
+            for j, strength in enumerate(STRENGTHS):
+                x = np.bincount(doc - low, weights=chosen + np.log10((pair + strength * share) / (total + strength)))
+                y = np.bincount(doc - low, weights=out * np.log10((pair - out + strength * less) / (total - out + strength)))
+                model[j, low:low + len(x)] += x
+                left[j, low:low + len(y)] += y
+        add = lambda x: np.bincount(b.doc, weights=x, minlength=len(b.tokens))
+        nested = lambda x: pa.array(list(x.T), pa.list_(pa.float64()))
+        return pa.table([row.column("doc_ids")[0].values, pa.array(b.held), pa.array(b.tokens), pa.array(add(count[b.numbers] > 0).astype(np.int64)),
+                         pa.array(np.full(len(b.tokens), n)), pa.array(add(unit[b.numbers]) - b.tokens * base_below), nested(model), nested(left)],
+                        names=[c.split()[0] for c in _SCORED.split(", ")])
+
+    return blocks.groupBy("block").cogroup(answers(blocks, words, bits).groupBy("block")).applyInArrow(run, _SCORED)

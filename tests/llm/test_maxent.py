@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from depot.llm import maxent
+from depot.llm.common import scan_words
 from tests.llm.helpers import LOWER, WORD, docs
 
 
@@ -69,3 +71,47 @@ def test_every_round_reads_all_training_tokens(spark, monkeypatch):
     texts = ["the a b " * 100, *["the a c"] * 9, "b " * 500]
     got = maxent.score(docs(spark, list(enumerate(texts))).coalesce(1), F.col("doc_id") == 3).collect()
     assert seen == [got[0].train_tokens] * maxent.ROUNDS
+
+
+def test_word_factor_equals_brute_force(spark, monkeypatch):
+    """With an even class softmax: counts of pairs over many blocks and ranges, and the strength."""
+    seen, find = [], maxent.dictionary
+    monkeypatch.setattr(maxent, "dictionary", lambda *a: seen.append(find(*a)) or seen[-1])
+    monkeypatch.setattr(maxent, "_softmax", lambda f, w: np.full((f.shape[1], len(w.bias)), 1 / len(w.bias), np.float32))
+    monkeypatch.setattr(maxent, "DICTIONARY", 200)
+    monkeypatch.setattr(maxent, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(maxent, "RANGE_TOKENS", 500)
+    rng = random.Random(5)
+    rows = list(enumerate(two_languages(60, rng) + ["new a1 new a2 the", None, "the " * 3000, "a1 a2 a3 " * 40, "a1 a2 a3 " * 40]))
+    held = F.col("doc_id") % 7 == 4
+    got = {r.doc_id: r.score for r in maxent.score(docs(spark, rows).repartition(3), held).collect()}
+    words = seen[0]
+    code = lambda w: maxent.END if w is None else scan_words(pa.array([w]), lower=True)[0][0]
+    tokens = {i: [*WORD.findall(t or ""), None] for i, t in rows}
+    known = dict(zip(words.hashes.tolist(), words.classes.tolist()))
+    kind = {w: known.get(int(code(w)), maxent.RARE) for t in tokens.values() for w in t}
+    train = [t for i, t in tokens.items() if i % 7 != 4]
+    count = Counter(w for t in train for w in t)
+    assert 0 < sum(kind[w] == maxent.RARE for w in count) < len(count)
+    before = lambda t: ["(begin)", *t]
+    pair = Counter((h, w) for t in train for h, w in zip(before(t), t))
+    total = Counter((h, kind[w]) for t in train for h, w in zip(before(t), t))
+    mass, kinds = Counter(), Counter(kind[w] for w in count)
+    for w, c in count.items():
+        mass[kind[w]] += c
+
+    def logs(t, k, out):
+        for h, w in zip(before(t), t):
+            p = (count[w] - out + 0.5) / (mass[kind[w]] + 0.5 * (kinds[kind[w]] + (kind[w] == maxent.RARE)))
+            yield math.log10((pair[h, w] - out + k * p) / (total[h, kind[w]] - out + k))
+
+    best = max(maxent.STRENGTHS, key=lambda k: sum(x for t in train for x in logs(t, k, 1)))
+    for i, t in tokens.items():
+        assert math.isclose(got[i], sum(logs(t, best, 0)) - len(t) * math.log10(maxent.CLASSES), rel_tol=1e-5), i
+
+
+def test_pairs_learnt_grow_with_the_input():
+    """Ranges follow the tokens, each of a bounded size."""
+    assert [maxent._range_bits(n) for n in (0, 1, maxent.RANGE_TOKENS, maxent.RANGE_TOKENS + 1, 100 * maxent.RANGE_TOKENS)] == [0, 0, 0, 1, 7]
+    x = np.random.default_rng(1).integers(0, 1 << 39, 1000)
+    assert (maxent._unpack(maxent._pack(x, 5), 5) == x).all()
