@@ -67,15 +67,16 @@ _BLOCK = "block long, size long, doc_ids array<long>, held binary, tokens binary
 
 
 def _pack(numbers: np.ndarray, width: int = 4) -> bytes:
-    """Numbers below 256**width as byte planes: the high ones are nearly all zero."""
+    """Numbers below 256**width as byte planes, compressed: the high ones are nearly all zero."""
     planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return np.ascontiguousarray(planes.T).tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes.T), "zstd", asbytes=True)
 
 
 def _unpack(data: bytes, width: int = 4) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
+    data = memoryview(data)
+    n = int.from_bytes(data[:8], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(data[8:], n * width, "zstd"), np.uint8).reshape(width, n).T
     return out.view("<i8").reshape(-1)
 
 
