@@ -52,6 +52,7 @@ class Index(NamedTuple):
 
 
 _CHUNK = 1 << 12                            # tokens whose latent rows are held at once
+_GATHER = 1 << 9                            # the same where they are only summed: a processor's cache holds them
 _CELLS = 1 << 13                            # narrowest spans whose vectors are held at once
 _LEAST = 4                                  # words in the narrowest span
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -252,7 +253,8 @@ def candidates(where: np.ndarray, at: np.ndarray, index: Index, limit: float) ->
     least, most = int(own.min()), int(own.max())
     classes = {int(s): np.flatnonzero(own == s) for s in np.unique(own)}
     latent = {s: np.ascontiguousarray(index.latent[:, members]) for s, members in classes.items()}
-    value = index.idf.astype(np.float32)
+    weighted = index.basis * index.idf.astype(np.float32)[:, None]
+    rows_of = np.empty((_GATHER, weighted.shape[1]), np.float32)
     step = max(1, _CELLS * least // most) * most
     out = []
     for run in _pieces(at, step, most):
@@ -263,10 +265,10 @@ def candidates(where: np.ndarray, at: np.ndarray, index: Index, limit: float) ->
         hits = [f + np.flatnonzero(where[f:e] >= 0) for f, e in zip(first.tolist(), end.tolist())]       # pieces of a text overlap
         hit, piece = np.concatenate(hits), np.repeat(np.arange(len(run)), [len(h) for h in hits])
         cell = base[piece] + (hit - first[piece]) // least
-        for k in range(0, len(hit), _CHUNK):
-            c, w = cell[k:k + _CHUNK], where[hit[k:k + _CHUNK]]
+        for k in range(0, len(hit), _GATHER):
+            c, w = cell[k:k + _GATHER], where[hit[k:k + _GATHER]]
             begin = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-            vectors[c[begin]] += np.add.reduceat(index.basis[w] * value[w][:, None], begin, axis=0)
+            vectors[c[begin]] += np.add.reduceat(np.take(weighted, w, axis=0, out=rows_of[:len(w)], mode="clip"), begin, axis=0)
         span = least
         while True:
             owner = np.repeat(np.arange(len(run)), count)
@@ -277,9 +279,8 @@ def candidates(where: np.ndarray, at: np.ndarray, index: Index, limit: float) ->
                     rows = np.arange(k, min(k + 4096, len(vectors)))
                     block = vectors[k:k + 4096].copy()
                     more = rows[rows + 1 < len(vectors)]
-                    more = more[owner[more] == owner[more + 1]]
-                    block[more - k] += vectors[more + 1]
-                    norm = np.maximum(np.linalg.norm(block, axis=1), 1e-9)
+                    np.add(block[:len(more)], vectors[k + 1:k + 1 + len(more)], out=block[:len(more)], where=(owner[more] == owner[more + 1])[:, None])
+                    norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", block, block)), 1e-9)
                     cos = block @ latent[span] / norm[:, None]
                     for r, i in zip(*np.nonzero(cos >= limit)):
                         if start[k + r] < owned[owner[k + r]]:
