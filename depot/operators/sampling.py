@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depot.functions.draws import keyed_uniform
@@ -66,6 +66,31 @@ def weighted_category(u: Column, categories: Sequence[str], weights: Sequence[fl
     return last if expr is None else expr.otherwise(last)
 
 
+def impute_category(df: DataFrame, group_cols: Sequence[str], category_col: str, missing: Column,
+                    key_cols: Sequence[str], seed: int = 42) -> DataFrame:
+    """The rows whose category is ``missing``, with one drawn by the shares that
+    the other rows of their group have (F6 with measured weights).
+
+    The shares are one aggregate of (group, category) counts; their running sums
+    cut 0..total into an interval per category, and a row takes the category in
+    whose interval ``floor(u * total)`` lies.  Rows meet the cut points of their
+    group in an equi-join (a hot group is split by the adaptive skew join; no
+    group is collected).  A null group is a group, a null category is missing, and a row
+    whose group holds no known category gets null."""
+    missing = F.coalesce(missing, F.lit(False)) | F.col(category_col).isNull()
+    counts = df.where(~missing).groupBy(*group_cols, category_col).agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*group_cols)
+    cuts = counts.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group_cols)], F.col(category_col).alias("_category"),
+                         (F.sum("_n").over(own.orderBy(category_col)) - F.col("_n")).alias("_lo"), "_n", F.sum("_n").over(own).alias("_total"))
+    rows = df.where(missing).drop(category_col).withColumn("_u", keyed_uniform(seed, "impute", *key_cols))
+    at = F.floor(F.col("_u") * F.col("_total"))
+    on = (at >= F.col("_lo")) & (at < F.col("_lo") + F.col("_n"))
+    for k, c in enumerate(group_cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{k}"))
+    kept = [c for c in rows.columns if c != "_u"]
+    return rows.join(cuts, on, "left").select(*kept, F.col("_category").alias(category_col))
+
+
 def pick_one(df: DataFrame, group_cols: Sequence[str], choice_col: str, seed: int = 42,
              salt: str = "pick") -> DataFrame:
     """One ``choice_col`` value per group, uniformly by keyed draw (F7):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from depot import config as C
+from depot.functions.draws import keyed_uniform, keyed_uniform_sql
 from depot.operators import expand as X
 from depot.operators.sets import concat_chunks
 from depot.plans import costs as CO
@@ -13,6 +14,7 @@ from depot.registry import register
 from depot.sources.adapter_sql import define_view
 
 AS_OF = C.AS_OF.isoformat()
+SEED = C.SEED
 
 
 # ---- G2
@@ -79,19 +81,27 @@ def q_cost_unpivot(t):
 
 
 # ---- H6
-@register("spread_dates", """
-SELECT item_id, CAST(lo + CAST(off AS INT) AS DATE) AS effective_date FROM (
-  SELECT item_id, lo, unnest(list_transform(range(n), lambda i:
-            CASE WHEN i = 0 THEN 0 WHEN i = n - 1 THEN total
-                 ELSE least(greatest(CASE WHEN n > 1 THEN CAST(trunc(i * total / (n - 1)) AS INT) ELSE 0 END
-                                     + ((item_id * 7 + i * 13) % 21) - 10, 0), total) END)) AS off
-  FROM (SELECT item_id, 2 + item_id % 4 AS n, lo, CAST(hi - lo AS INT) AS total
-        FROM v_items CROSS JOIN (SELECT min(order_date) AS lo, max(order_date) AS hi FROM v_orders) s) x) y""")
+@register("spread_dates", f"""
+SELECT item_id, lo + CAST(CASE WHEN i = 0 THEN 0 WHEN i = n - 1 THEN total
+                               ELSE least(greatest(CAST(trunc(i * total / (n - 1)) AS INT) + jitter, 0), total) END AS INT) AS count_date
+FROM (SELECT *, CAST(floor({keyed_uniform_sql(SEED, 'spread', 'item_id', 'i')} * 21) AS INT) - 10 AS jitter
+      FROM (SELECT *, unnest(range(n)) AS i
+            FROM (SELECT item_id, count(*) AS n, min(lo) AS lo, date_diff('day', min(lo), max(hi)) AS total
+                  FROM (SELECT l.item_id, date_trunc('month', o.order_date) AS month, min(o.order_date) AS lo, max(o.order_date) AS hi
+                        FROM v_lines l JOIN v_orders o ON l.order_id = o.order_id
+                        WHERE o.order_date IS NOT NULL GROUP BY ALL) m GROUP BY item_id) s) k) d""")
 def q_spread_dates(t):
-    span = t.v_orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
-    i = t.v_items.select("item_id").crossJoin(F.broadcast(span))      # span: one row
-    n = (F.lit(2) + F.col("item_id") % 4).cast("int")
-    total = F.datediff("hi", "lo")
-    offs = X.spread_offsets(n, total, lambda k: ((F.col("item_id") * 7 + k * 13) % 21 - 10).cast("int"))
-    return i.select("item_id", "lo", F.explode(offs).alias("off")).select(
-        "item_id", F.date_add("lo", F.col("off").cast("int")).alias("effective_date"))
+    """Cycle counts: each item is counted as often as there are months in which it
+    was ordered, spread over its own selling period (at most a date per month of it)."""
+    sold = t.v_lines_noid.select("order_id", "item_id").join(
+        t.v_orders.where(F.col("order_date").isNotNull()).select("order_id", "order_date"), "order_id")
+    months = sold.groupBy("item_id", F.trunc("order_date", "month").alias("month")).agg(
+        F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    items = months.groupBy("item_id").agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("lo").alias("lo"),
+                                          F.datediff(F.max("hi"), F.min("lo")).alias("total"))
+
+    def jitter(k):
+        return F.floor(keyed_uniform(SEED, "spread", "item_id", k) * 21).cast("int") - 10
+    offs = X.spread_offsets(F.col("n"), F.col("total"), jitter)
+    return items.select("item_id", "lo", F.explode(offs).alias("off")).select(
+        "item_id", F.date_add("lo", F.col("off").cast("int")).alias("count_date"))

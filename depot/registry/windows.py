@@ -162,28 +162,25 @@ def q_weighted_sample(t):
 
 
 # ---- F6
-REASON_WEIGHTS = C.RETURN_REASON_WEIGHTS
-
-
-def _weighted_case_sql(u, cats, weights):
-    total = float(sum(weights))
-    acc, parts = 0.0, []
-    for c, w in zip(cats[:-1], weights[:-1]):
-        acc += w / total
-        parts.append(f"WHEN {u} < {acc!r} THEN '{c}'")
-    return "CASE " + " ".join(parts) + f" ELSE '{cats[-1]}' END"
+UNKNOWN_PRIORITY = "4-NOT SPECIFIED"
 
 
 @register("weighted_category", f"""
-SELECT order_line_id, {_weighted_case_sql(u_sql('reason', 'order_line_id'),
-                                           ['Damaged', 'Wrong Item', 'Not as Described', 'Overshipment',
-                                            'Customer Preference', 'Defective'], REASON_WEIGHTS)} AS reason_code
-FROM v_returned_lines""")
+WITH o AS (SELECT o_orderkey, o_orderpriority, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+n AS (SELECT c_mktsegment, o_orderpriority, count(*) AS n FROM o WHERE o_orderpriority <> '{UNKNOWN_PRIORITY}' GROUP BY ALL),
+cuts AS (SELECT c_mktsegment, o_orderpriority, n, sum(n) OVER (PARTITION BY c_mktsegment ORDER BY o_orderpriority) - n AS lo,
+                sum(n) OVER (PARTITION BY c_mktsegment) AS total FROM n),
+m AS (SELECT o_orderkey, c_mktsegment, {u_sql('impute', 'o_orderkey')} AS u FROM o
+      WHERE o_orderpriority IS NULL OR o_orderpriority = '{UNKNOWN_PRIORITY}')
+SELECT m.o_orderkey AS order_id, m.c_mktsegment AS market_segment, c.o_orderpriority AS priority
+FROM m LEFT JOIN cuts c ON m.c_mktsegment IS NOT DISTINCT FROM c.c_mktsegment
+     AND floor(m.u * CAST(c.total AS DOUBLE)) >= c.lo AND floor(m.u * CAST(c.total AS DOUBLE)) < c.lo + c.n""")
 def q_weighted_category(t):
-    from depot.sources.tables import RETURN_REASONS
-    u = keyed_uniform(SEED, "reason", "order_line_id")
-    return t.v_returned_lines.select("order_line_id",
-                                     S.weighted_category(u, RETURN_REASONS, REASON_WEIGHTS).alias("reason_code"))
+    """Orders without a priority get one by the shares of their customers' market segment."""
+    o = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("market_segment")),
+                      "o_custkey", "left")
+    o = o.select(F.col("o_orderkey").alias("order_id"), "market_segment", F.col("o_orderpriority").alias("priority"))
+    return S.impute_category(o, ["market_segment"], "priority", F.col("priority") == UNKNOWN_PRIORITY, ["order_id"], SEED)
 
 
 # ---- F7

@@ -85,3 +85,34 @@ def test_range_join_open_end(spark):
     promos = spark.createDataFrame([(7, dt.date(2024, 1, 1), None)], "promo_id int, s date, e date")
     got = sorted(r.order_id for r in J.range_join(orders, promos, "d", "s", "e").collect())
     assert got == [1, 2]
+
+
+def test_imputed_category_follows_the_shares_of_its_group(spark):
+    rows = [(k, "a", "x" if k % 4 else "y") for k in range(4000)] + [(k, None, "z") for k in range(4000, 4010)]
+    rows += [(k, "a", "?") for k in range(5000, 9000)] + [(9000, None, None), (9001, "lone", "?"), (9002, "lone", None)]
+    df = spark.createDataFrame(rows, "k int, g string, c string")
+    got = {r.k: r.c for r in S.impute_category(df, ["g"], "c", F.col("c") == "?", ["k"]).collect()}
+    assert sorted(got) == list(range(5000, 9003))                     # each missing row once, no other
+    drawn = [got[k] for k in range(5000, 9000)]
+    assert set(drawn) == {"x", "y"} and abs(drawn.count("y") / 4000 - 0.25) < 0.03
+    assert got[9000] == "z" and got[9001] is None and got[9002] is None
+    again = {r.k: r.c for r in S.impute_category(df.repartition(7), ["g"], "c", F.col("c") == "?", ["k"]).collect()}
+    assert again == got
+
+
+def test_imputed_category_of_empty_table(spark):
+    df = spark.createDataFrame([], "k int, g string, c string")
+    assert S.impute_category(df, ["g"], "c", F.col("c") == "?", ["k"]).collect() == []
+
+
+def test_weighted_category_cut_points(spark):
+    df = spark.createDataFrame([(0.0,), (0.49,), (0.5,), (0.99,)], "u double")
+    got = [r.c for r in df.select(S.weighted_category(F.col("u"), ["a", "b"], [3, 3]).alias("c")).collect()]
+    assert got == ["a", "a", "b", "b"]
+
+
+def test_spread_offsets_pins_both_ends(spark):
+    from depot.operators.expand import spread_offsets
+    df = spark.createDataFrame([(1, 0), (2, 9), (5, 100)], "n int, total int")
+    got = [r.o for r in df.select(spread_offsets(F.col("n"), F.col("total"), lambda i: i * 0 - 30).alias("o")).collect()]
+    assert got == [[0], [0, 9], [0, 0, 20, 45, 100]]

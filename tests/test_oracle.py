@@ -16,7 +16,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 KEYS = ["shipment_totals", "build_order_lines", "build_invoices", "build_ar_ledger", "ar_aging_summary",
         "freight_class", "normalize_timestamps", "range_join_promos", "asof_price", "secondary_rep",
         "score_quantile", "minmax_normalize", "top_n_items_per_customer", "price_walk", "sample_exact_fraction",
-        "weighted_sample", "pick_one_active", "spread_dates", "build_preferences", "contract_prices",
+        "weighted_sample", "pick_one_active", "spread_dates", "weighted_category", "build_preferences", "contract_prices",
         "build_inventory_snapshot", "build_slotting", "check_unique", "conform_to_schema", "scan_postal_tsv"]
 
 
