@@ -1,12 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Vocabulary: the words of the benchmark items.  One pass counts in how many
-   documents each occurs and keeps the word counts of a bounded hash sample of
-   passages.
-2. Randomised SVD of the TF-IDF matrix of items and sampled passages: a random
-   test matrix is multiplied by A'A in Spark tasks (each task sums over its
-   passages, partial products are added by blocks of rows), orthonormalised,
-   multiplied again, and a small eigenproblem gives the latent basis.
+   documents each occurs and keeps, of every passage of every document, the
+   places of its words in the vocabulary.
+2. Randomised SVD of the TF-IDF matrix A of items and all passages: Spark tasks
+   sum the products of the words that share a passage, which are added by
+   blocks of rows to A'A.  A random test matrix is multiplied by it,
+   orthonormalised, multiplied again, and a small eigenproblem gives the latent
+   basis.  For a vocabulary too wide for A'A the passages are multiplied with
+   the test matrix each time instead.
 3. Search: every window of every whole document is projected and compared with
    the items of its length class in blocks; windows above a cosine limit are
    candidates.  Items are classed by powers of two of their words and each class
@@ -48,13 +50,15 @@ class Index(NamedTuple):
     basis: np.ndarray           # vocabulary x rank, float32
     items: list[Item]
     latent: np.ndarray          # rank x items, unit columns
-    span: int                   # words in half a sampled passage
+    span: int                   # words in half a passage
 
 
 _CHUNK = 1 << 12                            # tokens whose latent rows are held at once
 _GATHER = 1 << 9                            # the same where they are only summed: a processor's cache holds them
 _CELLS = 1 << 13                            # narrowest spans whose vectors are held at once
 _LEAST = 4                                  # words in the narrowest span
+_SQUARE = 4096                              # words up to which a task holds A'A (64 MB)
+_PAIRS = 1 << 18                            # pairs of words that are summed at once
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -93,11 +97,9 @@ def _places(vocabulary: np.ndarray):
     return places
 
 
-def _count(docs: DataFrame, vocabulary: np.ndarray, span: int, sample_docs: int, n_docs: int) -> DataFrame:
-    """Rows of two kinds: (place, documents) partial counts over all documents,
-    and (-1, words of a passage) for the documents of the hash sample."""
-    picked = F.pmod(F.xxhash64(F.lit("decontam"), "doc_id", F.length("text")), F.lit(max(1, n_docs))) < sample_docs
-
+def _count(docs: DataFrame, vocabulary: np.ndarray, span: int) -> DataFrame:
+    """Rows of two kinds: (place, documents) partial counts, and (-1, places of
+    the words of a passage), of all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _places(vocabulary)
         total = np.zeros(len(vocabulary), np.int64)
@@ -110,7 +112,7 @@ def _count(docs: DataFrame, vocabulary: np.ndarray, span: int, sample_docs: int,
                 doc = np.searchsorted(at, hit, side="right") - 1
                 cells = np.unique(doc * len(vocabulary) + where[hit])
                 total += np.bincount(cells % len(vocabulary), minlength=len(vocabulary))
-                for i in np.flatnonzero(b.column("picked").to_numpy(zero_copy_only=False)):
+                for i in range(b.num_rows):
                     for k in range(at[i], at[i + 1], 2 * span):
                         own = where[k:min(k + 2 * span, at[i + 1])]
                         own = own[own >= 0]
@@ -121,7 +123,7 @@ def _count(docs: DataFrame, vocabulary: np.ndarray, span: int, sample_docs: int,
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at]), pa.nulls(len(at), pa.binary())], ["place", "docs", "passage"])
 
-    return stored(map_arrow(docs.select("text", picked.alias("picked")), run, "place int, docs long, passage binary"), "decontam-counts")
+    return stored(map_arrow(docs.select("text"), run, "place int, docs long, passage binary"), "decontam-counts")
 
 
 def _tfidf(passages: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,20 +156,30 @@ def _gram(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, q: np.
     return z
 
 
-def _spark_gram(sample: DataFrame, idf: np.ndarray, q: np.ndarray, block: int = 512) -> np.ndarray:
-    """A'(A q) over the sampled passages: a partial product per task, added by blocks of rows."""
-    width = q.shape[1]
+def _passages(batch: pa.RecordBatch, size: int) -> Iterator[list[np.ndarray]]:
+    own = [np.frombuffer(x, np.int32).astype(np.int64) for x in batch.column("passage").to_pylist()]
+    for at in range(0, len(own), size):
+        yield own[at:at + size]
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = np.zeros_like(q)
-        for b in batches:
-            passages = [np.frombuffer(x, np.int32).astype(np.int64) for x in b.column("passage").to_pylist()]
-            for at in range(0, len(passages), 4096):
-                own = passages[at:at + 4096]
-                z += _gram(*_tfidf(own, idf), len(own), q)
-        at = range(0, len(z), block)
-        yield pa.RecordBatch.from_arrays([pa.array([k // block for k in at], pa.int32()), pa.array([z[k:k + block].astype(np.float32).tobytes() for k in at], pa.binary())], ["block", "part"])
 
+def _add_products(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, out: np.ndarray) -> None:
+    """Add A'A of sparse rows (in order) to ``out``."""
+    size = np.bincount(rows, minlength=n)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    flat, partners = out.reshape(-1), size[rows]              # each cell meets all cells of its row
+    done = np.concatenate([[0], np.cumsum(partners)])
+    lo = 0
+    while lo < len(rows):
+        hi = max(lo + 1, int(np.searchsorted(done, done[lo] + _PAIRS, side="right")) - 1)
+        k = partners[lo:hi]
+        left = np.repeat(np.arange(lo, hi), k)
+        right = np.arange(len(left)) - np.repeat(done[lo:hi] - done[lo], k) + begin[rows[left]]
+        np.add.at(flat, cols[left] * len(out) + cols[right], (values[left] * values[right]).astype(out.dtype))
+        lo = hi
+
+
+def _add_blocks(parts: DataFrame, blocks: int) -> DataFrame:
+    """Sums of the (block, part) rows of equal block."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
@@ -176,37 +188,82 @@ def _spark_gram(sample: DataFrame, idf: np.ndarray, q: np.ndarray, block: int =
                 sums[k] = sums[k] + x if k in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "part"])
 
-    blocks = -(-len(q) // block)
-    added = map_arrow(map_arrow(sample, part, "block int, part binary").repartition(min(blocks, 8), "block"), add, "block int, part binary")
+    return map_arrow(parts.repartition(min(blocks, 8), "block"), add, "block int, part binary")
+
+
+def _by_blocks(z: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows, a few at a time."""
+    for k in range(0, len(z), block):
+        part = np.ascontiguousarray(z[k:k + block], np.float32).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), pa.array([part], pa.binary())], ["block", "part"])
+
+
+def _square(passages: DataFrame, idf: np.ndarray, block: int = 128) -> DataFrame:
+    """A'A of all passages by blocks of rows, stored: a partial sum per task, added in Spark."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = np.zeros((len(idf), len(idf)), np.float32)
+        for b in batches:
+            for own in _passages(b, 4096):
+                _add_products(*_tfidf(own, idf), len(own), z)
+        yield from _by_blocks(z, block)
+
+    return stored(_add_blocks(map_arrow(passages, part, "block int, part binary"), -(-len(idf) // block)), "decontam-square")
+
+
+def _times(square: DataFrame, q: np.ndarray, block: int = 128) -> np.ndarray:
+    """(A'A) q, a block of rows at a time in Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(np.frombuffer(x, np.float64).reshape(-1, len(q)) @ q).tobytes() for x in b.column("part").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(out, pa.binary())], ["block", "part"])
+
+    return _collected(map_arrow(square, run, "block int, part binary"), q, block)
+
+
+def _collected(blocks: DataFrame, q: np.ndarray, block: int) -> np.ndarray:
     z = np.zeros_like(q)
-    for r in added.collect():                           # vocabulary x rank numbers in all
-        own = np.frombuffer(r.part, np.float64).reshape(-1, width)
-        z[r.block * block:r.block * block + len(own)] += own
+    for r in blocks.collect():                          # vocabulary x rank numbers in all
+        z[r.block * block:(r.block + 1) * block] = np.frombuffer(r.part, np.float64).reshape(-1, q.shape[1])
     return z
 
 
-def build_index(docs: DataFrame, items: list[Item], n_docs: int, rank: int = 256, sample_docs: int = 2048, seed: int = 7) -> Index:
-    """Fit the latent space on the items and on the passages of about
-    ``sample_docs`` documents (items weigh as much as the sample).  Word
-    statistics are of all documents."""
+def _spark_gram(passages: DataFrame, idf: np.ndarray, q: np.ndarray, block: int = 512) -> np.ndarray:
+    """A'(A q) over all passages: a partial product per task, added by blocks of rows."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = np.zeros_like(q)
+        for b in batches:
+            for own in _passages(b, 4096):
+                z += _gram(*_tfidf(own, idf), len(own), q)
+        yield from _by_blocks(z, block)
+
+    return _collected(_add_blocks(map_arrow(passages, part, "block int, part binary"), -(-len(q) // block)), q, block)
+
+
+def build_index(docs: DataFrame, items: list[Item], n_docs: int, rank: int = 256, seed: int = 7) -> Index:
+    """Fit the latent space on the items and on all passages of all documents
+    (items weigh as much as the passages).  Word statistics are of all documents."""
     vocabulary = np.unique(np.concatenate([i.words for i in items]))
     span = max(32, int(np.sort(_spans(items))[len(items) // 2]))
-    rows = _count(docs, vocabulary, span, sample_docs, n_docs)
+    rows = _count(docs, vocabulary, span)
     df = np.zeros(len(vocabulary))
     for r in rows.where("place >= 0").groupBy("place").agg(F.sum("docs").alias("docs")).collect():     # a row per benchmark word
         df[r.place] = r.docs
     idf = np.log((n_docs + 1.0) / (df + 1.0)) + 1e-3
     items = [_with_rare(i, idf[np.searchsorted(vocabulary, i.words)]) for i in items]
-    sample = rows.where("place < 0").select("passage")
-    n_sample = sample.count()
+    passages = rows.where("place < 0").select("passage")
+    n_passages = passages.count()
     own = _tfidf([np.searchsorted(vocabulary, i.words) for i in items], idf)
-    weight = max(1.0, n_sample / len(items))
+    weight = max(1.0, n_passages / len(items))
     width = min(len(vocabulary), rank + 16)
     q = np.random.default_rng(seed).standard_normal((len(vocabulary), width))
 
+    square = _square(passages, idf) if n_passages and len(vocabulary) <= _SQUARE else None
+
     def gram(q: np.ndarray) -> np.ndarray:
         z = weight * _gram(*own, len(items), q)
-        return z + _spark_gram(sample, idf, q) if n_sample else z
+        if n_passages:
+            z += _spark_gram(passages, idf, q) if square is None else _times(square, q)
+        return z
 
     for _ in range(2):
         q = np.linalg.qr(gram(q))[0]

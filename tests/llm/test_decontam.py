@@ -142,3 +142,31 @@ def test_cut_texts_give_the_same_candidates(monkeypatch):
     cut = decontam.candidates(where, at, index, 0.3)
     assert sorted(c[:3] for c in whole) == sorted(c[:3] for c in cut) and {c[2] for c in whole} == set(range(len(items)))
     assert all(at[t] <= s < at[t + 1] and (s - at[t]) % decontam._spans(items)[i] == 0 for t, s, i, _ in whole)
+
+
+def test_the_space_is_fitted_on_every_document(spark):
+    """All passages of more documents than a sample would hold enter A'A."""
+    rng = random.Random(5)
+    items = decontam.make_items([(i, prose(rng, 40)) for i in range(20)])
+    vocabulary = np.unique(np.concatenate([i.words for i in items]))
+    rows = [(d, items_text) for d in range(5000) for items_text in [" ".join(f"w{(d + k) % 60}x" for k in range(8))]]
+    counted = decontam._count(docs(spark, rows), vocabulary, 32)
+    passages = [np.frombuffer(r.passage, np.int32).astype(np.int64) for r in counted.where("place < 0").collect()]
+    known = set(vocabulary.tolist())
+    assert len(passages) == sum(any(h in known for h in decontam._hashes(t).tolist()) for _, t in rows) > 2048
+    idf = np.linspace(1, 2, len(vocabulary))
+    r, c, v = decontam._tfidf(passages, idf)
+    a = np.zeros((len(passages), len(idf)))
+    a[r, c] = v
+    q = np.random.default_rng(1).standard_normal((len(idf), 9))
+    square = decontam._square(counted.where("place < 0").select("passage"), idf)
+    assert np.allclose(decontam._times(square, q), a.T @ (a @ q), rtol=1e-3, atol=1e-2)
+
+
+def test_a_wide_vocabulary_gives_the_same_space(spark, monkeypatch):
+    rows, items, _ = fixture(spark)
+    own = decontam.make_items(items)
+    small = decontam.build_index(docs(spark, rows), own, len(rows), rank=16)
+    monkeypatch.setattr(decontam, "_SQUARE", 0)
+    wide = decontam.build_index(docs(spark, rows), own, len(rows), rank=16)
+    assert np.allclose(small.latent.T @ small.latent, wide.latent.T @ wide.latent, atol=1e-2)
