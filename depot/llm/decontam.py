@@ -163,18 +163,17 @@ def _passages(batch: pa.RecordBatch, size: int) -> Iterator[list[np.ndarray]]:
 
 
 def _add_products(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, out: np.ndarray) -> None:
-    """Add A'A of sparse rows (in order) to ``out``."""
-    size = np.bincount(rows, minlength=n)
-    begin = np.concatenate([[0], np.cumsum(size)])
-    flat, partners = out.reshape(-1), size[rows]              # each cell meets all cells of its row
+    """Add A'A of sparse rows (columns in order) to ``out``, on and above the diagonal only."""
+    end = np.cumsum(np.bincount(rows, minlength=n))
+    flat, partners = out.reshape(-1), end[rows] - np.arange(len(rows))      # a cell meets itself and those behind it in its row
     done = np.concatenate([[0], np.cumsum(partners)])
+    values, wide = values.astype(out.dtype), cols * len(out)
     lo = 0
     while lo < len(rows):
         hi = max(lo + 1, int(np.searchsorted(done, done[lo] + _PAIRS, side="right")) - 1)
         k = partners[lo:hi]
-        left = np.repeat(np.arange(lo, hi), k)
-        right = np.arange(len(left)) - np.repeat(done[lo:hi] - done[lo], k) + begin[rows[left]]
-        np.add.at(flat, cols[left] * len(out) + cols[right], (values[left] * values[right]).astype(out.dtype))
+        right = np.arange(int(done[hi] - done[lo])) + np.repeat(np.arange(lo, hi) - (done[lo:hi] - done[lo]), k)
+        np.add.at(flat, np.repeat(wide[lo:hi], k) + cols[right], np.repeat(values[lo:hi], k) * values[right])
         lo = hi
 
 
@@ -191,11 +190,11 @@ def _add_blocks(parts: DataFrame, blocks: int) -> DataFrame:
     return map_arrow(parts.repartition(min(blocks, 8), "block"), add, "block int, part binary")
 
 
-def _by_blocks(z: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows, a few at a time."""
+def _by_blocks(z: np.ndarray, block: int, first: int = 0) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows, numbered from ``first``, one at a time."""
     for k in range(0, len(z), block):
         part = np.ascontiguousarray(z[k:k + block], np.float32).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), pa.array([part], pa.binary())], ["block", "part"])
+        yield pa.RecordBatch.from_arrays([pa.array([first + k // block], pa.int32()), pa.array([part], pa.binary())], ["block", "part"])
 
 
 def _square(passages: DataFrame, idf: np.ndarray, block: int = 128) -> DataFrame:
@@ -205,9 +204,14 @@ def _square(passages: DataFrame, idf: np.ndarray, block: int = 128) -> DataFrame
         for b in batches:
             for own in _passages(b, 4096):
                 _add_products(*_tfidf(own, idf), len(own), z)
-        yield from _by_blocks(z, block)
-
-    return stored(_add_blocks(map_arrow(passages, part, "block int, part binary"), -(-len(idf) // block)), "decontam-square")
+        for k in range(0, len(z), block):                               # what stands above the diagonal, below it too
+            own = z[k:k + block] + z[:, k:k + block].T
+            own[np.arange(len(own)), k + np.arange(len(own))] /= 2
+            yield from _by_blocks(own, block, k // block)
+
+    # a square for each task: so many tasks that all cores work, not one for each file
+    few = passages.coalesce(2 * passages.sparkSession.sparkContext.defaultParallelism)
+    return stored(_add_blocks(map_arrow(few, part, "block int, part binary"), -(-len(idf) // block)), "decontam-square")
 
 
 def _times(square: DataFrame, q: np.ndarray, block: int = 128) -> np.ndarray:
