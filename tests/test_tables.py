@@ -66,3 +66,10 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle():
     from depot import registry
     assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+def test_a_view_stands_after_the_views_it_reads():
+    """Whichever module defined it first."""
+    from depot.sources.adapter_sql import with_views
+    sql = with_views("SELECT * FROM x_late", {"x_late": "SELECT * FROM x_mid JOIN x_base", "x_mid": "SELECT * FROM x_base", "x_base": "SELECT 1 AS a"})
+    assert sql.index("x_base AS (") < sql.index("x_mid AS (") < sql.index("x_late AS (")
