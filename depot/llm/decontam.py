@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, folded, map_arrow, scan_words, stored
+from depot.llm.common import byte_slices, folded, map_arrow, release, scan_words, stored
 from depot.session import scratch_scope
 
 
@@ -57,8 +57,10 @@ _CHUNK = 1 << 12                            # tokens whose latent rows are held
 _GATHER = 1 << 9                            # the same where they are only summed: a processor's cache holds them
 _CELLS = 1 << 13                            # narrowest spans whose vectors are held at once
 _LEAST = 4                                  # words in the narrowest span
-_SQUARE = 4096                              # words up to which a task holds A'A (64 MB)
-_PAIRS = 1 << 18                            # pairs of words that are summed at once
+_SQUARE = 4096                              # words up to which a task holds half of A'A (32 MB)
+_PAIRS = 1 << 16                            # pairs of words that are summed at once
+_ROWS = 1 << 10                             # passages whose products are made at once
+_PART = 1 << 19                             # bytes of a block of rows of A'A: less than half a region of a JVM's heap
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -157,35 +159,51 @@ def _gram(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, q: np.
 
 
 def _passages(batch: pa.RecordBatch, size: int) -> Iterator[list[np.ndarray]]:
-    own = [np.frombuffer(x, np.int32).astype(np.int64) for x in batch.column("passage").to_pylist()]
-    for at in range(0, len(own), size):
-        yield own[at:at + size]
+    column = batch.column("passage")
+    for at in range(0, len(column), size):
+        yield [np.frombuffer(x, np.int32).astype(np.int64) for x in column.slice(at, size).to_pylist()]
 
 
-def _add_products(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, out: np.ndarray) -> None:
-    """Add A'A of sparse rows (columns in order) to ``out``, on and above the diagonal only."""
+def _corners(n: int) -> np.ndarray:
+    """Where the rows of a packed upper triangle would begin: cell (i, j) stands at ``corners[i] + j``."""
+    i = np.arange(n, dtype=np.int64)
+    return i * n - i * (i + 1) // 2
+
+
+def _add_products(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, corners: np.ndarray, out: np.ndarray) -> None:
+    """Add A'A of sparse rows (columns in order) to ``out``, a packed upper triangle."""
     end = np.cumsum(np.bincount(rows, minlength=n))
-    flat, partners = out.reshape(-1), end[rows] - np.arange(len(rows))      # a cell meets itself and those behind it in its row
+    partners = end[rows] - np.arange(len(rows))        # a cell meets itself and those behind it in its row
     done = np.concatenate([[0], np.cumsum(partners)])
-    values, wide = values.astype(out.dtype), cols * len(out)
+    values, wide = values.astype(out.dtype), corners[cols]
     lo = 0
     while lo < len(rows):
         hi = max(lo + 1, int(np.searchsorted(done, done[lo] + _PAIRS, side="right")) - 1)
         k = partners[lo:hi]
         right = np.arange(int(done[hi] - done[lo])) + np.repeat(np.arange(lo, hi) - (done[lo:hi] - done[lo]), k)
-        np.add.at(flat, np.repeat(wide[lo:hi], k) + cols[right], np.repeat(values[lo:hi], k) * values[right])
+        np.add.at(out, np.repeat(wide[lo:hi], k) + cols[right], np.repeat(values[lo:hi], k) * values[right])
         lo = hi
 
 
+def _unpacked(half: np.ndarray, corners: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Whole rows ``lo`` to ``hi`` of the symmetric matrix of a packed upper triangle."""
+    own, every = np.arange(lo, hi)[:, None], np.arange(len(corners))[None, :]
+    return half[corners[np.minimum(own, every)] + np.maximum(own, every)]
+
+
 def _add_blocks(parts: DataFrame, blocks: int) -> DataFrame:
     """Sums of the (block, part) rows of equal block."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for k, x in zip(b.column("block").to_pylist(), b.column("part").to_pylist()):
-                x = np.frombuffer(x, np.float32).astype(np.float64)
-                sums[k] = sums[k] + x if k in sums else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "part"])
+            for k, x in zip(b.column("block").to_pylist(), b.column("part")):
+                x = np.frombuffer(x.as_buffer(), np.float32)
+                if k in sums:
+                    sums[k] += x
+                else:
+                    sums[k] = x.astype(np.float64)
+        for k in list(sums):                            # one at a time
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sums.pop(k).tobytes()], pa.binary())], ["block", "part"])
 
     return map_arrow(parts.repartition(min(blocks, 8), "block"), add, "block int, part binary")
 
@@ -197,31 +215,41 @@ def _by_blocks(z: np.ndarray, block: int, first: int = 0) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array([first + k // block], pa.int32()), pa.array([part], pa.binary())], ["block", "part"])
 
 
-def _square(passages: DataFrame, idf: np.ndarray, block: int = 128) -> DataFrame:
+def _block(n: int) -> int:
+    """Rows of A'A in a block: as doubles they stay under ``_PART``, since the
+    JVMs copy every block some times and set arrays of half a region or more
+    apart, each in regions of its own."""
+    return max(1, (_PART - 4096) // (8 * n))
+
+
+def _square(passages: DataFrame, idf: np.ndarray) -> DataFrame:
     """A'A of all passages by blocks of rows, stored: a partial sum per task, added in Spark."""
+    n, block = len(idf), _block(len(idf))
+
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = np.zeros((len(idf), len(idf)), np.float32)
+        corners = _corners(n)
+        half = np.zeros(n * (n + 1) // 2, np.float32)
         for b in batches:
-            for own in _passages(b, 4096):
-                _add_products(*_tfidf(own, idf), len(own), z)
-        for k in range(0, len(z), block):                               # what stands above the diagonal, below it too
-            own = z[k:k + block] + z[:, k:k + block].T
-            own[np.arange(len(own)), k + np.arange(len(own))] /= 2
-            yield from _by_blocks(own, block, k // block)
+            for own in _passages(b, _ROWS):
+                _add_products(*_tfidf(own, idf), len(own), corners, half)
+            release()
+        for k in range(0, n, block):                                    # what stands above the diagonal, below it too
+            yield from _by_blocks(_unpacked(half, corners, k, min(k + block, n)), block, k // block)
 
-    # a square for each task: so many tasks that all cores work, not one for each file
+    # half a square for each task: so many tasks that all cores work, not one for each file
     few = passages.coalesce(2 * passages.sparkSession.sparkContext.defaultParallelism)
-    return stored(_add_blocks(map_arrow(few, part, "block int, part binary"), -(-len(idf) // block)), "decontam-square")
+    return stored(_add_blocks(map_arrow(few, part, "block int, part binary"), -(-n // block)), "decontam-square")
 
 
-def _times(square: DataFrame, q: np.ndarray, block: int = 128) -> np.ndarray:
+def _times(square: DataFrame, q: np.ndarray) -> np.ndarray:
     """(A'A) q, a block of rows at a time in Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(np.frombuffer(x, np.float64).reshape(-1, len(q)) @ q).tobytes() for x in b.column("part").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(out, pa.binary())], ["block", "part"])
+            for k, x in zip(b.column("block"), b.column("part")):
+                out = (np.frombuffer(x.as_buffer(), np.float64).reshape(-1, len(q)) @ q).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int32()), pa.array([out], pa.binary())], ["block", "part"])
 
-    return _collected(map_arrow(square, run, "block int, part binary"), q, block)
+    return _collected(map_arrow(square, run, "block int, part binary"), q, _block(len(q)))
 
 
 def _collected(blocks: DataFrame, q: np.ndarray, block: int) -> np.ndarray:

@@ -170,3 +170,20 @@ def test_a_wide_vocabulary_gives_the_same_space(spark, monkeypatch):
     monkeypatch.setattr(decontam, "_SQUARE", 0)
     wide = decontam.build_index(docs(spark, rows), own, len(rows), rank=16)
     assert np.allclose(small.latent.T @ small.latent, wide.latent.T @ wide.latent, atol=1e-2)
+
+
+def test_blocks_of_the_square_are_small(spark):
+    """A task holds half of A'A, and no block of it fills half a region of a JVM's heap."""
+    rng = np.random.default_rng(6)
+    passages = [rng.integers(0, 900, 40) for _ in range(300)]
+    idf = rng.uniform(1, 2, 900)
+    df = spark.createDataFrame([(bytearray(p.astype(np.int32).tobytes()),) for p in passages], "passage binary").repartition(3)
+    square = decontam._square(df, idf)
+    assert max(len(r.part) for r in square.select("part").collect()) < 1 << 19
+    r, c, v = decontam._tfidf(passages, idf)
+    a = np.zeros((len(passages), len(idf)))
+    a[r, c] = v
+    assert np.allclose(decontam._times(square, np.eye(900)), a.T @ a, rtol=1e-4, atol=1e-4)
+    half, corners = np.zeros(900 * 901 // 2, np.float32), decontam._corners(900)
+    decontam._add_products(r, c, v, len(passages), corners, half)
+    assert np.allclose(decontam._unpacked(half, corners, 0, 900), a.T @ a, rtol=1e-4, atol=1e-4)
