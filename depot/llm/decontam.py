@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, folded, map_arrow, release, scan_words, stored
+from depot.llm.common import SLICE, byte_slices, folded, map_arrow, release, scan_words, stored
 from depot.session import scratch_scope
 
 
@@ -107,7 +107,7 @@ def _count(docs: DataFrame, vocabulary: np.ndarray, span: int) -> DataFrame:
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             out = []
-            for b in byte_slices(batch, "text", 4 << 20):
+            for b in byte_slices(batch, "text", SLICE):
                 words, _, _, at = scan_words(folded(b.column("text")), lower=True, letters_only=True)
                 where = places(words)
                 hit = np.flatnonzero(where >= 0)
@@ -426,7 +426,7 @@ def find(docs: DataFrame, index: Index, limit: float) -> DataFrame:
         places = _places(index.vocabulary)
         for batch in batches:
             out = []
-            for b in byte_slices(batch, "text", 4 << 20):
+            for b in byte_slices(batch, "text", SLICE):
                 ids = b.column("doc_id").to_pylist()
                 out += [(ids[t], index.items[i].item_id, len(index.items[i].words), n, a)
                         for (t, i), (n, a) in _matches(b.column("text"), places, index, limit).items()]
@@ -481,7 +481,7 @@ def _drop(docs: DataFrame, index: Index, limit: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _places(index.vocabulary)
         for batch in batches:
-            for b in byte_slices(batch, "text", 4 << 20):
+            for b in byte_slices(batch, "text", SLICE):
                 clean = np.ones(b.num_rows, bool)
                 clean[[t for t, _ in _matches(b.column("text"), places, index, limit)]] = False
                 yield b.filter(pa.array(clean))

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from depot.llm.common import (bloom, byte_slices, digests, fresh, grouped, map_arrow, maybe_in, mix64, scan_words,
+from depot.llm.common import (SLICE, bloom, byte_slices, digests, fresh, grouped, map_arrow, maybe_in, mix64, scan_words,
                               shingle_sets, split, stored)
 from depot.session import discard, scratch_path, scratch_scope
 
@@ -96,7 +96,7 @@ def signatures(docs: DataFrame, key: str, text: str, carried: tuple[str, ...] =
     and the long columns ``carried``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, text, 4 << 20):
+            for b in byte_slices(batch, text, SLICE):
                 hashes, at = _sets(b.column(text))
                 sig = min_max(hashes, at)
                 bands, short = band_keys(sig), (sig >> np.uint64(17)).astype(np.uint16)

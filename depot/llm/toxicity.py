@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depot.llm.common import byte_slices, folded, map_arrow, prefix_hashes, scan_words, stored
+from depot.llm.common import SLICE, byte_slices, folded, map_arrow, prefix_hashes, scan_words, stored
 from depot.session import scratch_scope
 
 GRADES = 4
@@ -74,7 +74,7 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, "text", 4 << 20):
+            for b in byte_slices(batch, "text", SLICE):
                 got = list(_term_counts(b.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("toxic"), pa.array([g[0].tobytes() for g in got], pa.binary()),
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model: Model, limit: float = 0.5, key: str = "doc_id"
     table gives an empty result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, text, 4 << 20):
+            for b in byte_slices(batch, text, SLICE):
                 p = severity(b.column(text), model)
                 grade = (p >= limit).sum(axis=1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(key).cast(pa.int64()), pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array(grade), pa.array(grade > 0)],
@@ -223,7 +223,7 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "t
     any other; an empty table stays empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in byte_slices(batch, text, 4 << 20):
+            for b in byte_slices(batch, text, SLICE):
                 yield b.filter(pa.array(severity(b.column(text), model)[:, 0] < limit))
 
     return map_arrow(docs, run, docs.schema)

@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from depot.llm import toxicity
+from depot.llm import common, toxicity
 from tests.llm.helpers import docs, prose
 
 BAD = ["vile", "scummy", "wretch", "lowly"]
@@ -55,3 +56,30 @@ def test_ordinal_fit_orders_grades():
     w, theta = toxicity.fit_ordinal(np.arange(n), np.zeros(n, int), x, grade, 1)
     p = toxicity._sigmoid(w[0] * x[:, None] - theta)
     assert np.corrcoef(p.sum(axis=1), grade)[0, 1] > 0.9 and np.all(np.diff(theta) > 0)
+
+
+def test_a_batch_is_scored_in_bounded_memory():
+    """What a worker holds beside a batch of 4 MB is a small part of what all its words would take."""
+    import tracemalloc
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(9000)}x" for _ in range(3000)]
+    text = " ".join(words)
+    texts = pa.array([text] * (4_000_000 // len(text)))
+    model = toxicity.Model(np.sort(common.scan_words(pa.array(words), lower=True, letters_only=True)[0]), np.full(3000, 1e-3), np.array([1.0, 2.0, 3.0]))
+    whole = toxicity.severity(texts, model)
+    tracemalloc.start()
+    got = [toxicity.severity(b.column("text"), model) for b in common.byte_slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", common.SLICE)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(np.concatenate(got), whole) and peak < 48 << 20
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    texts = pa.array([" ".join(f"word{k * k}" for k in range(n)) for n in (0, 1, 900, 5000)])
+    whole = common.scan_words(texts, lower=True)
+    monkeypatch.setattr(common, "_PIECE", 1 << 10)
+    common._powers.cache_clear()
+    try:
+        assert all(np.array_equal(a, b) for a, b in zip(common.scan_words(texts, lower=True), whole))
+    finally:
+        common._powers.cache_clear()
