@@ -2,7 +2,7 @@
 vectorised word scanner over Arrow string buffers.
 
 The scanner works on the raw UTF-8 bytes of a whole Arrow batch with numpy:
-no per-word Python objects, bounded temporaries (256 KB pieces that end at a
+no per-word Python objects, bounded temporaries (1 MB pieces that end at a
 separator), and 64-bit word hashes that do not depend on batch boundaries.
 """
 
@@ -30,7 +30,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 8 << 20
 #: Bytes of text whose words a worker holds at once: some 30 times that in numbers.
 SLICE = 1 << 20
-_PIECE = 1 << 18
+_PIECE = 1 << 20
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _MULT = 0x9E3779B97F4A7C15 | 5          # odd; -1 of it is divisible by 4 only
 _MASK = (1 << 64) - 1
