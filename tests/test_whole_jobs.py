@@ -74,3 +74,24 @@ def test_shuffles_begin_with_more_partitions_for_larger_tables(spark):
     finally:
         for n, x in zip(names, had):
             spark.conf.unset(n) if x is None else spark.conf.set(n, x)
+
+
+def test_many_shuffle_partitions_do_not_leave_a_task_more(spark):
+    # 200 partitions are more than the rows ask for, yet adaptive execution would join them to 64 MB each
+    from depot.session import _ADVISORY, _PARTITIONS, spread_shuffles
+
+    at, was = "spark.sql.shuffle.partitions", {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", _PARTITIONS, _ADVISORY)}
+    try:
+        spark.conf.unset(_PARTITIONS)
+        spark.conf.set(at, "200")
+        spark.conf.set(_ADVISORY, "64MB")
+        spread_shuffles(spark, 1_000)
+        assert spark.conf.get(_ADVISORY) == "64MB"                    # small tables leave the session as it is
+        spread_shuffles(spark, 36_000_000)
+        assert spark.conf.get(_PARTITIONS, None) is None and int(spark.conf.get(_ADVISORY)) == 16 << 20
+        spark.conf.set(_ADVISORY, "4m")
+        spread_shuffles(spark, 36_000_000)
+        assert spark.conf.get(_ADVISORY) == "4m"                      # finer than needed: kept
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
