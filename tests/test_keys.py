@@ -64,3 +64,17 @@ def test_dense_keys_many_ranges(spark):
     df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("a"))
     got = dense_keys(df, ["a"], "rid", n_ranges=700)
     assert got.filter(F.col("rid") != F.col("a") + 1).count() == 0
+
+
+def test_stored_ids_cost_little_on_disk(spark, tmp_path):
+    from depot.session import write_compact
+    ids = spark.range(0, 200_000, 1, 1)
+    ids.write.parquet(str(tmp_path / "plain"))
+    write_compact(ids, str(tmp_path / "compact"))
+    plain, compact = (sum(f.stat().st_size for f in (tmp_path / n).glob("*.parquet")) for n in ("plain", "compact"))
+    assert compact * 10 < plain
+    kinds = spark.sql("""SELECT id, id = 1 AS b, CAST(id AS DECIMAL(12,2)) AS d, CAST(id AS DECIMAL(30,4)) AS w, CAST(id AS STRING) AS s,
+                         IF(id = 2, NULL, DATE '2020-01-01' + CAST(id AS INT)) AS day, TIMESTAMP_NTZ '2020-01-01 00:00:00' AS t,
+                         CAST(id AS FLOAT) AS f, CAST(id AS DOUBLE) AS x, CAST(id AS SHORT) AS h FROM range(5)""")
+    write_compact(kinds, str(tmp_path / "kinds"))
+    assert spark.read.parquet(str(tmp_path / "kinds")).orderBy("id").collect() == kinds.orderBy("id").collect()

@@ -32,6 +32,18 @@ def test_checks_find_violations(spark):
     assert not seq.ok and seq.n == 4 and seq.n_distinct == 3
 
 
+def test_sequential_ids_shuffle_blocks_not_ids(spark):
+    ids = {"all": spark.range(1, 20_001).toDF("i"), "twice": spark.range(100).selectExpr("id div 2 + 1 AS i"),
+           "odd": spark.createDataFrame([(-65,), (None,), (-64,), (0,), (2**63 - 1,), (-2**63,), (0,)], "i long"),
+           "none": spark.range(0).toDF("i"), "text": spark.createDataFrame([("1",), ("2",)], "i string")}
+    got = {r.table_name: tuple(r)[1:] for r in Q.check_sequential_ids({n: (df, "i") for n, df in ids.items()}).collect()}
+    assert got == {"all": (20_000, 20_000, 1, 20_000, True), "twice": (100, 50, 1, 50, False),
+                   "odd": (7, 5, -2**63, 2**63 - 1, False), "none": (0, 0, None, None, True), "text": (2, 2, 1, 2, True)}
+    seen = Q.check_sequential_ids({"all": (spark.range(1, 20_001, 1, 2).toDF("i"), "i")})
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright(id" in plan and "count(distinct" not in plan.lower()        # a row per 64 ids is shuffled
+
+
 def test_cast_losses_are_counted(spark):
     from pyspark.sql import types as T
     from depot.operators.quality import conform_losses, conform_to_schema
