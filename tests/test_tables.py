@@ -73,3 +73,36 @@ def test_a_view_stands_after_the_views_it_reads():
     from depot.sources.adapter_sql import with_views
     sql = with_views("SELECT * FROM x_late", {"x_late": "SELECT * FROM x_mid JOIN x_base", "x_mid": "SELECT * FROM x_base", "x_base": "SELECT 1 AS a"})
     assert sql.index("x_base AS (") < sql.index("x_mid AS (") < sql.index("x_late AS (")
+
+
+def test_scorecard_meets_lines_and_orders_once_for_each_part(tables):
+    """Stock and returned lines are each joined once: no second stock for the
+    status of the purchase orders, no lines again for the vendor of a return."""
+    from depot.registry.tables import scorecard
+    plan = scorecard(tables)._jdf.queryExecution().optimizedPlan().toString()
+    reads = [x.split("[")[1] for x in plan.splitlines() if "Relation [" in x]
+    assert sum("o_orderkey" in x for x in reads) == 3           # stock, complete orders, shipments
+    assert sum("_place" in x for x in reads) == 3               # eligible and returned lines, lines of a vendor
+
+
+def test_scorecard_with_or_without_carried_vendors(spark):
+    from depot.plans.vendors import vendor_scorecard
+    vendors = spark.createDataFrame([(1,), (2,), (3,)], "vendor_id long")
+    lines = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, None)], "order_line_id long, vendor_id long")
+    back = spark.createDataFrame([(1, "Damaged"), (2, "Resalable"), (3, "Defective"), (4, "Damaged")], "order_line_id long, condition_code string")
+    po = spark.createDataFrame([(1, "Received", None, None, 1, 2)], "vendor_id long, po_status string, actual_receipt_date date, "
+                               "expected_receipt_date date, qty_received int, qty_ordered int")
+    plain = vendor_scorecard(vendors, po, back, lines)
+    carried = vendor_scorecard(vendors, po, back.join(lines, "order_line_id"), lines)
+    assert sorted(plain.collect()) == sorted(carried.collect())
+    assert {r.vendor_id: r.defect_rate and float(r.defect_rate) for r in carried.collect()} == {1: 0.5, 2: 1.0, 3: None}
+
+
+def test_stock_carries_its_last_line(spark):
+    from depot.plans.inventory import build_inventory
+    lines = spark.sql("""SELECT * FROM VALUES (1L, 7L, 5L, 1, DATE '2020-01-01'), (1L, 7L, 4L, 1, DATE '2020-02-01'), (1L, 7L, 9L, 1, NULL),
+                         (1L, NULL, 3L, 1, NULL) AS t (order_id, item_id, vendor_id, quantity_ordered, line_ship_date)""")
+    orders = spark.sql("SELECT 1L AS order_id, 2L AS dc_id, 'Open' AS order_status")
+    items = spark.sql("SELECT 7L AS item_id, CAST(2 AS DECIMAL(12,2)) AS unit_cost")
+    got = {r.item_id: (r.vendor_id, str(r.last_restock_date)) for r in build_inventory(lines, orders, items).collect()}
+    assert got == {7: (4, "2020-02-01"), None: (3, "None")}
