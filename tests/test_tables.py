@@ -106,3 +106,23 @@ def test_stock_carries_its_last_line(spark):
     items = spark.sql("SELECT 7L AS item_id, CAST(2 AS DECIMAL(12,2)) AS unit_cost")
     got = {r.item_id: (r.vendor_id, str(r.last_restock_date)) for r in build_inventory(lines, orders, items).collect()}
     assert got == {7: (4, "2020-02-01"), None: (3, "None")}
+
+
+def test_items_given_twice_give_the_purchase_orders_of_a_joined_status(spark):
+    from types import SimpleNamespace
+    from depot.plans import inventory as INV
+    from depot.registry.joins import vendor_item_cost
+    from depot.registry.tables import purchase_orders
+    from depot.sources.tables import po_status
+    lines = spark.sql("""SELECT * FROM VALUES (1L, 7L, 5L, 2, DATE '2020-01-01'), (1L, 8L, 4L, 3, DATE '2020-02-01'), (1L, 9L, 4L, 3, DATE '2020-02-01'),
+                         (1L, NULL, 3L, 1, DATE '2020-02-01') AS t (order_id, item_id, vendor_id, quantity_ordered, line_ship_date)""")
+    lines = lines.selectExpr("*", "'N' AS return_flag", "CAST(3 AS DECIMAL(16,2)) AS unit_price")
+    orders = spark.sql("SELECT 1L AS order_id, 2L AS dc_id, 'Open' AS order_status")
+    items = spark.sql("SELECT id AS item_id, CAST(2 AS DECIMAL(12,2)) AS unit_cost, 5 AS lead_time_days FROM VALUES 7L, 8L, 8L AS t (id)")
+    stock = INV.build_inventory(lines, orders, items)
+    t = SimpleNamespace(v_stock=stock, v_items=items, v_lines_noid=lines)
+    joined = INV.build_purchase_orders(stock, items, stock.select("dc_id", "item_id", po_status()), vendor_item_cost(t),
+                                       INV.vendor_fill_rates(lines), with_ids=False)
+    got = purchase_orders(t, False)
+    assert got.count() == 1 + 8 + 1 + 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect()))
